@@ -1,0 +1,214 @@
+"""Persisted rollup states: exactly-once batch writes, merge-on-read, versioned compaction.
+
+Layout under ``<root>`` (a folder on the shared file system)::
+
+    batches/source_id=<s>/batch_id=<n>/part-*.parquet   one write per (source, batch); a retry replaces it
+    compacted/version=<k>/part-*.parquet                 merged states of every batch the manifest names
+    manifest/version=<k>/part-*.json                     rows (source_id, max_batch_id): the commit point
+
+Readers take the newest manifest, the compacted version it names, and every batch newer than the
+manifest's ``max_batch_id`` for its source.  Compaction writes a new version and then a new manifest;
+nothing is overwritten in place, so a reader sees either the old or the new version, never a mix,
+and a crashed compaction leaves only an unreferenced folder that the retry overwrites.
+
+``source_id`` is created once per stream (and stored beside its checkpoint) because Structured
+Streaming restarts ``batch_id`` at 0 with a fresh checkpoint: the pair, not the batch id alone, is the
+idempotency key.
+"""
+
+from __future__ import annotations
+
+import uuid
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rollstate.operators import rollups
+from rollstate.sources.store import BATCH, SOURCE
+from rollstate.spec import AnalyticalTable
+
+VERSION = "version"
+
+
+class StateStore:
+    def __init__(self, spark: SparkSession, at: AnalyticalTable, root: str):
+        self.spark = spark
+        self.at = at
+        self.root = root.rstrip("/")
+
+    # ------------------------------------------------------------------ paths and schema
+    @property
+    def batches_path(self) -> str:
+        return f"{self.root}/batches"
+
+    @property
+    def compacted_path(self) -> str:
+        return f"{self.root}/compacted"
+
+    @property
+    def manifest_path(self) -> str:
+        return f"{self.root}/manifest"
+
+    def state_schema(self) -> T.StructType:
+        """Schema of ``partial``'s output, derived from an empty frame of the fact schema."""
+        empty = self.spark.createDataFrame([], self.at.table.schema)
+        return rollups.partial(empty, self.at).schema
+
+    # ------------------------------------------------------------------ writes
+    def write_batch(self, states: DataFrame, source_id: str, batch_id: int) -> None:
+        """Write the states of one batch; writing the same (source_id, batch_id) again replaces it."""
+        self.write_batches(states.withColumn(SOURCE, F.lit(source_id)).withColumn(BATCH, F.lit(int(batch_id)).cast("long")))
+
+    def write_batches(self, states: DataFrame) -> None:
+        """Write states that already carry ``source_id`` / ``batch_id`` columns (dynamic overwrite)."""
+        (
+            states.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(SOURCE, BATCH)
+            .parquet(self.batches_path)
+        )
+
+    # ------------------------------------------------------------------ reads
+    def manifest(self) -> dict[str, int]:
+        """Newest manifest: source_id → highest batch_id folded into the compacted version (tiny)."""
+        version = self.latest_version()
+        if version is None:
+            return {}
+        rows = (
+            self._read_json(self.manifest_path, "source_id string, max_batch_id long, version long")
+            .where(F.col(VERSION) == version)
+            .collect()
+        )
+        return {r.source_id: r.max_batch_id for r in rows}
+
+    def latest_version(self) -> int | None:
+        df = self._read_json(self.manifest_path, "source_id string, max_batch_id long, version long")
+        if df is None:
+            return None
+        return df.agg(F.max(VERSION)).first()[0]
+
+    def _read_json(self, path: str, schema: str) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(schema).json(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return None
+            raise
+
+    def _read_parquet(self, path: str, schema: T.StructType) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return None
+            raise
+
+    def batches(self, newer_than: dict[str, int] | None = None) -> DataFrame | None:
+        """Batch states, without those already folded into the compacted version."""
+        schema = T.StructType(
+            [*self.state_schema().fields, T.StructField(SOURCE, T.StringType()), T.StructField(BATCH, T.LongType())]
+        )
+        df = self._read_parquet(self.batches_path, schema)
+        if df is None:
+            return None
+        for source, max_batch in (newer_than or {}).items():
+            # Partition-column predicates: folded batches are pruned from the file listing.
+            df = df.where(~((F.col(SOURCE) == source) & (F.col(BATCH) <= max_batch)))
+        return df
+
+    def states(self) -> DataFrame:
+        """Every live state row (compacted version ∪ newer batches), state columns and keys only."""
+        cols = self.state_schema().fieldNames()
+        version = self.latest_version()
+        parts = []
+        if version is not None:
+            compacted = self._read_parquet(
+                self.compacted_path, T.StructType([*self.state_schema().fields, T.StructField(VERSION, T.LongType())])
+            )
+            parts.append(compacted.where(F.col(VERSION) == version).select(*cols))
+        newer = self.batches(self.manifest() if version is not None else None)
+        if newer is not None:
+            parts.append(newer.select(*cols))
+        if not parts:
+            return self.spark.createDataFrame([], self.state_schema())
+        return reduce(DataFrame.unionByName, parts)
+
+    def view(self) -> DataFrame:
+        """Merge-on-read: the rollup's final columns."""
+        return rollups.view(self.states(), self.at)
+
+    def covered_batches(self) -> DataFrame:
+        """(source_id, batch_id) pairs whose states are stored as separate batches."""
+        df = self.batches()
+        schema = f"{SOURCE} string, {BATCH} long"
+        if df is None:
+            return self.spark.createDataFrame([], schema)
+        return df.select(SOURCE, BATCH).distinct()
+
+    # ------------------------------------------------------------------ compaction
+    def compact(self) -> int:
+        """Fold every live state into a new compacted version; returns the new version number.
+
+        The snapshot is fixed first (highest batch per source present now), and only batches inside
+        it are read, so batches that land meanwhile stay separate and are read on top of the new
+        version.  The merged result is written before the manifest that makes it visible.
+        """
+        old_version = self.latest_version()
+        old_manifest = self.manifest() if old_version is not None else {}
+        new_version = (old_version or 0) + 1
+        batches = self.batches(old_manifest)
+        snapshot = {}
+        if batches is not None:
+            snapshot = {r[0]: r[1] for r in batches.groupBy(SOURCE).agg(F.max(BATCH)).collect()}
+        if not snapshot:
+            return old_version or 0
+        cols = self.state_schema().fieldNames()
+        parts = []
+        if old_version is not None:
+            compacted = self._read_parquet(
+                self.compacted_path, T.StructType([*self.state_schema().fields, T.StructField(VERSION, T.LongType())])
+            )
+            parts.append(compacted.where(F.col(VERSION) == old_version).select(*cols))
+        in_snapshot = reduce(
+            lambda acc, kv: acc | ((F.col(SOURCE) == kv[0]) & (F.col(BATCH) <= kv[1])), snapshot.items(), F.lit(False)
+        )
+        parts.append(batches.where(in_snapshot).select(*cols))
+        merged = rollups.merge(reduce(DataFrame.unionByName, parts), self.at)
+        (
+            merged.write.mode("overwrite")
+            .option("compression", "zstd")
+            .parquet(f"{self.compacted_path}/{VERSION}={new_version}")
+        )
+        manifest = {**old_manifest}
+        for s, b in snapshot.items():
+            manifest[s] = max(b, manifest.get(s, -1))
+        rows = [(s, int(b)) for s, b in sorted(manifest.items())]
+        (
+            self.spark.createDataFrame(rows, "source_id string, max_batch_id long")
+            .coalesce(1)
+            .write.mode("overwrite")
+            .json(f"{self.manifest_path}/{VERSION}={new_version}")
+        )
+        return new_version
+
+
+def stable_source_id(spark: SparkSession, path: str) -> str:
+    """An id created once and kept at ``path`` (next to a stream's checkpoint); read back afterwards."""
+    schema = "source_id string"
+    try:
+        row = spark.read.schema(schema).json(path).first()
+        if row is not None and row.source_id:
+            return row.source_id
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+    new = uuid.uuid4().hex
+    try:
+        spark.createDataFrame([(new,)], schema).coalesce(1).write.mode("errorifexists").json(path)
+    except AnalysisException:
+        pass  # created concurrently: the stored one wins
+    return spark.read.schema(schema).json(path).first().source_id
