@@ -118,8 +118,9 @@ REGISTRY: dict[str, AggFn] = {
         finish=_stddev_finish,
         needs_center=True,
     ),
-    # One pass: exact quantiles with linear interpolation (ObjectHashAggregate; hot groups are split
-    # off by ``rollups.interval`` so no single group's values pile up in one task).
+    # One pass: exact quantiles with linear interpolation, computed by rank selection in
+    # ``operators.quantiles`` (``one_pass`` here is Spark's ``percentile``, kept for small inputs only:
+    # it holds each group's distinct values in one buffer).
     # States: KLL sketches (bounded size, mergeable); a sketch answers with an observed value and is
     # exact while a group holds no more than k=200 values.
     "quantiles": AggFn(

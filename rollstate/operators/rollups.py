@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollstate.functions import timefn
-from rollstate.operators import aggs
+from rollstate.operators import aggs, quantiles
 from rollstate.spec import AnalyticalTable, IntervalAggregator, LastAggregator, Table
 
 LAST_STATE = "_last"
@@ -71,10 +71,28 @@ def bucket_col(table: Table, agg: IntervalAggregator) -> Column:
     return timefn.bucket(table.ts, agg.group_functions).alias(agg.name)
 
 
-def interval(df: DataFrame, table: Table, agg: IntervalAggregator) -> DataFrame:
-    """One-pass rollup per (id, bucket): every aggregation of every measure, one shuffle."""
-    exprs = [aggs.one_pass(a, F.col(c)).alias(name) for name, c, a in output_specs(table, agg)]
-    return df.groupBy(F.col(table.id), bucket_col(table, agg)).agg(*exprs)
+def interval(
+    df: DataFrame,
+    table: Table,
+    agg: IntervalAggregator,
+    hot_rows: int = quantiles.HOT_GROUP_ROWS,
+    partition_rows: int = quantiles.PARTITION_ROWS,
+) -> DataFrame:
+    """One-pass rollup per (id, bucket): every aggregation of every measure.
+
+    Without quantiles this is one aggregation (one shuffle, map-side partial aggregation).  Exact
+    quantiles are rank selections (``operators.quantiles``): ordinary groups are ranked by a window
+    and aggregated in the same shuffle; groups above ``hot_rows`` rows take a distributed path.
+    """
+    specs = output_specs(table, agg)
+    keys = [table.id, agg.name]
+    keyed = df.withColumn(agg.name, timefn.bucket(table.ts, agg.group_functions))
+    q_specs = [(name, c, aggs.probs_of(a)) for name, c, a in specs if aggs.get(a.type).takes_probs]
+    others = [(name, aggs.one_pass(a, F.col(c))) for name, c, a in specs if not aggs.get(a.type).takes_probs]
+    if not q_specs:
+        return keyed.groupBy(*keys).agg(*[c.alias(n) for n, c in others])
+    out = quantiles.exact(keyed, keys, q_specs, others, hot_rows, partition_rows)
+    return out.select(*keys, *[name for name, _, _ in specs])
 
 
 # ------------------------------------------------------------------------------------------- states
@@ -139,8 +157,9 @@ def view(states: DataFrame, at: AnalyticalTable) -> DataFrame:
     return finish(merge(states, at), at)
 
 
-def one_pass(df: DataFrame, at: AnalyticalTable) -> DataFrame:
-    """The rollup computed directly from facts (no persisted state)."""
+def one_pass(df: DataFrame, at: AnalyticalTable, **quantile_options: int) -> DataFrame:
+    """The rollup computed directly from facts (no persisted state).  ``quantile_options``:
+    ``hot_rows`` / ``partition_rows`` of ``operators.quantiles``."""
     if isinstance(at.aggregator, LastAggregator):
         return last(df, at.table, at.aggregator.tiebreak)
-    return interval(df, at.table, at.aggregator)
+    return interval(df, at.table, at.aggregator, **quantile_options)
