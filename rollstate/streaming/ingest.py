@@ -90,7 +90,10 @@ def windowed_rollup(
     late rows beyond it are ignored (unlike ``start``, which never drops late rows).  Quantiles are
     KLL sketches here because exact percentiles are not supported as streaming state.
     """
-    df = decoded.withWatermark(table.ts, watermark) if watermark else decoded
+    # Watermarks and windows need a zoned TIMESTAMP; the session time zone is pinned to UTC, so the
+    # cast from the zone-less column keeps the wall-clock value.
+    df = decoded.withColumn("_event_time", F.col(table.ts).cast("timestamp"))
+    df = df.withWatermark("_event_time", watermark) if watermark else df
     exprs = []
     for c in table.measures:
         for a in agg.aggregations:
@@ -102,7 +105,7 @@ def windowed_rollup(
             else:
                 e = aggs.one_pass(a, F.col(c))
             exprs.append(e.alias(f"{c}_{a.slug()}"))
-    w = F.window(F.col(table.ts), size)
+    w = F.window(F.col("_event_time"), size)
     return df.groupBy(F.col(table.id), w.alias("_w")).agg(*exprs).select(
         table.id, F.col("_w.start").cast("date").alias(agg.name), *[e_name for e_name in _names(table, agg)]
     )
