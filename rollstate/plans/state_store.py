@@ -73,23 +73,24 @@ class StateStore:
         )
 
     # ------------------------------------------------------------------ reads
-    def manifest(self) -> dict[str, int]:
-        """Newest manifest: source_id → highest batch_id folded into the compacted version (tiny)."""
-        version = self.latest_version()
-        if version is None:
-            return {}
-        rows = (
-            self._read_json(self.manifest_path, "source_id string, max_batch_id long, version long")
-            .where(F.col(VERSION) == version)
-            .collect()
-        )
-        return {r.source_id: r.max_batch_id for r in rows}
+    def snapshot(self) -> tuple[int | None, dict[str, int]]:
+        """Newest manifest version and its watermarks (source_id → highest folded batch_id).
 
-    def latest_version(self) -> int | None:
+        One small read: the manifest holds one row per source and version."""
         df = self._read_json(self.manifest_path, "source_id string, max_batch_id long, version long")
         if df is None:
-            return None
-        return df.agg(F.max(VERSION)).first()[0]
+            return None, {}
+        rows = df.collect()
+        if not rows:
+            return None, {}
+        version = max(r.version for r in rows)
+        return version, {r.source_id: r.max_batch_id for r in rows if r.version == version}
+
+    def manifest(self) -> dict[str, int]:
+        return self.snapshot()[1]
+
+    def latest_version(self) -> int | None:
+        return self.snapshot()[0]
 
     def _read_json(self, path: str, schema: str) -> DataFrame | None:
         try:
@@ -122,21 +123,23 @@ class StateStore:
 
     def states(self) -> DataFrame:
         """Every live state row (compacted version ∪ newer batches), state columns and keys only."""
-        cols = self.state_schema().fieldNames()
-        version = self.latest_version()
+        schema = self.state_schema()
+        cols = schema.fieldNames()
+        version, manifest = self.snapshot()
         parts = []
         if version is not None:
-            compacted = self._read_parquet(
-                self.compacted_path, T.StructType([*self.state_schema().fields, T.StructField(VERSION, T.LongType())])
-            )
-            parts.append(compacted.where(F.col(VERSION) == version).select(*cols))
-        newer = self.batches(self.manifest() if version is not None else None)
+            parts.append(self._compacted(schema, version).select(*cols))
+        newer = self.batches(manifest)
         if newer is not None:
             parts.append(newer.select(*cols))
         if not parts:
-            return self.spark.createDataFrame([], self.state_schema())
+            return self.spark.createDataFrame([], schema)
         return reduce(DataFrame.unionByName, parts)
 
+    def _compacted(self, schema: T.StructType, version: int) -> DataFrame:
+        full = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
+        return self._read_parquet(self.compacted_path, full).where(F.col(VERSION) == version)
+
     def view(self) -> DataFrame:
         """Merge-on-read: the rollup's final columns."""
         return rollups.view(self.states(), self.at)
@@ -157,8 +160,7 @@ class StateStore:
         it are read, so batches that land meanwhile stay separate and are read on top of the new
         version.  The merged result is written before the manifest that makes it visible.
         """
-        old_version = self.latest_version()
-        old_manifest = self.manifest() if old_version is not None else {}
+        old_version, old_manifest = self.snapshot()
         new_version = (old_version or 0) + 1
         batches = self.batches(old_manifest)
         snapshot = {}
@@ -166,13 +168,11 @@ class StateStore:
             snapshot = {r[0]: r[1] for r in batches.groupBy(SOURCE).agg(F.max(BATCH)).collect()}
         if not snapshot:
             return old_version or 0
-        cols = self.state_schema().fieldNames()
+        schema = self.state_schema()
+        cols = schema.fieldNames()
         parts = []
         if old_version is not None:
-            compacted = self._read_parquet(
-                self.compacted_path, T.StructType([*self.state_schema().fields, T.StructField(VERSION, T.LongType())])
-            )
-            parts.append(compacted.where(F.col(VERSION) == old_version).select(*cols))
+            parts.append(self._compacted(schema, old_version).select(*cols))
         in_snapshot = reduce(
             lambda acc, kv: acc | ((F.col(SOURCE) == kv[0]) & (F.col(BATCH) <= kv[1])), snapshot.items(), F.lit(False)
         )

@@ -6,9 +6,10 @@ Layout::
 
 ``yyyymm`` gives partition pruning for time ranges; ``(source_id, batch_id)`` makes every write a
 unit that a retry replaces (dynamic partition overwrite) instead of appending twice.  Within a write,
-rows are range-partitioned on ``(yyyymm, id, ts)`` and sorted by ``(id, ts)``, so each file covers a
-narrow id range of one month and Parquet min/max statistics skip files for id and time predicates.
-Range partitioning on the time as well splits a single hot id across many tasks.
+rows are rebalanced by month (``REBALANCE`` hint: AQE splits an oversized month — e.g. one holding a
+hot id — into several tasks of the advisory size and coalesces small ones) and sorted by
+``(id, ts)``, so a month is a few large files whose row groups cover narrow id/time ranges: Parquet
+min/max statistics skip row groups for id and time predicates.  One pass over the input, no sampling.
 """
 
 from __future__ import annotations
@@ -44,13 +45,10 @@ def write_facts(
     root: str,
     source_id: str,
     batch_id: int,
-    partitions: int | None = None,
     max_records_per_file: int = 5_000_000,
 ) -> None:
     """Write one batch of facts; rewriting the same ``(source_id, batch_id)`` replaces it."""
-    out = conform(df, table).withColumn(MONTH, yyyymm(table.ts))
-    cluster = [F.col(MONTH), F.col(table.id), F.col(table.ts)]
-    out = out.repartitionByRange(partitions, *cluster) if partitions else out.repartitionByRange(*cluster)
+    out = conform(df, table).withColumn(MONTH, yyyymm(table.ts)).hint("rebalance", MONTH)
     (
         out.sortWithinPartitions(table.id, table.ts)
         .withColumn(SOURCE, F.lit(source_id))
