@@ -8,7 +8,8 @@ so the job is a rank selection:
 * **ordinary groups** (at most ``hot_rows`` rows): one shuffle on the group keys, a window
   ``row_number`` per measure ordered by value, and an aggregation that keeps the values at the wanted
   ranks.  Every window partition is one group, bounded by ``hot_rows``.
-* **hot groups** (more rows than ``hot_rows``; their number is at most rows / ``hot_rows``): rows are
+* **hot groups** (far more rows than ``hot_rows``, found from a sample; their number is at most about
+  2·rows / ``hot_rows``): rows are
   range-partitioned on ``(keys, value)`` so one group spreads over many tasks; per-partition row counts
   give each partition's rank offset; only the partitions holding a wanted rank are ranked locally.
   No task ever holds more than one range partition of a group.
@@ -32,6 +33,8 @@ from rollstate.session import checkpoint_dir
 HOT_GROUP_ROWS = 1_000_000
 # Target rows per range partition on that path (keys + one double per row).
 PARTITION_ROWS = 4_000_000
+# Expected sampled rows of a group with exactly ``hot_rows`` rows (sets the sampling fraction).
+SAMPLE_PER_HOT_GROUP = 2_000
 
 QSpec = tuple[str, str, tuple[float, ...]]  # (output column, input column, levels)
 Named = tuple[str, Column]  # (output column, aggregate expression)
@@ -55,12 +58,11 @@ def _by_window(df: DataFrame, keys: Sequence[str], specs: Sequence[QSpec], other
     aggregates run in the same aggregation, which reuses the window's partitioning (one shuffle)."""
     inputs = list(dict.fromkeys(c for _, c, _ in specs))
     wk = Window.partitionBy(*keys)
-    ranked = df
+    # All per-measure counts share one window (one operator); each rank needs its own ordering.
+    ranked = df.select("*", *[F.count(F.col(c).cast("double")).over(wk).alias(f"_n{i}") for i, c in enumerate(inputs)])
     for i, c in enumerate(inputs):
         x = F.col(c).cast("double")
-        ranked = ranked.withColumn(f"_n{i}", F.count(x).over(wk)).withColumn(
-            f"_r{i}", F.when(x.isNotNull(), F.row_number().over(wk.orderBy(x.asc_nulls_last())) - 1)
-        )
+        ranked = ranked.withColumn(f"_r{i}", F.when(x.isNotNull(), F.row_number().over(wk.orderBy(x.asc_nulls_last())) - 1))
     picks = []
     for i, c in enumerate(inputs):
         x, r, n = F.col(c).cast("double"), F.col(f"_r{i}"), F.col(f"_n{i}")
@@ -168,6 +170,29 @@ def _by_range(
     return out.select(*keys, *[n for n, _ in others], *[name for name, _, _ in specs])
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, seed: int = 17) -> tuple[DataFrame | None, int]:
+    """Groups likely above ``hot_rows`` rows, from a seeded sample, and their estimated total rows.
+
+    A group of ``hot_rows`` rows contributes about ``SAMPLE_PER_HOT_GROUP`` sampled rows; a group is
+    flagged at half that.  Routing only decides which exact path a group takes, so a near-threshold
+    group may go either way without changing any result; a group far above the bound is flagged
+    with overwhelming probability.  The flagged keys are checkpointed so every later use agrees.
+    """
+    fraction = min(1.0, SAMPLE_PER_HOT_GROUP / max(1, hot_rows))
+    sample = df.select(*keys) if fraction >= 1.0 else df.select(*keys).sample(False, fraction, seed)
+    cutoff = hot_rows if fraction >= 1.0 else SAMPLE_PER_HOT_GROUP / 2
+    flagged = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s")).where(F.col("_s") > cutoff)
+    n, sampled = flagged.agg(F.count(F.lit(1)), F.sum("_s")).first()
+    if not n:
+        return None, 0
+    checkpoint_dir(df.sparkSession)
+    fixed = flagged.checkpoint(eager=True)
+    n, sampled = fixed.agg(F.count(F.lit(1)), F.sum("_s")).first()
+    if not n:
+        return None, 0
+    return fixed.select(*keys), int(sampled / fraction)
+
+
 def exact(
     df: DataFrame,
     keys: Sequence[str],
@@ -179,16 +204,14 @@ def exact(
     """Per group: ``keys…``, the named aggregates ``others…``, then one ``array<double>`` column per
     quantile spec (NULL when the group has no values).
 
-    ``df`` must carry the key columns.  One small counting job (keys only) finds groups with more than
+    ``df`` must carry the key columns.  A sampled pass (keys only) finds groups far above
     ``hot_rows`` rows; when there are none, only the window path runs.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows)
-    n_hot, hot_total = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
-    if not n_hot:
+    hot, hot_total = hot_groups(df, keys, hot_rows)
+    if hot is None:
         return _by_window(df, keys, specs, others)
-    renamed = hot.select(*keys).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    renamed = hot.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     cold = join_small(df, renamed, _on_renamed(keys), "left_anti")
     hot_df = join_small(df, renamed, _on_renamed(keys), "left_semi")
     return _by_window(cold, keys, specs, others).unionByName(_by_range(hot_df, keys, specs, others, partition_rows, hot_total))

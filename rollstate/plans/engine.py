@@ -15,13 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollstate.operators import rollups
+from rollstate.operators.dims import join_small
 from rollstate.plans.state_store import StateStore
 from rollstate.sources import store
 from rollstate.spec import Spec, load_spec
 
-BACKFILL = "backfill"
-
-
 class Engine:
     def __init__(self, spark: SparkSession, spec: Spec | Mapping, root: str):
         self.spark = spark
@@ -63,17 +61,25 @@ class Engine:
         return self.states(rollup).view()
 
     # ------------------------------------------------------------------ writes
-    def ingest(self, df: DataFrame, table: str, source_id: str, batch_id: int, write_facts: bool = True) -> None:
-        """Store one batch of rows: facts, then the partial states of every rollup of the table."""
+    def ingest(
+        self, df: DataFrame, table: str, source_id: str, batch_id: int, write_facts: bool = True, cache: bool = True
+    ) -> None:
+        """Store one batch of rows: facts, then the partial states of every rollup of the table.
+
+        The batch is read once per output (facts, each rollup); with ``cache`` it is kept in executor
+        memory/disk for that time.  Pass ``cache=False`` when ``df`` is already cached."""
         t = self.spec.table(table)
-        rows = store.conform(df, t).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = store.conform(df, t)
+        if cache:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if write_facts:
                 store.write_facts(rows, t, self.facts_path(table), source_id, batch_id)
             for at in self.spec.rollups_of(table):
                 self.states(at.name).write_batch(rollups.partial(rows, at), source_id, batch_id)
         finally:
-            rows.unpersist()
+            if cache:
+                rows.unpersist()
 
     def compact(self, rollup: str) -> int:
         return self.states(rollup).compact()
@@ -88,6 +94,6 @@ class Engine:
         st = self.states(rollup)
         at = st.at
         facts = store.scan(self.spark, at.table, self.facts_path(at.table.name), with_partitions=True)
-        done = st.covered_batches()
-        todo = facts.join(done, [store.SOURCE, store.BATCH], "left_anti")
+        done = st.covered_batches()  # one row per stored batch
+        todo = join_small(facts, done, [store.SOURCE, store.BATCH], "left_anti")
         st.write_batches(rollups.partial(todo, at, extra_keys=(store.SOURCE, store.BATCH)))

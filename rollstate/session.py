@@ -22,6 +22,10 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A long-running driver (streams, many small batch jobs) keeps only recent job history.
+    "spark.sql.ui.retainedExecutions": "100",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 

@@ -36,7 +36,7 @@ def ingest_batch_fn(engine: Engine, table: str, source_id: str, max_bad: int | N
         decoded = codec.decode(batch, t).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             codec.check_rejects(decoded, max_bad)
-            engine.ingest(codec.good(decoded, t), table, source_id, batch_id)
+            engine.ingest(codec.good(decoded, t), table, source_id, batch_id, cache=False)
             if rejects_path:
                 (
                     codec.rejects(decoded)
