@@ -25,14 +25,17 @@ class Engine:
         self.spark = spark
         self.spec = spec if isinstance(spec, Spec) else load_spec(spec)
         self.root = root.rstrip("/")
+        self._stores: dict[str, StateStore] = {}
 
     # ------------------------------------------------------------------ locations
     def facts_path(self, table: str) -> str:
         return f"{self.root}/facts/{self.spec.table(table).name}"
 
     def states(self, rollup: str) -> StateStore:
-        at = self.spec.rollup(rollup)
-        return StateStore(self.spark, at, f"{self.root}/states/{at.name}")
+        if rollup not in self._stores:
+            at = self.spec.rollup(rollup)
+            self._stores[rollup] = StateStore(self.spark, at, f"{self.root}/states/{at.name}")
+        return self._stores[rollup]
 
     # ------------------------------------------------------------------ setup and reads
     def setup(self) -> list[str]:

@@ -38,6 +38,7 @@ class StateStore:
         self.spark = spark
         self.at = at
         self.root = root.rstrip("/")
+        self._schema: T.StructType | None = None
 
     # ------------------------------------------------------------------ paths and schema
     @property
@@ -53,9 +54,11 @@ class StateStore:
         return f"{self.root}/manifest"
 
     def state_schema(self) -> T.StructType:
-        """Schema of ``partial``'s output, derived from an empty frame of the fact schema."""
-        empty = self.spark.createDataFrame([], self.at.table.schema)
-        return rollups.partial(empty, self.at).schema
+        """Schema of ``partial``'s output, derived once from an empty frame of the fact schema."""
+        if self._schema is None:
+            empty = self.spark.createDataFrame([], self.at.table.schema)
+            self._schema = rollups.partial(empty, self.at).schema
+        return self._schema
 
     # ------------------------------------------------------------------ writes
     def write_batch(self, states: DataFrame, source_id: str, batch_id: int) -> None:
