@@ -58,11 +58,14 @@ def _by_window(df: DataFrame, keys: Sequence[str], specs: Sequence[QSpec], other
     aggregates run in the same aggregation, which reuses the window's partitioning (one shuffle)."""
     inputs = list(dict.fromkeys(c for _, c, _ in specs))
     wk = Window.partitionBy(*keys)
-    # All per-measure counts share one window (one operator); each rank needs its own ordering.
-    ranked = df.select("*", *[F.count(F.col(c).cast("double")).over(wk).alias(f"_n{i}") for i, c in enumerate(inputs)])
+    # One projection: the per-measure counts share one window operator; each rank needs its own
+    # ordering (Catalyst groups window expressions by specification).
+    counts = [F.count(F.col(c).cast("double")).over(wk).alias(f"_n{i}") for i, c in enumerate(inputs)]
+    ranks = []
     for i, c in enumerate(inputs):
         x = F.col(c).cast("double")
-        ranked = ranked.withColumn(f"_r{i}", F.when(x.isNotNull(), F.row_number().over(wk.orderBy(x.asc_nulls_last())) - 1))
+        ranks.append(F.when(x.isNotNull(), F.row_number().over(wk.orderBy(x.asc_nulls_last())) - 1).alias(f"_r{i}"))
+    ranked = df.select("*", *counts, *ranks)
     picks = []
     for i, c in enumerate(inputs):
         x, r, n = F.col(c).cast("double"), F.col(f"_r{i}"), F.col(f"_n{i}")
