@@ -29,7 +29,19 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
     return r.load(path)
 
 
-def ingest_batch_fn(engine: Engine, table: str, source_id: str, max_bad: int | None, rejects_path: str | None):
+def ingest_batch_fn(
+    engine: Engine,
+    table: str,
+    source_id: str,
+    max_bad: int | None,
+    rejects_path: str | None,
+    compact_every: int | None = None,
+):
+    """The per-micro-batch function: decode, check rejects, store facts and states, and every
+    ``compact_every`` batches fold the table's rollup states into a new compacted version.
+
+    A retried batch is safe after a compaction: its states are then at or below the manifest's
+    watermark and ignored by readers, and the compaction itself finds nothing new."""
     t = engine.spec.table(table)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -37,6 +49,9 @@ def ingest_batch_fn(engine: Engine, table: str, source_id: str, max_bad: int | N
         try:
             codec.check_rejects(decoded, max_bad)
             engine.ingest(codec.good(decoded, t), table, source_id, batch_id, cache=False)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                for at in engine.spec.rollups_of(table):
+                    engine.compact(at.name)
             if rejects_path:
                 (
                     codec.rejects(decoded)
@@ -62,17 +77,19 @@ def start(
     rejects_path: str | None = None,
     trigger: dict | None = None,
     source_id: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start continuous ingestion of ``messages`` (a streaming frame with a ``value`` column).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}`` or
     ``{"processingTime": "5 seconds"}``).  The ``source_id`` defaults to one stored next to the
-    checkpoint, created on first start.
+    checkpoint, created on first start.  ``compact_every`` compacts the rollup states every that many
+    micro-batches.
     """
     sid = source_id or stable_source_id(engine.spark, checkpoint.rstrip("/") + "_source_id")
     w = (
         messages.select("value")
-        .writeStream.foreachBatch(ingest_batch_fn(engine, table, sid, max_bad, rejects_path))
+        .writeStream.foreachBatch(ingest_batch_fn(engine, table, sid, max_bad, rejects_path, compact_every))
         .option("checkpointLocation", checkpoint)
         .queryName(f"ingest_{table}_{sid[:8]}")
     )

@@ -118,3 +118,19 @@ def test_failure_after_writes_then_restart_counts_once(spark, tmp_root):
     start().awaitTermination()
     assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
     assert e.facts("events").count() == _events(spark).count()
+
+
+def test_stream_with_periodic_compaction(spark, tmp_root):
+    e = Engine(spark, SPEC, tmp_root)
+    _messages(_events(spark), f"{tmp_root}/inbox", 5)
+    q = ingest.start(
+        e, "events", ingest.file_messages(spark, f"{tmp_root}/inbox", 1), f"{tmp_root}/ckpt",
+        max_bad=0, trigger={"availableNow": True}, compact_every=2,
+    )
+    q.awaitTermination()
+    st = e.states("events_day")
+    version, manifest = st.snapshot()
+    assert version == 2 and list(manifest.values()) == [3]
+    assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
+    last = e.view("events_last").collect()
+    assert as_set(last) == as_set(rollups.one_pass(_events(spark), SPEC.rollup("events_last")).collect())
