@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rollstate.operators import aggs
 from rollstate.plans.engine import Engine
 from rollstate.plans.state_store import stable_source_id
-from rollstate.sources import codec, store
+from rollstate.sources import codec, kafka, store
 from rollstate.spec import IntervalAggregator, Table
 
 
@@ -98,6 +98,35 @@ def start(
     return w.start()
 
 
+def start_kafka(
+    engine: Engine,
+    bootstrap_servers: str,
+    checkpoint_root: str,
+    max_bad: int | None = None,
+    trigger: dict | None = None,
+    compact_every: int | None = None,
+    **kafka_options: str,
+) -> dict[str, StreamingQuery]:
+    """One ingest stream per table that names a topic; tables without a topic are batch-only and
+    get no stream.  Each stream keeps its own checkpoint (and source id) below ``checkpoint_root``."""
+    queries = {}
+    for t in engine.spec.tables:
+        if not t.streamed:
+            continue
+        messages = kafka.read_stream(engine.spark, bootstrap_servers, t.kafka_topic, **kafka_options)
+        queries[t.name] = start(
+            engine,
+            t.name,
+            messages,
+            f"{checkpoint_root.rstrip('/')}/{t.name}",
+            max_bad=max_bad,
+            rejects_path=f"{engine.root}/rejects/{t.name}",
+            trigger=trigger,
+            compact_every=compact_every,
+        )
+    return queries
+
+
 def windowed_rollup(
     decoded: DataFrame, table: Table, agg: IntervalAggregator, size: str = "1 day", watermark: str | None = None
 ) -> DataFrame:

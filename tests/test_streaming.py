@@ -134,3 +134,9 @@ def test_stream_with_periodic_compaction(spark, tmp_root):
     assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
     last = e.view("events_last").collect()
     assert as_set(last) == as_set(rollups.one_pass(_events(spark), SPEC.rollup("events_last")).collect())
+
+
+def test_batch_only_tables_get_no_stream(spark, tmp_root):
+    spec = {"tables": [catalog.LINEITEM_TABLE], "analytical_tables": []}  # kafka_topic: null
+    e = Engine(spark, spec, tmp_root)
+    assert ingest.start_kafka(e, "broker:9092", f"{tmp_root}/ckpt") == {}
