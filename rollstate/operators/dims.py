@@ -37,11 +37,12 @@ def _row_bytes(schema: T.StructType) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes (measured, not estimated).
 
-    Reads at most ``max_rows + 1`` rows (a LIMIT), so the check stays cheap when the frame is large.
+    One aggregation (row count and summed row bytes) with map-side partial aggregation: no rows
+    move, only one partial row per task, whatever the size of ``df``.
     """
-    n, size = df.limit(max_rows + 1).select(F.count(F.lit(1)), F.sum(_row_bytes(df.schema))).first()
+    n, size = df.select(F.count(F.lit(1)), F.sum(_row_bytes(df.schema))).first()
     return n <= max_rows and (size or 0) <= max_bytes
 
 

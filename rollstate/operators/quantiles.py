@@ -124,6 +124,7 @@ def _hot_one(
             F.col("_t.side").alias("side"),
             (F.col("_t.rank") - F.col("_off")).alias("_lr"),
         )
+        .checkpoint(eager=True)  # small (2 rows per group and level); reused by size checks and joins
     )
     needed = targets.select(*keys, "_pid").distinct()
     slices = join_small(ranged, needed.withColumnsRenamed({k: f"_k_{k}" for k in [*keys, "_pid"]}), _on_renamed(keys, "_pid"), "left_semi")
