@@ -175,13 +175,13 @@ def engine(spark: SparkSession, spec: dict, label: str) -> Engine:
 def scan_all(spark, sf_dir):
     """Whole-table scan with the declared schema, spec columns only."""
     t = load_spec(EVENTS_SPEC).table("events")
-    return store.conform(read(spark, sf_dir, "events"), t)
+    return store.read_declared(spark, t, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def filter_id(spark, sf_dir):
     """Equality filter on the id, pushed into the Parquet scan."""
     t = load_spec(EVENTS_SPEC).table("events")
-    return store.for_id(store.conform(read(spark, sf_dir, "events"), t), t, 1)
+    return store.for_id(store.read_declared(spark, t, f"{sf_dir.rstrip('/')}/events.parquet"), t, 1)
 
 
 def time_range_pruned(spark, sf_dir):
@@ -207,7 +207,7 @@ def last_value_enriched(spark, sf_dir):
     """The last-value view (persisted states, merged on read) × dimension."""
     e = engine(spark, EVENTS_LAST_SPEC, "last-enriched")
     e.ingest(read(spark, sf_dir, "events"), "events", "load", 0, write_facts=False)
-    return dims.enrich(e.view("events_last"), read(spark, sf_dir, "customer"), "user_id", "c_custkey")
+    return e.enriched_view("events_last", read(spark, sf_dir, "customer"), "c_custkey")
 
 
 # ------------------------------------------------------------------------------------ aggregations

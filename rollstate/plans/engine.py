@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollstate.operators import rollups
+from rollstate.operators.dims import enrich as join_small_on
 from rollstate.operators.dims import join_small
 from rollstate.plans.state_store import StateStore
 from rollstate.sources import store
@@ -63,6 +64,10 @@ class Engine:
         """Merge-on-read view of a rollup: compacted states plus every newer batch."""
         return self.states(rollup).view()
 
+    def enriched_view(self, rollup: str, dim: DataFrame, dim_key: str, how: str = "inner") -> DataFrame:
+        """A rollup view joined with a dimension on the rollup's id (size-checked broadcast)."""
+        return join_small_on(self.view(rollup), dim, self.spec.rollup(rollup).table.id, dim_key, how)
+
     # ------------------------------------------------------------------ writes
     def ingest(
         self, df: DataFrame, table: str, source_id: str, batch_id: int, write_facts: bool = True, cache: bool = True

@@ -39,6 +39,17 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
     return df.select(*[F.col(c.name).cast(c.dtype).alias(c.name) for c in table.all_columns])
 
 
+def read_declared(spark: SparkSession, table: Table, path: str) -> DataFrame:
+    """Read any Parquet data holding the table's columns with the declared schema (never inferred);
+    the reader prunes to exactly those columns."""
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def literal_rows(spark: SparkSession, table: Table, rows: list[tuple]) -> DataFrame:
+    """Inline rows (id, ts, measures… in declared order) as a DataFrame of the declared schema."""
+    return spark.createDataFrame(rows, table.schema)
+
+
 def write_facts(
     df: DataFrame,
     table: Table,

@@ -122,3 +122,18 @@ def test_time_range_prunes_months(spark, tmp_root):
     # id filter reaches the scan
     idp = store.for_id(facts, t, 5)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_suppkey,5)" in idp
+
+
+def test_literal_rows_and_enriched_view(spark, tmp_root):
+    import datetime as dt
+
+    from rollstate.sources import store
+
+    t = SPEC.table("events")
+    rows = store.literal_rows(spark, t, [(1, dt.datetime(2024, 1, 1, 5), 2.5), (2, dt.datetime(2024, 1, 1, 6), 3.5)])
+    assert rows.schema == t.schema
+    e = Engine(spark, SPEC, tmp_root)
+    e.ingest(rows, "events", "lit", 0)
+    dim = spark.createDataFrame([(1, "Tønsberg", 59.27, 10.41)], "id long, station_name string, lat double, lon double")
+    got = e.enriched_view("events_last", dim, "id").collect()
+    assert [(r.user_id, r.value, r.station_name) for r in got] == [(1, 2.5, "Tønsberg")]
