@@ -161,6 +161,21 @@ def oracle_sql() -> dict[str, str]:
         ),
         "spec_rollup": _rollup_sql("lineitem", "l_suppkey", li_day, "day", li_weather),
         "backfill_then_stream": EVENTS_DAY_ALL,
+        "day_view_for_id": _rollup_sql(
+            "(SELECT * FROM events WHERE user_id = 1)", "user_id", DAY_OF.format(ts="ts"), "day", _no_q(_full("value"))
+        ),
+        "setup_views_sql": (
+            f"WITH d AS ({EVENTS_DAY_ALL}), f AS (SELECT user_id, count(*) AS n_facts FROM events GROUP BY user_id) "
+            'SELECT d.user_id, d.day, d.value_count, d.value_avg, d."value_stddevSamp", f.n_facts '
+            "FROM d JOIN f ON d.user_id = f.user_id"
+        ),
+        "spec_persisted_rollup": _rollup_sql(
+            "lineitem",
+            "l_suppkey",
+            li_day,
+            "day",
+            [c for m in LI_MEASURES for c in _full(m, "quantile_disc") if c.endswith((f"{m}_avg", "_p10", "_p50", "_p90"))],
+        ),
         "map_ready": (
             f"WITH last AS ({last_events}), "
             "st AS (SELECT c_custkey AS id, c_name AS station_name, "

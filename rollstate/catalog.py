@@ -307,6 +307,43 @@ def compacted_rollup(spark, sf_dir):
     return comparable(_no_quantiles(e.view("events_day")), ["user_id", "day"])
 
 
+def day_view_for_id(spark, sf_dir):
+    """P3 on a rollup view: the merged day view filtered to one id; the filter on the grouping key
+    is pushed below the merge into the state-file scan."""
+    e = engine(spark, EVENTS_DAY_SPEC, "view-id")
+    ev = read(spark, sf_dir, "events")
+    _ingest_split(e, ev, "events", split_batches(ev, ["event_id"], 2))
+    t = e.spec.table("events")
+    return comparable(_no_quantiles(store.for_id(e.view("events_day"), t, 1)), ["user_id", "day"])
+
+
+def setup_views_sql(spark, sf_dir):
+    """``Engine.setup`` registers the fact table and rollups as create-or-replace views,
+    queried with SQL."""
+    obs = {**EVENTS_TABLE, "name": "obs"}
+    spec = {"tables": [obs], "analytical_tables": [{"table": "obs", "aggregator": {**DAY, "aggregations": FULL_AGGS}}]}
+    e = engine(spark, spec, "setup-sql")
+    e.ingest(read(spark, sf_dir, "events"), "obs", "load", 0)
+    e.setup()
+    e.setup()  # idempotent
+    return spark.sql(
+        "SELECT d.user_id, d.day, d.value_count, round(d.value_avg, 6) AS value_avg, "
+        "round(d.value_stddevSamp, 6) AS value_stddevSamp, f.n_facts "
+        "FROM obs_day d JOIN (SELECT user_id, count(*) AS n_facts FROM obs GROUP BY user_id) f "
+        "ON d.user_id = f.user_id"
+    )
+
+
+def spec_persisted_rollup(spark, sf_dir):
+    """The production-shaped spec (avg + quantiles of four measures per day) kept as
+    persisted states over two batches, merged on read (quantiles from KLL sketches)."""
+    e = engine(spark, LINEITEM_WEATHER_SPEC, "spec-persisted")
+    li = read(spark, sf_dir, "lineitem")
+    for i, part in enumerate(split_batches(li, ["l_orderkey", "l_linenumber", "l_partkey"], 2)):
+        e.ingest(part, "lineitem", "s", i, write_facts=False)
+    return comparable(e.view("lineitem_day"), ["l_suppkey", "day"])
+
+
 def _write_messages(df: DataFrame, table_spec: dict, path: str, files: int) -> None:
     t = load_spec({"tables": [table_spec]}).tables[0]
     codec.encode(df, t).select("value").repartition(files).write.mode("overwrite").text(path)
@@ -452,6 +489,9 @@ QUERIES = {
     "spec_rollup": spec_rollup,
     "backfill_then_stream": backfill_then_stream,
     "map_ready": map_ready,
+    "day_view_for_id": day_view_for_id,
+    "setup_views_sql": setup_views_sql,
+    "spec_persisted_rollup": spec_persisted_rollup,
 }
 
 
