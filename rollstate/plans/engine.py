@@ -77,13 +77,15 @@ class Engine:
         The batch is read once per output (facts, each rollup); with ``cache`` it is kept in executor
         memory/disk for that time.  Pass ``cache=False`` when ``df`` is already cached."""
         t = self.spec.table(table)
+        rollup_list = self.spec.rollups_of(table)
+        cache = cache and (int(write_facts) + len(rollup_list)) > 1  # only worth it when read twice
         rows = store.conform(df, t)
         if cache:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if write_facts:
                 store.write_facts(rows, t, self.facts_path(table), source_id, batch_id)
-            for at in self.spec.rollups_of(table):
+            for at in rollup_list:
                 self.states(at.name).write_batch(rollups.partial(rows, at), source_id, batch_id)
         finally:
             if cache:
