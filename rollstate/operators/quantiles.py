@@ -93,8 +93,16 @@ def _hot_one(
 ) -> DataFrame:
     """Hot groups, one measure: ``keys, p, q`` rows (one per group and level)."""
     x = rows.select(*keys, F.col(c).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    # Checkpointed so every later use sees the same partition ids (range bounds are sampled).
-    ranged = x.repartitionByRange(partitions, *keys, "_x").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    # A unique tie-breaker in the range key lets many equal values (a stuck sensor) spread over
+    # several partitions; ranks among equal values are interchangeable.  Checkpointed so every later
+    # use sees the same partition ids (range bounds come from a sample).
+    ranged = (
+        x.withColumn("_tb", F.monotonically_increasing_id())
+        .repartitionByRange(partitions, *keys, "_x", "_tb")
+        .withColumn("_pid", F.spark_partition_id())
+        .drop("_tb")
+        .checkpoint(eager=True)
+    )
     counts = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"))
     by_pid = Window.partitionBy(*keys).orderBy("_pid")
     offsets = counts.select(

@@ -200,3 +200,25 @@ def test_scan_reads_only_needed_columns(spark):
     df = rollups.one_pass(events(spark), EVENTS.rollup("events_last"))
     plan = _plan(df)
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+def test_hot_group_of_equal_values_spreads_and_stays_exact(spark):
+    """A hot id whose rows mostly repeat one value (a stuck sensor)."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [(3, base + dt.timedelta(seconds=i), 21.5) for i in range(2500)]
+    rows += [(3, base + dt.timedelta(hours=1, seconds=i), float(i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, value double")
+    spec = {"tables": [catalog.EVENTS_TABLE], "analytical_tables": [
+        {"table": "events", "aggregator": {"type": "interval", "name": "mon", "group_functions": ["toYYYYMM"],
+                                            "aggregations": [{"type": "count"}, {"type": "quantiles", "args_agg": ["0.05", "0.5", "0.95"]}]}}]}
+    at = load_spec(spec).rollup("events_mon")
+    r = rollups.one_pass(df, at, hot_rows=200, partition_rows=300).first()
+    vals = sorted(v for _, _, v in rows)
+
+    def cont(p):
+        h = p * (len(vals) - 1)
+        lo, hi = math.floor(h), math.ceil(h)
+        return vals[lo] + (h - lo) * (vals[hi] - vals[lo])
+
+    assert r.value_count == 3000
+    assert r[3] == pytest.approx([cont(p) for p in (0.05, 0.5, 0.95)], rel=1e-12)
