@@ -91,8 +91,12 @@ class Engine:
             if cache:
                 rows.unpersist()
 
-    def compact(self, rollup: str) -> int:
-        return self.states(rollup).compact()
+    def compact(self, rollup: str, keep_versions: int | None = None) -> int:
+        """Fold live states into a new version; with ``keep_versions``, also vacuum older ones."""
+        version = self.states(rollup).compact()
+        if keep_versions:
+            self.states(rollup).vacuum(keep_versions)
+        return version
 
     def backfill(self, rollup: str) -> None:
         """Build states for facts stored before the rollup existed.

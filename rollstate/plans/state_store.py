@@ -79,15 +79,77 @@ class StateStore:
     def snapshot(self) -> tuple[int | None, dict[str, int]]:
         """Newest manifest version and its watermarks (source_id → highest folded batch_id).
 
-        One small read: the manifest holds one row per source and version."""
-        df = self._read_json(self.manifest_path, "source_id string, max_batch_id long, version long")
-        if df is None:
-            return None, {}
-        rows = df.collect()
-        if not rows:
+        The version comes from the folder names (a listing); only that version's rows are read
+        (one row per source)."""
+        versions = self.versions()
+        if not versions:
             return None, {}
-        version = max(r.version for r in rows)
-        return version, {r.source_id: r.max_batch_id for r in rows if r.version == version}
+        version = versions[-1]
+        rows = self.spark.read.schema("source_id string, max_batch_id long").json(
+            f"{self.manifest_path}/{VERSION}={version}"
+        ).collect()
+        return version, {r.source_id: r.max_batch_id for r in rows}
+
+    def versions(self) -> list[int]:
+        """Committed manifest versions, ascending (a version counts once its manifest job committed)."""
+        fs, path = self._fs(self.manifest_path)
+        if not fs.exists(path):
+            return []
+        out = []
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(f"{VERSION}=") and self._committed(fs, st.getPath()):
+                out.append(int(name.split("=", 1)[1]))
+        return sorted(out)
+
+    @staticmethod
+    def _committed(fs, folder) -> bool:
+        """A job's output folder is committed once its files sit directly in it (``_SUCCESS`` or
+        ``part-*``; uncommitted task output lives under ``_temporary``)."""
+        return any(c.getPath().getName() == "_SUCCESS" or c.getPath().getName().startswith("part-") for c in fs.listStatus(folder))
+
+    def _fs(self, path: str):
+        """Hadoop FileSystem handle for ``path`` (local, HDFS or object store alike)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def vacuum(self, keep_versions: int = 2) -> dict[str, int]:
+        """Delete what no reader of the newest ``keep_versions`` versions can need: older manifest and
+        compacted versions, and batch partitions folded into the oldest kept version.
+
+        Returns counts of deleted folders.  Readers of a version older than the kept ones may fail
+        and retry on the newest; readers of kept versions are unaffected.
+        """
+        versions = self.versions()
+        if len(versions) <= keep_versions:
+            return {"versions": 0, "batches": 0}
+        kept, dropped = versions[-keep_versions:], versions[:-keep_versions]
+        oldest_kept = self.spark.read.schema("source_id string, max_batch_id long").json(
+            f"{self.manifest_path}/{VERSION}={kept[0]}"
+        ).collect()
+        folded = {r.source_id: r.max_batch_id for r in oldest_kept}
+        n_batches = 0
+        fs, batches = self._fs(self.batches_path)
+        if fs.exists(batches):
+            for src in fs.listStatus(batches):
+                name = src.getPath().getName()
+                if not name.startswith(f"{SOURCE}="):
+                    continue
+                limit = folded.get(name.split("=", 1)[1])
+                if limit is None:
+                    continue
+                for b in fs.listStatus(src.getPath()):
+                    bname = b.getPath().getName()
+                    if bname.startswith(f"{BATCH}=") and int(bname.split("=", 1)[1]) <= limit:
+                        fs.delete(b.getPath(), True)
+                        n_batches += 1
+        for v in dropped:  # manifest first: a version without manifest is invisible to readers
+            for root in (self.manifest_path, self.compacted_path):
+                vfs, vpath = self._fs(f"{root}/{VERSION}={v}")
+                if vfs.exists(vpath):
+                    vfs.delete(vpath, True)
+        return {"versions": len(dropped), "batches": n_batches}
 
     def manifest(self) -> dict[str, int]:
         return self.snapshot()[1]

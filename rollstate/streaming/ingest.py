@@ -36,9 +36,11 @@ def ingest_batch_fn(
     max_bad: int | None,
     rejects_path: str | None,
     compact_every: int | None = None,
+    keep_versions: int = 2,
 ):
     """The per-micro-batch function: decode, check rejects, store facts and states, and every
-    ``compact_every`` batches fold the table's rollup states into a new compacted version.
+    ``compact_every`` batches fold the table's rollup states into a new compacted version and vacuum
+    all but the newest ``keep_versions``.
 
     A retried batch is safe after a compaction: its states are then at or below the manifest's
     watermark and ignored by readers, and the compaction itself finds nothing new."""
@@ -51,7 +53,7 @@ def ingest_batch_fn(
             engine.ingest(codec.good(decoded, t), table, source_id, batch_id, cache=False)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 for at in engine.spec.rollups_of(table):
-                    engine.compact(at.name)
+                    engine.compact(at.name, keep_versions=keep_versions)
             if rejects_path:
                 (
                     codec.rejects(decoded)

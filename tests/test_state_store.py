@@ -137,3 +137,20 @@ def test_literal_rows_and_enriched_view(spark, tmp_root):
     dim = spark.createDataFrame([(1, "Tønsberg", 59.27, 10.41)], "id long, station_name string, lat double, lon double")
     got = e.enriched_view("events_last", dim, "id").collect()
     assert [(r.user_id, r.value, r.station_name) for r in got] == [(1, 2.5, "Tønsberg")]
+
+
+def test_vacuum_keeps_results_and_drops_folded_files(spark, tmp_root):
+    e = Engine(spark, SPEC, tmp_root)
+    parts = catalog.split_batches(_events(spark), ["event_id"], 6)
+    for i, p in enumerate(parts):
+        e.ingest(p, "events", "s", i, write_facts=False)
+        if i % 2 == 1:
+            e.compact("events_day")
+    st = e.states("events_day")
+    assert st.versions() == [1, 2, 3]
+    before = as_set(_no_q(e.view("events_day")).collect(), 9)
+    assert st.vacuum(keep_versions=2) == {"versions": 1, "batches": 4}  # batches 0-3 folded into version 2
+    assert st.versions() == [2, 3]
+    assert as_set(_no_q(e.view("events_day")).collect(), 9) == before == as_set(_one_pass(spark), 9)
+    assert {tuple(r) for r in st.covered_batches().collect()} == {("s", 4), ("s", 5)}
+    assert st.vacuum(keep_versions=2) == {"versions": 0, "batches": 0}
