@@ -70,16 +70,27 @@ class Engine:
 
     # ------------------------------------------------------------------ writes
     def ingest(
-        self, df: DataFrame, table: str, source_id: str, batch_id: int, write_facts: bool = True, cache: bool = True
+        self,
+        df: DataFrame,
+        table: str,
+        source_id: str,
+        batch_id: int,
+        write_facts: bool = True,
+        cache: bool = True,
+        dedup: bool = False,
     ) -> None:
         """Store one batch of rows: facts, then the partial states of every rollup of the table.
 
         The batch is read once per output (facts, each rollup); with ``cache`` it is kept in executor
-        memory/disk for that time.  Pass ``cache=False`` when ``df`` is already cached."""
+        memory/disk for that time.  Pass ``cache=False`` when ``df`` is already cached.  ``dedup``
+        drops repeated ``(id, ts)`` rows within the batch (opt-in; counts otherwise include
+        duplicate deliveries, as the stream delivered them)."""
         t = self.spec.table(table)
         rollup_list = self.spec.rollups_of(table)
         cache = cache and (int(write_facts) + len(rollup_list)) > 1  # only worth it when read twice
         rows = store.conform(df, t)
+        if dedup:
+            rows = rows.dropDuplicates([t.id, t.ts])
         if cache:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:

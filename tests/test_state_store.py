@@ -154,3 +154,14 @@ def test_vacuum_keeps_results_and_drops_folded_files(spark, tmp_root):
     assert as_set(_no_q(e.view("events_day")).collect(), 9) == before == as_set(_one_pass(spark), 9)
     assert {tuple(r) for r in st.covered_batches().collect()} == {("s", 4), ("s", 5)}
     assert st.vacuum(keep_versions=2) == {"versions": 0, "batches": 0}
+
+
+def test_ingest_dedup_is_opt_in(spark, tmp_root):
+    ev = _events(spark)
+    doubled = ev.unionByName(ev)
+    e = Engine(spark, catalog.EVENTS_DAY_SPEC, tmp_root)
+    e.ingest(doubled, "events", "twice", 0, dedup=True)
+    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    e2 = Engine(spark, catalog.EVENTS_DAY_SPEC, f"{tmp_root}/raw")
+    e2.ingest(doubled, "events", "twice", 0)
+    assert e2.view("events_day").agg(F.sum("value_count")).first()[0] == 2 * ev.count()
