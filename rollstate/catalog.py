@@ -258,7 +258,8 @@ def spec_rollup(spark, sf_dir):
 # -------------------------------------------------------------------------------- persisted states
 
 
-def _ingest_split(e: Engine, df: DataFrame, table: str, parts: list[DataFrame], source: str = "s") -> None:
+def _ingest_split(e: Engine, table: str, parts: list[DataFrame], source: str = "s") -> None:
+    """Ingest each part as its own batch (states only)."""
     for i, p in enumerate(parts):
         e.ingest(p, table, source, i, write_facts=False)
 
@@ -275,7 +276,7 @@ def incremental_rollup(spark, sf_dir):
     """A12/A13/ST2: four batches aggregated into states, merged on read."""
     e = engine(spark, EVENTS_DAY_SPEC, "incremental")
     ev = read(spark, sf_dir, "events")
-    _ingest_split(e, ev, "events", split_batches(ev, ["event_id"], 4))
+    _ingest_split(e, "events", split_batches(ev, ["event_id"], 4))
     return comparable(_no_quantiles(e.view("events_day")), ["user_id", "day"])
 
 
@@ -283,7 +284,7 @@ def incremental_quantiles(spark, sf_dir):
     """A3 persisted: KLL sketches per batch, merged on read."""
     e = engine(spark, EVENTS_DAY_SPEC, "incremental-q")
     ev = read(spark, sf_dir, "events")
-    _ingest_split(e, ev, "events", split_batches(ev, ["event_id"], 4))
+    _ingest_split(e, "events", split_batches(ev, ["event_id"], 4))
     return comparable(_only_quantiles(e.view("events_day"), ["user_id", "day"]), ["user_id", "day"])
 
 
@@ -291,7 +292,7 @@ def incremental_last(spark, sf_dir):
     """A12/A13/ST4: batches arrive newest first; older rows never displace the last value."""
     e = engine(spark, EVENTS_LAST_SPEC, "incremental-last")
     ev = read(spark, sf_dir, "events")
-    _ingest_split(e, ev, "events", list(reversed(time_cuts(ev, "ts", 4))))
+    _ingest_split(e, "events", list(reversed(time_cuts(ev, "ts", 4))))
     return e.view("events_last")
 
 
@@ -313,7 +314,7 @@ def day_view_for_id(spark, sf_dir):
     is pushed below the merge into the state-file scan."""
     e = engine(spark, EVENTS_DAY_SPEC, "view-id")
     ev = read(spark, sf_dir, "events")
-    _ingest_split(e, ev, "events", split_batches(ev, ["event_id"], 2))
+    _ingest_split(e, "events", split_batches(ev, ["event_id"], 2))
     t = e.spec.table("events")
     return comparable(_no_quantiles(store.for_id(e.view("events_day"), t, 1)), ["user_id", "day"])
 
