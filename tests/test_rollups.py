@@ -222,3 +222,22 @@ def test_hot_group_of_equal_values_spreads_and_stays_exact(spark):
 
     assert r.value_count == 3000
     assert r[3] == pytest.approx([cont(p) for p in (0.05, 0.5, 0.95)], rel=1e-12)
+
+
+def test_notebook_day_fixture_counts_the_time_column(spark, duck):
+    """count of the time column, avg, quantiles 0.1/0.9 and stddevSamp of the measure per day."""
+    spec = {"tables": [catalog.EVENTS_TABLE], "analytical_tables": [
+        {"table": "events", "aggregator": {"type": "interval", "name": "day", "group_functions": ["toDate", "toStartOfDay"],
+                                            "aggregations": [{"type": "count", "columns": ["ts"]}, {"type": "avg"},
+                                                             {"type": "quantiles", "args_agg": ["0.1", "0.9"]},
+                                                             {"type": "stddevSamp"}]}}]}
+    at = load_spec(spec).rollup("events_day")
+    df = rollups.one_pass(events(spark), at)
+    assert df.columns == ["user_id", "day", "value_avg", "value_quantiles_01_09", "value_stddevSamp", "ts_count"]
+    want = duck.sql(
+        "SELECT user_id, CAST(date_trunc('day', ts) AS DATE), avg(value), quantile_cont(value, [0.1, 0.9]),"
+        " stddev_samp(value), count(ts) FROM events GROUP BY 1, 2").fetchall()
+    assert as_set(df.collect()) == as_set(want)
+    states = rollups.partial(events(spark), at)
+    merged = rollups.view(states.unionByName(rollups.partial(events(spark).limit(0), at)), at)
+    assert merged.select("ts_count").groupBy().sum().first()[0] == events(spark).count()
