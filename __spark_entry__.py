@@ -176,6 +176,9 @@ def oracle_sql() -> dict[str, str]:
             "day",
             [c for m in LI_MEASURES for c in _full(m, "quantile_disc") if c.endswith((f"{m}_avg", "_p10", "_p50", "_p90"))],
         ),
+        "stream_native_window": _rollup_sql(
+            "events", "user_id", DAY_OF.format(ts="ts"), "day", _full("value", "quantile_disc")
+        ),
         "map_ready": (
             f"WITH last AS ({last_events}), "
             "st AS (SELECT c_custkey AS id, c_name AS station_name, "

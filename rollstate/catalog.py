@@ -363,6 +363,23 @@ def stream_ingest_rollup(spark, sf_dir):
     return comparable(_no_quantiles(e.view("events_day")), ["user_id", "day"])
 
 
+def stream_native_window(spark, sf_dir):
+    """ST3 native form: JSON messages streamed into tumbling one-day windows per id held in Spark's
+    streaming state (update mode, quantiles as KLL sketches); each micro-batch's updated groups are
+    written out and the newest row per group is the result."""
+    root = scratch_dir(spark, "native-window")
+    spec = load_spec(EVENTS_SPEC)
+    t, agg = spec.table("events"), spec.rollup("events_day").aggregator
+    _write_messages(read(spark, sf_dir, "events"), EVENTS_TABLE, f"{root}/inbox", 4)
+    decoded = codec.good(codec.decode(ingest.file_messages(spark, f"{root}/inbox", 1), t), t)
+    q = ingest.start_windowed(
+        decoded, t, agg, f"{root}/updates", f"{root}/checkpoint", "1 day", watermark="3650 days",
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    return comparable(ingest.latest_windows(spark, f"{root}/updates", ["user_id", "day"]), ["user_id", "day"])
+
+
 def backfill_then_stream(spark, sf_dir):
     """ST5: facts stored before the rollup exists are backfilled; the rest arrives by stream."""
     root = scratch_dir(spark, "backfill")
@@ -494,6 +511,7 @@ QUERIES = {
     "day_view_for_id": day_view_for_id,
     "setup_views_sql": setup_views_sql,
     "spec_persisted_rollup": spec_persisted_rollup,
+    "stream_native_window": stream_native_window,
 }
 
 

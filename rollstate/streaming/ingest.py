@@ -159,5 +159,47 @@ def windowed_rollup(
     )
 
 
+def start_windowed(
+    decoded: DataFrame,
+    table: Table,
+    agg: IntervalAggregator,
+    path: str,
+    checkpoint: str,
+    size: str = "1 day",
+    watermark: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Run ``windowed_rollup`` in update mode; every micro-batch's updated groups are written to
+    ``path`` under their batch id (a retried batch replaces its own folder).  ``latest_windows``
+    reads the current result back."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn(store.BATCH, F.lit(int(batch_id)).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(store.BATCH)
+            .parquet(path)
+        )
+
+    w = (
+        windowed_rollup(decoded, table, agg, size, watermark)
+        .writeStream.outputMode("update")
+        .foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest emitted row per group from ``start_windowed``'s output (one aggregation)."""
+    ups = spark.read.parquet(path)
+    cols = [c for c in ups.columns if c not in (*keys, store.BATCH)]
+    newest = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(store.BATCH)).alias("_r")
+    return ups.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
 def _names(table: Table, agg: IntervalAggregator) -> list[str]:
     return [f"{c}_{a.slug()}" for c in table.measures for a in agg.aggregations if c in aggs.targets([c], table.measures, a)]
