@@ -122,8 +122,9 @@ class StateStore:
         and retry on the newest; readers of kept versions are unaffected.
         """
         versions = self.versions()
-        if len(versions) <= keep_versions:
+        if not versions:
             return {"versions": 0, "batches": 0}
+        keep_versions = max(1, keep_versions)
         kept, dropped = versions[-keep_versions:], versions[:-keep_versions]
         oldest_kept = self.spark.read.schema("source_id string, max_batch_id long").json(
             f"{self.manifest_path}/{VERSION}={kept[0]}"
