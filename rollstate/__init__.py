@@ -6,6 +6,6 @@ batch or by Structured Streaming, compacted, and read through merge-on-read view
 """
 
 from rollstate.plans.engine import Engine
-from rollstate.spec import SpecError, load_spec
+from rollstate.spec import SpecError, load_spec, load_spec_file
 
-__all__ = ["Engine", "SpecError", "load_spec"]
+__all__ = ["Engine", "SpecError", "load_spec", "load_spec_file"]

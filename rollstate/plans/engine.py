@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollstate.functions import geo
 from rollstate.operators import rollups
 from rollstate.operators.dims import enrich as join_small_on
 from rollstate.operators.dims import join_small
@@ -68,6 +69,14 @@ class Engine:
         """A rollup view joined with a dimension on the rollup's id (size-checked broadcast)."""
         return join_small_on(self.view(rollup), dim, self.spec.rollup(rollup).table.id, dim_key, how)
 
+    def map_view(
+        self, rollup: str, dim: DataFrame, dim_key: str, lon: str = "lon", lat: str = "lat", category: str = "station_name"
+    ) -> DataFrame:
+        """Map-ready rows of a last-value rollup: enriched with the dimension, plus point geometry,
+        WKT, display time and a colour category."""
+        at = self.spec.rollup(rollup)
+        return geo.map_ready(self.enriched_view(rollup, dim, dim_key), at.table.ts, lon, lat, category)
+
     # ------------------------------------------------------------------ writes
     def ingest(
         self,

@@ -277,6 +277,21 @@ def load_spec(d: Mapping) -> Spec:
     return Spec(tables, tuple(ats))
 
 
+def load_spec_file(path: str) -> Spec:
+    """Load a spec from a ``.json`` file, or from YAML when PyYAML is installed (driver-side, small)."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.lower().endswith(".json"):
+        return load_spec(json.loads(text))
+    try:
+        import yaml
+    except ImportError as e:  # YAML support is optional
+        raise SpecError(f"{path}: reading YAML needs PyYAML; use a .json spec instead") from e
+    return load_spec(yaml.safe_load(text))
+
+
 def _check_rollup_columns(table: Table, agg: Aggregator) -> None:
     known = {c.name for c in table.all_columns}
     if isinstance(agg, LastAggregator):

@@ -65,3 +65,16 @@ def test_geometry_and_map_ready(spark):
     assert r.category == "Tønsberg"
     feat = df.select(geo.geojson_feature("lon", "lat", ["station_name"]).alias("f")).first().f
     assert feat == '{"type":"Feature","geometry":{"type":"Point","coordinates":[10.4076,59.2675]},"properties":{"station_name":"Tønsberg"}}'
+
+
+def test_engine_map_view(spark, tmp_root):
+    from rollstate import Engine, catalog
+
+    e = Engine(spark, catalog.EVENTS_LAST_SPEC, tmp_root)
+    rows = [(1, dt.datetime(2024, 1, 2, 3, 4, 5), 4.5), (1, dt.datetime(2024, 1, 1), 1.0), (2, dt.datetime(2024, 1, 1), 2.0)]
+    e.ingest(spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, value double"), "events", "s", 0)
+    dim = spark.createDataFrame([(1, "Tønsberg", 59.2675, 10.4076)], STATIONS)
+    r = e.map_view("events_last", dim, "id").collect()
+    assert [(x.user_id, x.value, x.ts, x.wkt, x.category) for x in r] == [
+        (1, 4.5, "2024-01-02 03:04:05", "POINT (10.407600 59.267500)", "Tønsberg")
+    ]

@@ -152,3 +152,15 @@ def test_last_aggregator_name_is_fixed():
 )
 def test_slug(text, slug):
     assert slugify(text) == slug
+
+
+def test_load_spec_file_yaml_and_json(tmp_path):
+    import yaml
+
+    from rollstate.spec import load_spec_file
+
+    y = tmp_path / "spec.yaml"
+    y.write_text(yaml.safe_dump(WEATHER))
+    j = tmp_path / "spec.json"
+    j.write_text(json.dumps(WEATHER))
+    assert load_spec_file(str(y)) == load_spec_file(str(j)) == load_spec(WEATHER)
