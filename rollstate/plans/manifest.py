@@ -1,0 +1,79 @@
+"""Versioned watermark manifests: ``<path>/version=<k>/`` holds rows ``(source_id, max_batch_id)``.
+
+A version is visible once its write job committed; the newest committed version says, per source,
+up to which batch id the data has been folded into a compacted form.  Writing a new version folder
+is the commit point of a compaction; nothing is overwritten in place.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+VERSION = "version"
+SCHEMA = "source_id string, max_batch_id long"
+
+
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop FileSystem handle and Path for ``path`` (local, HDFS or object store alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def committed(fs, folder) -> bool:
+    """A job's output folder is committed once its files sit directly in it (``_SUCCESS`` or
+    ``part-*``; uncommitted task output lives under ``_temporary``)."""
+    return any(c.getPath().getName() == "_SUCCESS" or c.getPath().getName().startswith("part-") for c in fs.listStatus(folder))
+
+
+def children(spark: SparkSession, path: str, prefix: str) -> list[tuple[str, object]]:
+    """``(value, Path)`` of sub-folders named ``<prefix>=<value>`` (empty when ``path`` is absent)."""
+    fs, p = filesystem(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{prefix}="):
+            out.append((name.split("=", 1)[1], st.getPath()))
+    return out
+
+
+def delete(spark: SparkSession, path) -> None:
+    fs, p = filesystem(spark, str(path))
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+class Manifest:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def versions(self) -> list[int]:
+        """Committed versions, ascending."""
+        fs, _ = filesystem(self.spark, self.path)
+        return sorted(int(v) for v, p in children(self.spark, self.path, VERSION) if committed(fs, p))
+
+    def read(self, version: int) -> dict[str, int]:
+        rows = self.spark.read.schema(SCHEMA).json(f"{self.path}/{VERSION}={version}").collect()
+        return {r.source_id: r.max_batch_id for r in rows}
+
+    def snapshot(self) -> tuple[int | None, dict[str, int]]:
+        """Newest version and its watermarks; the version is found by listing, one version is read."""
+        versions = self.versions()
+        if not versions:
+            return None, {}
+        return versions[-1], self.read(versions[-1])
+
+    def write(self, version: int, watermarks: dict[str, int]) -> None:
+        rows = [(s, int(b)) for s, b in sorted(watermarks.items())]
+        (
+            self.spark.createDataFrame(rows, SCHEMA)
+            .coalesce(1)
+            .write.mode("overwrite")
+            .json(f"{self.path}/{VERSION}={version}")
+        )
+
+    def drop(self, version: int) -> None:
+        delete(self.spark, f"{self.path}/{VERSION}={version}")

@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollstate.operators import rollups
+from rollstate.plans import manifest
+from rollstate.plans.manifest import VERSION
 from rollstate.sources.store import BATCH, SOURCE
 from rollstate.spec import AnalyticalTable
 
-VERSION = "version"
-
 
 class StateStore:
     def __init__(self, spark: SparkSession, at: AnalyticalTable, root: str):
@@ -39,6 +39,7 @@ class StateStore:
         self.at = at
         self.root = root.rstrip("/")
         self._schema: T.StructType | None = None
+        self._manifest = manifest.Manifest(spark, self.manifest_path)
 
     # ------------------------------------------------------------------ paths and schema
     @property
@@ -77,42 +78,12 @@ class StateStore:
 
     # ------------------------------------------------------------------ reads
     def snapshot(self) -> tuple[int | None, dict[str, int]]:
-        """Newest manifest version and its watermarks (source_id → highest folded batch_id).
-
-        The version comes from the folder names (a listing); only that version's rows are read
-        (one row per source)."""
-        versions = self.versions()
-        if not versions:
-            return None, {}
-        version = versions[-1]
-        rows = self.spark.read.schema("source_id string, max_batch_id long").json(
-            f"{self.manifest_path}/{VERSION}={version}"
-        ).collect()
-        return version, {r.source_id: r.max_batch_id for r in rows}
+        """Newest manifest version and its watermarks (source_id → highest folded batch_id)."""
+        return self._manifest.snapshot()
 
     def versions(self) -> list[int]:
-        """Committed manifest versions, ascending (a version counts once its manifest job committed)."""
-        fs, path = self._fs(self.manifest_path)
-        if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(f"{VERSION}=") and self._committed(fs, st.getPath()):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
-
-    @staticmethod
-    def _committed(fs, folder) -> bool:
-        """A job's output folder is committed once its files sit directly in it (``_SUCCESS`` or
-        ``part-*``; uncommitted task output lives under ``_temporary``)."""
-        return any(c.getPath().getName() == "_SUCCESS" or c.getPath().getName().startswith("part-") for c in fs.listStatus(folder))
-
-    def _fs(self, path: str):
-        """Hadoop FileSystem handle for ``path`` (local, HDFS or object store alike)."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+        """Committed manifest versions, ascending."""
+        return self._manifest.versions()
 
     def vacuum(self, keep_versions: int = 2) -> dict[str, int]:
         """Delete what no reader of the newest ``keep_versions`` versions can need: older manifest and
@@ -126,30 +97,19 @@ class StateStore:
             return {"versions": 0, "batches": 0}
         keep_versions = max(1, keep_versions)
         kept, dropped = versions[-keep_versions:], versions[:-keep_versions]
-        oldest_kept = self.spark.read.schema("source_id string, max_batch_id long").json(
-            f"{self.manifest_path}/{VERSION}={kept[0]}"
-        ).collect()
-        folded = {r.source_id: r.max_batch_id for r in oldest_kept}
+        folded = self._manifest.read(kept[0])
         n_batches = 0
-        fs, batches = self._fs(self.batches_path)
-        if fs.exists(batches):
-            for src in fs.listStatus(batches):
-                name = src.getPath().getName()
-                if not name.startswith(f"{SOURCE}="):
-                    continue
-                limit = folded.get(name.split("=", 1)[1])
-                if limit is None:
-                    continue
-                for b in fs.listStatus(src.getPath()):
-                    bname = b.getPath().getName()
-                    if bname.startswith(f"{BATCH}=") and int(bname.split("=", 1)[1]) <= limit:
-                        fs.delete(b.getPath(), True)
-                        n_batches += 1
+        for source, src_path in manifest.children(self.spark, self.batches_path, SOURCE):
+            limit = folded.get(source)
+            if limit is None:
+                continue
+            for batch, b_path in manifest.children(self.spark, str(src_path), BATCH):
+                if int(batch) <= limit:
+                    manifest.delete(self.spark, b_path)
+                    n_batches += 1
         for v in dropped:  # manifest first: a version without manifest is invisible to readers
-            for root in (self.manifest_path, self.compacted_path):
-                vfs, vpath = self._fs(f"{root}/{VERSION}={v}")
-                if vfs.exists(vpath):
-                    vfs.delete(vpath, True)
+            self._manifest.drop(v)
+            manifest.delete(self.spark, f"{self.compacted_path}/{VERSION}={v}")
         return {"versions": len(dropped), "batches": n_batches}
 
     def manifest(self) -> dict[str, int]:
@@ -158,14 +118,6 @@ class StateStore:
     def latest_version(self) -> int | None:
         return self.snapshot()[0]
 
-    def _read_json(self, path: str, schema: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).json(path)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
-            raise
-
     def _read_parquet(self, path: str, schema: T.StructType) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(path)
@@ -249,16 +201,10 @@ class StateStore:
             .option("compression", "zstd")
             .parquet(f"{self.compacted_path}/{VERSION}={new_version}")
         )
-        manifest = {**old_manifest}
-        for s, b in snapshot.items():
-            manifest[s] = max(b, manifest.get(s, -1))
-        rows = [(s, int(b)) for s, b in sorted(manifest.items())]
-        (
-            self.spark.createDataFrame(rows, "source_id string, max_batch_id long")
-            .coalesce(1)
-            .write.mode("overwrite")
-            .json(f"{self.manifest_path}/{VERSION}={new_version}")
-        )
+        watermarks = {**old_manifest}
+        for src, b in snapshot.items():
+            watermarks[src] = max(b, watermarks.get(src, -1))
+        self._manifest.write(new_version, watermarks)
         return new_version
 
 
