@@ -179,6 +179,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_native_window": _rollup_sql(
             "events", "user_id", DAY_OF.format(ts="ts"), "day", _full("value", "quantile_disc")
         ),
+        "compacted_facts": (
+            "SELECT l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, "
+            f"{month} AS yyyymm FROM lineitem"
+        ),
         "map_ready": (
             f"WITH last AS ({last_events}), "
             "st AS (SELECT c_custkey AS id, c_name AS station_name, "

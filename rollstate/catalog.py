@@ -193,6 +193,21 @@ def time_range_pruned(spark, sf_dir):
     return store.time_range(facts, t, "1996-03-15 00:00:00", "1996-07-01 00:00:00")
 
 
+def compacted_facts(spark, sf_dir):
+    """Fact compaction: lineitem ingested in four batches, folded into month folders in two rounds
+    (a replay of a folded batch in between is ignored), read back whole."""
+    e = engine(spark, {"tables": [LINEITEM_TABLE]}, "fact-rounds")
+    parts = split_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 4)
+    for i, p in enumerate(parts[:2]):
+        e.ingest(p, "lineitem", "s", i)
+    e.compact_facts("lineitem")
+    e.ingest(parts[0], "lineitem", "s", 0)
+    for i, p in enumerate(parts[2:], start=2):
+        e.ingest(p, "lineitem", "s", i)
+    e.compact_facts("lineitem")
+    return e.facts("lineitem")
+
+
 # ------------------------------------------------------------------------------------------- joins
 
 
@@ -512,6 +527,7 @@ QUERIES = {
     "setup_views_sql": setup_views_sql,
     "spec_persisted_rollup": spec_persisted_rollup,
     "stream_native_window": stream_native_window,
+    "compacted_facts": compacted_facts,
 }
 
 

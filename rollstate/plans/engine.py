@@ -18,6 +18,7 @@ from rollstate.functions import geo
 from rollstate.operators import rollups
 from rollstate.operators.dims import enrich as join_small_on
 from rollstate.operators.dims import join_small
+from rollstate.plans.fact_store import FactStore
 from rollstate.plans.state_store import StateStore
 from rollstate.sources import store
 from rollstate.spec import Spec, load_spec
@@ -52,14 +53,24 @@ class Engine:
             names.append(at.name)
         return names
 
+    def fact_store(self, table: str) -> FactStore:
+        return FactStore(self.spark, self.spec.table(table), self.facts_path(table))
+
     def facts(self, table: str) -> DataFrame:
+        """Live fact rows: committed compaction rounds plus every batch not folded into one."""
         t = self.spec.table(table)
-        try:
-            return store.scan(self.spark, t, self.facts_path(table))
-        except Exception as e:  # no facts written yet: an empty table of the declared schema
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+        df = self.fact_store(table).scan()
+        if df is None:  # no facts written yet: an empty table of the declared schema
             return self.spark.createDataFrame([], t.schema).withColumn(store.MONTH, F.lit(None).cast("int"))
+        return df
+
+    def compact_facts(self, table: str, vacuum: bool = True) -> int:
+        """Fold the table's small per-batch fact folders into one folder per month for this round."""
+        fs = self.fact_store(table)
+        round_ = fs.compact()
+        if vacuum:
+            fs.vacuum()
+        return round_
 
     def view(self, rollup: str) -> DataFrame:
         """Merge-on-read view of a rollup: compacted states plus every newer batch."""
@@ -127,7 +138,9 @@ class Engine:
         """
         st = self.states(rollup)
         at = st.at
-        facts = store.scan(self.spark, at.table, self.facts_path(at.table.name), with_partitions=True)
+        facts = self.fact_store(at.table.name).scan(identity=True)  # rows keep the batch they came in
+        if facts is None:
+            return
         done = st.covered_batches()  # one row per stored batch
         todo = join_small(facts, done, [store.SOURCE, store.BATCH], "left_anti")
         st.write_batches(rollups.partial(todo, at, extra_keys=(store.SOURCE, store.BATCH)))

@@ -1,0 +1,152 @@
+"""Fact-table compaction: fold many small per-batch folders into one folder per month and round.
+
+Ingest writes ``yyyymm=<m>/source_id=<s>/batch_id=<n>/`` per batch (a retry replaces its own
+folder).  A long-running stream therefore leaves one folder per micro-batch and month; at scale that
+is millions of directories to list and tiny files to open.  A compaction *round* ``r``:
+
+1. fixes the batches to fold (highest batch id per source that is not folded yet);
+2. rewrites exactly those rows, rebalanced by month and sorted by ``(id, ts)``, into
+   ``yyyymm=<m>/source_id=__compacted__/batch_id=<r>/`` — only the new batches, so a round costs
+   what was ingested since the previous one; every row keeps its original ``(source_id, batch_id)``
+   as the data columns ``_source_id`` / ``_batch_id``;
+3. commits by writing manifest version ``r`` (per source: highest folded batch id).
+
+Readers see all committed rounds plus every batch above the watermark of its source, so a reader
+sees the old or the new layout, never both or neither.  A replayed batch at or below the watermark
+is ignored.  ``vacuum`` deletes folded batch folders.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rollstate.plans import manifest
+from rollstate.sources.store import BATCH, MONTH, PARTITION_FIELDS, SOURCE
+from rollstate.spec import Table
+
+COMPACTED = "__compacted__"
+ORIG_SOURCE = "_source_id"
+ORIG_BATCH = "_batch_id"
+
+
+class FactStore:
+    def __init__(self, spark: SparkSession, table: Table, root: str):
+        self.spark = spark
+        self.table = table
+        self.root = root.rstrip("/")
+        self._manifest = manifest.Manifest(spark, f"{self.root}_manifest")
+
+    def _schema(self) -> T.StructType:
+        return T.StructType(
+            [
+                *self.table.schema.fields,
+                T.StructField(ORIG_SOURCE, T.StringType()),
+                T.StructField(ORIG_BATCH, T.LongType()),
+                *PARTITION_FIELDS,
+            ]
+        )
+
+    def _raw(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(self._schema()).parquet(self.root)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return None
+            raise
+
+    @staticmethod
+    def _unfolded(watermarks: dict[str, int]) -> Column:
+        """Batch folders not yet folded into a round (partition-column predicate: pruned at listing)."""
+        cond = F.col(SOURCE) != COMPACTED
+        for source, max_batch in watermarks.items():
+            cond = cond & ~((F.col(SOURCE) == source) & (F.col(BATCH) <= max_batch))
+        return cond
+
+    def _live(self, round_: int | None, watermarks: dict[str, int]) -> Column:
+        rounds = (F.col(SOURCE) == COMPACTED) & (F.col(BATCH) <= round_) if round_ else F.lit(False)
+        return rounds | self._unfolded(watermarks)
+
+    def scan(self, identity: bool = False) -> DataFrame | None:
+        """Live fact rows (declared columns + ``yyyymm``); with ``identity`` also the batch each row
+        was ingested in, as ``source_id`` / ``batch_id``.  ``None`` when nothing was written yet."""
+        raw = self._raw()
+        if raw is None:
+            return None
+        round_, watermarks = self._manifest.snapshot()
+        df = raw.where(self._live(round_, watermarks))
+        cols = [*[c.name for c in self.table.all_columns], MONTH]
+        if not identity:
+            return df.select(*cols)
+        return df.select(
+            *cols,
+            F.coalesce(F.col(ORIG_SOURCE), F.col(SOURCE)).alias(SOURCE),
+            F.coalesce(F.col(ORIG_BATCH), F.col(BATCH)).alias(BATCH),
+        )
+
+    def rounds(self) -> list[int]:
+        return self._manifest.versions()
+
+    def compact(self, max_records_per_file: int = 5_000_000) -> int:
+        """Fold every unfolded batch into a new round; returns the newest round number."""
+        raw = self._raw()
+        round_, watermarks = self._manifest.snapshot()
+        if raw is None:
+            return round_ or 0
+        pending = raw.where(self._unfolded(watermarks))
+        snapshot = {r[0]: r[1] for r in pending.groupBy(SOURCE).agg(F.max(BATCH)).collect()}
+        if not snapshot:
+            return round_ or 0
+        new = (round_ or 0) + 1
+        chosen = reduce(
+            lambda acc, kv: acc | ((F.col(SOURCE) == kv[0]) & (F.col(BATCH) <= kv[1])), snapshot.items(), F.lit(False)
+        )
+        t = self.table
+        (
+            pending.where(chosen)
+            .select(
+                *[F.col(c.name) for c in t.all_columns],
+                F.col(SOURCE).alias(ORIG_SOURCE),
+                F.col(BATCH).alias(ORIG_BATCH),
+                F.col(MONTH),
+            )
+            .hint("rebalance", MONTH)
+            .withColumn(SOURCE, F.lit(COMPACTED))
+            .withColumn(BATCH, F.lit(new).cast("long"))
+            .sortWithinPartitions(MONTH, SOURCE, BATCH, t.id, t.ts)  # partition columns first: see store
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(MONTH, SOURCE, BATCH)
+            .parquet(self.root)
+        )
+        merged = {**watermarks}
+        for source, b in snapshot.items():
+            merged[source] = max(b, merged.get(source, -1))
+        self._manifest.write(new, merged)
+        return new
+
+    def vacuum(self, keep_versions: int = 2) -> int:
+        """Delete batch folders already folded into a round and manifest versions older than the
+        newest ``keep_versions``; returns the number of batch folders deleted."""
+        round_, watermarks = self._manifest.snapshot()
+        if round_ is None:
+            return 0
+        deleted = 0
+        for _, month_path in manifest.children(self.spark, self.root, MONTH):
+            for source, src_path in manifest.children(self.spark, str(month_path), SOURCE):
+                limit = watermarks.get(source)
+                if source == COMPACTED or limit is None:
+                    continue
+                for batch, b_path in manifest.children(self.spark, str(src_path), BATCH):
+                    if int(batch) <= limit:
+                        manifest.delete(self.spark, b_path)
+                        deleted += 1
+        for v in self._manifest.versions()[: -max(1, keep_versions)]:
+            self._manifest.drop(v)
+        return deleted

@@ -59,11 +59,17 @@ def write_facts(
     max_records_per_file: int = 5_000_000,
 ) -> None:
     """Write one batch of facts; rewriting the same ``(source_id, batch_id)`` replaces it."""
-    out = conform(df, table).withColumn(MONTH, yyyymm(table.ts)).hint("rebalance", MONTH)
-    (
-        out.sortWithinPartitions(table.id, table.ts)
+    out = (
+        conform(df, table)
+        .withColumn(MONTH, yyyymm(table.ts))
+        .hint("rebalance", MONTH)
         .withColumn(SOURCE, F.lit(source_id))
         .withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+    )
+    (
+        # The file writer needs its input ordered by the partition columns; leading with them keeps
+        # the (id, ts) order inside every file instead of letting the writer re-sort by partition only.
+        out.sortWithinPartitions(MONTH, SOURCE, BATCH, table.id, table.ts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
