@@ -240,3 +240,20 @@ def test_fact_files_are_sorted_by_id_and_time(spark, tmp_root):
         tab = pq.read_table(f, columns=["l_suppkey", "l_shipdate"]).to_pandas()
         keys = list(zip(tab.l_suppkey, tab.l_shipdate))
         assert keys == sorted(keys), f
+
+
+def test_uncommitted_manifest_version_is_invisible(spark, tmp_path):
+    from rollstate.plans.manifest import Manifest
+
+    m = Manifest(spark, str(tmp_path / "manifest"))
+    assert m.versions() == [] and m.snapshot() == (None, {})
+    m.write(1, {"s": 3})
+    # a crashed writer leaves only task output under _temporary: not a version yet
+    (tmp_path / "manifest" / "version=2" / "_temporary" / "0").mkdir(parents=True)
+    (tmp_path / "manifest" / "version=2" / "_temporary" / "0" / "part-00000.json").write_text('{"source_id":"s","max_batch_id":9}\n')
+    assert m.versions() == [1]
+    assert m.snapshot() == (1, {"s": 3})
+    m.write(2, {"s": 5, "t": 0})
+    assert m.snapshot() == (2, {"s": 5, "t": 0})
+    m.drop(1)
+    assert m.versions() == [2]
