@@ -11,6 +11,9 @@ manifest's ``max_batch_id`` for its source.  Compaction writes a new version and
 nothing is overwritten in place, so a reader sees either the old or the new version, never a mix,
 and a crashed compaction leaves only an unreferenced folder that the retry overwrites.
 
+``vacuum`` then deletes manifest/compacted versions older than the kept ones and the batch folders
+folded into the oldest kept version, so storage and listing stay bounded on a long-running stream.
+
 ``source_id`` is created once per stream (and stored beside its checkpoint) because Structured
 Streaming restarts ``batch_id`` at 0 with a fresh checkpoint: the pair, not the batch id alone, is the
 idempotency key.
