@@ -257,3 +257,15 @@ def test_uncommitted_manifest_version_is_invisible(spark, tmp_path):
     assert m.snapshot() == (2, {"s": 5, "t": 0})
     m.drop(1)
     assert m.versions() == [2]
+
+
+def test_fact_compaction_noop_and_empty_table(spark, tmp_root):
+    e = Engine(spark, {"tables": [catalog.EVENTS_TABLE]}, tmp_root)
+    empty = e.facts("events")
+    assert empty.count() == 0 and empty.columns == ["user_id", "ts", "value", "yyyymm"]
+    assert e.compact_facts("events") == 0  # nothing written yet
+    e.ingest(_events(spark), "events", "s", 0)
+    assert e.compact_facts("events") == 1
+    assert e.compact_facts("events") == 1  # nothing new: no new round
+    assert e.fact_store("events").rounds() == [1]
+    assert e.facts("events").count() == _events(spark).count()
