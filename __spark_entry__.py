@@ -18,6 +18,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rollstate import catalog  # noqa: E402
 
+try:  # the text operators are an optional part; without their folder the rest works alone
+    import corpus_pipeline
+    from rollstate.llm import queries as llm_queries
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "rollstate.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -39,7 +47,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run.__doc__ = fn.__doc__
         return run
 
-    return {name: utc(fn) for name, fn in catalog.QUERIES.items()}
+    registered = dict(catalog.QUERIES)
+    if llm_queries:
+        registered |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: utc(fn) for name, fn in registered.items()}
 
 
 # ------------------------------------------------------------------------------------ oracle SQL
@@ -77,6 +88,13 @@ EVENTS_DAY_ALL = _rollup_sql("events", "user_id", DAY_OF.format(ts="ts"), "day",
 
 
 def oracle_sql() -> dict[str, str]:
+    llm = llm_queries.ORACLE_SQL if llm_queries else {}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        llm = llm | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return _rollup_oracles() | llm
+
+
+def _rollup_oracles() -> dict[str, str]:
     li_day = DAY_OF.format(ts="l_shipdate")
     month = "CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER)"
     li_multi = [c for m in LI_MEASURES for c in _full(m)]
