@@ -6,12 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import token_counts
+from . import bpe, token_counts
 from .common import read
 
 TOKEN_LIMIT = 1024
 
 
+def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every document's whole text, decodes the ids, and digests both."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document's whole text, and the longest prefix within the limit."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -22,6 +35,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_level_bpe": op1_byte_level_bpe,
     "op10_token_counts": op10_token_counts,
 }
 
