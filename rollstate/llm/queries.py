@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, spotsigs, token_counts
 from .common import read
 
 TOKEN_LIMIT = 1024
@@ -25,6 +25,21 @@ def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprint of every document and of its edited text, and how alike they are."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return spotsigs.edited_likeness(docs).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("sigs")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        spotsigs.length_band(F.col("sigs")).alias("length_band"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document's whole text, and the longest prefix within the limit."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -36,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_level_bpe": op1_byte_level_bpe,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op10_token_counts": op10_token_counts,
 }
 
