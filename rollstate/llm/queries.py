@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, spotsigs, token_counts
+from . import bpe, line_dedup, packing, spotsigs, token_counts
 from .common import read
 
 TOKEN_LIMIT = 1024
@@ -40,6 +40,23 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that are boilerplate on its site (its source)."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return line_dedup.drop_lines(docs)
+
+
+def word_count(text: str = "text") -> Column:
+    """Words between white space, and one for the end of the text: the length that packing uses here."""
+    return F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda w: w != "")) + 1
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length bucket and batch of every document, in words."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", word_count().alias("words"))
+    return packing.pack(docs, "doc_id", F.col("words"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document's whole text, and the longest prefix within the limit."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -52,8 +69,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_level_bpe": op1_byte_level_bpe,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op4_line_dedup": op4_line_dedup,
+    "op8_packing": op8_packing,
     "op10_token_counts": op10_token_counts,
 }
 
 #: DuckDB equivalents, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
+_TRIM = "trim({}, ' ' || chr(9) || chr(13))"
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": f"""
+WITH pages AS (SELECT DISTINCT source, coalesce(text, '') AS text FROM documents WHERE source IS NOT NULL),
+totals AS (SELECT source, count(*) AS pages FROM pages GROUP BY source),
+lines AS (
+  SELECT DISTINCT source, text, {_TRIM.format("line")} AS line
+  FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM pages)),
+common AS (
+  SELECT source, line FROM lines JOIN totals USING (source) WHERE line <> ''
+  GROUP BY source, line, pages HAVING count(*) >= {line_dedup.MIN_PAGES} AND count(*) > {line_dedup.RATIO} * pages),
+split AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL),
+marked AS (
+  SELECT s.doc_id, s.line, s.i, c.line IS NOT NULL AS gone
+  FROM split s LEFT JOIN common c ON c.source = s.source AND c.line = {_TRIM.format("s.line")}),
+cleaned AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS text, count(*) FILTER (WHERE gone) AS n_dropped
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(c.text, '') END AS text,
+  CAST(coalesce(c.n_dropped, 0) AS BIGINT) AS n_dropped
+FROM documents d LEFT JOIN cleaned c USING (doc_id)
+""",
+}
