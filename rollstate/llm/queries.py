@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, packing, spotsigs, token_counts
+from . import bpe, hamming, line_dedup, packing, spotsigs, token_counts
 from .common import read
 
 TOKEN_LIMIT = 1024
+TOP_K = 10
 
 
 def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, "doc_id", F.col("words"))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest rows by Hamming distance of sign codes, for every row whose id 100 divides."""
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return hamming.search(vectors, F.col("vec_id") % 100 == 0, TOP_K)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document's whole text, and the longest prefix within the limit."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -71,6 +78,7 @@ QUERIES = {
     "op2_document_fingerprints": op2_document_fingerprints,
     "op4_line_dedup": op4_line_dedup,
     "op8_packing": op8_packing,
+    "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -98,5 +106,14 @@ cleaned AS (
 SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(c.text, '') END AS text,
   CAST(coalesce(c.n_dropped, 0) AS BIGINT) AS n_dropped
 FROM documents d LEFT JOIN cleaned c USING (doc_id)
+""",
+    "op9_exact_topk": f"""
+WITH codes AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings WHERE vec_id IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum(list_transform(list_zip(q.bits, r.bits), lambda z: abs(z[1] - z[2]))) AS INTEGER) AS distance
+  FROM (SELECT * FROM codes WHERE vec_id % 100 = 0) q, codes r),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= {TOP_K}
 """,
 }
