@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hamming, line_dedup, packing, spotsigs, token_counts
-from .common import read
+from . import bpe, hamming, line_dedup, packing, quality, spotsigs, token_counts
+from .common import held_out, read
 
 TOKEN_LIMIT = 1024
 TOP_K = 10
@@ -47,6 +47,22 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs)
 
 
+QUALITY_THRESHOLD = 0.7
+
+
+def quality_machine(spark: SparkSession, sf_dir: str) -> quality.Machine:
+    """Fitted on labelled documents that are not held out."""
+    docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality")
+    return quality.fit(docs, labels, ~held_out(F.col("doc_id"), 4, 2))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    scored = quality.score(docs, quality_machine(spark, sf_dir), QUALITY_THRESHOLD)
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
 def word_count(text: str = "text") -> Column:
     """Words between white space, and one for the end of the text: the length that packing uses here."""
     return F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda w: w != "")) + 1
@@ -77,6 +93,7 @@ QUERIES = {
     "op1_byte_level_bpe": op1_byte_level_bpe,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op4_line_dedup": op4_line_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
