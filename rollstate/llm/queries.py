@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hamming, line_dedup, packing, quality, spotsigs, token_counts
+from . import bpe, hamming, html_text, line_dedup, packing, quality, spotsigs, token_counts
 from .common import held_out, read
 
 TOKEN_LIMIT = 1024
@@ -41,6 +41,11 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are boilerplate on its site (its source)."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
@@ -92,6 +97,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_level_bpe": op1_byte_level_bpe,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_html_extraction": op3_html_extraction,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_packing": op8_packing,
