@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hamming, html_text, line_dedup, packing, quality, spotsigs, token_counts
+from . import bpe, hamming, html_text, line_dedup, ngram_join, packing, quality, spotsigs, token_counts
 from .common import held_out, read
 
 TOKEN_LIMIT = 1024
@@ -52,6 +52,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates and number of links of every document."""
+    return ngram_join.similarity_classes(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUALITY_THRESHOLD = 0.7
 
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_html_extraction": op3_html_extraction,
     "op4_line_dedup": op4_line_dedup,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
