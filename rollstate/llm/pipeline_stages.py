@@ -1,21 +1,39 @@
-"""The stages of the corpus pipeline; each calls one operator."""
+"""The stages of the corpus pipeline; each calls one operator and works on what its predecessor kept.
+
+All but the last keep the columns of ``documents`` (doc_id, text, lang, source, n_chars).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import line_dedup, ngram_join, packing, quality
+from .queries import QUALITY_THRESHOLD, quality_machine, word_count
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that the quality classifier does not reject."""
+    scored = quality.score(docs, quality_machine(spark, sf_dir), QUALITY_THRESHOLD, keep_text=True)
+    return scored.filter("predicted = 1").select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents without the boilerplate lines of their source; ``n_chars`` follows the text."""
+    cleaned = line_dedup.drop_lines(docs)
+    length = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", length).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """One document (that of the least id) of each class of near duplicates; documents without an id stay."""
+    classes = ngram_join.similarity_classes(docs).filter("doc_id <> class_id").select("doc_id").distinct()
+    kept = docs.join(classes, "doc_id", "left_anti").select(*docs.columns)
+    named = kept.filter(F.col("doc_id").isNotNull())
+    once = named.groupBy("doc_id").agg(*[F.min_by(F.col(c), F.struct("text", "source", "lang", "n_chars")).alias(c) for c in docs.columns if c != "doc_id"])
+    return once.select(*docs.columns).unionByName(kept.filter(F.col("doc_id").isNull()))
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Length bucket and batch of every document."""
+    return packing.pack(docs.select("doc_id", word_count().alias("words")), "doc_id", F.col("words"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hamming, html_text, line_dedup, ngram_join, packing, quality, spotsigs, token_counts
+from . import bpe, hamming, html_text, line_dedup, lm, ngram_join, packing, quality, spotsigs, token_counts
 from .common import held_out, read
 
 TOKEN_LIMIT = 1024
@@ -73,6 +73,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every document."""
+    return lm.score_texts(read(spark, sf_dir, "documents", "doc_id", "text"), held_out(F.col("doc_id"), 5, 1))
+
+
 def word_count(text: str = "text") -> Column:
     """Words between white space, and one for the end of the text: the length that packing uses here."""
     return F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda w: w != "")) + 1
@@ -106,6 +111,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
