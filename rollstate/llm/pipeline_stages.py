@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import line_dedup, ngram_join, packing, quality
+from .common import read
 from .queries import QUALITY_THRESHOLD, quality_machine, word_count
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    scored = quality.score(docs, quality_machine(spark, sf_dir), QUALITY_THRESHOLD, keep_text=True)
+    scored = quality.score(docs, quality_machine(docs, read(spark, sf_dir, "labels", "doc_id", "quality")), QUALITY_THRESHOLD, keep_text=True)
     return scored.filter("predicted = 1").select(*docs.columns)
 
 
@@ -26,12 +27,12 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (that of the least id) of each class of near duplicates; documents without an id stay."""
-    classes = ngram_join.similarity_classes(docs).filter("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id", "left_anti").select(*docs.columns)
-    named = kept.filter(F.col("doc_id").isNotNull())
-    once = named.groupBy("doc_id").agg(*[F.min_by(F.col(c), F.struct("text", "source", "lang", "n_chars")).alias(c) for c in docs.columns if c != "doc_id"])
-    return once.select(*docs.columns).unionByName(kept.filter(F.col("doc_id").isNull()))
+    """One document (that of the least id) of each class of near duplicates, and one of rows alike in id and text.
+
+    Documents without an id are compared by their text alone.
+    """
+    others = ngram_join.similarity_classes(docs).filter("doc_id <> class_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

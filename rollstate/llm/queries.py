@@ -60,16 +60,16 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALITY_THRESHOLD = 0.7
 
 
-def quality_machine(spark: SparkSession, sf_dir: str) -> quality.Machine:
+def quality_machine(docs: DataFrame, labels: DataFrame) -> quality.Machine:
     """Fitted on labelled documents that are not held out."""
-    docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality")
     return quality.fit(docs, labels, ~held_out(F.col("doc_id"), 4, 2))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    scored = quality.score(docs, quality_machine(spark, sf_dir), QUALITY_THRESHOLD)
+    machine = quality_machine(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    scored = quality.score(docs, machine, QUALITY_THRESHOLD)
     return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
 
 
