@@ -115,12 +115,11 @@ def neighbours(df: DataFrame, key: str, payload: list[str]) -> tuple[DataFrame,
         steps, F.lit(0), lambda lo, s: F.when(F.coalesce(F.get(literal, lo + s) <= F.col(key), F.lit(False)), lo + s).otherwise(lo)
     )
     rows = df.select(key, *payload)
-    body = rows.select(key, *payload, at.alias("_range"), F.lit(0).alias("_range_end"))
     opens = F.col(key).isin(borders)
     if nulls:  # the rows with null keys open the first range
         opens = (opens & (F.col(key) != borders[0])) | F.col(key).isNull()
-    marks = rows.filter(opens).select(key, *payload, ((at + F.lit(n - 1)) % n).alias("_range"), F.lit(1).alias("_range_end"))
-    dealt = body.unionAll(marks).repartition("_range")
+    both = rows.withColumn("_range_end", F.lit(0)).unionAll(rows.filter(opens).withColumn("_range_end", F.lit(1)))
+    dealt = both.withColumn("_range", (at + F.lit(n) - F.col("_range_end")) % n).repartition("_range")
     return dealt, Window.partitionBy("_range").orderBy("_range_end", F.col(key).asc_nulls_first(), *payload)
 
 
@@ -132,8 +131,9 @@ def edited_likeness(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     signature sets, and near_edited and near_next.  A null text counts as empty; repeated rows are
     each other's next; a single row is its own; an empty table gives an empty one.
     """
-    texts = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    dealt, order = neighbours(texts, "key", ["body"])
+    # The key keeps its name: an alias below the union trips the optimizer's constraint inference.
+    texts = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("body"))
+    dealt, order = neighbours(texts, key, ["body"])
     own = signatures(dealt, "body", "sigs")
     led = own.select(
         "*", F.lead("body").over(order).alias("next_body"), F.lead("sigs").over(order).alias("next_sigs")
@@ -143,7 +143,7 @@ def edited_likeness(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     led = led.withColumn("edited", F.concat(F.substring("body", F.lit(1), n - cut), F.substring("next_body", F.lit(1), cut)))
     both = signatures(led, "edited", "edited_sigs")
     return both.select(
-        F.col("key").alias(key),
+        key,
         F.char_length("body").cast("long").alias("n_chars"),
         "edited",
         "sigs",
