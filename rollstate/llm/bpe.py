@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 from . import chunks
 from .common import list_array, map_arrow
 
-#: Chunks a worker remembers; beyond it starts afresh, which costs time only.
-CACHE_CHUNKS = 400_000
+#: Chunks a worker remembers; beyond it keeps the more used half, which costs time only.
+CACHE_CHUNKS = 600_000
 #: State rows that one recursive query may make; longer work goes on from where it stopped.
 STATE_ROWS = 3_000_000
 #: Bytes of words in one query, and tokens in one decoding query.
@@ -87,6 +87,13 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(tok): int(rank) for tok, rank in map(bytes.split, f)}
 
 
+def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``values`` numbered by ``order``, one after the other, and their lengths."""
+    n = lengths[order]
+    first = starts[order] - np.concatenate([[0], np.cumsum(n)[:-1]])[: len(n)]
+    return values[np.repeat(first, n) + np.arange(n.sum())], n
+
+
 class DuckBPE:
     """One worker's DuckDB with merge table and vocabulary, and the chunks encoded so far."""
 
@@ -121,90 +128,103 @@ class DuckBPE:
         self.con.unregister("source")
 
     def _forget(self) -> None:
-        self.rest: dict[str, int] = {}  # chunk after a space -> its number
-        self.first: dict[str, int] = {}  # chunk at the start of a text -> its number
+        #: Chunk -> its number.  Chunks follow a space; one that starts a text is entered with a
+        #: space before it, which no other chunk has.
+        self.known: dict[str, int] = {}
         self.ends = np.zeros(1, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.int32)
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keeps the chunks used more than once, at most half as many as are remembered."""
+        least = max(2, int(np.partition(self.uses, -(CACHE_CHUNKS // 2))[-(CACHE_CHUNKS // 2)]) + 1)
+        kept = np.flatnonzero(self.uses >= least)
+        place = np.full(len(self.uses), -1)
+        place[kept] = np.arange(len(kept))
+        self.known = {c: int(place[n]) for c, n in self.known.items() if place[n] >= 0}
+        self.ids, lengths = _gather(self.ids, self.ends[:-1], np.diff(self.ends), kept)
+        self.ends = np.concatenate([[0], np.cumsum(lengths)])
+        self.uses = np.ones(len(kept), dtype=np.int64)
 
     # -------------------------------------------------------------------------------- words
 
-    def _contract(self, sql: str, words: list[np.ndarray]) -> list[list[int]]:
-        """Token ids of words given as arrays of byte tokens."""
-        out: list[list[int]] = [[] for _ in words]
-        todo = dict(enumerate(words))
-        while todo:
-            lengths = np.array([len(t) for t in todo.values()])
-            places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            keys = (np.repeat(np.fromiter(todo, np.int64, len(todo)), lengths) << 31) | places
-            rounds = max(4, STATE_ROWS // int(lengths.sum()))
-            self.con.register("start", pa.table({"key": keys, "tok": np.concatenate(list(todo.values())).astype(np.int32)}))
-            found = self.con.execute(sql, {"rounds": rounds}).fetchall()
+    def _contract(self, sql: str, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of words given as byte tokens, one word after the other, and each word's number of them."""
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        number = np.arange(len(lengths))
+        while len(number):
+            places = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            rounds = max(4, STATE_ROWS // len(tokens))
+            self.con.register("start", pa.table({"key": (np.repeat(number, lengths) << 31) | places, "tok": tokens.astype(np.int32)}))
+            found = self.con.sql(sql, params={"rounds": rounds}).to_arrow_table().combine_chunks()
             self.con.unregister("start")
-            todo = {}
-            for w, lvl, toks in found:
-                if lvl < rounds:
-                    out[w] = toks
-                else:  # not known to be done: on from here
-                    todo[w] = np.array(toks)
-        return out
-
-    def encode_pieces(self, pieces: list[str]) -> dict[str, list[int]]:
-        """Token ids of each distinct match of the pattern."""
-        ids: dict[str, list[int]] = {}
-        groups: dict[str, list[tuple[str, bytes]]] = {_ONE_PAIR: [], _ALL_PAIRS: []}
-        for p in dict.fromkeys(pieces):
-            raw = p.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                ids[p] = [whole]
-            else:
-                groups[_ONE_PAIR if len(raw) <= SHORT_BYTES else _ALL_PAIRS].append((p, raw))
-        for sql, words in groups.items():
-            part: list[tuple[str, bytes]] = []
-            size = 0
-            for word in [*words, None]:
-                if part and (word is None or size + len(word[1]) > QUERY_BYTES):
-                    got = self._contract(sql, [self.byte_ids[np.frombuffer(raw, dtype=np.uint8)] for _, raw in part])
-                    ids.update(zip((p for p, _ in part), got, strict=True))
-                    part, size = [], 0
-                if word is not None:
-                    part.append(word)
-                    size += len(word[1])
-        return ids
+            lists = found["toks"].chunk(0)
+            w, values, counts = np.asarray(found["w"]), np.asarray(lists.values), np.diff(np.asarray(lists.offsets))
+            more = np.asarray(found["lvl"]) >= rounds  # not known to be done: on from here
+            done.append((w[~more], counts[~more], values[np.repeat(~more, counts)]))
+            number, lengths, tokens = w[more], counts[more], values[np.repeat(more, counts)]
+        w, lengths, values = (np.concatenate([d[i] for d in done]) for i in range(3))
+        return _gather(values, np.cumsum(lengths) - lengths, lengths, np.argsort(w))
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of distinct matches of the pattern, one after the other, and each one's number of them."""
+        raw = [p.encode() for p in pieces]
+        ranks = np.fromiter((self.ranks.get(r, -1) for r in raw), np.int32, len(raw))
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        whole = np.flatnonzero(ranks >= 0)
+        at, ids, lengths = [whole], [ranks[whole]], [np.ones(len(whole), dtype=np.int64)]
+        for sql, some in ((_ONE_PAIR, size <= SHORT_BYTES), (_ALL_PAIRS, size > SHORT_BYTES)):
+            words = np.flatnonzero(some & (ranks < 0))
+            borders = np.flatnonzero(np.diff(np.cumsum(size[words]) // QUERY_BYTES)) + 1
+            for part in np.split(words, borders) if len(words) else []:
+                tokens = self.byte_ids[np.frombuffer(b"".join([raw[i] for i in part]), dtype=np.uint8)]
+                values, counts = self._contract(sql, tokens, size[part])
+                at.append(part)
+                ids.append(values)
+                lengths.append(counts)
+        n = np.concatenate(lengths)
+        return _gather(np.concatenate(ids), np.cumsum(n) - n, n, np.argsort(np.concatenate(at)))
 
     # -------------------------------------------------------------------------------- texts
 
-    def _learn(self, heads: list[str], rest: list[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Encodes chunks not seen before."""
-        split = [self.pieces(h) for h in heads] + [self.pieces(" " + r) for r in rest]
-        ids = self.encode_pieces([p for s in split for p in s])
-        encoded = [[i for p in s for i in ids[p]] for s in split]
-        n = len(self.ends) - 1
-        self.first.update(zip(heads, range(n, n + len(heads)), strict=True))
-        self.rest.update(zip(rest, range(n + len(heads), n + len(encoded)), strict=True))
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for e in encoded for i in e), np.int32, int(lengths.sum()))])
+        find, number, parts, places = self.pieces, {}, [], []
+        for chunk in new:
+            text = chunk[1:] if chunk[:1] == " " else " " + chunk
+            found = (text,) if chunk.isalpha() else find(text)
+            parts.append(len(found))
+            places += [number.setdefault(p, len(number)) for p in found]
+        ids, lengths = self.encode_pieces(list(number))
+        values, counts = _gather(ids, np.cumsum(lengths) - lengths, lengths, np.array(places, dtype=np.int64))
+        sums = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(parts, dtype=np.int64)])]
+        self.known.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new)), strict=True))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + sums[1:]])
+        self.ids = np.concatenate([self.ids, values])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int64)])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All token ids of the texts, one after the other, and each text's number of them."""
-        if len(self.ends) > CACHE_CHUNKS:
-            self._forget()
+        if len(self.known) > CACHE_CHUNKS:
+            self._forget_rare()
         cut = [chunks.cut(t) if t else [] for t in texts]
-        heads = {c[0] for c in cut if c} - self.first.keys()
-        rest = {p for c in cut for p in c[1:]} - self.rest.keys()
-        if heads or rest:
-            self._learn(list(heads), list(rest))
-        per_text = np.fromiter(map(len, cut), np.int64, len(cut))
-        first, known = self.first, self.rest
-        numbers = np.fromiter(
-            (n for c in cut if c for n in (first[c[0]], *map(known.__getitem__, c[1:]))), np.int64, int(per_text.sum())
-        )
-        starts, lengths = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.repeat(starts - total[:-1], lengths) + np.arange(total[-1])]
-        edges = np.concatenate([[0], np.cumsum(per_text)])
-        return ids, np.diff(total[edges])
+        new: set[str] = set()
+        for c in cut:
+            if c:
+                c[0] = " " + c[0]
+                new.update(c)
+        new -= self.known.keys()
+        if new:
+            self._learn(list(new))
+        look = self.known.__getitem__
+        numbers: list[int] = []
+        for c in cut:
+            numbers.extend(map(look, c))
+        per_text = np.cumsum([0, *map(len, cut)])
+        order = np.array(numbers, dtype=np.int64)
+        self.uses += np.bincount(order, minlength=len(self.uses))
+        ids, lengths = _gather(self.ids, self.ends[:-1], np.diff(self.ends), order)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(lengths)])[per_text])
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         """Bytes of consecutive runs of token ids; ids outside the vocabulary give no bytes."""
