@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollstate.operators.dims import join_small
+from rollstate.session import scratch_dir
 
 #: Lengths up to this are counted exactly, longer ones rounded up by less than 1 / EXACT of
 #: themselves, so the histogram has at most EXACT entries and EXACT more each time lengths double.
@@ -91,9 +92,11 @@ def pack(df: DataFrame, key: str, length: Column, buckets: int = 16, budget: int
     length counts as 0 and pads to 1; equal keys are packed each for itself; an empty table gives
     an empty result.
     """
-    size = F.coalesce(length, F.lit(0)).cast("long")
-    borders = choose_buckets(df, size, buckets).borders or [1]
-    rows = df.select(F.col(key).alias("_key"), size.alias("_length"))
+    # Measured once and written: lengths are used several times, and measuring reads whole texts.
+    measured = f"{scratch_dir(df.sparkSession, 'packing')}/lengths"
+    df.select(F.col(key).alias("_key"), F.coalesce(length, F.lit(0)).cast("long").alias("_length")).write.parquet(measured)
+    rows = df.sparkSession.read.parquet(measured)
+    borders = choose_buckets(rows, F.col("_length"), buckets).borders or [1]
     fits = F.filter(F.lit(borders).cast("array<long>"), lambda b: b >= rounded(F.col("_length")))
     rows = rows.withColumn("_bucket", F.get(fits, F.lit(0)))
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)))
