@@ -84,7 +84,8 @@ def search(df: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector:
         # Found here and nowhere before: no segment is nearer than r, and none before this one is as near.
         first_here = reduce(lambda a, b: a & b, [(near[s] > r) | ((near[s] == r) & (F.col("_s") <= s)) for s in range(m)])
         better = F.col("_bound").isNull() | (total <= F.col("_bound"))
-        x = index.withColumnRenamed("_s", "_at").withColumnRenamed("_value", "_is")
+        # Probes are far more rows than the planner sees in the file of queries: never broadcast them.
+        x = index.withColumnRenamed("_s", "_at").withColumnRenamed("_value", "_is").hint("merge")
         found = probes.join(x, (F.col("_s") == F.col("_at")) & (F.col("_value") == F.col("_is")) & first_here & better)
         found = found.select("_entry", "_code", "_found_id", "_members", total.cast("int").alias("_distance"))
         kept = found if best is None else best.unionByName(found)
