@@ -201,6 +201,42 @@ def _rollup_oracles() -> dict[str, str]:
             "SELECT l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, "
             f"{month} AS yyyymm FROM lineitem"
         ),
+        "late_batch_after_compaction": (
+            f"WITH d AS ({EVENTS_DAY_ALL}), f AS (SELECT user_id, {DAY_OF.format(ts='ts')} AS day, count(*) AS n_facts "
+            "FROM events GROUP BY 1, 2) SELECT d.user_id, d.day, d.value_count, d.value_avg, f.n_facts "
+            "FROM d JOIN f ON f.user_id = d.user_id AND f.day = d.day"
+        ),
+        "backfill_after_compaction": f"SELECT user_id, day, value_count, value_avg FROM ({EVENTS_DAY_ALL})",
+        "setup_first_sql_join": (
+            f"WITH last AS ({last_events}), f AS (SELECT user_id, count(*) AS n_facts FROM events GROUP BY user_id) "
+            "SELECT last.user_id, last.ts, last.value, c.c_name, f.n_facts FROM last "
+            "JOIN customer c ON c.c_custkey = last.user_id JOIN f ON f.user_id = last.user_id"
+        ),
+        "json_several_objects": (
+            "WITH d AS (SELECT CAST(user_id AS VARCHAR) AS key, "
+            "CASE WHEN event_id % 4 = 2 THEN 'malformed' ELSE 'ok' END AS status, "
+            "CASE WHEN event_id % 4 IN (0, 1) THEN 2 ELSE 1 END AS n, "
+            "CASE WHEN event_id % 4 IN (0, 1) THEN 2 WHEN event_id % 4 = 3 THEN 1 ELSE 0 END AS ids FROM events) "
+            "SELECT key, status, CAST(sum(n) AS BIGINT) AS n, CAST(sum(ids) AS BIGINT) AS n_ids FROM d GROUP BY 1, 2"
+        ),
+        "bucket_functions": " UNION ALL ".join(
+            f"SELECT '{name}' AS name, CAST({expr} AS VARCHAR) AS bucket, count(*) AS n FROM events GROUP BY 2"
+            for name, expr in {
+                "toDate": "CAST(ts AS DATE)",
+                "toStartOfMinute": "strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S')",
+                "toStartOfHour": "strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S')",
+                "toStartOfDay": "strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S')",
+                "toStartOfWeek": "CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER)",
+                "toStartOfMonth": "CAST(date_trunc('month', ts) AS DATE)",
+                "toStartOfYear": "CAST(date_trunc('year', ts) AS DATE)",
+                "toYYYYMM": "year(ts) * 100 + month(ts)",
+            }.items()
+        ),
+        "facts_filtered": (
+            "SELECT l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, "
+            f"{month} AS yyyymm FROM lineitem WHERE l_suppkey = 1 "
+            "AND l_shipdate >= TIMESTAMP '1996-03-15 00:00:00' AND l_shipdate < TIMESTAMP '1996-07-01 00:00:00'"
+        ),
         "map_ready": (
             f"WITH last AS ({last_events}), "
             "st AS (SELECT c_custkey AS id, c_name AS station_name, "

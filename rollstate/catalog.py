@@ -14,10 +14,13 @@ results can be compared value by value with SQL.
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollstate.functions import geo
+from rollstate.functions import geo, timefn
 from rollstate.operators import dims, rollups
 from rollstate.plans.engine import Engine
 from rollstate.session import scratch_dir
@@ -25,6 +28,7 @@ from rollstate.sources import codec, store
 from rollstate.spec import load_spec
 from rollstate.streaming import ingest
 
+LAST = {"type": "last"}
 DAY = {"type": "interval", "name": "day", "group_functions": ["toDate", "toStartOfDay"]}
 FULL_AGGS = [
     {"type": "count"},
@@ -340,10 +344,10 @@ def setup_views_sql(spark, sf_dir):
     obs = {**EVENTS_TABLE, "name": "obs"}
     spec = {"tables": [obs], "analytical_tables": [{"table": "obs", "aggregator": {**DAY, "aggregations": FULL_AGGS}}]}
     e = engine(spark, spec, "setup-sql")
-    e.ingest(read(spark, sf_dir, "events"), "obs", "load", 0)
     e.setup()
+    e.ingest(read(spark, sf_dir, "events"), "obs", "load", 0)
     e.setup()  # idempotent
-    return spark.sql(
+    return e.sql(
         "SELECT d.user_id, d.day, d.value_count, round(d.value_avg, 6) AS value_avg, "
         "round(d.value_stddevSamp, 6) AS value_stddevSamp, f.n_facts "
         "FROM obs_day d JOIN (SELECT user_id, count(*) AS n_facts FROM obs GROUP BY user_id) f "
@@ -388,8 +392,7 @@ def stream_native_window(spark, sf_dir):
     _write_messages(read(spark, sf_dir, "events"), EVENTS_TABLE, f"{root}/inbox", 4)
     decoded = codec.good(codec.decode(ingest.file_messages(spark, f"{root}/inbox", 1), t), t)
     q = ingest.start_windowed(
-        decoded, t, agg, f"{root}/updates", f"{root}/checkpoint", "1 day", watermark="3650 days",
-        trigger={"availableNow": True},
+        decoded, t, agg, f"{root}/updates", f"{root}/checkpoint", trigger={"availableNow": True},
     )
     q.awaitTermination()
     return comparable(ingest.latest_windows(spark, f"{root}/updates", ["user_id", "day"]), ["user_id", "day"])
@@ -498,6 +501,86 @@ def map_ready(spark, sf_dir):
     )
 
 
+def late_batch_after_compaction(spark, sf_dir):
+    """A14/ST4: batches arrive out of order around compactions of states and facts; none is lost.
+    One row per user and day from the rollup, with the number of fact rows beside it."""
+    e = engine(spark, EVENTS_DAY_SPEC, "late-batch")
+    parts = split_batches(read(spark, sf_dir, "events"), ["event_id"], 4)
+    for i in (2, 1):
+        e.ingest(parts[i], "events", "s", i)
+    e.compact("events_day")
+    e.compact_facts("events")
+    e.ingest(parts[0], "events", "s", 0)  # an id below all folded ones
+    e.ingest(parts[3], "events", "s", 3)
+    e.compact_facts("events")
+    facts = e.facts("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_facts"))
+    counts = e.view("events_day").select("user_id", "day", "value_count", r6("value_avg").alias("value_avg"))
+    return counts.join(facts, ["user_id", "day"])
+
+
+def backfill_after_compaction(spark, sf_dir):
+    """ST5: a rollup added while facts exist, compacted, and only then backfilled."""
+    root = scratch_dir(spark, "late-backfill")
+    first, second = split_batches(read(spark, sf_dir, "events"), ["event_id"], 2)
+    Engine(spark, {"tables": [EVENTS_TABLE]}, root).ingest(first, "events", "s", 0)
+    e = Engine(spark, EVENTS_DAY_SPEC, root)
+    e.ingest(second, "events", "s", 1)
+    e.compact("events_day")
+    e.backfill("events_day")
+    e.backfill("events_day")  # nothing left to do
+    return e.view("events_day").select("user_id", "day", "value_count", r6("value_avg").alias("value_avg"))
+
+
+def setup_first_sql_join(spark, sf_dir):
+    """Relations named before any data exists (one with a name that is no identifier),
+    two batches ingested later, then the flagship join of last values and a dimension in SQL."""
+    spec = {"tables": [{**EVENTS_TABLE, "name": "user-events"}], "analytical_tables": [{"table": "user-events", "aggregator": LAST}]}
+    e = engine(spark, spec, "setup-first")
+    e.setup()
+    e.register("people", read(spark, sf_dir, "customer"))
+    for i, part in enumerate(split_batches(read(spark, sf_dir, "events"), ["event_id"], 2)):
+        e.ingest(part, "user-events", "s", i)
+    return e.sql(
+        "SELECT l.user_id, l.ts, l.value, p.c_name, f.n_facts FROM `user-events_last` l "
+        "JOIN people p ON p.c_custkey = l.user_id "
+        "JOIN (SELECT user_id, count(*) AS n_facts FROM `user-events` GROUP BY user_id) f ON f.user_id = l.user_id"
+    )
+
+
+def json_several_objects(spark, sf_dir):
+    """Messages that hold two objects (on two lines, or as an array) beside messages with
+    text after the object; the key stays with every decoded row."""
+    t = load_spec({"tables": [EVENTS_WIRE_TABLE]}).tables[0]
+    value, late = codec.value_column(t), F.col("event_id") % 4
+    pair = F.concat(value, F.lit("\n"), value)
+    text = F.when(late == 0, pair).when(late == 1, F.concat(F.lit("["), value, F.lit(","), value, F.lit("]")))
+    text = text.when(late == 2, F.concat(value, F.lit(" trailing"))).otherwise(value)
+    msgs = read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), text.alias("value"))
+    d = codec.decode(msgs, t)
+    status = F.coalesce(F.col(codec.REASON), F.lit("ok")).alias("status")
+    return d.groupBy("key", status).agg(F.count(F.lit(1)).alias("n"), F.count("event_id").alias("n_ids"))
+
+
+def bucket_functions(spark, sf_dir):
+    """Events per value of every bucket function."""
+    ev = read(spark, sf_dir, "events")
+    names = sorted(timefn.BUCKET_FUNCTIONS)
+    each = [ev.select(F.lit(n).alias("name"), timefn.bucket("ts", [n]).cast("string").alias("bucket")) for n in names]
+    return reduce(DataFrame.unionAll, each).groupBy("name", "bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def facts_filtered(spark, sf_dir):
+    """P3/P4 over the fact store: lineitem in two batches, one of them folded; one supplier and a
+    range between two dates."""
+    e = engine(spark, {"tables": [LINEITEM_TABLE]}, "facts-filtered")
+    parts = split_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 2)
+    e.ingest(parts[0], "lineitem", "s", 0)
+    e.compact_facts("lineitem")
+    e.ingest(parts[1], "lineitem", "s", 1)
+    t = e.spec.table("lineitem")
+    return store.time_range(store.for_id(e.facts("lineitem"), t, 1), t, dt.date(1996, 3, 15), dt.date(1996, 7, 1))
+
+
 QUERIES = {
     "scan_all": scan_all,
     "filter_id": filter_id,
@@ -528,6 +611,12 @@ QUERIES = {
     "spec_persisted_rollup": spec_persisted_rollup,
     "stream_native_window": stream_native_window,
     "compacted_facts": compacted_facts,
+    "late_batch_after_compaction": late_batch_after_compaction,
+    "backfill_after_compaction": backfill_after_compaction,
+    "setup_first_sql_join": setup_first_sql_join,
+    "json_several_objects": json_several_objects,
+    "bucket_functions": bucket_functions,
+    "facts_filtered": facts_filtered,
 }
 
 

@@ -18,14 +18,21 @@ def _trunc(unit: str) -> Callable[[Column], Column]:
     return lambda c: F.date_trunc(unit, c).cast("timestamp_ntz")
 
 
+def _week_start(c: Column) -> Column:
+    """The Sunday on or before a time, as a date."""
+    day = F.to_date(c)
+    return F.date_sub(day, F.dayofweek(day) - 1)
+
+
 # The bucket function names a spec may use, each a unary Column → Column.
+# Minutes, hours and days start at a time; weeks (Sundays), months and years at a date.
 BUCKET_FUNCTIONS: dict[str, Callable[[Column], Column]] = {
     "toStartOfMinute": _trunc("minute"),
     "toStartOfHour": _trunc("hour"),
     "toStartOfDay": _trunc("day"),
-    "toStartOfWeek": _trunc("week"),
-    "toStartOfMonth": _trunc("month"),
-    "toStartOfYear": _trunc("year"),
+    "toStartOfWeek": _week_start,
+    "toStartOfMonth": lambda c: F.trunc(c, "month"),
+    "toStartOfYear": lambda c: F.trunc(c, "year"),
     "toDate": F.to_date,
     "toYYYYMM": lambda c: yyyymm(c),
 }

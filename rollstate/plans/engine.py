@@ -8,7 +8,7 @@ Every operation is idempotent per ``(source_id, batch_id)``: replaying a batch r
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from rollstate.functions import geo
 from rollstate.operators import rollups
 from rollstate.operators.dims import enrich as join_small_on
 from rollstate.operators.dims import join_small
+from rollstate.plans import manifest
 from rollstate.plans.fact_store import FactStore
 from rollstate.plans.state_store import StateStore
 from rollstate.sources import store
@@ -29,6 +30,7 @@ class Engine:
         self.spec = spec if isinstance(spec, Spec) else load_spec(spec)
         self.root = root.rstrip("/")
         self._stores: dict[str, StateStore] = {}
+        self._named: dict[str, Callable[[], DataFrame]] = {}
 
     # ------------------------------------------------------------------ locations
     def facts_path(self, table: str) -> str:
@@ -41,17 +43,33 @@ class Engine:
         return self._stores[rollup]
 
     # ------------------------------------------------------------------ setup and reads
+    def register(self, name: str, relation: DataFrame | Callable[[], DataFrame]) -> None:
+        """Name a relation for ``sql`` (create-or-replace): a dimension's frame, or a function that
+        opens it anew for every query."""
+        self._named[name] = relation if callable(relation) else (lambda: relation)
+
     def setup(self) -> list[str]:
-        """Register every fact table and rollup view as a temp view (create-or-replace, idempotent).
-        Returns the registered names."""
-        names = []
+        """Name every fact table and rollup and register each as a temp view (create-or-replace,
+        idempotent); returns the names.  May run before any data exists.  A temp view shows the data
+        of its registration; ``sql`` always shows the newest."""
         for t in self.spec.tables:
-            self.facts(t.name).createOrReplaceTempView(t.name)
-            names.append(t.name)
+            self.register(t.name, lambda name=t.name: self.facts(name))
         for at in self.spec.analytical_tables:
-            self.view(at.name).createOrReplaceTempView(at.name)
-            names.append(at.name)
-        return names
+            self.register(at.name, lambda name=at.name: self.view(name))
+        self._refresh()
+        return [*(t.name for t in self.spec.tables), *(at.name for at in self.spec.analytical_tables)]
+
+    def _refresh(self) -> None:
+        for name, opened in self._named.items():
+            opened().createOrReplaceTempView("`" + name.replace("`", "``") + "`")
+
+    def sql(self, text: str) -> DataFrame:
+        """Run SQL over the named relations, each resolved now: rows ingested after ``setup`` are
+        seen.  Any name works, in backticks where SQL asks for them."""
+        if not self._named:
+            self.setup()
+        self._refresh()
+        return self.spark.sql(text)
 
     def fact_store(self, table: str) -> FactStore:
         return FactStore(self.spark, self.spec.table(table), self.facts_path(table))
@@ -132,15 +150,17 @@ class Engine:
     def backfill(self, rollup: str) -> None:
         """Build states for facts stored before the rollup existed.
 
-        Every stored fact batch that has no state batch yet is aggregated (one job, grouped per
-        batch) and written under the fact batch's own ``(source_id, batch_id)``, so a later replay of
-        that batch replaces rather than duplicates it.  Run before the rollup's first compaction.
+        Every stored fact batch that is neither folded into the rollup's newest version nor stored
+        as a state batch is aggregated (one job, grouped per batch) and written under the fact
+        batch's own ``(source_id, batch_id)``, so a later replay of that batch replaces rather than
+        duplicates it.  May run at any time, after compactions too.
         """
         st = self.states(rollup)
         at = st.at
         facts = self.fact_store(at.table.name).scan(identity=True)  # rows keep the batch they came in
         if facts is None:
             return
+        folded = manifest.folded_column(st.manifest(), F.col(store.SOURCE), F.col(store.BATCH))
         done = st.covered_batches()  # one row per stored batch
-        todo = join_small(facts, done, [store.SOURCE, store.BATCH], "left_anti")
+        todo = join_small(facts.where(~folded), done, [store.SOURCE, store.BATCH], "left_anti")
         st.write_batches(rollups.partial(todo, at, extra_keys=(store.SOURCE, store.BATCH)))

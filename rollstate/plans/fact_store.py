@@ -2,23 +2,24 @@
 
 Ingest writes ``yyyymm=<m>/source_id=<s>/batch_id=<n>/`` per batch (a retry replaces its own
 folder).  A long-running stream therefore leaves one folder per micro-batch and month; at scale that
-is millions of directories to list and tiny files to open.  A compaction *round* ``r``:
+is millions of directories to list and tiny files to open.  A compaction *round*:
 
-1. fixes the batches to fold (highest batch id per source that is not folded yet);
+1. fixes the batches to fold (those not folded yet);
 2. rewrites exactly those rows, rebalanced by month and sorted by ``(id, ts)``, into
-   ``yyyymm=<m>/source_id=__compacted__/batch_id=<r>/`` — only the new batches, so a round costs
-   what was ingested since the previous one; every row keeps its original ``(source_id, batch_id)``
-   as the data columns ``_source_id`` / ``_batch_id``;
-3. commits by writing manifest version ``r`` (per source: highest folded batch id).
-
-Readers see all committed rounds plus every batch above the watermark of its source, so a reader
-sees the old or the new layout, never both or neither.  A replayed batch at or below the watermark
-is ignored.  ``vacuum`` deletes folded batch folders.
+   ``yyyymm=<m>/source_id=__compacted__/batch_id=<unique round id>/`` — only the new batches, so a
+   round costs what was ingested since the previous one; every row keeps its original
+   ``(source_id, batch_id)`` as the data columns ``_source_id`` / ``_batch_id``;
+3. commits the next manifest version: the round ids so far and the folded batches.
+
+Readers see all committed rounds plus every batch that is not folded, so a reader sees the old or
+the new layout, never both or neither.  A replayed batch that is folded is ignored; a late batch is
+not folded, whatever its id.  ``vacuum`` deletes batch folders folded by the oldest kept version.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,16 +61,13 @@ class FactStore:
             raise
 
     @staticmethod
-    def _unfolded(watermarks: dict[str, int]) -> Column:
+    def _unfolded(folded: manifest.Folded) -> Column:
         """Batch folders not yet folded into a round (partition-column predicate: pruned at listing)."""
-        cond = F.col(SOURCE) != COMPACTED
-        for source, max_batch in watermarks.items():
-            cond = cond & ~((F.col(SOURCE) == source) & (F.col(BATCH) <= max_batch))
-        return cond
+        return (F.col(SOURCE) != COMPACTED) & ~manifest.folded_column(folded, F.col(SOURCE), F.col(BATCH))
 
-    def _live(self, round_: int | None, watermarks: dict[str, int]) -> Column:
-        rounds = (F.col(SOURCE) == COMPACTED) & (F.col(BATCH) <= round_) if round_ else F.lit(False)
-        return rounds | self._unfolded(watermarks)
+    def _live(self, rounds: list[str], folded: manifest.Folded) -> Column:
+        done = (F.col(SOURCE) == COMPACTED) & F.col(BATCH).isin([int(r) for r in rounds]) if rounds else F.lit(False)
+        return done | self._unfolded(folded)
 
     def scan(self, identity: bool = False) -> DataFrame | None:
         """Live fact rows (declared columns + ``yyyymm``); with ``identity`` also the batch each row
@@ -77,8 +75,8 @@ class FactStore:
         raw = self._raw()
         if raw is None:
             return None
-        round_, watermarks = self._manifest.snapshot()
-        df = raw.where(self._live(round_, watermarks))
+        _, rounds, folded = self._manifest.snapshot()
+        df = raw.where(self._live(rounds, folded))
         cols = [*[c.name for c in self.table.all_columns], MONTH]
         if not identity:
             return df.select(*cols)
@@ -92,61 +90,61 @@ class FactStore:
         return self._manifest.versions()
 
     def compact(self, max_records_per_file: int = 5_000_000) -> int:
-        """Fold every unfolded batch into a new round; returns the newest round number."""
-        raw = self._raw()
-        round_, watermarks = self._manifest.snapshot()
-        if raw is None:
-            return round_ or 0
-        pending = raw.where(self._unfolded(watermarks))
-        snapshot = {r[0]: r[1] for r in pending.groupBy(SOURCE).agg(F.max(BATCH)).collect()}
-        if not snapshot:
-            return round_ or 0
-        new = (round_ or 0) + 1
-        chosen = reduce(
-            lambda acc, kv: acc | ((F.col(SOURCE) == kv[0]) & (F.col(BATCH) <= kv[1])), snapshot.items(), F.lit(False)
-        )
+        """Fold every unfolded batch into a new round; returns the newest manifest version."""
         t = self.table
-        (
-            pending.where(chosen)
-            .select(
-                *[F.col(c.name) for c in t.all_columns],
-                F.col(SOURCE).alias(ORIG_SOURCE),
-                F.col(BATCH).alias(ORIG_BATCH),
-                F.col(MONTH),
+        while True:
+            raw = self._raw()
+            version, rounds, folded = self._manifest.snapshot()
+            if raw is None:
+                return version
+            pending = raw.where(self._unfolded(folded))
+            chosen, after = {}, folded
+            for source, ids in pending.groupBy(SOURCE).agg(F.collect_set(BATCH)).collect():
+                chosen = manifest.add_batches(chosen, source, ids)
+                after = manifest.add_batches(after, source, ids)
+            if not chosen:
+                return version
+            new = uuid.uuid4().int >> 66  # names this attempt's folders
+            (
+                pending.where(manifest.folded_column(chosen, F.col(SOURCE), F.col(BATCH)))
+                .select(
+                    *[F.col(f"`{c.name}`") for c in t.all_columns],
+                    F.col(SOURCE).alias(ORIG_SOURCE),
+                    F.col(BATCH).alias(ORIG_BATCH),
+                    F.col(MONTH),
+                )
+                .hint("rebalance", MONTH)
+                .withColumn(SOURCE, F.lit(COMPACTED))
+                .withColumn(BATCH, F.lit(new).cast("long"))
+                .sortWithinPartitions(MONTH, SOURCE, BATCH, t.id, t.ts)  # partition columns first: see store
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
+                .option("maxRecordsPerFile", max_records_per_file)
+                .partitionBy(MONTH, SOURCE, BATCH)
+                .parquet(self.root)
             )
-            .hint("rebalance", MONTH)
-            .withColumn(SOURCE, F.lit(COMPACTED))
-            .withColumn(BATCH, F.lit(new).cast("long"))
-            .sortWithinPartitions(MONTH, SOURCE, BATCH, t.id, t.ts)  # partition columns first: see store
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .option("maxRecordsPerFile", max_records_per_file)
-            .partitionBy(MONTH, SOURCE, BATCH)
-            .parquet(self.root)
-        )
-        merged = {**watermarks}
-        for source, b in snapshot.items():
-            merged[source] = max(b, merged.get(source, -1))
-        self._manifest.write(new, merged)
-        return new
+            if self._manifest.commit(version + 1, [*rounds, str(new)], after):
+                return version + 1
+            self._delete(lambda source, batch: source == COMPACTED and batch == new)
 
-    def vacuum(self, keep_versions: int = 2) -> int:
-        """Delete batch folders already folded into a round and manifest versions older than the
-        newest ``keep_versions``; returns the number of batch folders deleted."""
-        round_, watermarks = self._manifest.snapshot()
-        if round_ is None:
-            return 0
+    def _delete(self, wanted: Callable[[str, int], bool]) -> int:
         deleted = 0
         for _, month_path in manifest.children(self.spark, self.root, MONTH):
             for source, src_path in manifest.children(self.spark, str(month_path), SOURCE):
-                limit = watermarks.get(source)
-                if source == COMPACTED or limit is None:
-                    continue
+                name = manifest.unescaped(self.spark, source)
                 for batch, b_path in manifest.children(self.spark, str(src_path), BATCH):
-                    if int(batch) <= limit:
+                    if wanted(name, int(batch)):
                         manifest.delete(self.spark, b_path)
                         deleted += 1
-        for v in self._manifest.versions()[: -max(1, keep_versions)]:
+        return deleted
+
+    def vacuum(self, keep_versions: int = 2) -> int:
+        """Delete batch folders folded by the oldest of the newest ``keep_versions`` versions (the
+        state before any round counts as one), and older manifest versions.  Frames opened on a kept
+        version stay readable.  Returns the number of batch folders deleted."""
+        _, folded, dropped = self._manifest.kept(keep_versions)
+        deleted = self._delete(lambda source, batch: manifest.is_folded(folded, source, batch)) if folded else 0
+        for v in dropped:
             self._manifest.drop(v)
         return deleted

@@ -1,16 +1,58 @@
-"""Versioned watermark manifests: ``<path>/version=<k>/`` holds rows ``(source_id, max_batch_id)``.
+"""Versioned manifests of what has been compacted: ``<path>/version=<k>.json``.
 
-A version is visible once its write job committed; the newest committed version says, per source,
-up to which batch id the data has been folded into a compacted form.  Writing a new version folder
-is the commit point of a compaction; nothing is overwritten in place.
+A version names the data written for it and, per source, the exact batches folded into it as closed
+ranges of batch ids.  A batch outside every range is not folded, whatever batches came before or
+after it, so late batches and backfilled ones stay visible until a later version folds them.
+
+Creating the file of a version is the commit point.  It is moved into place without overwriting, so
+of two compactions that both prepared version ``k`` one commits and the other starts over.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import json
+import uuid
+from collections.abc import Iterable
+
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 VERSION = "version"
-SCHEMA = "source_id string, max_batch_id long"
+Folded = dict[str, list[list[int]]]
+
+
+def add_batches(folded: Folded, source: str, batches: Iterable[int]) -> Folded:
+    """``folded`` with more batches of a source, as sorted closed ranges that neither touch nor overlap."""
+    ranges = sorted([*map(list, folded.get(source, [])), *([int(b), int(b)] for b in batches)])
+    merged: list[list[int]] = []
+    for lo, hi in ranges:
+        if merged and lo <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], hi)
+        else:
+            merged.append([lo, hi])
+    return {**folded, source: merged}
+
+
+def is_folded(folded: Folded, source: str, batch: int) -> bool:
+    return any(lo <= batch <= hi for lo, hi in folded.get(source, []))
+
+
+def folded_column(folded: Folded, source: Column, batch: Column) -> Column:
+    """True for a folded batch: a predicate on partition columns, so folders are pruned at listing."""
+    cond = F.lit(False)
+    for name, ranges in sorted(folded.items()):
+        for lo, hi in ranges:
+            cond = cond | ((source == name) & batch.between(lo, hi))
+    return cond
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it in a folder name."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def unescaped(spark: SparkSession, value: str) -> str:
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(value)
 
 
 def filesystem(spark: SparkSession, path: str):
@@ -20,12 +62,6 @@ def filesystem(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def committed(fs, folder) -> bool:
-    """A job's output folder is committed once its files sit directly in it (``_SUCCESS`` or
-    ``part-*``; uncommitted task output lives under ``_temporary``)."""
-    return any(c.getPath().getName() == "_SUCCESS" or c.getPath().getName().startswith("part-") for c in fs.listStatus(folder))
-
-
 def children(spark: SparkSession, path: str, prefix: str) -> list[tuple[str, object]]:
     """``(value, Path)`` of sub-folders named ``<prefix>=<value>`` (empty when ``path`` is absent)."""
     fs, p = filesystem(spark, path)
@@ -50,30 +86,61 @@ class Manifest:
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def _file(self, version: int) -> str:
+        return f"{self.path}/{VERSION}={version}.json"
+
     def versions(self) -> list[int]:
         """Committed versions, ascending."""
-        fs, _ = filesystem(self.spark, self.path)
-        return sorted(int(v) for v, p in children(self.spark, self.path, VERSION) if committed(fs, p))
-
-    def read(self, version: int) -> dict[str, int]:
-        rows = self.spark.read.schema(SCHEMA).json(f"{self.path}/{VERSION}={version}").collect()
-        return {r.source_id: r.max_batch_id for r in rows}
-
-    def snapshot(self) -> tuple[int | None, dict[str, int]]:
-        """Newest version and its watermarks; the version is found by listing, one version is read."""
+        fs, p = filesystem(self.spark, self.path)
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n[len(VERSION) + 1 : -5]) for n in names if n.startswith(f"{VERSION}=") and n.endswith(".json"))
+
+    def read(self, version: int) -> tuple[list[str], Folded]:
+        """The data a version names, and its folded batches."""
+        fs, p = filesystem(self.spark, self._file(version))
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        content = json.loads(text)
+        return content["data"], content["folded"]
+
+    def snapshot(self) -> tuple[int, list[str], Folded]:
+        """Newest version (0: none yet), its data and its folded batches."""
         versions = self.versions()
-        if not versions:
-            return None, {}
-        return versions[-1], self.read(versions[-1])
-
-    def write(self, version: int, watermarks: dict[str, int]) -> None:
-        rows = [(s, int(b)) for s, b in sorted(watermarks.items())]
-        (
-            self.spark.createDataFrame(rows, SCHEMA)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .json(f"{self.path}/{VERSION}={version}")
-        )
+        return (versions[-1], *self.read(versions[-1])) if versions else (0, [], {})
+
+    def commit(self, version: int, data: list[str], folded: Folded) -> bool:
+        """Makes a version visible; False if another writer has committed it already."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        draft, final = f"{self.path}/_draft-{uuid.uuid4().hex}", self._file(version)
+        fs, p = filesystem(self.spark, draft)
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps({"data": data, "folded": folded}, sort_keys=True).encode()))
+        out.close()
+        target = jvm.org.apache.hadoop.fs.Path(final)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(p).toUri(), conf)
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, "NONE")
+        try:
+            context.rename(fs.makeQualified(p), fs.makeQualified(target), options)
+            return True
+        except Exception:
+            if version not in self.versions():
+                raise
+            return False
+        finally:
+            delete(self.spark, draft)
+
+    def kept(self, keep_versions: int) -> tuple[int, Folded, list[int]]:
+        """Oldest of the newest ``keep_versions`` versions (0, the state before any, counts as one),
+        its folded batches, and the versions older than it."""
+        versions = [0, *self.versions()]
+        kept = versions[-max(1, keep_versions) :]
+        return kept[0], self.read(kept[0])[1] if kept[0] else {}, [v for v in versions[: -len(kept)] if v]
 
     def drop(self, version: int) -> None:
-        delete(self.spark, f"{self.path}/{VERSION}={version}")
+        delete(self.spark, self._file(version))

@@ -3,16 +3,16 @@
 Layout under ``<root>`` (a folder on the shared file system)::
 
     batches/source_id=<s>/batch_id=<n>/part-*.parquet   one write per (source, batch); a retry replaces it
-    compacted/version=<k>/part-*.parquet                 merged states of every batch the manifest names
-    manifest/version=<k>/part-*.json                     rows (source_id, max_batch_id): the commit point
+    compacted/<unique folder>/part-*.parquet             merged states of the batches a version folded
+    manifest/version=<k>.json                            the commit point: that folder, and those batches
 
-Readers take the newest manifest, the compacted version it names, and every batch newer than the
-manifest's ``max_batch_id`` for its source.  Compaction writes a new version and then a new manifest;
-nothing is overwritten in place, so a reader sees either the old or the new version, never a mix,
-and a crashed compaction leaves only an unreferenced folder that the retry overwrites.
+Readers take the newest manifest, the folder it names, and every batch outside its folded ranges.
+Compaction writes a folder of its own and then commits the next version; nothing is overwritten, so
+a reader sees either the old or the new version, never a mix.  Of two compactions at once one
+commits and the other starts over from the winner; a crashed one leaves an unreferenced folder.
 
-``vacuum`` then deletes manifest/compacted versions older than the kept ones and the batch folders
-folded into the oldest kept version, so storage and listing stay bounded on a long-running stream.
+``vacuum`` deletes versions older than the kept ones, their folders, and the batch folders folded
+into the oldest kept version, so storage and listing stay bounded on a long-running stream.
 
 ``source_id`` is created once per stream (and stored beside its checkpoint) because Structured
 Streaming restarts ``batch_id`` at 0 with a fresh checkpoint: the pair, not the batch id alone, is the
@@ -31,7 +31,6 @@ from pyspark.sql import types as T
 
 from rollstate.operators import rollups
 from rollstate.plans import manifest
-from rollstate.plans.manifest import VERSION
 from rollstate.sources.store import BATCH, SOURCE
 from rollstate.spec import AnalyticalTable
 
@@ -80,8 +79,8 @@ class StateStore:
         )
 
     # ------------------------------------------------------------------ reads
-    def snapshot(self) -> tuple[int | None, dict[str, int]]:
-        """Newest manifest version and its watermarks (source_id → highest folded batch_id)."""
+    def snapshot(self) -> tuple[int, list[str], manifest.Folded]:
+        """Newest version (0: none yet), the folders it names and the batches folded into them."""
         return self._manifest.snapshot()
 
     def versions(self) -> list[int]:
@@ -89,36 +88,35 @@ class StateStore:
         return self._manifest.versions()
 
     def vacuum(self, keep_versions: int = 2) -> dict[str, int]:
-        """Delete what no reader of the newest ``keep_versions`` versions can need: older manifest and
-        compacted versions, and batch partitions folded into the oldest kept version.
+        """Delete what no reader of the newest ``keep_versions`` versions can need: older manifest
+        versions with their folders, and batches folded into the oldest kept version.
 
-        Returns counts of deleted folders.  Readers of a version older than the kept ones may fail
-        and retry on the newest; readers of kept versions are unaffected.
+        The state before the first compaction counts as a version.  Returns counts of deleted
+        folders.  Readers of a version older than the kept ones may fail and retry on the newest.
         """
-        versions = self.versions()
-        if not versions:
-            return {"versions": 0, "batches": 0}
-        keep_versions = max(1, keep_versions)
-        kept, dropped = versions[-keep_versions:], versions[:-keep_versions]
-        folded = self._manifest.read(kept[0])
+        oldest, folded, dropped = self._manifest.kept(keep_versions)
         n_batches = 0
         for source, src_path in manifest.children(self.spark, self.batches_path, SOURCE):
-            limit = folded.get(source)
-            if limit is None:
+            name = manifest.unescaped(self.spark, source)
+            if name not in folded:
                 continue
             for batch, b_path in manifest.children(self.spark, str(src_path), BATCH):
-                if int(batch) <= limit:
+                if manifest.is_folded(folded, name, int(batch)):
                     manifest.delete(self.spark, b_path)
                     n_batches += 1
-        for v in dropped:  # manifest first: a version without manifest is invisible to readers
-            self._manifest.drop(v)
-            manifest.delete(self.spark, f"{self.compacted_path}/{VERSION}={v}")
+        needed = {f for v in self.versions() if v >= oldest for f in self._manifest.read(v)[0]}
+        for v in dropped:
+            folders = self._manifest.read(v)[0]
+            self._manifest.drop(v)  # first: a version without manifest is invisible to readers
+            for folder in set(folders) - needed:
+                manifest.delete(self.spark, f"{self.compacted_path}/{folder}")
         return {"versions": len(dropped), "batches": n_batches}
 
-    def manifest(self) -> dict[str, int]:
-        return self.snapshot()[1]
+    def manifest(self) -> manifest.Folded:
+        """Batches folded into the newest version, as ranges by source."""
+        return self.snapshot()[2]
 
-    def latest_version(self) -> int | None:
+    def latest_version(self) -> int:
         return self.snapshot()[0]
 
     def _read_parquet(self, path: str, schema: T.StructType) -> DataFrame | None:
@@ -129,37 +127,31 @@ class StateStore:
                 return None
             raise
 
-    def batches(self, newer_than: dict[str, int] | None = None) -> DataFrame | None:
+    def batches(self, folded: manifest.Folded | None = None) -> DataFrame | None:
         """Batch states, without those already folded into the compacted version."""
         schema = T.StructType(
             [*self.state_schema().fields, T.StructField(SOURCE, T.StringType()), T.StructField(BATCH, T.LongType())]
         )
         df = self._read_parquet(self.batches_path, schema)
-        if df is None:
-            return None
-        for source, max_batch in (newer_than or {}).items():
-            # Partition-column predicates: folded batches are pruned from the file listing.
-            df = df.where(~((F.col(SOURCE) == source) & (F.col(BATCH) <= max_batch)))
-        return df
+        if df is None or not folded:
+            return df
+        return df.where(~manifest.folded_column(folded, F.col(SOURCE), F.col(BATCH)))
 
     def states(self) -> DataFrame:
-        """Every live state row (compacted version ∪ newer batches), state columns and keys only."""
-        schema = self.state_schema()
-        cols = schema.fieldNames()
-        version, manifest = self.snapshot()
-        parts = []
-        if version is not None:
-            parts.append(self._compacted(schema, version).select(*cols))
-        newer = self.batches(manifest)
+        """Every live state row (compacted version ∪ batches not in it), state columns and keys only."""
+        cols = self.state_schema().fieldNames()
+        _, folders, folded = self.snapshot()
+        parts = self._compacted(folders)
+        newer = self.batches(folded)
         if newer is not None:
             parts.append(newer.select(*cols))
         if not parts:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], self.state_schema())
         return reduce(DataFrame.unionByName, parts)
 
-    def _compacted(self, schema: T.StructType, version: int) -> DataFrame:
-        full = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
-        return self._read_parquet(self.compacted_path, full).where(F.col(VERSION) == version)
+    def _compacted(self, folders: list[str]) -> list[DataFrame]:
+        schema = self.state_schema()
+        return [self.spark.read.schema(schema).parquet(f"{self.compacted_path}/{f}") for f in folders]
 
     def view(self) -> DataFrame:
         """Merge-on-read: the rollup's final columns."""
@@ -175,40 +167,29 @@ class StateStore:
 
     # ------------------------------------------------------------------ compaction
     def compact(self) -> int:
-        """Fold every live state into a new compacted version; returns the new version number.
+        """Fold every live state into a new compacted version; returns the newest version number.
 
-        The snapshot is fixed first (highest batch per source present now), and only batches inside
-        it are read, so batches that land meanwhile stay separate and are read on top of the new
-        version.  The merged result is written before the manifest that makes it visible.
+        The batches to fold are fixed first and named in the manifest, so batches that land
+        meanwhile, whatever their ids, stay separate and are read on top of the new version.
         """
-        old_version, old_manifest = self.snapshot()
-        new_version = (old_version or 0) + 1
-        batches = self.batches(old_manifest)
-        snapshot = {}
-        if batches is not None:
-            snapshot = {r[0]: r[1] for r in batches.groupBy(SOURCE).agg(F.max(BATCH)).collect()}
-        if not snapshot:
-            return old_version or 0
-        schema = self.state_schema()
-        cols = schema.fieldNames()
-        parts = []
-        if old_version is not None:
-            parts.append(self._compacted(schema, old_version).select(*cols))
-        in_snapshot = reduce(
-            lambda acc, kv: acc | ((F.col(SOURCE) == kv[0]) & (F.col(BATCH) <= kv[1])), snapshot.items(), F.lit(False)
-        )
-        parts.append(batches.where(in_snapshot).select(*cols))
-        merged = rollups.merge(reduce(DataFrame.unionByName, parts), self.at)
-        (
-            merged.write.mode("overwrite")
-            .option("compression", "zstd")
-            .parquet(f"{self.compacted_path}/{VERSION}={new_version}")
-        )
-        watermarks = {**old_manifest}
-        for src, b in snapshot.items():
-            watermarks[src] = max(b, watermarks.get(src, -1))
-        self._manifest.write(new_version, watermarks)
-        return new_version
+        cols = self.state_schema().fieldNames()
+        while True:
+            version, folders, folded = self.snapshot()
+            batches = self.batches(folded)
+            pending = [] if batches is None else batches.groupBy(SOURCE).agg(F.collect_set(BATCH)).collect()
+            if not pending:
+                return version
+            chosen, after = {}, folded
+            for source, ids in pending:
+                chosen = manifest.add_batches(chosen, source, ids)
+                after = manifest.add_batches(after, source, ids)
+            fresh = batches.where(manifest.folded_column(chosen, F.col(SOURCE), F.col(BATCH))).select(*cols)
+            merged = rollups.merge(reduce(DataFrame.unionByName, [*self._compacted(folders), fresh]), self.at)
+            folder = uuid.uuid4().hex
+            merged.write.option("compression", "zstd").parquet(f"{self.compacted_path}/{folder}")
+            if self._manifest.commit(version + 1, [folder], after):
+                return version + 1
+            manifest.delete(self.spark, f"{self.compacted_path}/{folder}")
 
 
 def stable_source_id(spark: SparkSession, path: str) -> str:

@@ -41,13 +41,18 @@ def builder(master: str | None = None, shuffle_partitions: int | None = None, **
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set to a fresh local folder only when none is configured."""
+    """The cluster's shared checkpoint folder; a fresh local folder only on a ``local`` master without one.
+
+    Elsewhere a machine's own folder would not be shared, so an unset ``spark.checkpoint.dir`` raises.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="rollstate-ckpt-")  # unset: local/test session only
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -28,12 +28,12 @@ class TooManyRejects(RuntimeError):
 
 def value_column(table: Table) -> Column:
     """One JSON object with every declared column, timestamps with microseconds."""
-    return F.to_json(F.struct(*[F.col(c.name) for c in table.all_columns]), JSON_WRITE_OPTIONS)
+    return F.to_json(F.struct(*[F.col(f"`{c.name}`") for c in table.all_columns]), JSON_WRITE_OPTIONS)
 
 
 def encode(df: DataFrame, table: Table) -> DataFrame:
     """``key`` = the id as text, ``value`` = one JSON object with every declared column."""
-    return df.select(F.col(table.id).cast("string").alias("key"), value_column(table).alias("value"))
+    return df.select(F.col(f"`{table.id}`").cast("string").alias("key"), value_column(table).alias("value"))
 
 
 def _schema_with_corrupt(schema: T.StructType) -> T.StructType:
@@ -50,35 +50,61 @@ def parse(value: Column, schema: T.StructType) -> Column:
     )
 
 
+def _objects(value: Column) -> Column:
+    """The JSON values of one message as an array of texts; NULL when any part of it is not JSON.
+
+    A message may hold one object, objects on lines of their own, or an array of objects.  A line
+    break cannot stand inside a JSON string, so a brace, a break and a brace always end one object
+    and start the next.  ``from_json`` alone would read the first object and drop the rest.
+    """
+    text = F.trim(F.regexp_replace(value.cast("string"), r"\}[ \t\r]*\n\s*\{", "},{"))
+    return F.from_json(F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]"))), "array<string>")
+
+
+#: What ``fill_missing`` puts in place of a missing measure, by Spark type; other types get 0.
+DEFAULTS = {T.StringType: "", T.DateType: "1970-01-01", T.TimestampNTZType: "1970-01-01 00:00:00"}
+
+
 def decode(df: DataFrame, table: Table, fill_missing: bool = False) -> DataFrame:
     """Decode ``value`` into the table's columns plus ``reject_reason`` (NULL for a good row) and the
-    raw text of rejected messages.
+    raw text of what was rejected: one row per object of a message, none is dropped.
 
-    A message is rejected when it is not valid JSON, has a wrongly typed field, or lacks the id or
-    the time.  With ``fill_missing`` a missing measure becomes 0.0 instead of NULL.
+    A message that is not JSON from its first to its last character is rejected as a whole; an object
+    is rejected when it has a wrongly typed field or lacks the id or the time.  A ``key`` column is
+    kept.  With ``fill_missing`` a missing measure becomes its type's default instead of NULL.
     """
-    schema = table.schema
-    parsed = df.select(parse(F.col("value"), schema).alias("_r"), F.col("value").cast("string").alias("_raw"))
-    measures = [
-        F.coalesce(F.col(f"_r.{m}"), F.lit(0).cast(t.dtype)).alias(m) if fill_missing else F.col(f"_r.{m}").alias(m)
-        for m, t in ((c.name, c) for c in table.columns)
-    ]
+    keys = [c for c in df.columns if c == "key"]
+    raw = F.col("value").cast("string")
+    each = df.select(*keys, raw.alias("_message"), _objects(F.col("value")).alias("_objects"))
+    each = each.select(*keys, "_message", F.size("_objects").alias("_n"), F.explode_outer("_objects").alias("_object"))
+    # A single object is parsed from its own text; a message without any object is malformed.
+    alone = F.col("_object").isNull() | ((F.col("_n") == 1) & ~F.ltrim("_message").startswith("["))
+    text = F.when(alone, F.col("_message")).otherwise(F.col("_object"))
+    each = each.select(*keys, text.alias("_raw"), F.col("_object").isNotNull().alias("_found"))
+    parsed = each.select(*keys, F.when(F.col("_found"), parse(F.col("_raw"), table.schema)).alias("_r"), "_raw")
+
+    def measure(name: str, kind: T.DataType) -> Column:
+        col = F.col(f"_r.`{name}`")
+        return (F.coalesce(col, F.lit(DEFAULTS.get(type(kind), 0)).cast(kind)) if fill_missing else col).alias(name)
+
+    ident, time = F.col(f"_r.`{table.id}`"), F.col(f"_r.`{table.ts}`")
     reason = (
         F.when(F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull(), F.lit("malformed"))
-        .when(F.col(f"_r.{table.id}").isNull(), F.lit("missing id"))
-        .when(F.col(f"_r.{table.ts}").isNull(), F.lit("missing time"))
+        .when(ident.isNull(), F.lit("missing id"))
+        .when(time.isNull(), F.lit("missing time"))
     )
     return parsed.select(
-        F.col(f"_r.{table.id}").alias(table.id),
-        F.col(f"_r.{table.ts}").alias(table.ts),
-        *measures,
+        *keys,
+        ident.alias(table.id),
+        time.alias(table.ts),
+        *[measure(c.name, c.dtype) for c in table.columns],
         reason.alias(REASON),
         F.when(reason.isNotNull(), F.col("_raw")).alias(CORRUPT),
     )
 
 
 def good(decoded: DataFrame, table: Table) -> DataFrame:
-    return decoded.where(F.col(REASON).isNull()).select(*[c.name for c in table.all_columns])
+    return decoded.where(F.col(REASON).isNull()).select(*[F.col(f"`{c.name}`") for c in table.all_columns])
 
 
 def rejects(decoded: DataFrame) -> DataFrame:

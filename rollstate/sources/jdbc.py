@@ -13,8 +13,8 @@ def read(spark: SparkSession, url: str, table: str, **properties: str) -> DataFr
     return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**properties).load()
 
 
-def write(df: DataFrame, url: str, table: str, mode: str = "append", one_transaction: bool = True, **properties: str) -> None:
-    """Append rows; with ``one_transaction`` the frame is written from one partition, which Spark's
-    JDBC sink commits as one transaction (only for small dimension batches)."""
+def write(df: DataFrame, url: str, table: str, mode: str = "append", one_transaction: bool = False, **properties: str) -> None:
+    """Append rows, one transaction per partition; with ``one_transaction`` all rows go through one
+    partition and commit together (only for small dimension batches)."""
     out = df.coalesce(1) if one_transaction else df
     out.write.format("jdbc").option("url", url).option("dbtable", table).options(**properties).mode(mode).save()

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollstate.functions.timefn import yyyymm, yyyymm_of
+from rollstate.plans import manifest
 from rollstate.spec import Table
 
 MONTH = "yyyymm"
@@ -58,7 +59,16 @@ def write_facts(
     batch_id: int,
     max_records_per_file: int = 5_000_000,
 ) -> None:
-    """Write one batch of facts; rewriting the same ``(source_id, batch_id)`` replaces it."""
+    """Write one batch of facts; rewriting the same ``(source_id, batch_id)`` replaces all of it,
+    months that the new rows no longer have included."""
+    spark = df.sparkSession
+    stale = batch_folders(spark, root, source_id, batch_id)
+    if stale:  # a replay: drop the months it does not write again
+        months = conform(df, table).select(yyyymm(table.ts).cast("string").alias(MONTH)).distinct().collect()
+        present = {"__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0] for r in months}
+        for month, folder in stale.items():
+            if month not in present:
+                manifest.delete(spark, folder)
     out = (
         conform(df, table)
         .withColumn(MONTH, yyyymm(table.ts))
@@ -79,19 +89,22 @@ def write_facts(
     )
 
 
-def scan(spark: SparkSession, table: Table, root: str, with_partitions: bool = False) -> DataFrame:
-    """Whole-table scan with the declared schema (never inferred)."""
-    schema = T.StructType([*table.schema.fields, *PARTITION_FIELDS])
-    df = spark.read.schema(schema).parquet(root)
-    if with_partitions:
-        return df
-    return df.select(*[c.name for c in table.all_columns], MONTH)
+def batch_folders(spark: SparkSession, root: str, source_id: str, batch_id: int) -> dict[str, str]:
+    """Folders of one batch, by month."""
+    fs, _ = manifest.filesystem(spark, root)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    inner = f"{SOURCE}={manifest.escaped(spark, source_id)}/{BATCH}={int(batch_id)}"
+    found = {month: f"{p}/{inner}" for month, p in manifest.children(spark, root, MONTH)}
+    return {month: folder for month, folder in found.items() if fs.exists(path(folder))}
 
 
 def time_range(
-    df: DataFrame, table: Table, lo: dt.datetime | str | None = None, hi: dt.datetime | str | None = None
+    df: DataFrame,
+    table: Table,
+    lo: dt.datetime | dt.date | str | None = None,
+    hi: dt.datetime | dt.date | str | None = None,
 ) -> DataFrame:
-    """Rows with ``lo <= ts < hi``, plus the implied ``yyyymm`` bounds so whole months are pruned.
+    """Rows with ``lo <= ts < hi`` (a date bound is its midnight), plus the implied ``yyyymm`` bounds so whole months are pruned.
 
     Spark does not derive a partition predicate from a predicate on the time column, so both are
     added here; the time predicate itself also reaches the Parquet reader as a pushed filter.
@@ -100,7 +113,7 @@ def time_range(
     if lo is not None:
         cond = cond & (F.col(table.ts) >= _lit_ts(lo, table)) & (F.col(MONTH) >= yyyymm_of(lo))
     if hi is not None:
-        cond = cond & (F.col(table.ts) < _lit_ts(hi, table)) & (F.col(MONTH) <= yyyymm_of(hi))
+        cond = cond & (F.col(table.ts) < _lit_ts(hi, table)) & (F.col(MONTH) <= yyyymm_of(_as_time(hi) - dt.timedelta(microseconds=1)))
     return df.where(cond)
 
 
@@ -109,7 +122,13 @@ def for_id(df: DataFrame, table: Table, value: int) -> DataFrame:
     return df.where(F.col(table.id) == F.lit(value).cast("long"))
 
 
-def _lit_ts(v: dt.datetime | str, table: Table):
+def _as_time(v: dt.datetime | dt.date | str) -> dt.datetime:
+    if isinstance(v, str):
+        return dt.datetime.fromisoformat(v)
+    return v if isinstance(v, dt.datetime) else dt.datetime(v.year, v.month, v.day)
+
+
+def _lit_ts(v: dt.datetime | dt.date | str, table: Table):
     """A zone-less literal of the time column's type (from text, so no time zone is involved)."""
-    text = v if isinstance(v, str) else v.isoformat(sep=" ")
+    text = v if isinstance(v, str) else _as_time(v).isoformat(sep=" ")
     return F.lit(text).cast(table.ts_column.dtype)

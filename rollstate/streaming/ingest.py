@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rollstate.functions.timefn import bucket
 from rollstate.operators import aggs
 from rollstate.plans.engine import Engine
 from rollstate.plans.state_store import stable_source_id
@@ -129,34 +130,34 @@ def start_kafka(
     return queries
 
 
-def windowed_rollup(
-    decoded: DataFrame, table: Table, agg: IntervalAggregator, size: str = "1 day", watermark: str | None = None
-) -> DataFrame:
-    """The native Structured Streaming form of a one-day tumbling rollup keyed by id.
+def windowed_rollup(decoded: DataFrame, table: Table, agg: IntervalAggregator, watermark: str | None = None) -> DataFrame:
+    """The native Structured Streaming form of an interval rollup: one group per id and bucket.
 
-    Uses Spark's own streaming state store; with a ``watermark``, state older than it is dropped and
-    late rows beyond it are ignored (unlike ``start``, which never drops late rows).  Quantiles are
-    KLL sketches here because exact percentiles are not supported as streaming state.
+    The bucket is the spec's ``group_functions`` chain, so any interval works.  State is kept in
+    Spark's streaming state store; with a ``watermark``, groups whose latest possible time is older
+    are dropped and later rows for them start anew (unlike ``start``, which never drops late rows).
+    Quantiles are KLL sketches here because exact percentiles are not supported as streaming state.
     """
-    # Watermarks and windows need a zoned TIMESTAMP; the session time zone is pinned to UTC, so the
-    # cast from the zone-less column keeps the wall-clock value.
-    df = decoded.withColumn("_event_time", F.col(table.ts).cast("timestamp"))
-    df = df.withWatermark("_event_time", watermark) if watermark else df
+    df = decoded
+    keys = [F.col(f"`{table.id}`"), bucket(table.ts, agg.group_functions).alias(agg.name)]
+    if watermark:
+        # Watermarks need a zoned TIMESTAMP; the session time zone is pinned to UTC, so the cast from
+        # the zone-less column keeps the wall-clock value.  The bucket must then start at a time.
+        day = F.date_trunc("day", F.col(f"`{table.ts}`").cast("timestamp"))
+        df = df.withColumn("_event_time", day).withWatermark("_event_time", watermark)
+        keys.append(F.col("_event_time"))
     exprs = []
-    for c in table.measures:
+    for c in _inputs(table):
         for a in agg.aggregations:
             if c not in aggs.targets([c], table.measures, a):
                 continue
             fn = aggs.get(a.type)
             if fn.takes_probs:
-                e = fn.finish(fn.state(F.col(c), aggs.probs_of(a), []), aggs.probs_of(a))
+                e = fn.finish(fn.state(F.col(f"`{c}`"), aggs.probs_of(a), []), aggs.probs_of(a))
             else:
-                e = aggs.one_pass(a, F.col(c))
+                e = aggs.one_pass(a, F.col(f"`{c}`"))
             exprs.append(e.alias(f"{c}_{a.slug()}"))
-    w = F.window(F.col("_event_time"), size)
-    return df.groupBy(F.col(table.id), w.alias("_w")).agg(*exprs).select(
-        table.id, F.col("_w.start").cast("date").alias(agg.name), *[e_name for e_name in _names(table, agg)]
-    )
+    return df.groupBy(*keys).agg(*exprs).select(f"`{table.id}`", f"`{agg.name}`", *[f"`{n}`" for n in _names(table, agg)])
 
 
 def start_windowed(
@@ -165,25 +166,28 @@ def start_windowed(
     agg: IntervalAggregator,
     path: str,
     checkpoint: str,
-    size: str = "1 day",
     watermark: str | None = None,
     trigger: dict | None = None,
+    source_id: str | None = None,
 ) -> StreamingQuery:
     """Run ``windowed_rollup`` in update mode; every micro-batch's updated groups are written to
-    ``path`` under their batch id (a retried batch replaces its own folder).  ``latest_windows``
-    reads the current result back."""
+    ``path`` under the stream's source id and the batch id (a retried batch replaces its own folder).
+    ``latest_windows`` reads the result back.  Only one stream's groups may be merged: a second
+    stream (another checkpoint) counts its own rows and needs a path of its own."""
+    sid = source_id or stable_source_id(decoded.sparkSession, checkpoint.rstrip("/") + "_source_id")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn(store.BATCH, F.lit(int(batch_id)).cast("long"))
+            batch.withColumn(store.SOURCE, F.lit(sid))
+            .withColumn(store.BATCH, F.lit(int(batch_id)).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(store.BATCH)
+            .partitionBy(store.SOURCE, store.BATCH)
             .parquet(path)
         )
 
     w = (
-        windowed_rollup(decoded, table, agg, size, watermark)
+        windowed_rollup(decoded, table, agg, watermark)
         .writeStream.outputMode("update")
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
@@ -194,12 +198,20 @@ def start_windowed(
 
 
 def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest emitted row per group from ``start_windowed``'s output (one aggregation)."""
+    """The newest emitted row per group from ``start_windowed``'s output (one aggregation); raises if
+    several streams wrote there, whose groups count different rows."""
     ups = spark.read.parquet(path)
-    cols = [c for c in ups.columns if c not in (*keys, store.BATCH)]
-    newest = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(store.BATCH)).alias("_r")
-    return ups.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    sources = [r[0] for r in ups.select(store.SOURCE).distinct().limit(2).collect()]
+    if len(sources) > 1:
+        raise ValueError(f"{path} holds windows of several streams ({', '.join(map(str, sources))}, ...)")
+    cols = [c for c in ups.columns if c not in (*keys, store.SOURCE, store.BATCH)]
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]), F.col(store.BATCH)).alias("_r")
+    return ups.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in cols])
+
+
+def _inputs(table: Table) -> list[str]:
+    return [*table.measures, table.ts, table.id]
 
 
 def _names(table: Table, agg: IntervalAggregator) -> list[str]:
-    return [f"{c}_{a.slug()}" for c in table.measures for a in agg.aggregations if c in aggs.targets([c], table.measures, a)]
+    return [f"{c}_{a.slug()}" for c in _inputs(table) for a in agg.aggregations if c in aggs.targets([c], table.measures, a)]

@@ -88,3 +88,34 @@ def test_roundtrip_keeps_microseconds(spark):
     cols = [c.name for c in t.all_columns]
     assert as_set(back.collect()) == as_set(ev.select(*cols).collect())
     assert msgs.where("key <> cast(get_json_object(value, '$.user_id') as string)").count() == 0
+
+
+def test_several_objects_in_a_message(spark):
+    one = '{"station_id": 1, "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.1}'
+    two = '{"station_id": 2, "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.2}'
+    for text in (f"{one}\n{two}", f"{one}\r\n \n{two}\n", f"[{one}, {two}]"):
+        rows = _decode(spark, [text])
+        assert [(r.station_id, r.reject_reason) for r in rows] == [(1, None), (2, None)]
+    for text in (f"{one} garbage", f"{one}{two}", f"{one}\nnot json", f"[{one}", "", "[]", None):
+        rows = _decode(spark, [text])
+        assert [r.reject_reason for r in rows] == ["malformed"], text
+    rows = _decode(spark, [f'[{one}, {{"station_id": "x"}}]'])
+    assert [r.reject_reason for r in rows] == [None, "malformed"]
+
+
+def test_fill_missing_by_type_and_key(spark):
+    t = load_spec(
+        {
+            "tables": [
+                {
+                    "name": "obs",
+                    "id_column": {"name": "id", "type": "Int64"},
+                    "ts_column": {"name": "at", "type": "DateTime64(6)"},
+                    "columns": [{"name": n, "type": k} for n, k in (("s", "String"), ("d", "Date"), ("n", "Int64"), ("m", "DateTime64(3)"))],
+                }
+            ]
+        }
+    ).tables[0]
+    df = spark.createDataFrame([("k", '{"id": 1, "at": "2024-01-01T00:00:00"}')], "key string, value string")
+    r = codec.decode(df, t, fill_missing=True).first()
+    assert (r.key, r.s, r.d, r.n, r.m) == ("k", "", dt.date(1970, 1, 1), 0, dt.datetime(1970, 1, 1))

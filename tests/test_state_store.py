@@ -54,7 +54,7 @@ def test_compaction_keeps_results_and_later_batches(spark, tmp_root):
     assert v1 == 1
     assert as_set(_no_q(e.view("events_day")).collect(), 9) == before
     st = e.states("events_day")
-    assert st.manifest() == {"s": 2}
+    assert st.manifest() == {"s": [[0, 2]]}
     # a replay of an already compacted batch must not count twice
     e.ingest(parts[0], "events", "s", 0)
     assert as_set(_no_q(e.view("events_day")).collect(), 9) == before
@@ -62,7 +62,7 @@ def test_compaction_keeps_results_and_later_batches(spark, tmp_root):
     e.ingest(parts[4], "events", "other", 0)
     assert e.compact("events_day") == 2
     assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
-    assert st.manifest() == {"s": 3, "other": 0}
+    assert st.manifest() == {"s": [[0, 3]], "other": [[0, 0]]}
     # compacted states hold one row per key
     assert st.states().count() == st.states().select("user_id", "day").distinct().count()
     # nothing new: compaction is a no-op
@@ -111,12 +111,15 @@ def test_time_range_prunes_months(spark, tmp_root):
     spec = load_spec(catalog.LINEITEM_SPEC)
     t = spec.table("lineitem")
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    store.write_facts(li, t, f"{tmp_root}/facts", "load", 0)
-    facts = store.scan(spark, t, f"{tmp_root}/facts")
+    e = Engine(spark, {"tables": [catalog.LINEITEM_TABLE]}, tmp_root)
+    e.ingest(li, "lineitem", "load", 0)
+    facts = e.facts("lineitem")
     r = store.time_range(facts, t, "1996-03-15 00:00:00", "1996-07-01 00:00:00")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     plan = r._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(yyyymm" in plan and "(yyyymm#" in plan
-    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
+    partition_filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "yyyymm" in partition_filters and ">= 199603" in partition_filters and "<= 199606" in partition_filters
+    assert "GreaterThanOrEqual(l_shipdate" in plan.split("PushedFilters: [")[1]
     want = li.where((F.col("l_shipdate") >= "1996-03-15") & (F.col("l_shipdate") < "1996-07-01")).count()
     assert r.count() == want
     # id filter reaches the scan
@@ -197,7 +200,8 @@ def test_fact_compaction_rounds(spark, tmp_root):
     assert e.compact_facts("lineitem") == 1
     got = as_set(e.facts("lineitem").select(*cols).collect())
     assert got == as_set(catalog.split_batches(li, ["l_orderkey", "l_linenumber", "l_partkey"], 5)[0].unionByName(parts[1]).unionByName(parts[2]).select(*cols).collect())
-    # folded batch folders are gone: only the round's folder per month holds data
+    # the state before the round is a kept version, so its folders stay until asked otherwise
+    e.fact_store("lineitem").vacuum(keep_versions=1)
     months = manifest.children(spark, e.facts_path("lineitem"), store.MONTH)
     batches = {
         (s, b)
@@ -205,7 +209,7 @@ def test_fact_compaction_rounds(spark, tmp_root):
         for s, sp in manifest.children(spark, str(m), store.SOURCE)
         for b, _ in manifest.children(spark, str(sp), store.BATCH)
     }
-    assert batches == {(COMPACTED, "1")}
+    assert {s for s, _ in batches} == {COMPACTED} and len(batches) == 1
     e.ingest(parts[0], "lineitem", "s", 0)  # replay of a folded batch: ignored
     e.ingest(parts[3], "lineitem", "s", 3)
     e.ingest(parts[4], "lineitem", "t", 0)
@@ -242,21 +246,110 @@ def test_fact_files_are_sorted_by_id_and_time(spark, tmp_root):
         assert keys == sorted(keys), f
 
 
-def test_uncommitted_manifest_version_is_invisible(spark, tmp_path):
+def test_manifest_commits_a_version_once(spark, tmp_path):
     from rollstate.plans.manifest import Manifest
 
     m = Manifest(spark, str(tmp_path / "manifest"))
-    assert m.versions() == [] and m.snapshot() == (None, {})
-    m.write(1, {"s": 3})
-    # a crashed writer leaves only task output under _temporary: not a version yet
-    (tmp_path / "manifest" / "version=2" / "_temporary" / "0").mkdir(parents=True)
-    (tmp_path / "manifest" / "version=2" / "_temporary" / "0" / "part-00000.json").write_text('{"source_id":"s","max_batch_id":9}\n')
-    assert m.versions() == [1]
-    assert m.snapshot() == (1, {"s": 3})
-    m.write(2, {"s": 5, "t": 0})
-    assert m.snapshot() == (2, {"s": 5, "t": 0})
+    assert m.versions() == [] and m.snapshot() == (0, [], {})
+    assert m.commit(1, ["a"], {"s": [[0, 3]]})
+    assert not m.commit(1, ["b"], {"s": [[0, 9]]})  # another writer was first
+    assert m.snapshot() == (1, ["a"], {"s": [[0, 3]]})
+    assert m.commit(2, ["c"], {"s": [[0, 5]], "t": [[2, 2]]})
     m.drop(1)
-    assert m.versions() == [2]
+    assert m.versions() == [2] and not [p.name for p in (tmp_path / "manifest").iterdir() if "draft" in p.name]
+
+
+def test_folded_ranges():
+    from rollstate.plans.manifest import add_batches, is_folded
+
+    f = add_batches({}, "s", [5, 3, 4, 9])
+    assert f == {"s": [[3, 5], [9, 9]]}
+    f = add_batches(add_batches(f, "s", [6, 8]), "t", [0])
+    assert f == {"s": [[3, 6], [8, 9]], "t": [[0, 0]]}
+    assert add_batches(f, "s", [7])["s"] == [[3, 9]]
+    assert is_folded(f, "s", 6) and not is_folded(f, "s", 7) and not is_folded(f, "u", 0)
+
+
+def test_late_batch_after_compaction_is_not_lost(spark, tmp_root):
+    e = Engine(spark, SPEC, tmp_root)
+    parts = catalog.split_batches(_events(spark), ["event_id"], 3)
+    e.ingest(parts[1], "events", "s", 1)
+    e.compact("events_day", keep_versions=1)
+    e.compact_facts("events")
+    e.fact_store("events").vacuum(keep_versions=1)
+    e.ingest(parts[0], "events", "s", 0)
+    e.ingest(parts[2], "events", "s", 2)
+    e.compact("events_day", keep_versions=1)
+    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    assert e.facts("events").count() == _events(spark).count()
+
+
+def test_two_compactions_at_once_count_once(spark, tmp_root, monkeypatch):
+    e = Engine(spark, SPEC, tmp_root)
+    parts = catalog.split_batches(_events(spark), ["event_id"], 2)
+    e.ingest(parts[0], "events", "s", 0)
+    other = Engine(spark, SPEC, tmp_root)
+    commit, raced = other.states("events_day")._manifest.commit, []
+
+    def late(*args):
+        if not raced:  # the other compaction commits, and a batch arrives, before this one does
+            raced.append(e.compact("events_day"))
+            e.ingest(parts[1], "events", "s", 1)
+        return commit(*args)
+
+    monkeypatch.setattr(other.states("events_day")._manifest, "commit", late)
+    assert other.compact("events_day") == 2 and raced == [1]
+    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+
+
+def test_reader_open_across_fact_compaction(spark, tmp_root):
+    e = Engine(spark, SPEC, tmp_root)
+    parts = catalog.split_batches(_events(spark), ["event_id"], 2)
+    e.ingest(parts[0], "events", "s", 0)
+    before = e.facts("events")
+    e.compact_facts("events")
+    n = parts[0].count()
+    assert before.count() == n and e.facts("events").count() == n
+
+
+def test_replay_replaces_months_it_no_longer_has(spark, tmp_root):
+    import datetime as dt
+
+    e = Engine(spark, SPEC, tmp_root)
+    rows = [(1, dt.datetime(2024, 1, 5), 1.0), (1, dt.datetime(2024, 2, 5), 2.0)]
+    frame = lambda r: spark.createDataFrame(r, e.spec.table("events").schema)
+    e.ingest(frame(rows), "events", "a b/c", 0)
+    e.ingest(frame(rows[1:]), "events", "a b/c", 0)
+    assert [r.value for r in e.facts("events").collect()] == [2.0]
+    e.ingest(frame([]), "events", "a b/c", 0)
+    assert e.facts("events").count() == 0
+
+
+def test_views_show_rows_ingested_after_setup(spark, tmp_root):
+    table = {**catalog.EVENTS_TABLE, "name": "my events-1"}
+    e = Engine(spark, {"tables": [table], "analytical_tables": [{"table": "my events-1", "aggregator": catalog.LAST}]}, tmp_root)
+    assert e.setup() == ["my events-1", "my events-1_last"]
+    assert e.sql("SELECT count(*) FROM `my events-1`").first()[0] == 0
+    e.ingest(_events(spark), "my events-1", "s", 0)
+    assert e.sql("SELECT count(*) FROM `my events-1`").first()[0] == _events(spark).count()
+    users = _events(spark).select("user_id").distinct().count()
+    assert e.sql("SELECT count(*) FROM `my events-1_last`").first()[0] == users
+
+
+def test_time_range_takes_dates_and_stops_at_the_month(spark, tmp_root):
+    import datetime as dt
+
+    from rollstate.sources import store
+
+    e = Engine(spark, {"tables": [catalog.LINEITEM_TABLE]}, tmp_root)
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    e.ingest(li, "lineitem", "s", 0)
+    t = e.spec.table("lineitem")
+    r = store.time_range(e.facts("lineitem"), t, dt.date(1996, 3, 15), dt.date(1996, 7, 1))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "<= 199606" in plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert r.count() == li.where((F.col("l_shipdate") >= "1996-03-15") & (F.col("l_shipdate") < "1996-07-01")).count()
 
 
 def test_fact_compaction_noop_and_empty_table(spark, tmp_root):

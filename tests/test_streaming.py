@@ -77,7 +77,7 @@ def test_native_windowed_rollup(spark, tmp_root):
     agg = SPEC.rollup("events_day").aggregator
     _messages(_events(spark), f"{tmp_root}/inbox", 2)
     decoded = codec.good(codec.decode(ingest.file_messages(spark, f"{tmp_root}/inbox", 1), t), t)
-    out = ingest.windowed_rollup(decoded, t, agg, "1 day", watermark="1000 days")
+    out = ingest.windowed_rollup(decoded, t, agg, watermark="1000 days")
     q = out.writeStream.outputMode("update").format("memory").queryName("native_day").trigger(availableNow=True).start()
     q.awaitTermination()
     got = spark.sql("SELECT * FROM native_day")
@@ -129,8 +129,8 @@ def test_stream_with_periodic_compaction(spark, tmp_root):
     )
     q.awaitTermination()
     st = e.states("events_day")
-    version, manifest = st.snapshot()
-    assert version == 2 and list(manifest.values()) == [3]
+    version, _, folded = st.snapshot()
+    assert version == 2 and list(folded.values()) == [[[0, 3]]]
     assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
     last = e.view("events_last").collect()
     assert as_set(last) == as_set(rollups.one_pass(_events(spark), SPEC.rollup("events_last")).collect())
@@ -140,3 +140,21 @@ def test_batch_only_tables_get_no_stream(spark, tmp_root):
     spec = {"tables": [catalog.LINEITEM_TABLE], "analytical_tables": []}  # kafka_topic: null
     e = Engine(spark, spec, tmp_root)
     assert ingest.start_kafka(e, "broker:9092", f"{tmp_root}/ckpt") == {}
+
+
+def test_hourly_native_windows_and_time_counts(spark, tmp_root):
+    """Buckets follow the spec, a count of the time column is kept, and streams do not overwrite each other."""
+    hourly = {"type": "interval", "name": "hour", "group_functions": ["toStartOfHour"]}
+    aggregations = [{"type": "sum"}, {"type": "count", "columns": ["ts"]}]
+    spec = load_spec({"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": {**hourly, "aggregations": aggregations}}]})
+    t, agg = spec.table("events"), spec.rollup("events_hour").aggregator
+    _messages(_events(spark), f"{tmp_root}/inbox", 2)
+    decoded = codec.good(codec.decode(ingest.file_messages(spark, f"{tmp_root}/inbox", 1), t), t)
+    ingest.start_windowed(decoded, t, agg, f"{tmp_root}/out", f"{tmp_root}/ckpt", trigger={"availableNow": True}).awaitTermination()
+    got = ingest.latest_windows(spark, f"{tmp_root}/out", ["user_id", "hour"]).select("user_id", "hour", "ts_count", "value_sum").collect()
+    want = _events(spark).groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
+    want = want.agg(F.count("ts").alias("n"), F.sum("value").alias("v")).collect()
+    assert as_set(got) == as_set(want)
+    ingest.start_windowed(decoded, t, agg, f"{tmp_root}/out", f"{tmp_root}/ckpt2", trigger={"availableNow": True}).awaitTermination()
+    with pytest.raises(ValueError, match="several streams"):
+        ingest.latest_windows(spark, f"{tmp_root}/out", ["user_id", "hour"])
