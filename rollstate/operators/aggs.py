@@ -64,8 +64,14 @@ def _stddev_merge(s: Column, _p, center: Column | None) -> Column:
     return F.struct(F.sum(s["n"]).alias("n"), F.max(center).alias("mean"), m2.alias("m2"))
 
 
-def _stddev_finish(s: Column, _p) -> Column:
-    return F.when(s["n"] > 1, F.sqrt(F.greatest(s["m2"], F.lit(0.0)) / (s["n"] - 1)))
+def _spread(one_pass: Callable[[Column], Column], sample: bool, root: bool) -> dict:
+    """A variance or standard deviation, of a sample or of all values, on the state of ``stddevSamp``."""
+
+    def finish(s: Column, _p) -> Column:
+        var = F.greatest(s["m2"], F.lit(0.0)) / (s["n"] - 1 if sample else s["n"])
+        return F.when(s["n"] > (1 if sample else 0), F.sqrt(var) if root else var)
+
+    return dict(one_pass=lambda x, _p, _e: one_pass(_d(x)), state=_stddev_state, merge=_stddev_merge, finish=finish, needs_center=True)
 
 
 def _probs(p: tuple[float, ...]) -> Column:
@@ -110,14 +116,10 @@ REGISTRY: dict[str, AggFn] = {
         merge=lambda s, _p, _c: F.struct(F.sum(s["sum"]).alias("sum"), F.sum(s["n"]).alias("n")),
         finish=_avg_finish,
     ),
-    "stddevSamp": AggFn(
-        "stddevSamp",
-        one_pass=lambda x, _p, _e: F.stddev_samp(_d(x)),
-        state=_stddev_state,
-        merge=_stddev_merge,
-        finish=_stddev_finish,
-        needs_center=True,
-    ),
+    "stddevSamp": AggFn("stddevSamp", **_spread(F.stddev_samp, sample=True, root=True)),
+    "stddevPop": AggFn("stddevPop", **_spread(F.stddev_pop, sample=False, root=True)),
+    "varSamp": AggFn("varSamp", **_spread(F.var_samp, sample=True, root=False)),
+    "varPop": AggFn("varPop", **_spread(F.var_pop, sample=False, root=False)),
     # One pass: exact quantiles with linear interpolation, computed by rank selection in
     # ``operators.quantiles`` (``one_pass`` here is Spark's ``percentile``, kept for small inputs only:
     # it holds each group's distinct values in one buffer).

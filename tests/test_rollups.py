@@ -241,3 +241,15 @@ def test_notebook_day_fixture_counts_the_time_column(spark, duck):
     states = rollups.partial(events(spark), at)
     merged = rollups.view(states.unionByName(rollups.partial(events(spark).limit(0), at)), at)
     assert merged.select("ts_count").groupBy().sum().first()[0] == events(spark).count()
+
+
+def test_spread_aggregations_in_one_pass_and_from_states(spark, duck, tmp_root):
+    names = {"stddevSamp": "stddev_samp", "stddevPop": "stddev_pop", "varSamp": "var_samp", "varPop": "var_pop"}
+    day = {"type": "interval", "name": "day", "group_functions": ["toDate"], "aggregations": [{"type": n} for n in names]}
+    spec = load_spec({"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": day}]})
+    columns = [f"value_{n}" for n in names]
+    want = duck.sql(f"SELECT user_id, CAST(ts AS DATE), {', '.join(f'{f}(value)' for f in names.values())} FROM events GROUP BY 1, 2").fetchall()
+    at = spec.rollup("events_day")
+    assert as_set(rollups.one_pass(events(spark), at).select("user_id", "day", *columns).collect()) == as_set(want)
+    states = rollups.partial(events(spark), at)
+    assert as_set(rollups.view(states, at).select("user_id", "day", *columns).collect()) == as_set(want)
