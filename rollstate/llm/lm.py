@@ -33,6 +33,8 @@ NOISE, STEP, RATE, CALM, ROUNDS, SEED = 64, 512, 0.08, 1e-5, 2, 5
 BATCH = 4096
 #: Bytes of text scored together, and words counted together.
 GROUP_BYTES, COUNTER_WORDS = 12 << 20, 400_000
+#: Tokens of a group whose arrays are in memory at a time (one text at least).
+GROUP_TOKENS = 1_000_000
 END = b""  # the end of a text; words are never empty
 
 
@@ -122,7 +124,9 @@ class Trainer:
 
     @staticmethod
     def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(rows, values[:, f], n) for f in range(values.shape[1])], axis=1)
+        width = values.shape[1]
+        cells = (rows[:, None] * width + np.arange(width)).ravel()
+        return np.bincount(cells, values.ravel(), n * width).reshape(n, width)
 
     def step(self, symbols: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> None:
         m, n = self.m, len(self.m.bias)
@@ -294,28 +298,39 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
                 symbol.append(s if s >= 0 else first + ending(word))
             return at
 
-        lists = [[look(w) for w in tokens(value)] for value in left["_text"].to_pylist()]
-        places, _, _ = sequences(lists, look(END))
-        symbols = np.array(symbol)[places]
-        ends = np.cumsum([len(t) + 1 for t in lists])
-        before = np.concatenate([[0], symbols[:-1]])
-        before[ends[:-1]] = 0
-        earlier = np.concatenate([[0], before[:-1]])
-        earlier[ends[:-1]] = 0
-        owner = np.repeat(np.arange(len(lists)), np.diff(ends, prepend=0))
-        known = np.array(count)
-        base = np.log10((known + 0.5) / every)
-        logs = model.log_probabilities(symbols, before, earlier) / np.log(10) + np.log10(np.array(within))[places]
-        n = len(lists)
+        every_text = left["_text"].to_pylist()
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        at = 0
+        while at < len(every_text):
+            lists, held = [], 0  # texts scored together
+            while at < len(every_text) and (not lists or held < GROUP_TOKENS):
+                lists.append([look(w) for w in tokens(every_text[at])])
+                held += len(lists[-1]) + 1
+                at += 1
+            places, _, _ = sequences(lists, look(END))
+            symbols = np.array(symbol)[places]
+            ends = np.cumsum([len(t) + 1 for t in lists])
+            before = np.concatenate([[0], symbols[:-1]])
+            before[ends[:-1]] = 0
+            earlier = np.concatenate([[0], before[:-1]])
+            earlier[ends[:-1]] = 0
+            n = len(lists)
+            owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+            known = np.array(count)
+            base = np.log10((known + 0.5) / every)
+            logs = model.log_probabilities(symbols, before, earlier) / np.log(10) + np.log10(np.array(within))[places]
+            sums = [np.bincount(owner, v, n) for v in ((known > 0)[places], base[places], logs)]
+            out.append((np.diff(ends, prepend=0), *sums))
+        n_tokens, n_known, base_score, score_ = (np.concatenate([o[i] for o in out] or [np.zeros(0)]) for i in range(4))
         return pa.table(
             {
                 key: left["_key"],
                 "held_out": left["_held_out"],
-                "n_tokens": pa.array(np.diff(ends, prepend=0), pa.int64()),
-                "n_known": pa.array(np.bincount(owner, (known > 0)[places], n).astype(np.int64), pa.int64()),
-                "train_tokens": pa.array(np.full(n, stats.total), pa.int64()),
-                "base_score": pa.array(np.bincount(owner, base[places], n), pa.float64()),
-                "score": pa.array(np.bincount(owner, logs, n), pa.float64()),
+                "n_tokens": pa.array(n_tokens.astype(np.int64)),
+                "n_known": pa.array(n_known.astype(np.int64)),
+                "train_tokens": pa.array(np.full(len(n_tokens), stats.total), pa.int64()),
+                "base_score": pa.array(base_score, pa.float64()),
+                "score": pa.array(score_, pa.float64()),
             }
         )
 
