@@ -47,9 +47,9 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that are boilerplate on its site (its source)."""
+    """Every document without the lines that are boilerplate on its site (its source), by the one share of its SQL."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return line_dedup.drop_lines(docs)
+    return line_dedup.drop_lines(docs, ratio=line_dedup.RATIO, min_pages=line_dedup.MIN_PAGES)
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

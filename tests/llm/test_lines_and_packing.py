@@ -34,6 +34,22 @@ def test_boilerplate_by_site(spark):
     assert line_dedup.drop_lines(df.limit(0)).count() == 0
 
 
+def test_long_lines_go_at_small_shares(spark):
+    footer, passage = "This work is licensed under version 3 of the licence.", "planted words of a passage " * 12
+    story = lambda i: "\n".join(f"line {j} of story {i} is told here and nowhere else" for j in range(4))
+    rows = [(i, story(i) + ("\n" + footer if i < 4 else "") + (f"\n{passage}" if 10 <= i < 13 else ""), "hot") for i in range(2_000)]
+    rows += [(5_000 + i, f"{story(5_000 + i)}\n{footer}", "small") for i in range(3)]
+    rows += [(6_000 + i, story(6_000 + i) + "\nWell." * (i < 4), "hot") for i in range(10)]  # short and rare
+    rows += [(7_000 + i, story(7_000) + f"\nedited {i}", "hot") for i in range(6)]  # near copies
+    df = spark.createDataFrame(rows + [(8_000, None, "hot"), (8_001, footer, None)], "doc_id long, text string, source string")
+    out = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.drop_lines(df).collect()}
+    planted = [*range(4), *range(10, 13), 5_000, 5_001, 5_002]
+    assert all(out[i] == (story(i), 1) for i in planted)
+    assert all(out[i] == (t, 0) for i, t, _ in rows if i not in planted)
+    assert out[8_000] == (None, 0) and out[8_001] == (footer, 0) and len(out) == len(rows) + 2
+    assert line_dedup.drop_lines(df.limit(0)).count() == 0
+
+
 def test_line_edge_rows(edge_docs):
     out = line_dedup.drop_lines(edge_docs, min_pages=1, ratio=0.9)
     assert out.count() == edge_docs.count() and out.filter("n_dropped > 0").count() == 0
