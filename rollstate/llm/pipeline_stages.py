@@ -14,8 +14,11 @@ from .queries import QUALITY_THRESHOLD, quality_machine, word_count
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
-    scored = quality.score(docs, quality_machine(docs, read(spark, sf_dir, "labels", "doc_id", "quality")), QUALITY_THRESHOLD, keep_text=True)
+    """Documents that the quality classifier does not reject; all of them if it has no labels of both kinds to learn from."""
+    machine = quality_machine(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    if not machine.fitted:
+        return docs
+    scored = quality.score(docs, machine, QUALITY_THRESHOLD, keep_text=True)
     return scored.filter("predicted = 1").select(*docs.columns)
 
 

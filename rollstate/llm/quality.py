@@ -100,6 +100,8 @@ class Machine:
     vector: np.ndarray
     centre: np.ndarray
     scale: np.ndarray
+    #: False if there were no labels of both kinds to tell apart.
+    fitted: bool = True
 
     def _inputs(self, words: np.ndarray, lengths: np.ndarray, dense: np.ndarray):
         """Owner, index and value of every input, structure values last."""
@@ -140,6 +142,7 @@ def train(
     )
     if not 0 < label.sum() < len(label):
         m.vector[:] = 0
+        m.fitted = False
         return m
     starts = np.concatenate([[0], np.cumsum(lengths)])
     seen_w, seen_v, seen_b = np.full(size, 1e-2, np.float32), np.full((size, RANK), 1e-2, np.float32), 1e-2

@@ -43,3 +43,15 @@ def test_stages_on_edge_rows(spark, edge_docs):
     once = pipeline_stages.keep_one_of_each_group(spark, docs, SF).collect()
     assert sorted(r.doc_id or -1 for r in once) == [-1, 0, 4, 5, 6, 7, 8, 9]  # empty texts and "one" once each, the null id stays
     assert packing.pack(docs, "doc_id", queries.word_count()).count() == docs.count()
+
+
+def test_all_stages_on_edge_rows_without_usable_labels(spark, edge_docs, tmp_root):
+    docs = edge_docs.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.char_length("text").cast("long").alias("n_chars"))
+    for name, labels in (("none", []), ("ones", [(0, 1), (4, 1)]), ("zeros", [(0, 0), (4, 0)])):
+        folder = f"{tmp_root}/{name}"
+        spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+        for rows in (docs, docs.limit(0)):
+            assert pipeline_stages.keep_quality(spark, rows, folder).count() == rows.count()
+    docs.write.parquet(f"{folder}/documents.parquet")
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in packed) == [-1, 0, 4, 5, 6, 7, 8, 9]
