@@ -1,8 +1,8 @@
-"""Similarity join on word n-grams by a MinHash LSH forest (operator 5).
+"""Similarity join on word n-grams by banded MinHash (operator 5).
 
-Every distinct n-gram set gets a signature for each tree of a forest.  In a tree, sets are sorted
-by signature and match on a common prefix; matching starts at full depth and the prefix is shortened
-until pairs at the threshold meet in some tree with the target probability.  Sets that meet are
+Every distinct n-gram set gets a signature for each of ``TREES`` bands.  Bands have a fixed depth,
+the greatest up to ``FULL_DEPTH`` at which pairs at the threshold meet in some band with the target
+probability; there are no sorted prefix trees, and the depth does not follow the data.  Sets that meet are
 gathered into clusters, and inside a cluster every pair is verified on the exact sets, in blocks
 of bounded size that give link counts and class ties, never rows of pairs.
 """
