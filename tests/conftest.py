@@ -11,9 +11,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from rollstate import session  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
+from shared import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -37,19 +35,3 @@ def duck():
     for t in ("events", "lineitem", "customer", "supplier"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
-
-
-def as_set(rows, ndigits=6):
-    """Order-insensitive, float-tolerant comparable form of result rows."""
-    out = []
-    for r in rows:
-        vals = []
-        for v in r:
-            if isinstance(v, float):
-                vals.append(round(v, ndigits))
-            elif isinstance(v, list):
-                vals.append(tuple(round(x, ndigits) if isinstance(x, float) else x for x in v))
-            else:
-                vals.append(v)
-        out.append(tuple(vals))
-    return sorted(out, key=repr)

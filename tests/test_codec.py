@@ -6,7 +6,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import SF_SMALL, as_set
+from shared import SF_SMALL, as_set
 from rollstate import catalog
 from rollstate.sources import codec
 from rollstate.spec import load_spec

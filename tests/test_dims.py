@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from shared import SF_SMALL
 from rollstate.functions import geo
 from rollstate.operators import dims
 

@@ -21,7 +21,7 @@ def test_queries_match_oracles_small(spark):
     """Every registered query against its SQL oracle at sf0.001 (the driver checks sf0.01)."""
     import duckdb
 
-    from conftest import SF_SMALL, as_set
+    from shared import SF_SMALL, as_set
 
     con = duckdb.connect()
     for t in ("events", "lineitem", "customer", "supplier"):

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import DataFrame
 
-from conftest import as_set
+from shared import as_set
 from rollstate import Engine, catalog
 from rollstate.operators import rollups
 from rollstate.spec import load_spec

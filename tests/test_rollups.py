@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, as_set
+from shared import SF_SMALL, as_set
 from rollstate import catalog
 from rollstate.operators import rollups
 from rollstate.spec import load_spec

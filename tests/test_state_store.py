@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, as_set
+from shared import SF_SMALL, as_set
 from rollstate import Engine, catalog
 from rollstate.operators import rollups
 from rollstate.plans.state_store import stable_source_id
