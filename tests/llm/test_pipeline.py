@@ -41,7 +41,7 @@ def test_stages_on_edge_rows(spark, edge_docs):
             out = stage(spark, rows, SF)
             assert out.columns == docs.columns and out.count() <= rows.count()
     once = pipeline_stages.keep_one_of_each_group(spark, docs, SF).collect()
-    assert sorted(r.doc_id or -1 for r in once) == [-1, 0, 4, 5, 6, 7, 8, 9]  # empty texts and "one" once each, the null id stays
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in once) == [-1, 0, 4, 5, 6, 7, 8, 9]  # empty texts and "one" once each, the null id stays
     assert packing.pack(docs, "doc_id", queries.word_count()).count() == docs.count()
 
 
