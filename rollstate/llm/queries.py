@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hamming, html_text, line_dedup, lm, ngram_join, packing, quality, spotsigs, token_counts
+from . import bpe, hamming, html_text, line_dedup, lm, ngram_join, packing, quality, secrets_scan, spotsigs, token_counts
 from .common import held_out, read
 
 TOKEN_LIMIT = 1024
@@ -104,6 +104,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: by patterns, and by the battery of randomness tests."""
+    scanned = secrets_scan.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("found", lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets_scan.KINDS]
+    return scanned.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets_scan.listing(of(*secrets_scan.PATTERNS)), 256).alias("base_sha256"),
+        secrets_scan.listing(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_byte_level_bpe": op1_byte_level_bpe,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -115,6 +131,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
+    "op11_secret_scans": op11_secret_scans,
 }
 
 #: DuckDB equivalents, where SQL can express the operator.
