@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hamming, html_text, line_dedup, lm, ngram_join, packing, quality, secrets_scan, spotsigs, token_counts
+from . import bpe, hamming, html_text, line_dedup, lm, ngram_join, packing, quality, secrets_scan, spelling, spotsigs, token_counts, whitening
 from .common import held_out, read
 
 TOKEN_LIMIT = 1024
@@ -120,6 +120,17 @@ def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its form, its root and the number of words one edit away."""
+    found = spelling.spelling_variants(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=16)
+
+
 QUERIES = {
     "op1_byte_level_bpe": op1_byte_level_bpe,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -132,6 +143,8 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
     "op11_secret_scans": op11_secret_scans,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 #: DuckDB equivalents, where SQL can express the operator.
