@@ -3,8 +3,8 @@
 One inserted, deleted or replaced letter changes a word's letter counts by at most one up and one
 down, an L1 distance of at most two.  Words of one length are points of a k-d tree over their counts;
 a search goes on below a node only if its box can still be reached by the ups and downs that the pair
-of lengths allows (same length: one each; one letter longer: one up; one shorter: one down).  What is
-left is compared letter by letter.
+of lengths allows (same length: one each; one letter longer: one up, for both words of the pair).
+What is left is compared letter by letter.
 
 The top of every length's tree is fitted on the driver to a bounded sample (about ``SAMPLE`` words),
 which decides only how evenly cells are filled: every word is in one cell, and every search visits
@@ -14,12 +14,15 @@ the other, builds the lower part of the tree from a cell's points and streams th
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollstate.session import scratch_dir
@@ -30,7 +33,7 @@ from .common import bound_batches, shuffle_width
 #: brings words nearer to each other.
 DIMS = 32
 #: Points of one cell that the sample aims at, and of one leaf below.
-CELL, LEAF = 4000, 12
+CELL, LEAF = 8000, 24
 #: About as many words, and letters, are sampled at most.
 SAMPLE, SAMPLE_LETTERS = 200_000, 4_000_000
 #: Searches that meet a cell's points at a time.
@@ -62,6 +65,12 @@ def counts(codes: np.ndarray) -> np.ndarray:
     return np.bincount(flat, minlength=n * DIMS).reshape(n, DIMS).astype(np.int32)
 
 
+def signatures(points: np.ndarray) -> np.ndarray:
+    """Two bits a dimension (at least one, at least two); no two differ in more bits than their L1 distance."""
+    bits = np.hstack([points >= 1, points >= 2])
+    return np.packbits(bits, axis=1).view(np.uint64).ravel()
+
+
 def best_split(points: np.ndarray) -> tuple[int, int] | None:
     """Dimension and count that part the points most evenly; None if all are equal."""
     middle, best, n = np.median(points, axis=0).astype(np.int64), None, len(points)
@@ -124,30 +133,57 @@ def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def reach(own: int, other: int) -> tuple[int, int]:
-    """Letters more and fewer by which a word may reach one of another length."""
-    return (1, 1) if own == other else (1, 0) if other > own else (0, 1)
+    """Letters more and fewer by which a word reaches words as long as itself, or one letter longer."""
+    return (1, 1) if own == other else (1, 0)
+
 
+_RUN = re.compile("[a-z\u00c0-\u00ff]+")
+#: Distinct words a task counts before it passes them on.
+HELD = 200_000
 
-def split_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row (``word``) for each maximal run of letters, A-Z lower-cased.
+
+def _run_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, int] = {}
+
+    def flush():
+        out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+        held.clear()
+        return out
+
+    for b in batches:
+        for key, text in zip(b.column("_key").to_pylist(), b.column("_text").to_pylist()):
+            start = zlib.crc32(key.encode() + b":")
+            # The lower case of bytes is that of A-Z alone.
+            for run, n in Counter(_RUN.findall(text.lower().decode())).items():
+                h = zlib.crc32(run.encode(), start)
+                if h % 97 == 0:
+                    at = h % len(run)
+                    run = run[:at] + run[at + 1 :]
+                held[run] = held.get(run, 0) + n
+            if len(held) >= HELD:
+                yield flush()
+    if held:
+        yield flush()
+
+
+def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``word`` and ``n`` of maximal runs of letters with A-Z lower-cased, pre-aggregated: a word may
+    have several rows, which add up.
 
     By the crc32 of key and run, about one run in 97 loses one letter, which plants variants.
     A null key counts as an empty text; a null text has no runs.
     """
-    run = F.explode(F.regexp_extract_all(F.col(text), F.lit("[A-Za-zÀ-ÿ]+"), F.lit(0)))
-    runs = docs.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key"), run.alias("_run"))
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    runs = runs.withColumn("_run", F.when(F.col("_run").rlike("[A-Z]"), F.translate("_run", upper, lower)).otherwise(F.col("_run")))
-    runs = runs.withColumn("_h", F.crc32(F.concat("_key", F.lit(":"), "_run").cast("binary")))
-    at = (F.col("_h") % F.char_length("_run")).cast("int")
-    cut = F.concat(F.substr("_run", F.lit(1), at), F.substr("_run", at + 2))
-    return runs.select(F.when(F.col("_h") % 97 == 0, cut).otherwise(F.col("_run")).alias("word"))
+    bound_batches(docs.sparkSession)
+    rows = docs.filter(F.col(text).isNotNull()).select(
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key"), F.col(text).cast("binary").alias("_text")
+    )
+    return rows.mapInArrow(_run_counts, "word string, n long")
 
 
-def vocabulary(words: DataFrame, min_letters: int, min_count: int) -> DataFrame:
-    """``word`` and ``n``, its number of rows, of words long and frequent enough."""
-    long_enough = words.filter(F.char_length("word") >= min_letters)
-    return long_enough.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
+def vocabulary(counted: DataFrame, min_letters: int, min_count: int) -> DataFrame:
+    """``word`` and ``n`` of words long and frequent enough."""
+    long_enough = counted.filter(F.char_length("word") >= min_letters)
+    return long_enough.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
 
 def fit_tops(words: DataFrame) -> dict[int, Node]:
@@ -190,7 +226,7 @@ def _routes(tops: dict[int, Node], batches: Iterator[pa.RecordBatch]) -> Iterato
         for length in np.unique(lengths).tolist():
             rows = np.flatnonzero(lengths == length)
             x = counts(letters(words.take(pa.array(rows)).to_pylist(), length))
-            for target in (length - 1, length, length + 1):
+            for target in (length, length + 1):
                 if target not in tops:
                     continue
                 homes = search(tops[target], x, 0, 0) if target == length else ()
@@ -205,35 +241,48 @@ class _Cell:
     """The points of one cell and the lower part of their tree."""
 
     def __init__(self, length: int, words: list[str], ns: list[int]):
-        self.length, self.words, self.n = length, np.array(words, object), np.array(ns, np.int64)
-        # Points in the order in which near words are preferred: frequent ones first, then by code points.
+        self.length = length
+        # In the order in which near words are preferred: frequent ones first, then by code points.
         order = sorted(range(len(words)), key=lambda i: (-ns[i], words[i]))
-        self.words, self.n = self.words[order], self.n[order]
-        self.codes = letters(self.words.tolist(), length)
+        self.words, self.n = [words[i] for i in order], np.array(ns, np.int64)[order]
+        self.codes = letters(self.words, length)
         self.counts = counts(self.codes)
+        self.signatures = signatures(self.counts)
         self.tree = build(self.counts, np.arange(len(words)), LEAF)
 
-    def near(self, words: list[str]) -> Iterator[tuple[str, int, int, str]]:
-        """``(word, n_near, best n, best word)`` of the searches that find something."""
-        by_length: dict[int, list[str]] = {}
-        for w in words:
-            by_length.setdefault(len(w), []).append(w)
+    def near(self, asked: list[tuple[str, int]]) -> Iterator[tuple[str, int, int, str]]:
+        """``(word, found, best n, best word)`` of the searches (word, n) that find something; of points
+        found by searches of another length too, as those words are not searched for the other way."""
+        by_length: dict[int, list[tuple[str, int]]] = {}
+        for one in sorted(asked, key=lambda a: (-a[1], a[0])):
+            by_length.setdefault(len(one[0]), []).append(one)
         for own, group in by_length.items():
-            codes = letters(group, own)
+            names, ns = [w for w, _ in group], np.array([n for _, n in group], np.int64)
+            codes = letters(names, own)
             x = counts(codes)
-            up, down = reach(own, self.length)
-            found = np.zeros(len(group), np.int64)
-            best = np.full(len(group), len(self.words), np.int64)
+            mine, (up, down) = signatures(x), reach(own, self.length)
+            pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for who, points in search(self.tree, x, up, down):
-                q, p = np.repeat(who, len(points)), np.tile(points, len(who))
+                bits = np.bitwise_count(mine[who][:, None] ^ self.signatures[points][None, :])
+                i, j = np.nonzero(bits <= up + down)
+                q, p = who[i], points[j]
                 close = np.abs(x[q] - self.counts[p]).sum(axis=1) <= up + down
                 q, p = q[close], p[close]
                 same = one_edit(codes[q], self.codes[p])
-                q, p = q[same], p[same]
-                np.add.at(found, q, 1)
-                np.minimum.at(best, q, p)
-            for i in np.flatnonzero(found).tolist():
-                yield group[i], int(found[i]), int(self.n[best[i]]), self.words[best[i]]
+                pairs.append((q[same], p[same]))
+            q, p = (np.concatenate(side) for side in zip(*pairs))
+            yield from _tally(q, p, names, self.words, self.n)
+            if own != self.length:
+                yield from _tally(p, q, self.words, names, ns)
+
+
+def _tally(one: np.ndarray, other: np.ndarray, names: list[str], others: list[str], ns: np.ndarray) -> Iterator[tuple[str, int, int, str]]:
+    """Per word of ``one``: how many others it met and the first of them, which is the preferred one."""
+    found = np.bincount(one, minlength=len(names))
+    best = np.full(len(names), len(others), np.int64)
+    np.minimum.at(best, one, other)
+    for i in np.flatnonzero(found).tolist():
+        yield names[i], int(found[i]), int(ns[best[i]]), others[best[i]]
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +310,7 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if cell is None and points[0]:
                 cell = _Cell(length, *points)
-            waiting.append(word)
+            waiting.append((word, n))
             if len(waiting) >= BLOCK and (out := flush()) is not None:
                 yield out
     if (out := flush()) is not None:
@@ -272,7 +321,9 @@ def near_words(words: DataFrame) -> DataFrame:
     """``word``, ``n_near`` (words one edit away) and of those the most frequent: ``best_n``, ``best``."""
     bound_batches(words.sparkSession)
     tops = fit_tops(words)
-    routed = words.mapInArrow(lambda b: _routes(tops, b), "length int, cell int, role int, word string, n long")
+    # Searches are far more work than the few bytes of the words let the planner see.
+    spread = words.repartition(shuffle_width(words.sparkSession), "word")
+    routed = spread.mapInArrow(lambda b: _routes(tops, b), "length int, cell int, role int, word string, n long")
     width = max(shuffle_width(words.sparkSession), sum(1 for t in tops.values() for _ in _leaves(t)) // 4)
     dealt = routed.repartition(width, "length", "cell").sortWithinPartitions("length", "cell", "role")
     found = dealt.mapInArrow(_searched, "word string, found long, best_n long, best string")
@@ -329,8 +380,8 @@ def group_variants(words: DataFrame, ratio: float = 2.0) -> DataFrame:
 
 
 def spelling_variants(docs: DataFrame, key: str = "doc_id", text: str = "text", min_letters: int = 5, min_count: int = 3) -> DataFrame:
-    """Variants among the words of texts: see ``split_words``, ``vocabulary`` and ``group_variants``.
+    """Variants among the words of texts: see ``word_counts``, ``vocabulary`` and ``group_variants``.
 
     Null and empty texts have no words, repeated rows count again, other columns are not read.
     """
-    return group_variants(vocabulary(split_words(docs, key, text), min_letters, min_count))
+    return group_variants(vocabulary(word_counts(docs, key, text), min_letters, min_count))
