@@ -37,6 +37,7 @@ FULL_AGGS = [
     {"type": "stddevSamp"},
 ]
 QUANTILE_NAMES = ("p10", "p50", "p90")
+QUARTILE_NAMES = ("p25", "p50", "p75")
 
 
 def _col(name: str, type_: str) -> dict:
@@ -74,6 +75,8 @@ EVENTS_SPEC = {
 }
 EVENTS_DAY_SPEC = {"tables": [EVENTS_TABLE], "analytical_tables": [EVENTS_SPEC["analytical_tables"][1]]}
 EVENTS_LAST_SPEC = {"tables": [EVENTS_TABLE], "analytical_tables": [EVENTS_SPEC["analytical_tables"][0]]}
+LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINEITEM_DAY_SPEC = {"tables": [LINEITEM_TABLE], "analytical_tables": [{"table": "lineitem", "aggregator": {**DAY, "aggregations": FULL_AGGS}}]}
 LINEITEM_SPEC = {
     "tables": [LINEITEM_TABLE],
     "analytical_tables": [
@@ -90,14 +93,14 @@ LINEITEM_SPEC = {
         },
     ],
 }
-# Shaped like the production spec: avg and quantiles 0.1/0.5/0.9 per day.
-LINEITEM_WEATHER_SPEC = {
+# Average and quantiles per day, beside the last value.
+LINEITEM_QUARTILE_SPEC = {
     "tables": [LINEITEM_TABLE],
     "analytical_tables": [
         {"table": "lineitem", "aggregator": {"type": "last"}},
         {
             "table": "lineitem",
-            "aggregator": {**DAY, "aggregations": [{"type": "avg"}, {"type": "quantiles", "args_agg": ["0.1", "0.5", "0.9"]}]},
+            "aggregator": {**DAY, "aggregations": [{"type": "avg"}, {"type": "quantiles", "args_agg": ["0.25", "0.5", "0.75"]}]},
         },
     ],
 }
@@ -132,14 +135,14 @@ def r6(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-def comparable(df: DataFrame, keys: list[str]) -> DataFrame:
+def comparable(df: DataFrame, keys: list[str], levels: tuple[str, ...] = QUANTILE_NAMES) -> DataFrame:
     """Round doubles to 6 places and spread quantile arrays into ``<name>_p10`` … columns."""
     out = []
     for f in df.schema.fields:
         if f.name in keys:
             out.append(F.col(f.name))
         elif f.dataType.typeName() == "array":
-            out += [r6(F.col(f.name)[i]).alias(f"{f.name}_{q}") for i, q in enumerate(QUANTILE_NAMES)]
+            out += [r6(F.col(f.name)[i]).alias(f"{f.name}_{q}") for i, q in enumerate(levels)]
         elif f.dataType.typeName() == "double":
             out.append(r6(f.name).alias(f.name))
         else:
@@ -192,14 +195,14 @@ def time_range_pruned(spark, sf_dir):
     """S5 + P4 + F4: write lineitem as a month-partitioned fact table, read a time range back."""
     e = engine(spark, LINEITEM_SPEC, "time-range")
     t = e.spec.table("lineitem")
-    store.write_facts(read(spark, sf_dir, "lineitem"), t, e.facts_path("lineitem"), "load", 0)
+    e.ingest(read(spark, sf_dir, "lineitem"), "lineitem", "load", 0)
     facts = e.facts("lineitem")
     return store.time_range(facts, t, "1996-03-15 00:00:00", "1996-07-01 00:00:00")
 
 
 def compacted_facts(spark, sf_dir):
-    """Fact compaction: lineitem ingested in four batches, folded into month folders in two rounds
-    (a replay of a folded batch in between is ignored), read back whole."""
+    """Fact compaction: lineitem ingested in four batches, merged by month in two rounds (with a replay
+    of a merged batch in between), read back whole."""
     e = engine(spark, {"tables": [LINEITEM_TABLE]}, "fact-rounds")
     parts = split_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 4)
     for i, p in enumerate(parts[:2]):
@@ -270,8 +273,8 @@ def monthly_bucket(spark, sf_dir):
 
 def spec_rollup(spark, sf_dir):
     """A spec dict drives the rollup; output columns are named by slug."""
-    at = load_spec(LINEITEM_WEATHER_SPEC).rollup("lineitem_day")
-    return comparable(rollups.one_pass(read(spark, sf_dir, "lineitem"), at), at.keys)
+    at = load_spec(LINEITEM_QUARTILE_SPEC).rollup("lineitem_day")
+    return comparable(rollups.one_pass(read(spark, sf_dir, "lineitem"), at), at.keys, QUARTILE_NAMES)
 
 
 # -------------------------------------------------------------------------------- persisted states
@@ -283,10 +286,6 @@ def _ingest_split(e: Engine, table: str, parts: list[DataFrame], source: str = "
         e.ingest(p, table, source, i, write_facts=False)
 
 
-def _no_quantiles(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if "_quantiles_" not in c])
-
-
 def _only_quantiles(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys, *[c for c in df.columns if "_quantiles_" in c])
 
@@ -296,11 +295,11 @@ def incremental_rollup(spark, sf_dir):
     e = engine(spark, EVENTS_DAY_SPEC, "incremental")
     ev = read(spark, sf_dir, "events")
     _ingest_split(e, "events", split_batches(ev, ["event_id"], 4))
-    return comparable(_no_quantiles(e.view("events_day")), ["user_id", "day"])
+    return comparable(e.view("events_day"), ["user_id", "day"])
 
 
 def incremental_quantiles(spark, sf_dir):
-    """A3 persisted: KLL sketches per batch, merged on read."""
+    """A3 persisted: quantile states per batch, merged on read."""
     e = engine(spark, EVENTS_DAY_SPEC, "incremental-q")
     ev = read(spark, sf_dir, "events")
     _ingest_split(e, "events", split_batches(ev, ["event_id"], 4))
@@ -325,17 +324,19 @@ def compacted_rollup(spark, sf_dir):
         e.ingest(p, "events", "s", i, write_facts=False)
         if i in (3, 5):
             e.compact("events_day", keep_versions=1)
-    return comparable(_no_quantiles(e.view("events_day")), ["user_id", "day"])
+    return comparable(e.view("events_day"), ["user_id", "day"])
 
 
 def day_view_for_id(spark, sf_dir):
     """P3 on a rollup view: the merged day view filtered to one id; the filter on the grouping key
-    is pushed below the merge into the state-file scan."""
+    is applied below the merge, where the compacted part's files of other ids are not opened."""
     e = engine(spark, EVENTS_DAY_SPEC, "view-id")
     ev = read(spark, sf_dir, "events")
-    _ingest_split(e, "events", split_batches(ev, ["event_id"], 2))
-    t = e.spec.table("events")
-    return comparable(_no_quantiles(store.for_id(e.view("events_day"), t, 1)), ["user_id", "day"])
+    parts = split_batches(ev, ["event_id"], 3)
+    _ingest_split(e, "events", parts[:2])
+    e.compact("events_day", full=True)
+    e.ingest(parts[2], "events", "s", 2, write_facts=False)
+    return comparable(e.view("events_day", ids=[1]), ["user_id", "day"])
 
 
 def setup_views_sql(spark, sf_dir):
@@ -356,13 +357,13 @@ def setup_views_sql(spark, sf_dir):
 
 
 def spec_persisted_rollup(spark, sf_dir):
-    """The production-shaped spec (avg + quantiles of four measures per day) kept as
-    persisted states over two batches, merged on read (quantiles from KLL sketches)."""
-    e = engine(spark, LINEITEM_WEATHER_SPEC, "spec-persisted")
+    """Average and quartiles of four measures per day kept as persisted states over two
+    batches, merged on read (small groups keep their values, so their quartiles are exact)."""
+    e = engine(spark, LINEITEM_QUARTILE_SPEC, "spec-persisted")
     li = read(spark, sf_dir, "lineitem")
     for i, part in enumerate(split_batches(li, ["l_orderkey", "l_linenumber", "l_partkey"], 2)):
         e.ingest(part, "lineitem", "s", i, write_facts=False)
-    return comparable(e.view("lineitem_day"), ["l_suppkey", "day"])
+    return comparable(e.view("lineitem_day"), ["l_suppkey", "day"], QUARTILE_NAMES)
 
 
 def _write_messages(df: DataFrame, table_spec: dict, path: str, files: int) -> None:
@@ -379,7 +380,14 @@ def stream_ingest_rollup(spark, sf_dir):
         e, "events", ingest.file_messages(spark, src, 1), f"{e.root}/checkpoint", max_bad=0, trigger={"availableNow": True}
     )
     q.awaitTermination()
-    return comparable(_no_quantiles(e.view("events_day")), ["user_id", "day"])
+    return _with_last(e)
+
+
+def _with_last(e: Engine) -> DataFrame:
+    """The day view with the id's last value beside it, so both rollups are read."""
+    day = comparable(e.view("events_day"), ["user_id", "day"])
+    newest = e.view("events_last").select("user_id", F.col("ts").alias("last_ts"), F.col("value").alias("last_value"))
+    return dims.join_small(day, newest, "user_id", "left")
 
 
 def stream_native_window(spark, sf_dir):
@@ -414,7 +422,7 @@ def backfill_then_stream(spark, sf_dir):
         e, "events", ingest.file_messages(spark, src, 1), f"{root}/checkpoint", max_bad=0, trigger={"availableNow": True}
     )
     q.awaitTermination()
-    return comparable(_no_quantiles(e.view("events_day")), ["user_id", "day"])
+    return _with_last(e)
 
 
 # ------------------------------------------------------------------------------------- codec
@@ -474,7 +482,7 @@ def _stations(spark, sf_dir) -> DataFrame:
     c = read(spark, sf_dir, "customer")
     return c.select(
         F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("station_name"),
+        F.col("c_name").alias("label"),
         (F.lit(57.0) + F.col("c_acctbal") / 1000.0).alias("lat"),
         (F.lit(4.0) + F.col("c_nationkey") * 0.5).alias("lon"),
     )
@@ -485,12 +493,12 @@ def map_ready(spark, sf_dir):
     at = load_spec(EVENTS_SPEC).rollup("events_last")
     last = rollups.one_pass(read(spark, sf_dir, "events"), at)
     joined = dims.enrich(last, _stations(spark, sf_dir), "user_id", "id")
-    m = geo.map_ready(joined, "ts", "lon", "lat", "station_name")
+    m = geo.map_ready(joined, "ts", "lon", "lat", "label")
     return m.select(
         "user_id",
         "value",
         "ts",
-        "station_name",
+        "label",
         r6("lat").alias("lat"),
         r6("lon").alias("lon"),
         r6(F.col("geometry.x")).alias("geom_x"),
@@ -570,15 +578,156 @@ def bucket_functions(spark, sf_dir):
 
 
 def facts_filtered(spark, sf_dir):
-    """P3/P4 over the fact store: lineitem in two batches, one of them folded; one supplier and a
-    range between two dates."""
+    """P3/P4 over the fact store: lineitem in two batches, one of them compacted into files of disjoint
+    (month, supplier) ranges; one supplier and a range between two dates."""
     e = engine(spark, {"tables": [LINEITEM_TABLE]}, "facts-filtered")
-    parts = split_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 2)
-    e.ingest(parts[0], "lineitem", "s", 0)
+    parts = split_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 3)
+    for i, part in enumerate(parts[:2]):
+        e.ingest(part, "lineitem", "s", i)
     e.compact_facts("lineitem")
-    e.ingest(parts[1], "lineitem", "s", 1)
-    t = e.spec.table("lineitem")
-    return store.time_range(store.for_id(e.facts("lineitem"), t, 1), t, dt.date(1996, 3, 15), dt.date(1996, 7, 1))
+    e.ingest(parts[2], "lineitem", "s", 2)
+    return e.facts("lineitem", ids=[1], lo=dt.date(1996, 3, 15), hi=dt.date(1996, 7, 1))
+
+
+def view_time_range(spark, sf_dir):
+    """P4 on A13: the day view of lineitem between two dates; states lie by the month of their bucket,
+    so only those of four months are read."""
+    e = engine(spark, LINEITEM_DAY_SPEC, "view-range")
+    parts = split_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 2)
+    _ingest_split(e, "lineitem", parts)
+    view = e.view("lineitem_day", lo=dt.date(1996, 3, 15), hi=dt.date(1996, 7, 1))
+    return comparable(view, ["l_suppkey", "day"])
+
+
+def tiered_compaction(spark, sf_dir):
+    """A14 by month: everything but the newest days is loaded and compacted, then the newest days arrive
+    as small batches; compacting again rewrites the months they touch and no other.  One row per
+    supplier and day, and the number of months that kept their files."""
+    e = engine(spark, LINEITEM_DAY_SPEC, "tiered")
+    li = read(spark, sf_dir, "lineitem")
+    cut = F.lit("1998-08-01").cast("timestamp_ntz")
+    old, new = li.where(F.col("l_shipdate") < cut), li.where(~(F.col("l_shipdate") < cut) | F.col("l_shipdate").isNull())
+    load = split_batches(old, ["l_orderkey", "l_linenumber"], 2)
+    _ingest_split(e, "lineitem", load)
+    e.compact("lineitem_day", full=True)
+    before = e.table("lineitem").months("lineitem_day")
+    for i, part in enumerate(split_batches(new, ["l_orderkey", "l_linenumber"], 3)):
+        e.ingest(part, "lineitem", "daily", i, write_facts=False)
+    e.compact("lineitem_day")
+    after = e.table("lineitem").months("lineitem_day")
+    untouched = sum(before[m] == after.get(m) for m in before)
+    return comparable(e.view("lineitem_day"), ["l_suppkey", "day"]).withColumn("months_untouched", F.lit(untouched))
+
+
+def replayed_batch(spark, sf_dir):
+    """ST2/S7/S5: events in four batches; one is replayed with half of its rows, one with none, and
+    after compactions of facts and rollups one more each way.  Facts and both rollups agree: one row
+    per user with the counts and the newest time that each of them gives."""
+    e = engine(spark, EVENTS_SPEC, "replayed")
+    ev = read(spark, sf_dir, "events")
+    parts = [ev.where(F.col("event_id") % 4 == i) for i in range(4)]
+    for i, part in enumerate(parts):
+        e.ingest(part, "events", "s", i)
+    e.ingest(parts[0].where(F.col("event_id") % 8 == 0), "events", "s", 0)
+    e.ingest(parts[1].limit(0), "events", "s", 1)
+    e.compact_facts("events", full=True)
+    for rollup in ("events_day", "events_last"):
+        e.compact(rollup, full=True)
+    e.ingest(parts[2].where(F.col("event_id") % 8 == 2), "events", "s", 2)
+    e.ingest(parts[1].where(F.col("event_id") % 8 == 1), "events", "s", 1)
+    e.ingest(parts[3].limit(0), "events", "s", 3)
+    facts = e.facts("events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"), F.max("ts").alias("facts_newest"))
+    days = e.view("events_day").groupBy("user_id").agg(F.sum("value_count").alias("n_days"), F.count(F.lit(1)).alias("days"))
+    newest = e.view("events_last").select("user_id", F.col("ts").alias("newest"))
+    return facts.join(days, "user_id", "full").join(newest, "user_id", "full")
+
+
+def evolved_rollup(spark, sf_dir):
+    """A measure and aggregations are added to a rollup between two batches; older states stay
+    as they are and only the new columns are aggregated from the stored facts."""
+    root = scratch_dir(spark, "evolved")
+    parts = split_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 3)
+
+    def spec(columns: list[str], aggregations: list[dict]) -> dict:
+        table = {**LINEITEM_TABLE, "columns": [_col(c, "Float64") for c in LINEITEM_MEASURES]}
+        day = {**DAY, "aggregations": [{**a, "columns": columns} for a in aggregations]}
+        return {"tables": [table], "analytical_tables": [{"table": "lineitem", "aggregator": day}]}
+
+    first = Engine(spark, spec(["l_quantity"], FULL_AGGS[:2]), root)
+    for i in (0, 1):
+        first.ingest(parts[i], "lineitem", "s", i)
+    first.compact("lineitem_day")
+    e = Engine(spark, spec(["l_quantity", "l_tax"], FULL_AGGS), root)
+    e.ingest(parts[2], "lineitem", "s", 2)
+    e.backfill("lineitem_day")
+    e.compact("lineitem_day", full=True)
+    return comparable(e.view("lineitem_day"), ["l_suppkey", "day"])
+
+
+def sketched_quantiles(spark, sf_dir):
+    """A3/A12 beyond the exact bound: quantiles per year of lineitem from sketches of k 400, merged over
+    three batches.  One row per year: how many values, and whether each answer's rank is within the
+    sketch's error of its level (here 1.5 %) among all values."""
+    table = {**LINEITEM_TABLE, "id_column": _col("l_returnflag", "String"), "columns": [_col("l_extendedprice", "Float64")]}
+    aggregations = [{"type": "quantiles", "args_agg": ["0.1", "0.5", "0.9"], "k": 400, "exact": 100}, {"type": "count"}]
+    year = {"type": "interval", "name": "year", "group_functions": ["toStartOfYear"], "aggregations": aggregations}
+    e = engine(spark, {"tables": [table], "analytical_tables": [{"table": "lineitem", "aggregator": year}]}, "sketched")
+    li = read(spark, sf_dir, "lineitem")
+    _ingest_split(e, "lineitem", split_batches(li, ["l_orderkey", "l_linenumber"], 3))
+    e.compact("lineitem_year", full=True)
+    answers = e.view("lineitem_year").withColumnsRenamed({"l_returnflag": "_flag", "year": "_year"})
+    rows = li.select("l_returnflag", timefn.bucket("l_shipdate", ["toStartOfYear"]).alias("year"), "l_extendedprice")
+    same = F.col("l_returnflag").eqNullSafe(F.col("_flag")) & F.col("year").eqNullSafe(F.col("_year"))
+    q, x = F.col("l_extendedprice_quantiles_01_05_09"), F.col("l_extendedprice")
+    below = [F.sum((x < q[i]).cast("long")).alias(f"_lt{i}") for i in range(3)]
+    upto = [F.sum((x <= q[i]).cast("long")).alias(f"_le{i}") for i in range(3)]
+    n = F.max("l_extendedprice_count").alias("n")
+    ranks = dims.join_small(rows, answers, same).groupBy("l_returnflag", "year").agg(n, *below, *upto)
+    within = [
+        ((F.col(f"_lt{i}") <= (p + 0.015) * F.col("n") + 1) & (F.col(f"_le{i}") >= (p - 0.015) * F.col("n") - 1)).alias(f"within_{name}")
+        for i, (p, name) in enumerate(zip((0.1, 0.5, 0.9), QUANTILE_NAMES))
+    ]
+    return ranks.select("l_returnflag", "year", "n", *within)
+
+
+def named_aggregates(spark, sf_dir):
+    """Median, one quantile, any and the spread functions by name, from states of two batches."""
+    names = [{"type": "median"}, {"type": "quantile", "args_agg": ["0.75"]}, {"type": "any"}, {"type": "varPop"}, {"type": "stddevPop"}]
+    spec = {"tables": [EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": {**DAY, "aggregations": names}}]}
+    e = engine(spark, spec, "named")
+    _ingest_split(e, "events", split_batches(read(spark, sf_dir, "events"), ["event_id"], 2))
+    return comparable(e.view("events_day"), ["user_id", "day"])
+
+
+def native_windows(spark, sf_dir):
+    """ST3 native form with a watermark and buckets above a day: events streamed into months and weeks
+    per user, the newest row per group."""
+    root = scratch_dir(spark, "native-windows")
+    t = load_spec(EVENTS_SPEC).table("events")
+    _write_messages(read(spark, sf_dir, "events"), EVENTS_TABLE, f"{root}/inbox", 3)
+    decoded = codec.good(codec.decode(ingest.file_messages(spark, f"{root}/inbox", 1), t), t)
+    out = []
+    for name, functions in (("month", ["toStartOfMonth"]), ("week", ["toStartOfWeek"])):
+        aggregator = {"type": "interval", "name": name, "group_functions": functions, "aggregations": [{"type": "count"}, {"type": "sum"}]}
+        agg = load_spec({"tables": [EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": aggregator}]}).rollup(f"events_{name}").aggregator
+        q = ingest.start_windowed(decoded, t, agg, f"{root}/{name}", f"{root}/{name}-checkpoint", watermark="3650 days", trigger={"availableNow": True})
+        q.awaitTermination()
+        newest = ingest.latest_windows(spark, f"{root}/{name}", ["user_id", name])
+        out.append(newest.select("user_id", F.lit(name).alias("kind"), F.col(name).alias("bucket"), "value_count", r6("value_sum").alias("value_sum")))
+    return out[0].unionByName(out[1])
+
+
+def all_constraints(spark, sf_dir):
+    """NOT NULL, length and uniqueness of a dimension with every kind of offence, in one scan."""
+    c = read(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    damaged = c.select(
+        "c_custkey",
+        F.when(key % 7 != 0, F.col("c_name")).alias("c_name"),
+        F.when(key % 5 == 0, F.repeat("c_mktsegment", 3)).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.floor(key / 2).alias("pair"),
+    )
+    return dims.violations(damaged, ["c_custkey"], not_null=["c_name"], unique=[["pair"], ["c_custkey"]], max_len={"c_mktsegment": 12})
 
 
 QUERIES = {
@@ -617,6 +766,14 @@ QUERIES = {
     "json_several_objects": json_several_objects,
     "bucket_functions": bucket_functions,
     "facts_filtered": facts_filtered,
+    "view_time_range": view_time_range,
+    "tiered_compaction": tiered_compaction,
+    "replayed_batch": replayed_batch,
+    "evolved_rollup": evolved_rollup,
+    "sketched_quantiles": sketched_quantiles,
+    "named_aggregates": named_aggregates,
+    "native_windows": native_windows,
+    "all_constraints": all_constraints,
 }
 
 

@@ -36,7 +36,7 @@ def geojson_feature(lon: Column | str, lat: Column | str, properties: list[str])
 
 
 def map_ready(
-    df: DataFrame, ts: str, lon: str = "lon", lat: str = "lat", category: str = "station_name"
+    df: DataFrame, ts: str, lon: str = "lon", lat: str = "lat", category: str = "label"
 ) -> DataFrame:
     """Joined rows plus ``geometry`` (point), ``wkt``, the time as ``%Y-%m-%d %H:%M:%S`` text and a
     ``category`` column for colouring."""

@@ -50,11 +50,25 @@ def yyyymm(ts: Column | str) -> Column:
     return (F.year(col) * 100 + F.month(col)).cast("int")
 
 
+def as_time(value: dt.datetime | dt.date | str) -> dt.datetime:
+    """A literal bound as a time; a date is its midnight."""
+    if isinstance(value, str):
+        return dt.datetime.fromisoformat(value)
+    return value if isinstance(value, dt.datetime) else dt.datetime(value.year, value.month, value.day)
+
+
 def yyyymm_of(value: dt.datetime | dt.date | str) -> int:
     """Driver-side month key of a literal bound (for the implied partition predicate)."""
-    if isinstance(value, str):
-        value = dt.datetime.fromisoformat(value)
-    return value.year * 100 + value.month
+    time = as_time(value)
+    return time.year * 100 + time.month
+
+
+def month_range(lo=None, hi=None) -> tuple[int, int] | None:
+    """First and last month of times from ``lo`` on and before ``hi``; None when both are open."""
+    if lo is None and hi is None:
+        return None
+    last = 999912 if hi is None else yyyymm_of(as_time(hi) - dt.timedelta(microseconds=1))
+    return (0 if lo is None else yyyymm_of(lo)), last
 
 
 DISPLAY_FORMAT = "yyyy-MM-dd HH:mm:ss"

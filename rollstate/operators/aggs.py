@@ -1,24 +1,24 @@
 """Aggregate-function registry: name → one-pass, partial state, state merge and finish.
 
-Every entry is written with built-in Spark aggregate expressions, so both the one-pass form and the
-state forms get Catalyst's partial (map-side) aggregation and no Python runs in the data path.
-
-State layouts (all mergeable, associative and commutative):
-
-=============  ==============================  =====================================================
-function       state                           merge
-=============  ==============================  =====================================================
-count          n long                          sum
-avg            struct<sum double, n long>      field-wise sum
-quantiles      KLL sketch (binary)             kll_merge_agg_double
-stddevSamp     struct<n long, mean, m2>        pairwise-stable: Σm2ᵢ + Σnᵢ(meanᵢ − c)², c = grand mean
-min/max/sum    same type as input              min / max / sum
-argMax/argMin  struct<by, value>               max(by) / max_by(value, by)  (min for argMin)
-=============  ==============================  =====================================================
-
-``stddevSamp`` merges around the group's grand mean ``c`` (computed by the caller, see
-``rollups.merge``) instead of expanding Σn·mean², which cancels catastrophically for values near
-1e9 with a small spread.
+Every entry is written with built-in Spark expressions, so both the one-pass form and the state forms
+get Catalyst's partial (map-side) aggregation and no Python runs in the data path.
+
+State layouts (all mergeable in any order):
+
+=============  ====================================  ===============================================
+function       state                                 merge
+=============  ====================================  ===============================================
+count          n long                                sum
+avg            struct<sum double, n long>            field-wise sum
+quantiles      struct<values, sketch>                values joined, sketches merged (``quantiles``)
+stddevSamp     struct<n long, mean, m2>              pairwise, by the exact update of mean and m2
+min/max/sum    same type as input                    min / max / sum
+argMax/argMin  struct<by, value>                     max(by) / max_by(value, by)  (min for argMin)
+=============  ====================================  ===============================================
+
+The moments of two states are joined around their common mean (``m2`` grows by the squared distance
+of the means, weighted), never through Σn·mean², which cancels for values near 1e9 with a small
+spread.  A key has one state per live part, so the list that is folded is short.
 """
 
 from __future__ import annotations
@@ -32,16 +32,23 @@ from pyspark.sql import functions as F
 from rollstate.spec import Aggregation, SpecError
 
 
+#: A sketch's size parameter: its bounds in Spark, and its default (rank error about 1.3 %).
+MIN_K, MAX_K, DEFAULT_K = 8, 65535, 200
+#: Values that a group's state keeps as they are, by default and at most.
+DEFAULT_EXACT, MAX_EXACT = 512, 100_000
+
+
 @dataclass(frozen=True)
 class AggFn:
     name: str
     one_pass: Callable[[Column, tuple[float, ...], list[Column]], Column]
     state: Callable[[Column, tuple[float, ...], list[Column]], Column]
-    merge: Callable[[Column, tuple[float, ...], Column | None], Column]
+    merge: Callable[[Column, tuple[float, ...]], Column]
     finish: Callable[[Column, tuple[float, ...]], Column]
     n_extra: int = 0  # number of ``args_func`` columns
-    takes_probs: bool = False  # ``args_agg`` are quantile levels
-    needs_center: bool = False  # merge needs the per-group grand mean of ``state.mean``
+    takes_probs: bool = False  # ``args_agg`` are quantile levels; states and merges: ``operators.quantiles``
+    levels: tuple[float, ...] = ()  # fixed quantile levels (of ``median``)
+    scalar: bool = False  # one level, given as a number instead of an array
 
 
 def _d(c: Column) -> Column:
@@ -58,10 +65,15 @@ def _stddev_state(x: Column, _p, _e) -> Column:
     return F.struct(n.alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * n).alias("m2"))
 
 
-def _stddev_merge(s: Column, _p, center: Column | None) -> Column:
-    dev = s["mean"] - center
-    m2 = F.sum(F.coalesce(s["m2"], F.lit(0.0)) + s["n"] * dev * dev)
-    return F.struct(F.sum(s["n"]).alias("n"), F.max(center).alias("mean"), m2.alias("m2"))
+def _stddev_merge(s: Column, _p) -> Column:
+    def join(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        mean = a["mean"] + apart * b["n"] / n
+        m2 = a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n
+        return F.when(a["n"] == 0, b).otherwise(F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2")))
+
+    nothing = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(F.collect_list(F.when(s["n"] > 0, s)), nothing, join)
 
 
 def _spread(one_pass: Callable[[Column], Column], sample: bool, root: bool) -> dict:
@@ -71,7 +83,7 @@ def _spread(one_pass: Callable[[Column], Column], sample: bool, root: bool) -> d
         var = F.greatest(s["m2"], F.lit(0.0)) / (s["n"] - 1 if sample else s["n"])
         return F.when(s["n"] > (1 if sample else 0), F.sqrt(var) if root else var)
 
-    return dict(one_pass=lambda x, _p, _e: one_pass(_d(x)), state=_stddev_state, merge=_stddev_merge, finish=finish, needs_center=True)
+    return dict(one_pass=lambda x, _p, _e: one_pass(_d(x)), state=_stddev_state, merge=_stddev_merge, finish=finish)
 
 
 def _probs(p: tuple[float, ...]) -> Column:
@@ -85,7 +97,7 @@ def _arg(extreme_by: Callable, extreme: Callable) -> tuple[Callable, Callable, C
     def state(x, _p, e):
         return F.struct(extreme(e[0]).alias("by"), extreme_by(x, e[0]).alias("value"))
 
-    def merge(s, _p, _c):
+    def merge(s, _p):
         return F.struct(extreme(s["by"]).alias("by"), extreme_by(s["value"], s["by"]).alias("value"))
 
     def finish(s, _p):
@@ -99,11 +111,20 @@ def _simple(fn: Callable[[Column], Column], merge_fn: Callable[[Column], Column]
     return dict(
         one_pass=lambda x, _p, _e: fn(x),
         state=lambda x, _p, _e: fn(x),
-        merge=lambda s, _p, _c: m(s),
+        merge=lambda s, _p: m(s),
         finish=lambda s, _p: s,
     )
 
 
+def _quantile() -> dict:
+    """States, their merge and their finish depend on the group's size: see ``operators.quantiles``."""
+
+    def elsewhere(*_):
+        raise NotImplementedError("quantile states are built by operators.quantiles")
+
+    return dict(one_pass=lambda x, p, _e: F.percentile(_d(x), _probs(p)), state=elsewhere, merge=elsewhere, finish=elsewhere)
+
+
 REGISTRY: dict[str, AggFn] = {
     "count": AggFn("count", **_simple(F.count, F.sum)),
     "max": AggFn("max", **_simple(F.max)),
@@ -113,26 +134,21 @@ REGISTRY: dict[str, AggFn] = {
         "avg",
         one_pass=lambda x, _p, _e: F.avg(_d(x)),
         state=lambda x, _p, _e: F.struct(F.sum(_d(x)).alias("sum"), F.count(x).alias("n")),
-        merge=lambda s, _p, _c: F.struct(F.sum(s["sum"]).alias("sum"), F.sum(s["n"]).alias("n")),
+        merge=lambda s, _p: F.struct(F.sum(s["sum"]).alias("sum"), F.sum(s["n"]).alias("n")),
         finish=_avg_finish,
     ),
     "stddevSamp": AggFn("stddevSamp", **_spread(F.stddev_samp, sample=True, root=True)),
     "stddevPop": AggFn("stddevPop", **_spread(F.stddev_pop, sample=False, root=True)),
     "varSamp": AggFn("varSamp", **_spread(F.var_samp, sample=True, root=False)),
     "varPop": AggFn("varPop", **_spread(F.var_pop, sample=False, root=False)),
-    # One pass: exact quantiles with linear interpolation, computed by rank selection in
-    # ``operators.quantiles`` (``one_pass`` here is Spark's ``percentile``, kept for small inputs only:
-    # it holds each group's distinct values in one buffer).
-    # States: KLL sketches (bounded size, mergeable); a sketch answers with an observed value and is
-    # exact while a group holds no more than k=200 values.
-    "quantiles": AggFn(
-        "quantiles",
-        one_pass=lambda x, p, _e: F.percentile(_d(x), _probs(p)),
-        state=lambda x, _p, _e: F.kll_sketch_agg_double(_d(x)),
-        merge=lambda s, _p, _c: F.kll_merge_agg_double(s),
-        finish=lambda s, p: F.when(F.kll_sketch_get_n_double(s) > 0, F.kll_sketch_get_quantile_double(s, _probs(p))),
-        takes_probs=True,
-    ),
+    # One pass: exact, with linear interpolation, by ``operators.quantiles`` (``one_pass`` here is
+    # Spark's ``percentile``, for small inputs only: it holds a group's distinct values in one buffer).
+    # States: the values themselves for small groups, a KLL sketch beyond.
+    "quantiles": AggFn("quantiles", **_quantile(), takes_probs=True),
+    "quantile": AggFn("quantile", **_quantile(), takes_probs=True, scalar=True),
+    "median": AggFn("median", **_quantile(), takes_probs=True, levels=(0.5,), scalar=True),
+    # Any value will do; the smallest makes results repeat.
+    "any": AggFn("any", **_simple(F.min)),
     "argMax": AggFn("argMax", *_arg(F.max_by, F.max), n_extra=1),
     "argMin": AggFn("argMin", *_arg(F.min_by, F.min), n_extra=1),
 }
@@ -146,12 +162,12 @@ def get(name: str) -> AggFn:
 
 
 def probs_of(a: Aggregation) -> tuple[float, ...]:
-    return tuple(float(x) for x in a.args_agg)
+    return get(a.type).levels or tuple(float(x) for x in a.args_agg)
 
 
 def validate(a: Aggregation) -> None:
     fn = get(a.type)
-    if fn.takes_probs:
+    if fn.takes_probs and not fn.levels:
         if not a.args_agg:
             raise SpecError(f"{a.type} needs quantile levels in args_agg")
         try:
@@ -160,10 +176,17 @@ def validate(a: Aggregation) -> None:
             raise SpecError(f"{a.type}: quantile levels must be numbers, got {a.args_agg}") from None
         if any(not 0.0 <= p <= 1.0 for p in ps):
             raise SpecError(f"{a.type}: quantile levels must lie in [0, 1], got {a.args_agg}")
+        if fn.scalar and len(ps) != 1:
+            raise SpecError(f"{a.type} takes one quantile level, got {a.args_agg}")
     elif a.args_agg:
         raise SpecError(f"{a.type} takes no args_agg")
     if len(a.args_func) != fn.n_extra:
         raise SpecError(f"{a.type} takes {fn.n_extra} extra column(s) in args_func, got {len(a.args_func)}")
+    for name, value, low, high in (("k", a.k, MIN_K, MAX_K), ("exact", a.exact, 0, MAX_EXACT)):
+        if not fn.takes_probs and value is not None:
+            raise SpecError(f"{a.type} takes no {name}")
+        if value is not None and (isinstance(value, bool) or not isinstance(value, int) or not low <= value <= high):
+            raise SpecError(f"{a.type}: {name} must be a whole number from {low} to {high}, got {value!r}")
 
 
 def extra_cols(a: Aggregation) -> list[Column]:
@@ -171,15 +194,16 @@ def extra_cols(a: Aggregation) -> list[Column]:
 
 
 def one_pass(a: Aggregation, x: Column) -> Column:
-    return get(a.type).one_pass(x, probs_of(a), extra_cols(a))
+    out = get(a.type).one_pass(x, probs_of(a), extra_cols(a))
+    return F.get(out, F.lit(0)) if get(a.type).scalar else out
 
 
 def state(a: Aggregation, x: Column) -> Column:
     return get(a.type).state(x, probs_of(a), extra_cols(a))
 
 
-def merge(a: Aggregation, s: Column, center: Column | None = None) -> Column:
-    return get(a.type).merge(s, probs_of(a), center)
+def merge(a: Aggregation, s: Column) -> Column:
+    return get(a.type).merge(s, probs_of(a))
 
 
 def finish(a: Aggregation, s: Column) -> Column:

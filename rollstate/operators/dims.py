@@ -137,22 +137,33 @@ def violations(
     max_len: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Every constraint violation as ``constraint, key, n``; ``key`` is the JSON of the offending
-    row's ``key`` columns (or of the duplicated columns for a uniqueness violation)."""
+    row's ``key`` columns (or of the duplicated columns for a uniqueness violation).
+
+    Row constraints take one scan together; uniqueness takes one more, as grouping sets of one
+    aggregation, which pre-aggregates each set of columns before the shuffle.
+    """
     key_json = F.to_json(F.struct(*[F.col(k) for k in key]))
+
+    def entry(broken: Column, constraint: str) -> Column:
+        one = F.lit(1).cast("long").alias("n")
+        return F.when(broken, F.struct(F.lit(constraint).alias("constraint"), key_json.alias("key"), one))
+
     parts = []
-    for c in not_null:
-        parts.append(
-            df.where(F.col(c).isNull()).select(F.lit(f"not_null({c})").alias("constraint"), key_json.alias("key"), F.lit(1).cast("long").alias("n"))
-        )
-    for cols in unique:
-        d = duplicate_keys(df, cols)
-        parts.append(
-            d.select(F.lit(f"unique({','.join(cols)})").alias("constraint"), F.to_json(F.struct(*cols)).alias("key"), F.col("n"))
-        )
-    for c, n in (max_len or {}).items():
-        parts.append(
-            df.where(F.length(c) > n).select(F.lit(f"max_len({c},{n})").alias("constraint"), key_json.alias("key"), F.lit(1).cast("long").alias("n"))
-        )
+    broken = [(F.col(c).isNull(), f"not_null({c})") for c in not_null]
+    broken += [(F.length(c) > n, f"max_len({c},{n})") for c, n in (max_len or {}).items()]
+    if broken:
+        offences = F.filter(F.array(*[entry(b, c) for b, c in broken]), lambda e: e.isNotNull())
+        parts.append(df.where(reduce(lambda a, b: a | b, [b for b, _ in broken])).select(F.explode(offences).alias("_e")).select("_e.*"))
+    if unique:
+        columns = list(dict.fromkeys(c for cols in unique for c in cols))
+        grouped = df.groupingSets([[F.col(c) for c in cols] for cols in unique], *[F.col(c) for c in columns])
+        repeated = grouped.agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_set")).where(F.col("n") > 1)
+        name, text = F.lit(None).cast("string"), F.lit(None).cast("string")
+        for cols in unique:
+            mine = F.col("_set") == sum(1 << i for i, c in enumerate(reversed(columns)) if c not in cols)
+            name = F.when(mine, F.lit(f"unique({','.join(cols)})")).otherwise(name)
+            text = F.when(mine, F.to_json(F.struct(*cols))).otherwise(text)
+        parts.append(repeated.select(name.alias("constraint"), text.alias("key"), "n"))
     if not parts:
         return df.sparkSession.createDataFrame([], "constraint string, key string, n long")
     return reduce(DataFrame.unionByName, parts)

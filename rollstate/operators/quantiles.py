@@ -1,26 +1,31 @@
-"""Exact quantiles with linear interpolation, per group, without gathering a group in one place.
+"""Quantiles per group: exact in one pass, and as mergeable states of bounded size.
 
 For a group with ``n`` non-NULL values sorted ascending (0-based), level ``p`` sits at position
 ``h = p·(n−1)``; the result is ``v[⌊h⌋] + (h − ⌊h⌋)·(v[⌈h⌉] − v[⌊h⌋])`` (the same definition as
-SQL ``percentile_cont`` / ``quantile_cont``).  Only the two values at ranks ⌊h⌋ and ⌈h⌉ are needed,
-so the job is a rank selection:
-
-* **ordinary groups** (at most ``hot_rows`` rows): one shuffle on the group keys, a window
-  ``row_number`` per measure ordered by value, and an aggregation that keeps the values at the wanted
-  ranks.  Every window partition is one group, bounded by ``hot_rows``.
-* **hot groups** (far more rows than ``hot_rows``, found from a sample; their number is at most about
-  2·rows / ``hot_rows``): rows are
-  range-partitioned on ``(keys, value)`` so one group spreads over many tasks; per-partition row counts
-  give each partition's rank offset; only the partitions holding a wanted rank are ranked locally.
-  No task ever holds more than one range partition of a group.
+SQL ``percentile_cont`` / ``quantile_cont``).
+
+**One pass** (``exact``), by the size of a group, which a sample of the keys tells:
+
+* at most ``list_rows`` rows: the values of each measure are gathered in one aggregation, without any
+  sort of the rows, and sorted as an array;
+* at most ``hot_rows`` rows: a window ``row_number`` per measure ordered by value, and an aggregation
+  that keeps the values at the wanted ranks;
+* beyond: rows are range-partitioned on ``(keys, value)`` so one group spreads over many tasks;
+  per-partition row counts give each partition's rank offset; only the partitions holding a wanted
+  rank are ranked locally.  No task ever holds more than one range partition of a group.
 
 Rows are never dropped or sampled: the result is exact for every group.
+
+**States** (``states``, ``merged``, ``finished``): a group's values as they are while there are no more
+than a bound, a KLL sketch beyond.  So small groups, of which there may be very many, cost no sketch
+and give the exact, interpolated quantile of one pass; large groups have a state of bounded size that
+answers with an observed value, with the sketch's rank error.  States may be merged in any order.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,14 +34,17 @@ from pyspark.sql import functions as F
 from rollstate.operators.dims import join_small
 from rollstate.session import checkpoint_dir
 
+# Rows up to which the values of a group are gathered in an array.
+LIST_ROWS = 20_000
 # Rows above which a group takes the distributed (range-partitioned) path.
 HOT_GROUP_ROWS = 1_000_000
 # Target rows per range partition on that path (keys + one double per row).
 PARTITION_ROWS = 4_000_000
-# Expected sampled rows of a group with exactly ``hot_rows`` rows (sets the sampling fraction).
-SAMPLE_PER_HOT_GROUP = 2_000
+# Expected sampled rows of a group with exactly ``list_rows`` rows (sets the sampling fraction).
+SAMPLE_PER_GROUP = 200
 
 QSpec = tuple[str, str, tuple[float, ...]]  # (output column, input column, levels)
+StateSpec = tuple[str, int]  # (state column, size parameter of its sketch)
 Named = tuple[str, Column]  # (output column, aggregate expression)
 
 
@@ -53,6 +61,30 @@ def _rank_hi(n: Column, p: float) -> Column:
     return F.ceil((n - 1).cast("double") * F.lit(p)).cast("long")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once per row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def of_values(values: Column, probs: Sequence[float]) -> Column:
+    """Interpolated quantiles of an array; NULL when it is empty."""
+
+    def at(v: Column) -> Column:
+        n = F.size(v)
+        return F.array(*[_interpolate(F.get(v, _rank_lo(n, p).cast("int")), F.get(v, _rank_hi(n, p).cast("int")), n, p) for p in probs])
+
+    return F.when(F.size(values) > 0, _let(F.sort_array(values), at))
+
+
+def _by_lists(df: DataFrame, keys: Sequence[str], specs: Sequence[QSpec], others: Sequence[Named]) -> DataFrame:
+    """Small groups: one aggregation gathers the values of every measure beside the other aggregates."""
+    inputs = list(dict.fromkeys(c for _, c, _ in specs))
+    lists = [F.collect_list(F.col(f"`{c}`").cast("double")).alias(f"_v{i}") for i, c in enumerate(inputs)]
+    agg = df.groupBy(*keys).agg(*[c.alias(n) for n, c in others], *lists)
+    outs = [of_values(F.col(f"_v{inputs.index(c)}"), ps).alias(name) for name, c, ps in specs]
+    return agg.select(*keys, *[F.col(f"`{n}`") for n, _ in others], *outs)
+
+
 def _by_window(df: DataFrame, keys: Sequence[str], specs: Sequence[QSpec], others: Sequence[Named]) -> DataFrame:
     """Ordinary groups: rank by window, keep the values at the wanted ranks, interpolate.  The other
     aggregates run in the same aggregation, which reuses the window's partitioning (one shuffle)."""
@@ -182,27 +214,28 @@ def _by_range(
     return out.select(*keys, *[n for n, _ in others], *[name for name, _, _ in specs])
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, seed: int = 17) -> tuple[DataFrame | None, int]:
-    """Groups likely above ``hot_rows`` rows, from a seeded sample, and their estimated total rows.
+def large_groups(df: DataFrame, keys: Sequence[str], rows: int, seed: int = 17) -> tuple[DataFrame | None, int]:
+    """Groups likely above ``rows`` rows with their estimated size ``_rows``, and the total of these.
 
-    A group of ``hot_rows`` rows contributes about ``SAMPLE_PER_HOT_GROUP`` sampled rows; a group is
-    flagged at half that.  Routing only decides which exact path a group takes, so a near-threshold
-    group may go either way without changing any result; a group far above the bound is flagged
-    with overwhelming probability.  The flagged keys are checkpointed so every later use agrees.
+    A group of ``rows`` rows contributes about ``SAMPLE_PER_GROUP`` sampled rows; a group is flagged
+    at half that.  Routing only decides which exact path a group takes, so a near-threshold group may
+    go either way without changing any result; a group far above the bound is flagged with
+    overwhelming probability.  The flagged keys are checkpointed so every later use agrees.
     """
-    fraction = min(1.0, SAMPLE_PER_HOT_GROUP / max(1, hot_rows))
+    fraction = min(1.0, SAMPLE_PER_GROUP / max(1, rows))
     sample = df.select(*keys) if fraction >= 1.0 else df.select(*keys).sample(False, fraction, seed)
-    cutoff = hot_rows if fraction >= 1.0 else SAMPLE_PER_HOT_GROUP / 2
-    flagged = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s")).where(F.col("_s") > cutoff)
-    n, sampled = flagged.agg(F.count(F.lit(1)), F.sum("_s")).first()
-    if not n:
-        return None, 0
+    cutoff = rows if fraction >= 1.0 else SAMPLE_PER_GROUP / 2
     checkpoint_dir(df.sparkSession)
-    fixed = flagged.checkpoint(eager=True)
-    n, sampled = fixed.agg(F.count(F.lit(1)), F.sum("_s")).first()
-    if not n:
-        return None, 0
-    return fixed.select(*keys), int(sampled / fraction)
+    flagged = sample.groupBy(*keys).agg((F.count(F.lit(1)) / fraction).cast("long").alias("_rows"))
+    fixed = flagged.where(F.col("_rows") > int(cutoff / fraction)).checkpoint(eager=True)
+    n, total = fixed.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    return (fixed, int(total)) if n else (None, 0)
+
+
+def _split(df: DataFrame, keys: Sequence[str], groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the groups, and all others."""
+    renamed = groups.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    return join_small(df, renamed, _on_renamed(keys), "left_semi"), join_small(df, renamed, _on_renamed(keys), "left_anti")
 
 
 def exact(
@@ -212,18 +245,113 @@ def exact(
     others: Sequence[Named] = (),
     hot_rows: int = HOT_GROUP_ROWS,
     partition_rows: int = PARTITION_ROWS,
+    list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """Per group: ``keys…``, the named aggregates ``others…``, then one ``array<double>`` column per
     quantile spec (NULL when the group has no values).
 
     ``df`` must carry the key columns.  A sampled pass (keys only) finds groups far above
-    ``hot_rows`` rows; when there are none, only the window path runs.
+    ``list_rows`` rows; when there are none, only the first path runs.
+    """
+    keys, list_rows = list(keys), min(list_rows, hot_rows)
+    flagged, _ = large_groups(df, keys, list_rows)
+    if flagged is None:
+        return _by_lists(df, keys, specs, others)
+    large, small = _split(df, keys, flagged)
+    out = _by_lists(small, keys, specs, others)
+    hot = flagged.where(F.col("_rows") > hot_rows)
+    n_hot, total = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if n_hot < flagged.count():
+        middle = large if not n_hot else _split(large, keys, hot)[1]
+        out = out.unionByName(_by_window(middle, keys, specs, others))
+    if n_hot:
+        hot_df = _split(large, keys, hot)[0]
+        out = out.unionByName(_by_range(hot_df, keys, specs, others, partition_rows, int(total)))
+    return out
+
+
+# ------------------------------------------------------------------------------------------- states
+
+
+def _state(values: Column, sketch: Column) -> Column:
+    return F.struct(values.alias("values"), sketch.alias("sketch"))
+
+
+def _no_values() -> Column:
+    return F.array().cast("array<double>")
+
+
+def states(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str, int]], others: Sequence[Column], bound: int) -> DataFrame:
+    """State rows: ``keys…``, ``others…`` and one quantile state per (state column, input column, k).
+
+    The rows of each group are counted first (partial aggregation, one row per group and task moves).
+    Groups of at most ``bound`` rows keep their values, larger ones get sketches, whose buffers are
+    bounded whatever the group.
+    """
+    checkpoint_dir(df.sparkSession)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large_keys = counted.where(F.col("_rows") > bound).select(*keys).checkpoint(eager=True)
+
+    def listed(rows: DataFrame) -> DataFrame:
+        lists = [_state(F.collect_list(F.col(f"`{c}`").cast("double")), F.lit(None).cast("binary")).alias(name) for name, c, _ in specs]
+        return rows.groupBy(*keys).agg(*others, *lists)
+
+    def sketched(rows: DataFrame) -> DataFrame:
+        def one(c: str, k: int) -> Column:
+            x = F.col(f"`{c}`").cast("double")
+            return _state(_no_values(), F.when(F.count(x) > 0, F.kll_sketch_agg_double(x, k)))
+
+        return rows.groupBy(*keys).agg(*others, *[one(c, k).alias(name) for name, c, k in specs])
+
+    if large_keys.isEmpty():
+        return listed(df)
+    large, small = _split(df, keys, large_keys)
+    return listed(small).unionByName(sketched(large))
+
+
+def merged(rows: DataFrame, keys: Sequence[str], specs: Sequence[StateSpec], others: Sequence[Column], bound: int) -> DataFrame:
+    """One state row per key: ``others…`` (aggregates with an alias) and the merged quantile states.
+
+    Values are joined and sketches merged in one aggregation.  Where the values of a key then exceed
+    the bound, or stand beside a sketch, they go into the sketch by a second one, of those keys only.
     """
-    keys = list(keys)
-    hot, hot_total = hot_groups(df, keys, hot_rows)
-    if hot is None:
-        return _by_window(df, keys, specs, others)
-    renamed = hot.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    cold = join_small(df, renamed, _on_renamed(keys), "left_anti")
-    hot_df = join_small(df, renamed, _on_renamed(keys), "left_semi")
-    return _by_window(cold, keys, specs, others).unionByName(_by_range(hot_df, keys, specs, others, partition_rows, hot_total))
+    together = []
+    for name, _ in specs:
+        values = F.flatten(F.collect_list(F.col(f"`{name}`.values")))
+        sketches = F.collect_list(F.col(f"`{name}`.sketch"))
+        first = F.get(sketches, F.lit(0))
+        rest = F.slice(sketches, F.lit(2), F.greatest(F.size(sketches) - 1, F.lit(0)))
+        both = F.when(F.size(sketches) > 0, F.aggregate(rest, first, lambda a, b: F.kll_sketch_merge_double(a, b)))
+        together.append(_state(values, both).alias(name))
+    out = rows.groupBy(*keys).agg(*others, *together)
+    kept = [c for c in out.columns if c not in keys and c not in {n for n, _ in specs}]
+
+    def crowded(s: Column) -> Column:
+        return (F.size(s["values"]) > bound) | (s["sketch"].isNotNull() & (F.size(s["values"]) > 0))
+
+    cols = [F.col(f"`{name}`") for name, _ in specs]
+    any_crowded = reduce(lambda a, b: a | b, [crowded(c) for c in cols])
+
+    def tagged(i: int, s: Column) -> Column:
+        values = F.when(crowded(s), s["values"]).otherwise(_no_values())
+        return F.transform(values, lambda v: F.struct(F.lit(i).alias("i"), v.alias("v")))
+
+    again = out.where(any_crowded).withColumn("_e", F.explode(F.concat(*[tagged(i, c) for i, c in enumerate(cols)])))
+    folded = again.groupBy(*keys).agg(
+        *[F.first(f"`{c}`").alias(c) for c in kept],
+        *[F.first(c).alias(f"_s{i}") for i, c in enumerate(cols)],
+        *[F.kll_sketch_agg_double(F.when(F.col("_e.i") == i, F.col("_e.v")), k).alias(f"_k{i}") for i, (_, k) in enumerate(specs)],
+    )
+    settled = []
+    for i, (name, _) in enumerate(specs):
+        s, more = F.col(f"_s{i}"), F.col(f"_k{i}")
+        sketch = F.when(s["sketch"].isNull(), more).otherwise(F.kll_sketch_merge_double(s["sketch"], more))
+        settled.append(F.when(crowded(s), _state(_no_values(), sketch)).otherwise(s).alias(name))
+    folded = folded.select(*keys, *[F.col(f"`{c}`") for c in kept], *settled)
+    return out.where(~any_crowded).unionByName(folded)
+
+
+def finished(s: Column, probs: Sequence[float]) -> Column:
+    """Quantiles of a merged state; NULL when it holds no values."""
+    levels = F.array(*[F.lit(float(p)) for p in probs])
+    return F.when(s["sketch"].isNotNull(), F.kll_sketch_get_quantile_double(s["sketch"], levels)).otherwise(of_values(s["values"], probs))

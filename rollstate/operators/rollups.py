@@ -13,11 +13,15 @@ one partial row per map task rather than as its raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollstate.functions import timefn
 from rollstate.operators import aggs, quantiles
+from rollstate.operators.dims import fits_broadcast
+from rollstate.session import checkpoint_dir
 from rollstate.spec import AnalyticalTable, IntervalAggregator, LastAggregator, Table
 
 LAST_STATE = "_last"
@@ -47,9 +51,22 @@ def last(df: DataFrame, table: Table, tiebreak: tuple[str, ...] = ()) -> DataFra
     The newest row is the maximum of ``struct(ts, tiebreak…, measures…)``, so equal times are broken by
     the given columns and then by the measures: the result is deterministic and never mixes values of
     different rows.  NULL sorts lowest, so a NULL measure loses a tie.
+
+    Spark sorts every task's rows to take the maximum of a struct.  So the newest time of each id is
+    found first, by hashing, and while these fit a broadcast (measured) only the rows at that time
+    reach the struct; beyond, all rows do.
     """
+    ident = F.col(f"`{table.id}`")
+    checkpoint_dir(df.sparkSession)
+    newest = df.groupBy(ident.alias("_id")).agg(F.max(f"`{table.ts}`").alias("_ts")).checkpoint(eager=True)
+    rows = df
+    if fits_broadcast(newest):
+        same = ident.eqNullSafe(F.col("_id")) & (F.col(f"`{table.ts}`") == F.col("_ts"))
+        # Ids without any time have a row too, with NULLs.
+        without = newest.where(F.col("_ts").isNull()).select(F.col("_id").alias(table.id))
+        rows = df.join(F.broadcast(newest), same, "left_semi").unionByName(without, allowMissingColumns=True)
     s = F.max(_last_struct(table, tiebreak)).alias(LAST_STATE)
-    return df.groupBy(table.id).agg(s).select(F.col(table.id), *_last_columns(table, F.col(LAST_STATE)))
+    return rows.groupBy(ident).agg(s).select(ident, *_last_columns(table, F.col(LAST_STATE)))
 
 
 # ----------------------------------------------------------------------------------------- interval
@@ -67,10 +84,6 @@ def output_specs(table: Table, agg: IntervalAggregator) -> list[tuple[str, str,
     return out
 
 
-def bucket_col(table: Table, agg: IntervalAggregator) -> Column:
-    return timefn.bucket(table.ts, agg.group_functions).alias(agg.name)
-
-
 def interval(
     df: DataFrame,
     table: Table,
@@ -92,7 +105,11 @@ def interval(
     if not q_specs:
         return keyed.groupBy(*keys).agg(*[c.alias(n) for n, c in others])
     out = quantiles.exact(keyed, keys, q_specs, others, hot_rows, partition_rows)
-    return out.select(*keys, *[name for name, _, _ in specs])
+    return out.select(*keys, *[_one_level(F.col(f"`{name}`"), a).alias(name) for name, _, a in specs])
+
+
+def _one_level(levels: Column, a: aggs.Aggregation) -> Column:
+    return F.get(levels, F.lit(0)) if aggs.get(a.type).scalar else levels
 
 
 # ------------------------------------------------------------------------------------------- states
@@ -104,43 +121,47 @@ def state_columns(at: AnalyticalTable) -> list[str]:
     return [f"{name}_state" for name, _, _ in output_specs(at.table, at.aggregator)]
 
 
-def partial(df: DataFrame, at: AnalyticalTable, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Aggregate a slice of facts into state rows: ``keys…, [extra_keys…], <state columns>``.
+def _sketch_size(a: aggs.Aggregation) -> int:
+    return a.k or aggs.DEFAULT_K
+
+
+def _bound(specs: list) -> int:
+    """Values that a quantile state keeps: the largest of the rollup's bounds."""
+    given = [a.exact for _, _, a in specs if aggs.get(a.type).takes_probs]
+    return max(aggs.DEFAULT_EXACT if e is None else e for e in given)
 
-    ``extra_keys`` (e.g. ``source_id, batch_id``) keep one state row per key and batch when several
-    batches are aggregated in one job (backfill)."""
+
+def partial(df: DataFrame, at: AnalyticalTable, only: list[str] | None = None) -> DataFrame:
+    """Aggregate a slice of facts into state rows: ``keys…, <state columns>`` (``only`` some of them)."""
     t, g = at.table, at.aggregator
-    extra = [F.col(k) for k in extra_keys]
     if isinstance(g, LastAggregator):
-        return df.groupBy(F.col(t.id), *extra).agg(F.max(_last_struct(t, g.tiebreak)).alias(LAST_STATE))
-    exprs = [aggs.state(a, F.col(c)).alias(f"{name}_state") for name, c, a in output_specs(t, g)]
-    return df.groupBy(F.col(t.id), bucket_col(t, g), *extra).agg(*exprs)
+        return df.groupBy(F.col(f"`{t.id}`")).agg(F.max(_last_struct(t, g.tiebreak)).alias(LAST_STATE))
+    specs = [(f"{name}_state", c, a) for name, c, a in output_specs(t, g) if only is None or f"{name}_state" in only]
+    keyed = df.withColumn(g.name, timefn.bucket(t.ts, g.group_functions))
+    plain = [aggs.state(a, F.col(f"`{c}`")).alias(name) for name, c, a in specs if not aggs.get(a.type).takes_probs]
+    q_specs = [(name, c, _sketch_size(a)) for name, c, a in specs if aggs.get(a.type).takes_probs]
+    if not q_specs:
+        return keyed.groupBy(*at.keys).agg(*plain)
+    out = quantiles.states(keyed, at.keys, q_specs, plain, _bound(specs))
+    return out.select(*at.keys, *[F.col(f"`{name}`") for name, _, _ in specs])
 
 
 def merge(states: DataFrame, at: AnalyticalTable) -> DataFrame:
     """Fold state rows with equal keys into one state row (same schema as ``partial``'s output).
 
-    Variance states need their group's grand mean first.  It comes from a window over the same
-    keys, so the window's shuffle is the only one: the aggregation after it reuses that partitioning.
-    State tables hold one row per key and batch (compaction keeps the batch count small), so a key
-    that is hot in the facts is not hot here.
+    State tables hold one row per key and part (compaction keeps the parts few), so a key that is hot
+    in the facts is not hot here.
     """
     t, g = at.table, at.aggregator
-    keys = at.keys
     if isinstance(g, LastAggregator):
-        return states.groupBy(*keys).agg(F.max(LAST_STATE).alias(LAST_STATE))
-    specs = output_specs(t, g)
-    centered = [name for name, _, a in specs if aggs.get(a.type).needs_center]
-    if centered:
-        w = Window.partitionBy(*keys)
-        for name in centered:
-            s = F.col(f"{name}_state")
-            states = states.withColumn(f"_c_{name}", F.sum(s["n"] * s["mean"]).over(w) / F.sum(s["n"]).over(w))
-    exprs = []
-    for name, _, a in specs:
-        center = F.col(f"_c_{name}") if name in centered else None
-        exprs.append(aggs.merge(a, F.col(f"{name}_state"), center).alias(f"{name}_state"))
-    return states.groupBy(*keys).agg(*exprs)
+        return states.groupBy(*at.keys).agg(F.max(LAST_STATE).alias(LAST_STATE))
+    specs = [(f"{name}_state", a) for name, _, a in output_specs(t, g)]
+    plain = [aggs.merge(a, F.col(f"`{name}`")).alias(name) for name, a in specs if not aggs.get(a.type).takes_probs]
+    q_specs = [(name, _sketch_size(a)) for name, a in specs if aggs.get(a.type).takes_probs]
+    if not q_specs:
+        return states.groupBy(*at.keys).agg(*plain)
+    out = quantiles.merged(states, at.keys, q_specs, plain, _bound(output_specs(t, g)))
+    return out.select(*at.keys, *[F.col(f"`{name}`") for name, _ in specs])
 
 
 def finish(states: DataFrame, at: AnalyticalTable) -> DataFrame:
@@ -148,8 +169,14 @@ def finish(states: DataFrame, at: AnalyticalTable) -> DataFrame:
     t, g = at.table, at.aggregator
     if isinstance(g, LastAggregator):
         return states.select(F.col(t.id), *_last_columns(t, F.col(LAST_STATE)))
-    cols = [aggs.finish(a, F.col(f"{name}_state")).alias(name) for name, _, a in output_specs(t, g)]
-    return states.select(*[F.col(k) for k in at.keys], *cols)
+
+    def done(name: str, a: aggs.Aggregation) -> Column:
+        s = F.col(f"`{name}_state`")
+        if aggs.get(a.type).takes_probs:
+            return _one_level(quantiles.finished(s, aggs.probs_of(a)), a).alias(name)
+        return aggs.finish(a, s).alias(name)
+
+    return states.select(*[F.col(k) for k in at.keys], *[done(name, a) for name, _, a in output_specs(t, g)])
 
 
 def view(states: DataFrame, at: AnalyticalTable) -> DataFrame:
@@ -163,3 +190,56 @@ def one_pass(df: DataFrame, at: AnalyticalTable, **quantile_options: int) -> Dat
     if isinstance(at.aggregator, LastAggregator):
         return last(df, at.table, at.aggregator.tiebreak)
     return interval(df, at.table, at.aggregator, **quantile_options)
+
+
+# ------------------------------------------------------------------------------------- bucket months
+
+#: The month of states that have no bucket (last values).
+NO_MONTH = 0
+
+
+def bucket_start(bucket: Column, agg: IntervalAggregator) -> Column:
+    """The time at which a bucket starts."""
+    if agg.group_functions[0] == "toYYYYMM":
+        bucket = F.make_date(F.floor(bucket / 100).cast("int"), bucket % 100, F.lit(1))
+    return bucket.cast("timestamp_ntz")
+
+
+def _month(at: AnalyticalTable, bucket: Column) -> Column:
+    if isinstance(at.aggregator, LastAggregator):
+        return F.lit(NO_MONTH)
+    return bucket if at.aggregator.group_functions[0] == "toYYYYMM" else timefn.yyyymm(bucket)
+
+
+def month_of_row(at: AnalyticalTable) -> Column:
+    """The month of the bucket that a fact row belongs to."""
+    return _month(at, F.lit(None) if isinstance(at.aggregator, LastAggregator) else timefn.bucket(at.table.ts, at.aggregator.group_functions))
+
+
+def with_month(states: DataFrame, at: AnalyticalTable) -> DataFrame:
+    """State rows with the month of their bucket, by which their files are partitioned."""
+    return states.withColumn("yyyymm", _month(at, F.col(f"`{at.keys[-1]}`")).cast("int"))
+
+
+def _bounds(lo, hi) -> tuple[dt.datetime | None, dt.datetime | None]:
+    return tuple(None if v is None else timefn.as_time(v) for v in (lo, hi))
+
+
+def bucket_months(at: AnalyticalTable, lo=None, hi=None) -> tuple[int, int] | None:
+    """First and last month of buckets that start at or after ``lo`` and before ``hi``."""
+    if lo is None and hi is None:
+        return None
+    if isinstance(at.aggregator, LastAggregator):
+        raise ValueError(f"{at.name} has no time bucket to select a range of")
+    return timefn.month_range(lo, hi)
+
+
+def bucket_range(at: AnalyticalTable, lo=None, hi=None) -> Column:
+    """Buckets that start at or after ``lo`` and before ``hi``."""
+    start, (first, end) = bucket_start(F.col(f"`{at.keys[-1]}`"), at.aggregator), _bounds(lo, hi)
+    cond = F.lit(True)
+    if first is not None:
+        cond = cond & (start >= F.lit(first.isoformat(sep=" ")).cast("timestamp_ntz"))
+    if end is not None:
+        cond = cond & (start < F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return cond

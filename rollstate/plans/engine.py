@@ -1,46 +1,43 @@
 """``Engine``: a spec bound to a Spark session and a root folder on the shared file system.
 
-    <root>/facts/<table>/…      fact tables (``sources.store`` layout)
-    <root>/states/<rollup>/…    rollup states (``plans.state_store`` layout)
+    <root>/<table>/log/…        commits of the table and its rollups (``plans.commit_log``)
+    <root>/<table>/facts/…      fact rows (``plans.part_store`` layout)
+    <root>/<table>/<rollup>/…   states of a rollup
 
-Every operation is idempotent per ``(source_id, batch_id)``: replaying a batch replaces what it wrote.
+Every operation is idempotent per ``(source_id, batch_id)``: replaying a batch replaces what it wrote, in
+facts and rollups by one commit, also by nothing and also after compactions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rollstate.functions import geo
-from rollstate.operators import rollups
 from rollstate.operators.dims import enrich as join_small_on
-from rollstate.operators.dims import join_small
-from rollstate.plans import manifest
-from rollstate.plans.fact_store import FactStore
-from rollstate.plans.state_store import StateStore
+from rollstate.plans.table_store import FACTS, TableStore
 from rollstate.sources import store
 from rollstate.spec import Spec, load_spec
 
+
 class Engine:
     def __init__(self, spark: SparkSession, spec: Spec | Mapping, root: str):
         self.spark = spark
         self.spec = spec if isinstance(spec, Spec) else load_spec(spec)
         self.root = root.rstrip("/")
-        self._stores: dict[str, StateStore] = {}
+        self._tables: dict[str, TableStore] = {}
         self._named: dict[str, Callable[[], DataFrame]] = {}
 
-    # ------------------------------------------------------------------ locations
-    def facts_path(self, table: str) -> str:
-        return f"{self.root}/facts/{self.spec.table(table).name}"
+    def table(self, name: str) -> TableStore:
+        """The store of a fact table and its rollups."""
+        if name not in self._tables:
+            self._tables[name] = TableStore(self.spark, self.spec, self.spec.table(name), f"{self.root}/{name}")
+        return self._tables[name]
 
-    def states(self, rollup: str) -> StateStore:
-        if rollup not in self._stores:
-            at = self.spec.rollup(rollup)
-            self._stores[rollup] = StateStore(self.spark, at, f"{self.root}/states/{at.name}")
-        return self._stores[rollup]
+    def _of(self, rollup: str) -> TableStore:
+        return self.table(self.spec.rollup(rollup).table.name)
 
     # ------------------------------------------------------------------ setup and reads
     def register(self, name: str, relation: DataFrame | Callable[[], DataFrame]) -> None:
@@ -56,50 +53,40 @@ class Engine:
             self.register(t.name, lambda name=t.name: self.facts(name))
         for at in self.spec.analytical_tables:
             self.register(at.name, lambda name=at.name: self.view(name))
-        self._refresh()
+        for name in self._named:
+            self._open(name)
         return [*(t.name for t in self.spec.tables), *(at.name for at in self.spec.analytical_tables)]
 
-    def _refresh(self) -> None:
-        for name, opened in self._named.items():
-            opened().createOrReplaceTempView("`" + name.replace("`", "``") + "`")
+    def _open(self, name: str) -> None:
+        self._named[name]().createOrReplaceTempView("`" + name.replace("`", "``") + "`")
 
     def sql(self, text: str) -> DataFrame:
-        """Run SQL over the named relations, each resolved now: rows ingested after ``setup`` are
-        seen.  Any name works, in backticks where SQL asks for them."""
+        """Run SQL over the named relations; those whose name stands in the text are opened now, so
+        rows ingested after ``setup`` are seen.  Any name works, in backticks where SQL asks for them."""
         if not self._named:
             self.setup()
-        self._refresh()
+        plain = text.replace("``", "`").lower()
+        for name in self._named:
+            if name.lower() in plain:
+                self._open(name)
         return self.spark.sql(text)
 
-    def fact_store(self, table: str) -> FactStore:
-        return FactStore(self.spark, self.spec.table(table), self.facts_path(table))
+    def facts(self, table: str, ids: Sequence | None = None, lo=None, hi=None) -> DataFrame:
+        """Live fact rows; only of ``ids`` and of ``lo <= time < hi`` where given, which leaves out
+        the files of other months and, once compacted, of other ids."""
+        return self.table(table).facts(ids, lo, hi)
 
-    def facts(self, table: str) -> DataFrame:
-        """Live fact rows: committed compaction rounds plus every batch not folded into one."""
-        t = self.spec.table(table)
-        df = self.fact_store(table).scan()
-        if df is None:  # no facts written yet: an empty table of the declared schema
-            return self.spark.createDataFrame([], t.schema).withColumn(store.MONTH, F.lit(None).cast("int"))
-        return df
-
-    def compact_facts(self, table: str, vacuum: bool = True) -> int:
-        """Fold the table's small per-batch fact folders into one folder per month for this round."""
-        fs = self.fact_store(table)
-        round_ = fs.compact()
-        if vacuum:
-            fs.vacuum()
-        return round_
-
-    def view(self, rollup: str) -> DataFrame:
-        """Merge-on-read view of a rollup: compacted states plus every newer batch."""
-        return self.states(rollup).view()
+    def view(self, rollup: str, ids: Sequence | None = None, lo=None, hi=None) -> DataFrame:
+        """Merge-on-read view of a rollup; only of ``ids`` and of buckets that start at or after ``lo``
+        and before ``hi`` where given: states of other months are not read."""
+        return self._of(rollup).view(rollup, ids, lo, hi)
 
     def enriched_view(self, rollup: str, dim: DataFrame, dim_key: str, how: str = "inner") -> DataFrame:
         """A rollup view joined with a dimension on the rollup's id (size-checked broadcast)."""
         return join_small_on(self.view(rollup), dim, self.spec.rollup(rollup).table.id, dim_key, how)
 
     def map_view(
-        self, rollup: str, dim: DataFrame, dim_key: str, lon: str = "lon", lat: str = "lat", category: str = "station_name"
+        self, rollup: str, dim: DataFrame, dim_key: str, lon: str = "lon", lat: str = "lat", category: str = "label"
     ) -> DataFrame:
         """Map-ready rows of a last-value rollup: enriched with the dimension, plus point geometry,
         WKT, display time and a colour category."""
@@ -124,43 +111,35 @@ class Engine:
         drops repeated ``(id, ts)`` rows within the batch (opt-in; counts otherwise include
         duplicate deliveries, as the stream delivered them)."""
         t = self.spec.table(table)
-        rollup_list = self.spec.rollups_of(table)
-        cache = cache and (int(write_facts) + len(rollup_list)) > 1  # only worth it when read twice
+        cache = cache and int(write_facts) + len(self.spec.rollups_of(table)) > 1  # only worth it when read twice
         rows = store.conform(df, t)
         if dedup:
             rows = rows.dropDuplicates([t.id, t.ts])
         if cache:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if write_facts:
-                store.write_facts(rows, t, self.facts_path(table), source_id, batch_id)
-            for at in rollup_list:
-                self.states(at.name).write_batch(rollups.partial(rows, at), source_id, batch_id)
+            self.table(table).ingest(rows, source_id, batch_id, write_facts)
         finally:
             if cache:
                 rows.unpersist()
 
-    def compact(self, rollup: str, keep_versions: int | None = None) -> int:
-        """Fold live states into a new version; with ``keep_versions``, also vacuum older ones."""
-        version = self.states(rollup).compact()
+    def compact(self, rollup: str, keep_versions: int | None = None, full: bool = False) -> int:
+        """Merge small state parts, month by month (``full``: all of them); with ``keep_versions``,
+        delete what only readers of older compactions need.  Returns how many compactions there were."""
+        done = self._of(rollup).compact(rollup, full)
         if keep_versions:
-            self.states(rollup).vacuum(keep_versions)
-        return version
-
-    def backfill(self, rollup: str) -> None:
-        """Build states for facts stored before the rollup existed.
-
-        Every stored fact batch that is neither folded into the rollup's newest version nor stored
-        as a state batch is aggregated (one job, grouped per batch) and written under the fact
-        batch's own ``(source_id, batch_id)``, so a later replay of that batch replaces rather than
-        duplicates it.  May run at any time, after compactions too.
-        """
-        st = self.states(rollup)
-        at = st.at
-        facts = self.fact_store(at.table.name).scan(identity=True)  # rows keep the batch they came in
-        if facts is None:
-            return
-        folded = manifest.folded_column(st.manifest(), F.col(store.SOURCE), F.col(store.BATCH))
-        done = st.covered_batches()  # one row per stored batch
-        todo = join_small(facts.where(~folded), done, [store.SOURCE, store.BATCH], "left_anti")
-        st.write_batches(rollups.partial(todo, at, extra_keys=(store.SOURCE, store.BATCH)))
+            self._of(rollup).vacuum(keep_versions)
+        return done
+
+    def compact_facts(self, table: str, keep_versions: int | None = None, full: bool = False, target_bytes: int | None = None) -> int:
+        """Merge small fact parts, month by month, into files of disjoint id ranges of about
+        ``target_bytes`` each; otherwise like ``compact``."""
+        done = self.table(table).compact(FACTS, full, target_bytes=target_bytes)
+        if keep_versions:
+            self.table(table).vacuum(keep_versions)
+        return done
+
+    def backfill(self, rollup: str) -> list[str]:
+        """Aggregate stored facts into state columns that lack them (a new rollup, or one with a new
+        measure or aggregation); returns the columns.  May run at any time."""
+        return self._of(rollup).backfill(rollup)

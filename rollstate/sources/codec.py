@@ -56,9 +56,15 @@ def _objects(value: Column) -> Column:
     A message may hold one object, objects on lines of their own, or an array of objects.  A line
     break cannot stand inside a JSON string, so a brace, a break and a brace always end one object
     and start the next.  ``from_json`` alone would read the first object and drop the rest.
+
+    The common message, whose only closing brace is its last character, can hold but one flat object:
+    it is taken as it is, and parsed only once, with its types.
     """
+    plain = F.trim(value.cast("string"))
+    flat = plain.startswith("{") & (F.instr(plain, "}") == F.char_length(plain))
     text = F.trim(F.regexp_replace(value.cast("string"), r"\}[ \t\r]*\n\s*\{", "},{"))
-    return F.from_json(F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]"))), "array<string>")
+    parsed = F.from_json(F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]"))), "array<string>")
+    return F.when(flat, F.array(value.cast("string"))).otherwise(parsed)
 
 
 #: What ``fill_missing`` puts in place of a missing measure, by Spark type; other types get 0.

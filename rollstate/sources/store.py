@@ -1,15 +1,7 @@
-"""Fact-table storage: month-partitioned, id/time-clustered Parquet; scans and time ranges.
+"""Fact rows: the declared schema, literal rows, time ranges and id filters.
 
-Layout::
-
-    <root>/yyyymm=<YYYYMM>/source_id=<s>/batch_id=<n>/part-*.zstd.parquet
-
-``yyyymm`` gives partition pruning for time ranges; ``(source_id, batch_id)`` makes every write a
-unit that a retry replaces (dynamic partition overwrite) instead of appending twice.  Within a write,
-rows are rebalanced by month (``REBALANCE`` hint: AQE splits an oversized month — e.g. one holding a
-hot id — into several tasks of the advisory size and coalesces small ones) and sorted by
-``(id, ts)``, so a month is a few large files whose row groups cover narrow id/time ranges: Parquet
-min/max statistics skip row groups for id and time predicates.  One pass over the input, no sampling.
+Facts are stored by month (``yyyymm``), sorted by ``(id, ts)`` (``plans.part_store``): time ranges prune
+months, and Parquet's statistics skip row groups for id and time predicates.
 """
 
 from __future__ import annotations
@@ -18,22 +10,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rollstate.functions.timefn import yyyymm, yyyymm_of
-from rollstate.plans import manifest
+from rollstate.functions.timefn import as_time, month_range
 from rollstate.spec import Table
 
 MONTH = "yyyymm"
 SOURCE = "source_id"
 BATCH = "batch_id"
 
-PARTITION_FIELDS = [
-    T.StructField(MONTH, T.IntegerType(), True),
-    T.StructField(SOURCE, T.StringType(), True),
-    T.StructField(BATCH, T.LongType(), True),
-]
-
 
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """Select the table's columns in declared order, cast to the declared types."""
@@ -51,53 +35,6 @@ def literal_rows(spark: SparkSession, table: Table, rows: list[tuple]) -> DataFr
     return spark.createDataFrame(rows, table.schema)
 
 
-def write_facts(
-    df: DataFrame,
-    table: Table,
-    root: str,
-    source_id: str,
-    batch_id: int,
-    max_records_per_file: int = 5_000_000,
-) -> None:
-    """Write one batch of facts; rewriting the same ``(source_id, batch_id)`` replaces all of it,
-    months that the new rows no longer have included."""
-    spark = df.sparkSession
-    stale = batch_folders(spark, root, source_id, batch_id)
-    if stale:  # a replay: drop the months it does not write again
-        months = conform(df, table).select(yyyymm(table.ts).cast("string").alias(MONTH)).distinct().collect()
-        present = {"__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0] for r in months}
-        for month, folder in stale.items():
-            if month not in present:
-                manifest.delete(spark, folder)
-    out = (
-        conform(df, table)
-        .withColumn(MONTH, yyyymm(table.ts))
-        .hint("rebalance", MONTH)
-        .withColumn(SOURCE, F.lit(source_id))
-        .withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
-    )
-    (
-        # The file writer needs its input ordered by the partition columns; leading with them keeps
-        # the (id, ts) order inside every file instead of letting the writer re-sort by partition only.
-        out.sortWithinPartitions(MONTH, SOURCE, BATCH, table.id, table.ts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(MONTH, SOURCE, BATCH)
-        .parquet(root)
-    )
-
-
-def batch_folders(spark: SparkSession, root: str, source_id: str, batch_id: int) -> dict[str, str]:
-    """Folders of one batch, by month."""
-    fs, _ = manifest.filesystem(spark, root)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    inner = f"{SOURCE}={manifest.escaped(spark, source_id)}/{BATCH}={int(batch_id)}"
-    found = {month: f"{p}/{inner}" for month, p in manifest.children(spark, root, MONTH)}
-    return {month: folder for month, folder in found.items() if fs.exists(path(folder))}
-
-
 def time_range(
     df: DataFrame,
     table: Table,
@@ -109,26 +46,20 @@ def time_range(
     Spark does not derive a partition predicate from a predicate on the time column, so both are
     added here; the time predicate itself also reaches the Parquet reader as a pushed filter.
     """
-    cond = F.lit(True)
+    cond, months = F.lit(True), month_range(lo, hi)
     if lo is not None:
-        cond = cond & (F.col(table.ts) >= _lit_ts(lo, table)) & (F.col(MONTH) >= yyyymm_of(lo))
+        cond = cond & (F.col(f"`{table.ts}`") >= _lit_ts(lo, table)) & (F.col(MONTH) >= months[0])
     if hi is not None:
-        cond = cond & (F.col(table.ts) < _lit_ts(hi, table)) & (F.col(MONTH) <= yyyymm_of(_as_time(hi) - dt.timedelta(microseconds=1)))
+        cond = cond & (F.col(f"`{table.ts}`") < _lit_ts(hi, table)) & (F.col(MONTH) <= months[1])
     return df.where(cond)
 
 
-def for_id(df: DataFrame, table: Table, value: int) -> DataFrame:
+def for_id(df: DataFrame, table: Table, value: int | str) -> DataFrame:
     """Equality filter on the id, applied before any action so it reaches the Parquet scan."""
-    return df.where(F.col(table.id) == F.lit(value).cast("long"))
-
-
-def _as_time(v: dt.datetime | dt.date | str) -> dt.datetime:
-    if isinstance(v, str):
-        return dt.datetime.fromisoformat(v)
-    return v if isinstance(v, dt.datetime) else dt.datetime(v.year, v.month, v.day)
+    return df.where(F.col(f"`{table.id}`") == F.lit(value).cast(table.id_column.dtype))
 
 
 def _lit_ts(v: dt.datetime | dt.date | str, table: Table):
     """A zone-less literal of the time column's type (from text, so no time zone is involved)."""
-    text = v if isinstance(v, str) else _as_time(v).isoformat(sep=" ")
+    text = v if isinstance(v, str) else as_time(v).isoformat(sep=" ")
     return F.lit(text).cast(table.ts_column.dtype)

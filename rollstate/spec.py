@@ -7,7 +7,7 @@ A spec is the same dict shape a YAML or JSON file produces::
     analytical_tables:
       - table: <table name>
         aggregator: {type: last [, tiebreak: [col...]]}
-                  | {type: interval, name, group_functions: [...], aggregations: [{type, args_agg, args_func, columns}]}
+                  | {type: interval, name, group_functions: [...], aggregations: [{type, args_agg, args_func, columns, k, exact}]}
 
 Parsing is pure (the input dict is never mutated) and validates everything up front: unknown types,
 aggregators, aggregation functions, bucket functions, table references and duplicate column names
@@ -29,28 +29,51 @@ class SpecError(ValueError):
     """Raised for any invalid spec."""
 
 
-# The declared type names of the spec and the Spark type each maps to.
-# Matched case-insensitively (the spec spells both Datetime64 and DateTime64).
+# The declared type names of the spec and the Spark type each maps to; unsigned numbers
+# take the next wider signed type.  Matched case-insensitively (the spec spells both Datetime64 and DateTime64).
 _SCALAR_TYPES = {
+    "int8": T.ByteType(),
+    "int16": T.ShortType(),
+    "int32": T.IntegerType(),
     "int64": T.LongType(),
+    "uint8": T.ShortType(),
+    "uint16": T.IntegerType(),
+    "uint32": T.LongType(),
+    "uint64": T.DecimalType(20, 0),
+    "float32": T.FloatType(),
     "float64": T.DoubleType(),
+    "bool": T.BooleanType(),
     "string": T.StringType(),
+    "uuid": T.StringType(),
     "date": T.DateType(),
+    "datetime": T.TimestampNTZType(),
 }
 _DATETIME64 = re.compile(r"^datetime64\(\s*(\d)\s*\)$", re.IGNORECASE)
+_DECIMAL = re.compile(r"^decimal\(\s*(\d+)\s*,\s*(\d+)\s*\)$", re.IGNORECASE)
+_WRAPPED = re.compile(r"^(?:nullable|lowcardinality)\((.*)\)$", re.IGNORECASE)
+#: Types an id may have: anything that groups, sorts and has a text form that names it.
+_ID_TYPES = (T.IntegralType, T.StringType, T.DateType)
 
 
 def spark_type(type_name: str) -> T.DataType:
     """Map a declared column type to a Spark type.
 
     ``DateTime64(p)`` becomes ``TIMESTAMP_NTZ``: a zone-less wall-clock instant kept at microsecond
-    precision (p ≤ 6); the session time zone never shifts it.
+    precision (p ≤ 6); the session time zone never shifts it.  Every column may be NULL, so
+    ``Nullable(…)`` changes nothing, nor does ``LowCardinality(…)`` (Parquet encodes it by itself).
     """
     if not isinstance(type_name, str):
         raise SpecError(f"column type must be a string, got {type_name!r}")
     key = type_name.strip().lower()
     if key in _SCALAR_TYPES:
         return _SCALAR_TYPES[key]
+    if m := _WRAPPED.match(key):
+        return spark_type(m.group(1))
+    if m := _DECIMAL.match(key):
+        precision, scale = int(m.group(1)), int(m.group(2))
+        if not 1 <= precision <= 38 or scale > precision:
+            raise SpecError(f"{type_name}: decimals have 1 to 38 digits, of which the scale")
+        return T.DecimalType(precision, scale)
     m = _DATETIME64.match(key)
     if m:
         if int(m.group(1)) > 6:
@@ -90,6 +113,7 @@ class Table:
     ts_column: Column
     columns: tuple[Column, ...]
     kafka_topic: str | None = None
+    kafka_bootstrap_host: str | None = None  # brokers of this table's topic; None: those of the stream
 
     @property
     def id(self) -> str:
@@ -125,15 +149,18 @@ class Table:
             ts_column=Column.parse(d["ts_column"]),
             columns=tuple(Column.parse(c) for c in d["columns"]),
             kafka_topic=d.get("kafka_topic"),
+            kafka_bootstrap_host=d.get("kafka_bootstrap_host"),
         )
         names = [c.name for c in t.all_columns]
         dupes = sorted({n for n in names if names.count(n) > 1})
         if dupes:
             raise SpecError(f"table {t.name!r}: duplicate column names {dupes}")
-        if not isinstance(t.id_column.dtype, T.LongType):
-            raise SpecError(f"table {t.name!r}: id column must be Int64")
+        if not isinstance(t.id_column.dtype, _ID_TYPES):
+            raise SpecError(f"table {t.name!r}: id column must be a whole number, a text or a date, not {t.id_column.type}")
         if not isinstance(t.ts_column.dtype, T.TimestampNTZType):
-            raise SpecError(f"table {t.name!r}: time column must be DateTime64")
+            raise SpecError(f"table {t.name!r}: time column must be DateTime or DateTime64")
+        if t.kafka_bootstrap_host is not None and (not isinstance(t.kafka_bootstrap_host, str) or not t.kafka_bootstrap_host):
+            raise SpecError(f"table {t.name!r}: kafka_bootstrap_host must be an address")
         return t
 
 
@@ -145,6 +172,8 @@ class Aggregation:
     args_agg: tuple[str, ...] = ()
     args_func: tuple[str, ...] = ()
     columns: tuple[str, ...] | None = None
+    k: int | None = None  # quantiles: size parameter of a sketch
+    exact: int | None = None  # quantiles: values that a group's state keeps as they are
 
     def slug(self) -> str:
         return slugify("_".join([self.type, *self.args_agg, *self.args_func]))
@@ -153,12 +182,14 @@ class Aggregation:
     def parse(d: Mapping) -> "Aggregation":
         from rollstate.operators import aggs  # registry lives with the operators
 
-        _check_keys(d, {"type"}, {"args_agg", "args_func", "columns"}, "aggregation")
+        _check_keys(d, {"type"}, {"args_agg", "args_func", "columns", "k", "exact"}, "aggregation")
         a = Aggregation(
             type=d["type"],
             args_agg=tuple(str(x) for x in (d.get("args_agg") or ())),
             args_func=tuple(d.get("args_func") or ()),
             columns=tuple(d["columns"]) if d.get("columns") is not None else None,
+            k=d.get("k"),
+            exact=d.get("exact"),
         )
         aggs.validate(a)
         return a

@@ -2,22 +2,24 @@
 
 One ``foreachBatch`` per micro-batch decodes the messages, enforces ``max_bad``, and calls
 ``Engine.ingest`` with the stream's stable ``source_id`` and the micro-batch id, so a retried batch
-rewrites exactly its own fact and state partitions (exactly-once end to end).  Late or out-of-order
+replaces exactly its own facts and states (exactly-once end to end).  Late or out-of-order
 rows need no watermark: each batch is one more state to merge, and an old row never displaces a
 newer last value because states merge by maximum.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollstate.functions.timefn import bucket
-from rollstate.operators import aggs
+from rollstate.operators import aggs, rollups
 from rollstate.plans.engine import Engine
-from rollstate.plans.state_store import stable_source_id
 from rollstate.sources import codec, kafka, store
 from rollstate.spec import IntervalAggregator, Table
 
@@ -30,6 +32,24 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
     return r.load(path)
 
 
+def stable_source_id(spark: SparkSession, path: str) -> str:
+    """An id created once and kept at ``path`` (next to a stream's checkpoint); read back afterwards."""
+    schema = "source_id string"
+    try:
+        row = spark.read.schema(schema).json(path).first()
+        if row is not None and row.source_id:
+            return row.source_id
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+    new = uuid.uuid4().hex
+    try:
+        spark.createDataFrame([(new,)], schema).coalesce(1).write.mode("errorifexists").json(path)
+    except AnalysisException:
+        pass  # created concurrently: the stored one wins
+    return spark.read.schema(schema).json(path).first().source_id
+
+
 def ingest_batch_fn(
     engine: Engine,
     table: str,
@@ -40,11 +60,12 @@ def ingest_batch_fn(
     keep_versions: int = 2,
 ):
     """The per-micro-batch function: decode, check rejects, store facts and states, and every
-    ``compact_every`` batches fold the table's rollup states into a new compacted version and vacuum
-    all but the newest ``keep_versions``.
+    ``compact_every`` batches merge the table's small fact and state parts and vacuum all but the
+    newest ``keep_versions``.
 
-    A retried batch is safe after a compaction: its states are then at or below the manifest's
-    watermark and ignored by readers, and the compaction itself finds nothing new."""
+    ``source_id`` is created once per stream (and stored beside its checkpoint) because Structured
+    Streaming restarts ``batch_id`` at 0 with a fresh checkpoint: the pair, not the batch id alone, is
+    the idempotency key.  A retried batch is safe after a compaction too."""
     t = engine.spec.table(table)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -53,8 +74,10 @@ def ingest_batch_fn(
             codec.check_rejects(decoded, max_bad)
             engine.ingest(codec.good(decoded, t), table, source_id, batch_id, cache=False)
             if compact_every and (batch_id + 1) % compact_every == 0:
+                engine.compact_facts(table)
                 for at in engine.spec.rollups_of(table):
-                    engine.compact(at.name, keep_versions=keep_versions)
+                    engine.compact(at.name)
+                engine.table(table).vacuum(keep_versions)
             if rejects_path:
                 (
                     codec.rejects(decoded)
@@ -86,8 +109,8 @@ def start(
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}`` or
     ``{"processingTime": "5 seconds"}``).  The ``source_id`` defaults to one stored next to the
-    checkpoint, created on first start.  ``compact_every`` compacts the rollup states every that many
-    micro-batches.
+    checkpoint, created on first start.  ``compact_every`` compacts facts and rollup states every that
+    many micro-batches.
     """
     sid = source_id or stable_source_id(engine.spark, checkpoint.rstrip("/") + "_source_id")
     w = (
@@ -110,13 +133,14 @@ def start_kafka(
     compact_every: int | None = None,
     **kafka_options: str,
 ) -> dict[str, StreamingQuery]:
-    """One ingest stream per table that names a topic; tables without a topic are batch-only and
-    get no stream.  Each stream keeps its own checkpoint (and source id) below ``checkpoint_root``."""
+    """One ingest stream per table that names a topic, from the table's own brokers or else
+    ``bootstrap_servers``; tables without a topic are batch-only and get no stream.  Each stream keeps its own checkpoint (and source id) below ``checkpoint_root``."""
     queries = {}
     for t in engine.spec.tables:
         if not t.streamed:
             continue
-        messages = kafka.read_stream(engine.spark, bootstrap_servers, t.kafka_topic, **kafka_options)
+        brokers = t.kafka_bootstrap_host or bootstrap_servers
+        messages = kafka.read_stream(engine.spark, brokers, t.kafka_topic, **kafka_options)
         queries[t.name] = start(
             engine,
             t.name,
@@ -134,17 +158,20 @@ def windowed_rollup(decoded: DataFrame, table: Table, agg: IntervalAggregator, w
     """The native Structured Streaming form of an interval rollup: one group per id and bucket.
 
     The bucket is the spec's ``group_functions`` chain, so any interval works.  State is kept in
-    Spark's streaming state store; with a ``watermark``, groups whose latest possible time is older
-    are dropped and later rows for them start anew (unlike ``start``, which never drops late rows).
+    Spark's streaming state store; with a ``watermark``, buckets that start longer than that before the
+    newest one are dropped and later rows for them are ignored (unlike ``start``, which never drops
+    late rows), so it should be longer than a bucket.
     Quantiles are KLL sketches here because exact percentiles are not supported as streaming state.
     """
     df = decoded
-    keys = [F.col(f"`{table.id}`"), bucket(table.ts, agg.group_functions).alias(agg.name)]
+    of_row = bucket(table.ts, agg.group_functions)
+    keys = [F.col(f"`{table.id}`"), of_row.alias(agg.name)]
     if watermark:
         # Watermarks need a zoned TIMESTAMP; the session time zone is pinned to UTC, so the cast from
-        # the zone-less column keeps the wall-clock value.  The bucket must then start at a time.
-        day = F.date_trunc("day", F.col(f"`{table.ts}`").cast("timestamp"))
-        df = df.withColumn("_event_time", day).withWatermark("_event_time", watermark)
+        # the zone-less column keeps the wall-clock value.  The event time is the bucket's own start,
+        # which is the same for all its rows, so it splits no group.
+        start = rollups.bucket_start(of_row, agg).cast("timestamp")
+        df = df.withColumn("_event_time", start).withWatermark("_event_time", watermark)
         keys.append(F.col("_event_time"))
     exprs = []
     for c in _inputs(table):
@@ -153,7 +180,10 @@ def windowed_rollup(decoded: DataFrame, table: Table, agg: IntervalAggregator, w
                 continue
             fn = aggs.get(a.type)
             if fn.takes_probs:
-                e = fn.finish(fn.state(F.col(f"`{c}`"), aggs.probs_of(a), []), aggs.probs_of(a))
+                x = F.col(f"`{c}`").cast("double")
+                levels = F.array(*[F.lit(p) for p in aggs.probs_of(a)])
+                e = F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(x, a.k or aggs.DEFAULT_K), levels))
+                e = F.get(e, F.lit(0)) if fn.scalar else e
             else:
                 e = aggs.one_pass(a, F.col(f"`{c}`"))
             exprs.append(e.alias(f"{c}_{a.slug()}"))

@@ -16,8 +16,8 @@ T = load_spec(
         "tables": [
             {
                 "name": "obs",
-                "id_column": {"name": "station_id", "type": "Int64"},
-                "ts_column": {"name": "measurement_moment", "type": "Datetime64(6)"},
+                "id_column": {"name": "sensor", "type": "Int64"},
+                "ts_column": {"name": "taken_at", "type": "Datetime64(6)"},
                 "columns": [{"name": "humidity", "type": "Float64"}, {"name": "pressure", "type": "Float64"}],
             }
         ]
@@ -34,33 +34,33 @@ def test_decode_cases(spark):
     rows = _decode(
         spark,
         [
-            '{"station_id": 1, "measurement_moment": "2023-06-01T12:00:00.123456", "humidity": 0.5, "pressure": 1000.5}',
-            '{"station_id": 2, "measurement_moment": "2023-06-01T12:00:00", "humidity": 1, "pressure": 990}',
-            '{"station_id": 3, "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.2}',
-            '{"station_id": "x", "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.2}',
-            '{"station_id": 4, "measurement_moment": "2023-06-01T12:00',
+            '{"sensor": 1, "taken_at": "2023-06-01T12:00:00.123456", "humidity": 0.5, "pressure": 1000.5}',
+            '{"sensor": 2, "taken_at": "2023-06-01T12:00:00", "humidity": 1, "pressure": 990}',
+            '{"sensor": 3, "taken_at": "2023-06-01T12:00:00", "humidity": 0.2}',
+            '{"sensor": "x", "taken_at": "2023-06-01T12:00:00", "humidity": 0.2}',
+            '{"sensor": 4, "taken_at": "2023-06-01T12:00',
             "not json",
-            '{"station_id": 5, "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.1, "pressure": 1, "extra": [1]}',
-            '{"measurement_moment": "2023-06-01T12:00:00", "humidity": 0.1}',
-            '{"station_id": 6, "humidity": 0.1}',
+            '{"sensor": 5, "taken_at": "2023-06-01T12:00:00", "humidity": 0.1, "pressure": 1, "extra": [1]}',
+            '{"taken_at": "2023-06-01T12:00:00", "humidity": 0.1}',
+            '{"sensor": 6, "humidity": 0.1}',
         ],
     )
     by_reason = [r.reject_reason for r in rows]
     assert by_reason == [None, None, None, "malformed", "malformed", "malformed", None, "missing id", "missing time"]
-    assert rows[0].measurement_moment == dt.datetime(2023, 6, 1, 12, 0, 0, 123456)  # µs kept
+    assert rows[0].taken_at == dt.datetime(2023, 6, 1, 12, 0, 0, 123456)  # µs kept
     assert rows[1].humidity == 1.0  # integer for a double field is cast
     assert rows[2].pressure is None  # missing measure
-    assert rows[6].station_id == 5  # unknown field ignored
-    assert rows[3]._corrupt_record.startswith('{"station_id": "x"')
+    assert rows[6].sensor == 5  # unknown field ignored
+    assert rows[3]._corrupt_record.startswith('{"sensor": "x"')
 
 
 def test_fill_missing(spark):
-    rows = _decode(spark, ['{"station_id": 3, "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.2}'], fill_missing=True)
+    rows = _decode(spark, ['{"sensor": 3, "taken_at": "2023-06-01T12:00:00", "humidity": 0.2}'], fill_missing=True)
     assert rows[0].pressure == 0.0
 
 
 def test_max_bad(spark):
-    df = spark.createDataFrame([("{}",), ("nope",), ('{"station_id": 1, "measurement_moment": "2023-06-01T12:00:00"}',)], "value string")
+    df = spark.createDataFrame([("{}",), ("nope",), ('{"sensor": 1, "taken_at": "2023-06-01T12:00:00"}',)], "value string")
     d = codec.decode(df, T)
     assert codec.check_rejects(d, 2) == 2
     with pytest.raises(codec.TooManyRejects):
@@ -72,9 +72,9 @@ def test_max_bad(spark):
 
 def test_binary_value_is_accepted(spark):
     df = spark.createDataFrame(
-        [(bytearray(b'{"station_id": 9, "measurement_moment": "2023-06-01T12:00:00"}'),)], "value binary"
+        [(bytearray(b'{"sensor": 9, "taken_at": "2023-06-01T12:00:00"}'),)], "value binary"
     )
-    assert codec.good(codec.decode(df, T), T).first().station_id == 9
+    assert codec.good(codec.decode(df, T), T).first().sensor == 9
 
 
 def test_roundtrip_keeps_microseconds(spark):
@@ -91,15 +91,15 @@ def test_roundtrip_keeps_microseconds(spark):
 
 
 def test_several_objects_in_a_message(spark):
-    one = '{"station_id": 1, "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.1}'
-    two = '{"station_id": 2, "measurement_moment": "2023-06-01T12:00:00", "humidity": 0.2}'
+    one = '{"sensor": 1, "taken_at": "2023-06-01T12:00:00", "humidity": 0.1}'
+    two = '{"sensor": 2, "taken_at": "2023-06-01T12:00:00", "humidity": 0.2}'
     for text in (f"{one}\n{two}", f"{one}\r\n \n{two}\n", f"[{one}, {two}]"):
         rows = _decode(spark, [text])
-        assert [(r.station_id, r.reject_reason) for r in rows] == [(1, None), (2, None)]
+        assert [(r.sensor, r.reject_reason) for r in rows] == [(1, None), (2, None)]
     for text in (f"{one} garbage", f"{one}{two}", f"{one}\nnot json", f"[{one}", "", "[]", None):
         rows = _decode(spark, [text])
         assert [r.reject_reason for r in rows] == ["malformed"], text
-    rows = _decode(spark, [f'[{one}, {{"station_id": "x"}}]'])
+    rows = _decode(spark, [f'[{one}, {{"sensor": "x"}}]'])
     assert [r.reject_reason for r in rows] == [None, "malformed"]
 
 

@@ -10,7 +10,7 @@ from shared import SF_SMALL
 from rollstate.functions import geo
 from rollstate.operators import dims
 
-STATIONS = "id long, station_name string, lat double, lon double"
+STATIONS = "id long, label string, lat double, lon double"
 
 
 def test_insert_if_absent_assigns_dense_keys(spark):
@@ -19,10 +19,10 @@ def test_insert_if_absent_assigns_dense_keys(spark):
         [(None, "Bergen", 1.0, 1.0), (None, "Tønsberg", 59.3, 10.4), (None, "Ålesund", 62.5, 6.2), (None, "Ålesund", 62.5, 6.2)],
         STATIONS,
     )
-    new = dims.insert_if_absent(target, incoming, ["station_name"], id_column="id").collect()
-    got = sorted((r.id, r.station_name) for r in new)
+    new = dims.insert_if_absent(target, incoming, ["label"], id_column="id").collect()
+    got = sorted((r.id, r.label) for r in new)
     assert got == [(3, "Tønsberg"), (4, "Ålesund")]
-    assert dims.insert_if_absent(target, target, ["station_name"]).count() == 0
+    assert dims.insert_if_absent(target, target, ["label"]).count() == 0
 
 
 def test_assign_keys_across_many_partitions(spark):
@@ -56,15 +56,15 @@ def test_enrich_broadcasts_checked_small_side(spark):
 def test_geometry_and_map_ready(spark):
     df = spark.createDataFrame(
         [(1, dt.datetime(2024, 1, 2, 3, 4, 5, 678), 4.5, "Tønsberg", 59.2675, 10.4076)],
-        "station_id long, measurement_moment timestamp_ntz, v double, station_name string, lat double, lon double",
+        "sensor long, taken_at timestamp_ntz, v double, label string, lat double, lon double",
     )
-    r = geo.map_ready(df, "measurement_moment").first()
-    assert r.measurement_moment == "2024-01-02 03:04:05"
+    r = geo.map_ready(df, "taken_at").first()
+    assert r.taken_at == "2024-01-02 03:04:05"
     assert (r.geometry.x, r.geometry.y, r.geometry.srid) == (10.4076, 59.2675, 4326)
     assert r.wkt == "POINT (10.407600 59.267500)"
     assert r.category == "Tønsberg"
-    feat = df.select(geo.geojson_feature("lon", "lat", ["station_name"]).alias("f")).first().f
-    assert feat == '{"type":"Feature","geometry":{"type":"Point","coordinates":[10.4076,59.2675]},"properties":{"station_name":"Tønsberg"}}'
+    feat = df.select(geo.geojson_feature("lon", "lat", ["label"]).alias("f")).first().f
+    assert feat == '{"type":"Feature","geometry":{"type":"Point","coordinates":[10.4076,59.2675]},"properties":{"label":"Tønsberg"}}'
 
 
 def test_engine_map_view(spark, tmp_root):

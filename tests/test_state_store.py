@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from shared import SF_SMALL, as_set
 from rollstate import Engine, catalog
 from rollstate.operators import rollups
-from rollstate.plans.state_store import stable_source_id
+from rollstate.plans import commit_log as log
+from rollstate.plans.part_store import tier
+from rollstate.plans.table_store import FACTS, ReplayError
 from rollstate.spec import load_spec
+from rollstate.streaming.ingest import stable_source_id
 
 SPEC = load_spec(catalog.EVENTS_SPEC)
 
@@ -17,12 +21,12 @@ def _events(spark):
     return spark.read.parquet(f"{SF_SMALL}/events.parquet")
 
 
-def _no_q(df):
-    return df.drop("value_quantiles_01_05_09")
+def _one_pass(spark):
+    return rollups.one_pass(_events(spark), SPEC.rollup("events_day")).collect()
 
 
-def _one_pass(spark):
-    return _no_q(rollups.one_pass(_events(spark), SPEC.rollup("events_day"))).collect()
+def _state(e, table="events"):
+    return e.table(table).log.read()[1]
 
 
 def test_replayed_batch_counts_once(spark, tmp_root):
@@ -31,7 +35,7 @@ def test_replayed_batch_counts_once(spark, tmp_root):
     for i, p in enumerate(parts):
         e.ingest(p, "events", "src", i)
     e.ingest(parts[1], "events", "src", 1)  # retry of batch 1
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
     assert e.facts("events").count() == _events(spark).count()
 
 
@@ -41,7 +45,7 @@ def test_fresh_source_does_not_overwrite_old_batches(spark, tmp_root):
     a, b = catalog.split_batches(_events(spark), ["event_id"], 2)
     e.ingest(a, "events", "stream-1", 0)
     e.ingest(b, "events", "stream-2", 0)
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
 
 
 def test_compaction_keeps_results_and_later_batches(spark, tmp_root):
@@ -49,36 +53,34 @@ def test_compaction_keeps_results_and_later_batches(spark, tmp_root):
     parts = catalog.split_batches(_events(spark), ["event_id"], 5)
     for i, p in enumerate(parts[:3]):
         e.ingest(p, "events", "s", i)
-    before = as_set(_no_q(e.view("events_day")).collect(), 9)
-    v1 = e.compact("events_day")
-    assert v1 == 1
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == before
-    st = e.states("events_day")
-    assert st.manifest() == {"s": [[0, 2]]}
+    before = as_set(e.view("events_day").collect(), 9)
+    assert e.compact("events_day") == 1
+    assert as_set(e.view("events_day").collect(), 9) == before
+    t = e.table("events")
+    assert t.covered("events_day") == {"s": [[0, 2]]} and log.relation(_state(e), "events_day")["own"] == {"s": {}}
     # a replay of an already compacted batch must not count twice
     e.ingest(parts[0], "events", "s", 0)
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == before
+    assert as_set(e.view("events_day").collect(), 9) == before
     e.ingest(parts[3], "events", "s", 3)
     e.ingest(parts[4], "events", "other", 0)
-    assert e.compact("events_day") == 2
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
-    assert st.manifest() == {"s": [[0, 3]], "other": [[0, 0]]}
+    assert e.compact("events_day", full=True) == 2
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
+    assert t.covered("events_day") == {"s": [[0, 3]], "other": [[0, 0]]}
     # compacted states hold one row per key
-    assert st.states().count() == st.states().select("user_id", "day").distinct().count()
+    assert t.states("events_day").count() == t.states("events_day").select("user_id", "day").distinct().count()
     # nothing new: compaction is a no-op
-    assert e.compact("events_day") == 2
+    assert e.compact("events_day", full=True) == 2
 
 
 def test_backfill_covers_facts_stored_before_rollup(spark, tmp_root):
     early, late = catalog.time_cuts(_events(spark), "ts", 2)
     Engine(spark, {"tables": [catalog.EVENTS_TABLE]}, tmp_root).ingest(early, "events", "history", 0)
     e = Engine(spark, SPEC, tmp_root)
-    e.backfill("events_day")
-    e.backfill("events_day")  # idempotent: nothing left to cover
+    assert len(e.backfill("events_day")) == 4
+    assert e.backfill("events_day") == []  # nothing left to cover
     e.ingest(late, "events", "live", 0)
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
-    covered = {tuple(r) for r in e.states("events_day").covered_batches().collect()}
-    assert covered == {("history", 0), ("live", 0)}
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
+    assert e.table("events").covered("events_day") == {"history": [[0, 0]], "live": [[0, 0]]}
 
 
 def test_setup_registers_views(spark, tmp_root):
@@ -137,26 +139,38 @@ def test_literal_rows_and_enriched_view(spark, tmp_root):
     assert rows.schema == t.schema
     e = Engine(spark, SPEC, tmp_root)
     e.ingest(rows, "events", "lit", 0)
-    dim = spark.createDataFrame([(1, "Tønsberg", 59.27, 10.41)], "id long, station_name string, lat double, lon double")
+    dim = spark.createDataFrame([(1, "Tønsberg", 59.27, 10.41)], "id long, label string, lat double, lon double")
     got = e.enriched_view("events_last", dim, "id").collect()
-    assert [(r.user_id, r.value, r.station_name) for r in got] == [(1, 2.5, "Tønsberg")]
+    assert [(r.user_id, r.value, r.label) for r in got] == [(1, 2.5, "Tønsberg")]
 
 
-def test_vacuum_keeps_results_and_drops_folded_files(spark, tmp_root):
+def test_vacuum_keeps_results_and_drops_merged_files(spark, tmp_root):
     e = Engine(spark, SPEC, tmp_root)
     parts = catalog.split_batches(_events(spark), ["event_id"], 6)
     for i, p in enumerate(parts):
         e.ingest(p, "events", "s", i, write_facts=False)
         if i % 2 == 1:
-            e.compact("events_day")
-    st = e.states("events_day")
-    assert st.versions() == [1, 2, 3]
-    before = as_set(_no_q(e.view("events_day")).collect(), 9)
-    assert st.vacuum(keep_versions=2) == {"versions": 1, "batches": 4}  # batches 0-3 folded into version 2
-    assert st.versions() == [2, 3]
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == before == as_set(_one_pass(spark), 9)
-    assert {tuple(r) for r in st.covered_batches().collect()} == {("s", 4), ("s", 5)}
-    assert st.vacuum(keep_versions=2) == {"versions": 0, "batches": 0}
+            e.compact("events_day", full=True)
+    t = e.table("events")
+    assert t.versions("events_day") == 3
+    before = as_set(e.view("events_day").collect(), 9)
+    on_disk = len(t.parts("events_day").parts_on_disk())
+    assert t.vacuum(keep_versions=2)["parts"] == 5  # batches 0-3 and the first compaction's part
+    assert len(t.parts("events_day").parts_on_disk()) == on_disk - 5
+    assert as_set(e.view("events_day").collect(), 9) == before == as_set(_one_pass(spark), 9)
+    assert t.vacuum(keep_versions=2) == {"parts": 0, "orphans": 0}
+    assert t.vacuum(keep_versions=1)["parts"] == 3
+    assert len(t.parts("events_day").parts_on_disk()) == 1 and as_set(e.view("events_day").collect(), 9) == before
+
+
+def test_vacuum_deletes_what_failed_writers_left(spark, tmp_root):
+    e = Engine(spark, catalog.EVENTS_DAY_SPEC, tmp_root)
+    e.ingest(_events(spark), "events", "s", 0)
+    t = e.table("events")
+    t.parts("events_day").write(rollups.with_month(t.states("events_day"), t.rollups["events_day"]), "abandoned")
+    assert t.vacuum() == {"parts": 0, "orphans": 0}  # young: its writer may still be at work
+    assert t.vacuum(orphan_hours=-1) == {"parts": 0, "orphans": 1}
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
 
 
 def test_ingest_dedup_is_opt_in(spark, tmp_root):
@@ -164,28 +178,91 @@ def test_ingest_dedup_is_opt_in(spark, tmp_root):
     doubled = ev.unionByName(ev)
     e = Engine(spark, catalog.EVENTS_DAY_SPEC, tmp_root)
     e.ingest(doubled, "events", "twice", 0, dedup=True)
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
     e2 = Engine(spark, catalog.EVENTS_DAY_SPEC, f"{tmp_root}/raw")
     e2.ingest(doubled, "events", "twice", 0)
     assert e2.view("events_day").agg(F.sum("value_count")).first()[0] == 2 * ev.count()
 
 
-def test_view_after_every_batch_was_vacuumed(spark, tmp_root):
+def test_replay_of_merged_batches(spark, tmp_root):
+    """After compactions a replay with fewer rows, or none, is seen by facts and rollups alike."""
+    e = Engine(spark, SPEC, tmp_root)
+    ev = _events(spark)
+    parts = [ev.where(F.col("event_id") % 3 == i) for i in range(3)]
+    for i, p in enumerate(parts):
+        e.ingest(p, "events", "s", i)
+
+    def same_as(rows):
+        cols = ["user_id", "ts", "value"]
+        assert as_set(e.facts("events").select(*cols).collect()) == as_set(rows.select(*cols).collect())
+        for name in ("events_day", "events_last"):
+            assert as_set(e.view(name).collect(), 9) == as_set(rollups.one_pass(rows, SPEC.rollup(name)).collect(), 9), name
+
+    e.compact("events_day", keep_versions=1)
+    half = ev.where(F.col("event_id") % 6 == 0)
+    e.ingest(half, "events", "s", 0)  # states merged, facts not yet
+    same_as(half.unionByName(parts[1]).unionByName(parts[2]))
+    e.compact_facts("events", keep_versions=1, full=True)
+    e.compact("events_last")
+    e.ingest(parts[1].limit(0), "events", "s", 1)  # all merged
+    same_as(half.unionByName(parts[2]))
+    assert len(_state(e)["dropped"]) == 1
+    e.ingest(parts[1], "events", "s", 1)  # and back again
+    e.ingest(parts[0], "events", "s", 0)
+    same_as(ev)
+    e.compact_facts("events", keep_versions=1, full=True)
+    assert _state(e)["dropped"] == []
+    same_as(ev)
+    for i in range(3):
+        e.ingest(ev.limit(0), "events", "s", i)
+    assert e.facts("events").count() == 0 and e.view("events_day").count() == 0 and e.view("events_last").count() == 0
+
+
+def test_replay_of_a_merged_batch_needs_its_facts(spark, tmp_root):
     e = Engine(spark, catalog.EVENTS_DAY_SPEC, tmp_root)
     a, b = catalog.split_batches(_events(spark), ["event_id"], 2)
-    e.ingest(a, "events", "s", 0)
-    e.ingest(b, "events", "s", 1)
+    e.ingest(a, "events", "s", 0, write_facts=False)
+    e.ingest(b, "events", "s", 1, write_facts=False)
+    e.ingest(b.limit(0), "events", "s", 1, write_facts=False)  # not merged yet: replaced
+    e.ingest(b, "events", "s", 1, write_facts=False)
     e.compact("events_day", keep_versions=1)
-    st = e.states("events_day")
-    assert st.covered_batches().count() == 0
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
-    e.ingest(a, "events", "s", 1)  # a late replay of a folded batch is ignored
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    with pytest.raises(ReplayError):
+        e.ingest(a, "events", "s", 1, write_facts=False)
+    with pytest.raises(ReplayError):
+        e.ingest(a, "events", "s", 1)
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
+
+
+def test_replay_when_a_rollup_lacks_columns(spark, tmp_root):
+    """The months of a replayed batch are aggregated from all facts, also for columns not yet filled."""
+    ev = _events(spark)
+    parts = catalog.split_batches(ev, ["event_id"], 3)
+    day = {**catalog.DAY, "aggregations": catalog.FULL_AGGS[:1]}
+    old = Engine(spark, {"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": day}]}, tmp_root)
+    for i, p in enumerate(parts[:2]):
+        old.ingest(p, "events", "s", i)
+    old.compact("events_day")
+    e = Engine(spark, catalog.EVENTS_DAY_SPEC, tmp_root)
+    e.ingest(parts[2], "events", "s", 2)
+    e.ingest(parts[0], "events", "s", 0)
+    assert e.backfill("events_day") == []
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
+
+
+def test_new_columns_leave_old_state_files_alone(spark, tmp_root):
+    parts = catalog.split_batches(_events(spark), ["event_id"], 2)
+    day = {**catalog.DAY, "aggregations": catalog.FULL_AGGS[:2]}
+    old = Engine(spark, {"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": day}]}, tmp_root)
+    old.ingest(parts[0], "events", "s", 0)
+    before = set(log.relation(_state(old), "events_day")["parts"])
+    e = Engine(spark, catalog.EVENTS_DAY_SPEC, tmp_root)
+    e.ingest(parts[1], "events", "s", 1)
+    assert e.backfill("events_day") == ["value_quantiles_01_05_09_state", "value_stddevSamp_state"]
+    assert before < set(log.relation(_state(e), "events_day")["parts"])
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
 
 
 def test_fact_compaction_rounds(spark, tmp_root):
-    from rollstate.plans.fact_store import COMPACTED
-    from rollstate.plans import manifest
     from rollstate.sources import store
 
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
@@ -196,78 +273,162 @@ def test_fact_compaction_rounds(spark, tmp_root):
     for i, p in enumerate(parts[:3]):
         e.ingest(p, "lineitem", "s", i)
     cols = [c.name for c in t.all_columns]
-    want = as_set(li.select(*cols).collect())
-    assert e.compact_facts("lineitem") == 1
-    got = as_set(e.facts("lineitem").select(*cols).collect())
-    assert got == as_set(catalog.split_batches(li, ["l_orderkey", "l_linenumber", "l_partkey"], 5)[0].unionByName(parts[1]).unionByName(parts[2]).select(*cols).collect())
-    # the state before the round is a kept version, so its folders stay until asked otherwise
-    e.fact_store("lineitem").vacuum(keep_versions=1)
-    months = manifest.children(spark, e.facts_path("lineitem"), store.MONTH)
-    batches = {
-        (s, b)
-        for _, m in months
-        for s, sp in manifest.children(spark, str(m), store.SOURCE)
-        for b, _ in manifest.children(spark, str(sp), store.BATCH)
-    }
-    assert {s for s, _ in batches} == {COMPACTED} and len(batches) == 1
-    e.ingest(parts[0], "lineitem", "s", 0)  # replay of a folded batch: ignored
+    first = parts[0].unionByName(parts[1]).unionByName(parts[2]).select(*cols)
+    assert e.compact_facts("lineitem", full=True) == 1
+    assert as_set(e.facts("lineitem").select(*cols).collect()) == as_set(first.collect())
+    e.table("lineitem").vacuum()
+    assert len(e.table("lineitem").parts(FACTS).parts_on_disk()) == 1
+    e.ingest(parts[0], "lineitem", "s", 0)  # replay of a merged batch
     e.ingest(parts[3], "lineitem", "s", 3)
     e.ingest(parts[4], "lineitem", "t", 0)
-    assert e.compact_facts("lineitem", vacuum=False) == 2
-    assert as_set(e.facts("lineitem").select(*cols).collect()) == want
+    assert e.compact_facts("lineitem", full=True) == 2
+    assert as_set(e.facts("lineitem").select(*cols).collect()) == as_set(li.select(*cols).collect())
     r = store.time_range(e.facts("lineitem"), t, "1996-03-15 00:00:00", "1996-07-01 00:00:00")
     assert r.count() == li.where((F.col("l_shipdate") >= "1996-03-15") & (F.col("l_shipdate") < "1996-07-01")).count()
     # backfill after fact compaction still knows each row's batch
     e2 = Engine(spark, spec, tmp_root)
     e2.backfill("lineitem_month")
-    covered = {tuple(x) for x in e2.states("lineitem_month").covered_batches().collect()}
-    assert covered == {("s", 0), ("s", 1), ("s", 2), ("s", 3), ("t", 0)}
+    assert e2.table("lineitem").covered("lineitem_month") == {"s": [[0, 3]], "t": [[0, 0]]}
     v = e2.view("lineitem_month").select("l_suppkey", "month", "l_quantity_count").collect()
     direct = rollups.one_pass(li, spec.rollup("lineitem_month")).select("l_suppkey", "month", "l_quantity_count").collect()
     assert as_set(v) == as_set(direct)
 
 
-def test_fact_files_are_sorted_by_id_and_time(spark, tmp_root):
-    """The writer's own ordering by partition columns must not undo the (id, ts) sort in files."""
-    import glob
+def _files(df):
+    return {f.rsplit("/", 1)[1] for f in df.inputFiles()}
 
-    import pyarrow.parquet as pq
 
-    from rollstate.sources import store
+def test_compacted_files_are_sorted_and_left_out_by_id(spark, tmp_root):
+    """The writer's own ordering by partition must not undo the (id, time) sort in files; files of a
+    compacted part hold disjoint id ranges, so one id opens a fraction of them."""
+    import pyarrow.parquet as pq
 
-    t = load_spec(catalog.LINEITEM_SPEC).table("lineitem")
-    root = f"{tmp_root}/facts".replace("file:", "")
-    store.write_facts(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"), t, root, "load", 0)
-    files = glob.glob(f"{root}/yyyymm=*/**/*.parquet", recursive=True)
-    assert files
-    for f in files[:20]:
-        tab = pq.read_table(f, columns=["l_suppkey", "l_shipdate"]).to_pandas()
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_shipdate < '1995-01-01'")
+    e = Engine(spark, {"tables": [catalog.LINEITEM_TABLE]}, tmp_root)
+    for i, p in enumerate(catalog.split_batches(li, ["l_orderkey", "l_linenumber"], 2)):
+        e.ingest(p, "lineitem", "s", i)
+    e.compact_facts("lineitem", target_bytes=400)
+    every, one = e.facts("lineitem"), e.facts("lineitem", ids=[3])
+    assert len(_files(one)) < len(_files(every)) / 2
+    assert one.count() == li.where("l_suppkey = 3").count() > 0 and every.count() == li.count()
+    for f in list(every.inputFiles())[:30]:
+        tab = pq.read_table(f.replace("file://", ""), columns=["l_suppkey", "l_shipdate"]).to_pandas()
         keys = list(zip(tab.l_suppkey, tab.l_shipdate))
         assert keys == sorted(keys), f
+    ranged = e.facts("lineitem", ids=[3], lo="1994-03-01", hi="1994-05-01")
+    assert {f.split("yyyymm=")[1][:6] for f in ranged.inputFiles()} <= {"199403", "199404"}
 
 
-def test_manifest_commits_a_version_once(spark, tmp_path):
-    from rollstate.plans.manifest import Manifest
+def test_text_ids(spark, tmp_root):
+    table = {**catalog.LINEITEM_TABLE, "id_column": catalog._col("l_returnflag", "Nullable(String)")}
+    spec = {"tables": [table], "analytical_tables": [{"table": "lineitem", "aggregator": {**catalog.DAY, "aggregations": [{"type": "count"}]}}]}
+    e = Engine(spark, spec, tmp_root)
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    li = li.withColumn("l_returnflag", F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")))
+    for i, p in enumerate(catalog.split_batches(li, ["l_orderkey", "l_linenumber"], 2)):
+        e.ingest(p, "lineitem", "s", i)
+    e.compact_facts("lineitem", full=True)
+    e.compact("lineitem_day", full=True)
+    for ids, cond in ((["R"], "l_returnflag = 'R'"), ([None], "l_returnflag IS NULL"), (["R", None, "x"], "l_returnflag = 'R' OR l_returnflag IS NULL")):
+        n = li.where(cond).count()
+        assert e.facts("lineitem", ids=ids).count() == n > 0
+        assert e.view("lineitem_day", ids=ids).agg(F.sum("l_quantity_count")).first()[0] == n
 
-    m = Manifest(spark, str(tmp_path / "manifest"))
-    assert m.versions() == [] and m.snapshot() == (0, [], {})
-    assert m.commit(1, ["a"], {"s": [[0, 3]]})
-    assert not m.commit(1, ["b"], {"s": [[0, 9]]})  # another writer was first
-    assert m.snapshot() == (1, ["a"], {"s": [[0, 3]]})
-    assert m.commit(2, ["c"], {"s": [[0, 5]], "t": [[2, 2]]})
-    m.drop(1)
-    assert m.versions() == [2] and not [p.name for p in (tmp_path / "manifest").iterdir() if "draft" in p.name]
 
+def test_view_range_prunes_months_and_ids(spark, tmp_root):
+    import datetime as dt
 
-def test_folded_ranges():
-    from rollstate.plans.manifest import add_batches, is_folded
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    e = Engine(spark, catalog.LINEITEM_DAY_SPEC, tmp_root)
+    for i, p in enumerate(catalog.split_batches(li, ["l_orderkey", "l_linenumber"], 2)):
+        e.ingest(p, "lineitem", "s", i, write_facts=False)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    v = e.view("lineitem_day", lo=dt.date(1996, 3, 15), hi="1996-07-01 00:00:00")
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert ">= 199603" in filters and "<= 199606" in filters
+    assert {f.split("yyyymm=")[1][:6] for f in v.inputFiles()} == {"199603", "199604", "199605", "199606"}
+    assert "Window" not in plan
+    days = [r.day for r in v.select("day").distinct().collect()]
+    assert min(days) >= dt.date(1996, 3, 15) and max(days) < dt.date(1996, 7, 1)
+    one = e.view("lineitem_day", ids=[3])._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_suppkey,3)" in one or "In(l_suppkey" in one
+    with pytest.raises(ValueError, match="no time bucket"):
+        Engine(spark, SPEC, tmp_root).view("events_last", lo="1996-01-01")
+
+
+def test_compaction_leaves_other_months_alone(spark, tmp_root):
+    import datetime as dt
 
-    f = add_batches({}, "s", [5, 3, 4, 9])
+    e = Engine(spark, catalog.EVENTS_DAY_SPEC, tmp_root)
+    schema = e.spec.table("events").schema
+    rows = [(i % 7, dt.datetime(2024, 1 + i % 4, 1 + i % 20, 3), float(i)) for i in range(400)]
+    e.ingest(spark.createDataFrame(rows[:200], schema), "events", "s", 0)
+    e.ingest(spark.createDataFrame(rows[200:], schema), "events", "s", 1)
+    e.compact("events_day", full=True)
+    e.compact_facts("events", full=True)
+    t = e.table("events")
+    before = {n: t.months(n) for n in (FACTS, "events_day")}
+    late = [(i % 7, dt.datetime(2024, 3, 30, i % 24), float(i)) for i in range(300)]
+    e.ingest(spark.createDataFrame(late, schema), "events", "s", 2)
+    e.compact("events_day")
+    e.compact_facts("events")
+    for n in (FACTS, "events_day"):
+        now = t.months(n)
+        assert {m for m in before[n] if now[m] == before[n][m]} == {"202401", "202402", "202404"} and len(now["202403"]) == 1
+    want = rollups.one_pass(spark.createDataFrame(rows + late, schema), t.rollups["events_day"])
+    assert as_set(e.view("events_day").collect(), 9) == as_set(want.collect(), 9)
+
+
+def test_tiers_merge_small_parts_first():
+    assert tier({"a": 100}, 4) == []
+    assert tier({"big": 1000, "a": 1, "b": 2}, 4) == ["a", "b"]
+    assert tier({"big": 10, "a": 1, "b": 2}, 4) == ["a", "b", "big"]
+    assert tier({"a": 1, "b": 100}, 4) == []
+    # every row is rewritten about as often as its month doubles
+    sizes, written = {}, 0
+    for i in range(500):
+        sizes[f"p{i}"] = 1
+        chosen = tier(sizes, 1.0)
+        if chosen:
+            total = sum(sizes.pop(p) for p in chosen)
+            sizes[f"m{i}"] = total
+            written += total
+    assert written < 500 * 12 and len(sizes) < 12
+
+
+def test_commit_log_commits_a_version_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log, "CHECKPOINT", 4)
+    a, b = (log.CommitLog(spark, str(tmp_path / "log")) for _ in range(2))
+    assert a.read() == (0, log.empty_state())
+
+    def added(i):
+        months = {"202401": 10, "202402": 20}
+        return [{"do": "add", "in": "r", "part": f"p{i}", "months": months, "batches": {"s": [[i, i]]}}, {"do": "cover", "in": "r", "columns": ["c"], "batches": {"s": [[i, i]]}}]
+
+    assert a.commit(0, added(0)) and not b.commit(0, added(1))  # another writer was first
+    for i in range(1, 11):
+        assert b.commit(i, added(i))
+    assert a.commit(11, [{"do": "remove", "in": "r", "part": "p0", "months": ["202401"]}, {"do": "fold", "in": "r"}])
+    version, state = log.CommitLog(spark, str(tmp_path / "log")).read()
+    assert version == 12 and (version, state) == a.read() == b.read()
+    assert log.covered(state, "r", ["c"]) == {"s": [[0, 10]]} and log.covered(state, "r", ["c", "d"]) == {}
+    assert state["relations"]["r"]["parts"]["p0"]["months"] == {"202402": 20} and state["dead"] == [[12, "r", "p0", ["202401"]]]
+    assert a.trim() > 0 and log.CommitLog(spark, str(tmp_path / "log")).read() == (version, state)
+    assert b.commit(12, added(11)) and a.read()[0] == 13
+    assert not [p.name for p in (tmp_path / "log").iterdir() if "draft" in p.name]
+
+
+def test_batch_ranges():
+    f = log.add_batches({}, "s", [5, 3, 4, 9])
     assert f == {"s": [[3, 5], [9, 9]]}
-    f = add_batches(add_batches(f, "s", [6, 8]), "t", [0])
+    f = log.add_batches(log.add_batches(f, "s", [6, 8]), "t", [0])
     assert f == {"s": [[3, 6], [8, 9]], "t": [[0, 0]]}
-    assert add_batches(f, "s", [7])["s"] == [[3, 9]]
-    assert is_folded(f, "s", 6) and not is_folded(f, "s", 7) and not is_folded(f, "u", 0)
+    assert log.add_batches(f, "s", [7])["s"] == [[3, 9]]
+    assert log.has(f, "s", 6) and not log.has(f, "s", 7) and not log.has(f, "u", 0)
+    assert log.minus(f, {"s": [[4, 4], [9, 12]]}) == {"s": [[3, 3], [5, 6], [8, 8]], "t": [[0, 0]]}
+    assert log.minus(f, f) == {} and log.minus(f, {}) == f and log.minus({}, f) == {}
+    assert log.union(f, {"s": [[7, 7]], "u": [[1, 2]]}) == {"s": [[3, 9]], "t": [[0, 0]], "u": [[1, 2]]}
 
 
 def test_late_batch_after_compaction_is_not_lost(spark, tmp_root):
@@ -275,12 +436,11 @@ def test_late_batch_after_compaction_is_not_lost(spark, tmp_root):
     parts = catalog.split_batches(_events(spark), ["event_id"], 3)
     e.ingest(parts[1], "events", "s", 1)
     e.compact("events_day", keep_versions=1)
-    e.compact_facts("events")
-    e.fact_store("events").vacuum(keep_versions=1)
+    e.compact_facts("events", keep_versions=1)
     e.ingest(parts[0], "events", "s", 0)
     e.ingest(parts[2], "events", "s", 2)
     e.compact("events_day", keep_versions=1)
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
     assert e.facts("events").count() == _events(spark).count()
 
 
@@ -288,18 +448,40 @@ def test_two_compactions_at_once_count_once(spark, tmp_root, monkeypatch):
     e = Engine(spark, SPEC, tmp_root)
     parts = catalog.split_batches(_events(spark), ["event_id"], 2)
     e.ingest(parts[0], "events", "s", 0)
+    e.ingest(parts[0].limit(5), "events", "extra", 0)
     other = Engine(spark, SPEC, tmp_root)
-    commit, raced = other.states("events_day")._manifest.commit, []
+    commit, raced = other.table("events").log.commit, []
 
     def late(*args):
         if not raced:  # the other compaction commits, and a batch arrives, before this one does
-            raced.append(e.compact("events_day"))
+            raced.append(e.compact("events_day", full=True))
             e.ingest(parts[1], "events", "s", 1)
+            e.ingest(parts[0].limit(0), "events", "extra", 0)
+        return commit(*args)
+
+    monkeypatch.setattr(other.table("events").log, "commit", late)
+    assert other.compact("events_day", full=True) == 2 and raced == [1]
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
+
+
+def test_batch_that_arrives_during_a_compaction(spark, tmp_root, monkeypatch):
+    """A compaction whose parts are all still there commits after a batch that came in between."""
+    e = Engine(spark, SPEC, tmp_root)
+    parts = catalog.split_batches(_events(spark), ["event_id"], 3)
+    for i in (0, 1):
+        e.ingest(parts[i], "events", "s", i)
+    other = Engine(spark, SPEC, tmp_root)
+    commit, tried = other.table("events").log.commit, []
+
+    def late(*args):
+        if not tried:
+            e.ingest(parts[2], "events", "s", 2)
+        tried.append(args[0])
         return commit(*args)
 
-    monkeypatch.setattr(other.states("events_day")._manifest, "commit", late)
-    assert other.compact("events_day") == 2 and raced == [1]
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == as_set(_one_pass(spark), 9)
+    monkeypatch.setattr(other.table("events").log, "commit", late)
+    assert other.compact("events_day", full=True) == 1 and len(tried) == 2
+    assert as_set(e.view("events_day").collect(), 9) == as_set(_one_pass(spark), 9)
 
 
 def test_reader_open_across_fact_compaction(spark, tmp_root):
@@ -307,7 +489,7 @@ def test_reader_open_across_fact_compaction(spark, tmp_root):
     parts = catalog.split_batches(_events(spark), ["event_id"], 2)
     e.ingest(parts[0], "events", "s", 0)
     before = e.facts("events")
-    e.compact_facts("events")
+    e.compact_facts("events", full=True)
     n = parts[0].count()
     assert before.count() == n and e.facts("events").count() == n
 
@@ -358,7 +540,5 @@ def test_fact_compaction_noop_and_empty_table(spark, tmp_root):
     assert empty.count() == 0 and empty.columns == ["user_id", "ts", "value", "yyyymm"]
     assert e.compact_facts("events") == 0  # nothing written yet
     e.ingest(_events(spark), "events", "s", 0)
-    assert e.compact_facts("events") == 1
-    assert e.compact_facts("events") == 1  # nothing new: no new round
-    assert e.fact_store("events").rounds() == [1]
+    assert e.compact_facts("events", full=True) == 0  # one part a month: nothing to merge
     assert e.facts("events").count() == _events(spark).count()

@@ -19,12 +19,8 @@ def _events(spark):
     return spark.read.parquet(f"{SF_SMALL}/events.parquet")
 
 
-def _no_q(df):
-    return df.drop("value_quantiles_01_05_09")
-
-
 def _expected(spark):
-    return as_set(_no_q(rollups.one_pass(_events(spark), SPEC.rollup("events_day"))).collect(), 9)
+    return as_set(rollups.one_pass(_events(spark), SPEC.rollup("events_day")).collect(), 9)
 
 
 def _messages(df, path, files):
@@ -42,10 +38,9 @@ def test_stream_then_restart_counts_once(spark, tmp_root):
     _messages(b, f"{tmp_root}/inbox/b", 2)
     q = ingest.start(e, "events", ingest.file_messages(spark, f"{tmp_root}/inbox/*", 1), ck, max_bad=0, trigger={"availableNow": True})
     q.awaitTermination()
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
+    assert as_set(e.view("events_day").collect(), 9) == _expected(spark)
     assert e.facts("events").count() == _events(spark).count()
-    batches = e.states("events_day").covered_batches().count()
-    assert batches == 4  # one state batch per file
+    assert sum(hi - lo + 1 for r in e.table("events").covered("events_day").values() for lo, hi in r) == 4  # one batch per file
 
 
 def test_replaying_a_micro_batch_is_idempotent(spark, tmp_root):
@@ -55,7 +50,7 @@ def test_replaying_a_micro_batch_is_idempotent(spark, tmp_root):
     run = ingest.ingest_batch_fn(e, "events", "src", max_bad=0, rejects_path=None)
     run(msgs, 0)
     run(msgs, 0)
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
+    assert as_set(e.view("events_day").collect(), 9) == _expected(spark)
 
 
 def test_rejects_above_max_bad_fail_the_batch(spark, tmp_root):
@@ -69,7 +64,7 @@ def test_rejects_above_max_bad_fail_the_batch(spark, tmp_root):
     run = ingest.ingest_batch_fn(e, "events", "src", max_bad=5, rejects_path=f"{tmp_root}/rejects")
     run(good.unionByName(bad), 0)
     assert spark.read.parquet(f"{tmp_root}/rejects").count() == 2
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
+    assert as_set(e.view("events_day").collect(), 9) == _expected(spark)
 
 
 def test_native_windowed_rollup(spark, tmp_root):
@@ -116,7 +111,7 @@ def test_failure_after_writes_then_restart_counts_once(spark, tmp_root):
         q.awaitTermination()
     assert failed == [1]
     start().awaitTermination()
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
+    assert as_set(e.view("events_day").collect(), 9) == _expected(spark)
     assert e.facts("events").count() == _events(spark).count()
 
 
@@ -128,10 +123,10 @@ def test_stream_with_periodic_compaction(spark, tmp_root):
         max_bad=0, trigger={"availableNow": True}, compact_every=2,
     )
     q.awaitTermination()
-    st = e.states("events_day")
-    version, _, folded = st.snapshot()
-    assert version == 2 and list(folded.values()) == [[[0, 3]]]
-    assert as_set(_no_q(e.view("events_day")).collect(), 9) == _expected(spark)
+    t = e.table("events")
+    assert t.versions("events_day") == t.versions("facts") == 2 and list(t.covered("events_day").values()) == [[[0, 4]]]
+    assert len(t.parts("facts").parts_on_disk()) < 5
+    assert as_set(e.view("events_day").collect(), 9) == _expected(spark)
     last = e.view("events_last").collect()
     assert as_set(last) == as_set(rollups.one_pass(_events(spark), SPEC.rollup("events_last")).collect())
 
