@@ -27,7 +27,8 @@ PART = "part"
 #: Bytes that a file of a compacted part aims at.
 TARGET_BYTES = 512 << 20
 MAX_RECORDS = 5_000_000
-Live = dict[str, Iterable[str]]
+#: Months by part; None for a part all of whose months are wanted and live.
+Live = dict[str, Iterable[str] | None]
 
 
 class PartStore:
@@ -79,7 +80,7 @@ class PartStore:
 
     def _keep_bounds(self, part: str, months: dict[str, int]) -> None:
         ident = self._comparable(F.col(f"`{self.id_column}`"))
-        rows = self.read({part: months}, whole=True).select(MONTH, ident.alias("_id"), F.col("_metadata.file_name").alias("_file"))
+        rows = self.read({part: None}).select(MONTH, ident.alias("_id"), F.col("_metadata.file_name").alias("_file"))
         bounds = rows.groupBy(MONTH, "_file").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.count("_id").alias("n"), F.count(F.lit(1)).alias("rows"))
         # One row for each file written: as many as the listing that the driver goes through anyway.
         kept: dict[str, list] = {}
@@ -88,7 +89,7 @@ class PartStore:
             kept.setdefault(month, []).append([r["_file"], r.lo, r.hi, r.n < r.rows])
         files.create_json(self.spark, f"{self._path(part)}/_files.json", kept)
 
-    def read(self, live: Live, ids: Sequence | None = None, whole: bool = False) -> DataFrame:
+    def read(self, live: Live, ids: Sequence | None = None) -> DataFrame:
         """Rows of live months of parts, with ``yyyymm`` and ``part``; with ``ids``, files that cannot
         hold any of them are left out (rows still have to be filtered).  Only the named folders are
         listed, so what else lies below the root costs nothing."""
@@ -97,7 +98,13 @@ class PartStore:
         schema = T.StructType([*self.schema.fields, T.StructField(MONTH, T.IntegerType()), T.StructField(PART, T.StringType())])
         paths = []
         for part, months in sorted(live.items()):
-            bounds = files.read_json(self.spark, f"{self._path(part)}/_files.json") if ids is not None and not whole else None
+            if months is None and ids is None:
+                paths.append(self._path(part))
+                continue
+            bounds = files.read_json(self.spark, f"{self._path(part)}/_files.json") if ids is not None else None
+            if months is None:
+                listed = [n for n in files.names(self.spark, self._path(part)) if n.startswith(f"{MONTH}=")]
+                months = [n.split("=", 1)[1] for n in listed] if bounds is None else bounds
             for month in sorted(months):
                 folder = f"{self._path(part)}/{MONTH}={month}"
                 if bounds is None:

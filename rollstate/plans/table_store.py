@@ -78,7 +78,7 @@ class TableStore:
         """Live state rows; with a range, those whose bucket starts at or after ``lo`` and before ``hi``."""
         at, state = self.rollups[name], self.log.read()[1]
         months = rollups.bucket_months(at, lo, hi)
-        df = self.parts(name).read(self._live(state, name, months), ids)
+        df = self._read(state, name, self._live(state, name, months), ids)
         if ids is not None:
             df = df.where(_is_any(F.col(f"`{self.table.id}`"), ids))
         if months is not None:
@@ -116,9 +116,17 @@ class TableStore:
         live = {p: [m for m in part["months"] if wanted(m)] for p, part in log.relation(state, name)["parts"].items()}
         return {p: ms for p, ms in live.items() if ms}
 
+    def _read(self, state: log.State, name: str, live: dict[str, list[str]], ids: Sequence | None = None) -> DataFrame:
+        parts = log.relation(state, name)["parts"]
+
+        def whole(p: str, months: list[str]) -> bool:
+            return not parts[p].get("cut") and len(months) == len(parts[p]["months"])
+
+        return self.parts(name).read({p: None if whole(p, ms) else ms for p, ms in live.items()}, ids)
+
     def _fact_rows(self, state: log.State, live: dict[str, list[str]], ids: Sequence | None = None) -> DataFrame:
         """Fact rows of parts, without rows of batches that were replayed since."""
-        df = self.parts(FACTS).read(live, ids)
+        df = self._read(state, FACTS, live, ids)
         for source, batch, parts in state["dropped"]:
             if live.keys() & set(parts):
                 df = df.where(~(F.col(PART).isin(parts) & (F.col(ROW_SOURCE) == source) & (F.col(ROW_BATCH) == batch)))
@@ -245,7 +253,7 @@ class TableStore:
                 rows = self._fact_rows(state, chosen).drop(PART)
             else:
                 at = self.rollups[name]
-                rows = rollups.with_month(rollups.merge(self.parts(name).read(chosen).drop(MONTH, PART), at), at)
+                rows = rollups.with_month(rollups.merge(self._read(state, name, chosen).drop(MONTH, PART), at), at)
             options = {"target_bytes": target_bytes} if target_bytes else {}
             months = self.parts(name).write(rows, part, ranged_bytes=total, **options)
             batches: log.Ranges = {}
@@ -309,7 +317,7 @@ class TableStore:
         for name in [FACTS, *self.rollups]:
             version, state = self.log.read()
             folds = log.relation(state, name)["folds"]
-            kept = [0, *folds][-max(1, keep_versions)]
+            kept = [0, *folds][max(0, len(folds) + 1 - max(1, keep_versions))]
             dead = [d for d in state["dead"] if d[1] == name and d[0] <= kept]
             for _, _, part, months in dead:
                 self.parts(name).delete(part, months)

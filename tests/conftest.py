@@ -16,7 +16,7 @@ from shared import SF_SMALL  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = session.builder("local[4]", 4).config("spark.driver.memory", "4g").getOrCreate()
+    s = session.builder("local[8]", 4).config("spark.driver.memory", "4g").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rollstate-test-ckpt-"))

@@ -37,7 +37,7 @@ def _split(rows, assignment, k):
     return [[r for r, a in zip(rows, assignment) if a % k == i] for i in range(k)]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 @given(rows=table, k=st.integers(min_value=1, max_value=4), data=st.data())
 def test_merge_law_random(spark, rows, k, data):
     assignment = data.draw(st.lists(st.integers(min_value=0, max_value=k - 1), min_size=len(rows), max_size=len(rows)))
@@ -46,11 +46,11 @@ def test_merge_law_random(spark, rows, k, data):
     full = spark.createDataFrame(rows, SCHEMA)
 
     states = reduce(DataFrame.unionByName, [rollups.partial(p, DAY) for p in parts])
-    merged = rollups.view(states, DAY).drop("value_quantiles_01_05_09").collect()
-    direct = rollups.one_pass(full, DAY).drop("value_quantiles_01_05_09").collect()
+    merged = rollups.view(states, DAY).collect()
+    direct = rollups.one_pass(full, DAY).collect()
     assert _close(merged, direct)
     # folding twice (compaction) changes nothing
-    again = rollups.view(rollups.merge(states, DAY), DAY).drop("value_quantiles_01_05_09").collect()
+    again = rollups.view(rollups.merge(states, DAY), DAY).collect()
     assert _close(again, direct)
 
     last_states = reduce(DataFrame.unionByName, [rollups.partial(p, LAST) for p in parts])
@@ -64,7 +64,8 @@ def _close(a, b, rel=1e-5, abs_=1e-9):
     if len(ka) != len(kb):
         return False
     for ra, rb in zip(ka, kb):
-        for x, y in zip(ra, rb):
+        flat = lambda r: [v for x in r for v in (x if isinstance(x, list) else [x])]
+        for x, y in zip(flat(ra), flat(rb)):
             if isinstance(x, float) and isinstance(y, float):
                 if abs(x - y) > max(abs_, rel * max(abs(x), abs(y))):
                     return False

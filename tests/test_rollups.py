@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from shared import SF_SMALL, as_set
 from rollstate import catalog
-from rollstate.operators import rollups
-from rollstate.spec import load_spec
+from rollstate.operators import quantiles, rollups
+from rollstate.spec import SpecError, load_spec
 
 EVENTS = load_spec(catalog.EVENTS_SPEC)
 LINEITEM = load_spec(catalog.LINEITEM_SPEC)
@@ -115,19 +115,25 @@ def test_merge_law(spark, k, seed):
     parts = _random_batches(df, k, seed)
     random.Random(seed).shuffle(parts)
     states = reduce(DataFrame.unionByName, [rollups.partial(p, at) for p in parts])
-    merged = rollups.view(states, at).drop("value_quantiles_01_05_09").collect()
-    direct = rollups.one_pass(df, at).drop("value_quantiles_01_05_09").collect()
+    merged = rollups.view(states, at).collect()
+    direct = rollups.one_pass(df, at).collect()
     assert as_set(merged, 9) == as_set(direct, 9)
     # compacting (merge without finish) and merging again changes nothing
-    twice = rollups.view(rollups.merge(states, at), at).drop("value_quantiles_01_05_09").collect()
+    twice = rollups.view(rollups.merge(states, at), at).collect()
     assert as_set(twice, 9) == as_set(direct, 9)
     last = EVENTS.rollup("events_last")
     ls = reduce(DataFrame.unionByName, [rollups.partial(p, last) for p in parts])
     assert as_set(rollups.view(ls, last).collect()) == as_set(rollups.one_pass(df, last).collect())
 
 
-def test_kll_states_equal_discrete_quantiles_on_small_groups(spark, duck):
-    at = EVENTS.rollup("events_day")
+def _quantile_rollup(**options):
+    aggregations = [{"type": "quantiles", "args_agg": ["0.1", "0.5", "0.9"], **options}, {"type": "count"}]
+    day = {"type": "interval", "name": "day", "group_functions": ["toDate"], "aggregations": aggregations}
+    return load_spec({"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": day}]}).rollup("events_day")
+
+
+def test_states_without_kept_values_equal_discrete_quantiles_on_small_groups(spark, duck):
+    at = _quantile_rollup(exact=0)
     parts = _random_batches(events(spark), 4, 11)
     states = reduce(DataFrame.unionByName, [rollups.partial(p, at) for p in parts])
     got = rollups.view(states, at).select("user_id", "day", "value_quantiles_01_05_09").collect()
@@ -137,6 +143,32 @@ def test_kll_states_equal_discrete_quantiles_on_small_groups(spark, duck):
     assert as_set(got) == as_set(want)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_values_and_sketches_merge_in_any_order(spark, seed):
+    """Groups far below, around and far above the bound, in parts of uneven size, folded in several steps."""
+    at, rnd = _quantile_rollup(exact=60, k=300), random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    groups = {1: 7, 2: 60, 3: 61, 4: 150, 5: 3000, 6: 0}
+    rows = [(g, base + dt.timedelta(seconds=i), rnd.choice([rnd.gauss(0, 10), 4.0])) for g, n in groups.items() for i in range(n)]
+    rows += [(6, base, None), (5, base, None)]
+    schema = "user_id long, ts timestamp_ntz, value double"
+    cuts = [[r for r in rows if hash((r, seed)) % 7 in own] for own in ((0, 1, 2, 3), (4,), (5, 6))]
+    rnd.shuffle(cuts)
+    a, b, c = [rollups.partial(spark.createDataFrame(part, schema), at) for part in cuts]
+    for states in (a.unionByName(b).unionByName(c), rollups.merge(rollups.merge(c.unionByName(a), at).unionByName(b), at)):
+        got = {r.user_id: r for r in rollups.view(states, at).collect()}
+        assert {g: r.value_count for g, r in got.items()} == groups
+        direct = {r.user_id: r[2] for r in rollups.one_pass(spark.createDataFrame(rows, schema), at).collect()}
+        for g in (1, 2):
+            assert got[g][2] == pytest.approx(direct[g], rel=1e-12)
+        assert got[6][2] is None
+        for g in (3, 4, 5):
+            values = sorted(v for i, _, v in rows if i == g and v is not None)
+            for p, q in zip((0.1, 0.5, 0.9), got[g][2]):
+                below, upto = sum(v < q for v in values), sum(v <= q for v in values)
+                assert q in values and below <= (p + 0.02) * len(values) + 1 and upto >= (p - 0.02) * len(values) - 1
+
+
 def test_stddev_merge_is_stable_for_large_values(spark):
     """Values near 1e9 with spread 1e-3: the merged sample stddev keeps its precision."""
     base = dt.datetime(2024, 1, 1, 12)
@@ -191,9 +223,51 @@ def test_fan_out_is_one_shuffle_without_python(spark):
     plan = _plan(rollups.one_pass(lineitem(spark), at))
     assert plan.count("Exchange") == 1
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
-    # with quantiles: still a single shuffle (window and aggregation share the partitioning)
+    # with quantiles: still a single shuffle, and no sort of the rows for any measure
     qplan = _plan(rollups.one_pass(lineitem(spark), LINEITEM.rollup("lineitem_day")))
     assert qplan.count("Exchange hashpartitioning") == 1
+    assert "Sort " not in qplan and "Window" not in qplan
+
+
+def test_last_value_sorts_only_the_newest_rows(spark):
+    """Rows that are not at their id's newest time are left out by a broadcast join before any sort."""
+    plan = _plan(rollups.one_pass(lineitem(spark), LINEITEM.rollup("lineitem_last")))
+    below_sort = plan[plan.rindex("Sort ["):]
+    assert "BroadcastHashJoin" in below_sort and plan.count("Sort [") <= 2
+
+
+def test_last_value_of_ids_without_time_and_beyond_broadcast(spark, monkeypatch):
+    rows = [(None, dt.datetime(2024, 1, 1), 1.0), (None, dt.datetime(2024, 1, 1), 3.0), (2, None, 5.0), (3, dt.datetime(2024, 1, 3), None), (3, None, 7.0)]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, value double")
+    at = EVENTS.rollup("events_last")
+    want = {(None, dt.datetime(2024, 1, 1), 3.0), (2, None, None), (3, dt.datetime(2024, 1, 3), None)}
+    assert {tuple(r) for r in rollups.one_pass(df, at).collect()} == want
+    monkeypatch.setattr(rollups, "fits_broadcast", lambda *_: False)
+    assert {tuple(r) for r in rollups.one_pass(df, at).collect()} == want
+
+
+def test_middle_sized_groups_take_the_window(spark):
+    at = _quantile_rollup()
+    df = events(spark)
+    want = as_set(rollups.one_pass(df, at).collect(), 9)
+    keyed = df.withColumn("day", F.to_date("ts"))
+    specs = [("q", "value", (0.1, 0.5, 0.9))]
+    got = quantiles.exact(keyed, ["user_id", "day"], specs, [("n", F.count("value"))], hot_rows=10_000, list_rows=2)
+    assert as_set(got.select("user_id", "day", "q", "n").collect(), 9) == want
+
+
+def test_names_of_single_quantiles(spark, duck):
+    names = [{"type": "median"}, {"type": "quantile", "args_agg": ["0.3"]}, {"type": "any"}]
+    day = {"type": "interval", "name": "day", "group_functions": ["toDate"], "aggregations": names}
+    at = load_spec({"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": day}]}).rollup("events_day")
+    want = as_set(duck.sql("SELECT user_id, CAST(ts AS DATE), median(value), quantile_cont(value, 0.3), min(value) FROM events GROUP BY 1, 2").fetchall())
+    cols = ["user_id", "day", "value_median", "value_quantile_03", "value_any"]
+    assert as_set(rollups.one_pass(events(spark), at).select(*cols).collect()) == want
+    assert as_set(rollups.view(rollups.partial(events(spark), at), at).select(*cols).collect()) == want
+    for bad in ({"type": "quantile", "args_agg": ["0.3", "0.4"]}, {"type": "median", "k": 7}, {"type": "median", "exact": -1}, {"type": "avg", "k": 200},
+                {"type": "quantiles", "args_agg": ["0.5"], "k": "200"}, {"type": "median", "args_agg": ["0.5"]}):
+        with pytest.raises(SpecError):
+            load_spec({"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": {**day, "aggregations": [bad]}}]})
 
 
 def test_scan_reads_only_needed_columns(spark):

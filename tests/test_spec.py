@@ -97,9 +97,9 @@ def test_batch_only_table():
     "path, value, match",
     [
         (("analytical_tables", 1, "aggregator", "type"), "sliding", "unknown aggregator"),
-        (("analytical_tables", 1, "aggregator", "aggregations", 0, "type"), "median", "unknown aggregation"),
+        (("analytical_tables", 1, "aggregator", "aggregations", 0, "type"), "mode", "unknown aggregation"),
         (("analytical_tables", 1, "aggregator", "group_functions", 0), "toFortnight", "unknown bucket"),
-        (("tables", 0, "columns", 0, "type"), "Decimal(9,2)", "unknown column type"),
+        (("tables", 0, "columns", 0, "type"), "Tuple(9,2)", "unknown column type"),
         (("analytical_tables", 0, "table"), "nope", "unknown table"),
         (("analytical_tables", 1, "aggregator", "aggregations", 1, "args_agg"), ["1.5"], r"\[0, 1\]"),
         (("analytical_tables", 1, "aggregator", "aggregations", 1, "args_agg"), None, "needs quantile levels"),
