@@ -193,7 +193,7 @@ def filter_id(spark, sf_dir):
 
 def time_range_pruned(spark, sf_dir):
     """S5 + P4 + F4: write lineitem as a month-partitioned fact table, read a time range back."""
-    e = engine(spark, LINEITEM_SPEC, "time-range")
+    e = engine(spark, {"tables": [LINEITEM_TABLE]}, "time-range")
     t = e.spec.table("lineitem")
     e.ingest(read(spark, sf_dir, "lineitem"), "lineitem", "load", 0)
     facts = e.facts("lineitem")

@@ -25,7 +25,7 @@ answers with an observed value, with the sketch's rank error.  States may be mer
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -61,28 +61,34 @@ def _rank_hi(n: Column, p: float) -> Column:
     return F.ceil((n - 1).cast("double") * F.lit(p)).cast("long")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once per row."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def of_sorted(values: Column, probs: Sequence[float]) -> Column:
+    """Interpolated quantiles of a sorted array, which should be a column (sorted once, read often);
+    NULL when it is empty."""
+    n = F.size(values)
 
+    # One small function for all levels: the code that would be generated for each of them is more
+    # than the JVM compiles.
+    def at(p: Column) -> Column:
+        h = (n - 1) * p
+        low = F.floor(h)
+        v = F.get(values, low.cast("int"))
+        return v + (h - low) * (F.get(values, F.ceil(h).cast("int")) - v)
 
-def of_values(values: Column, probs: Sequence[float]) -> Column:
-    """Interpolated quantiles of an array; NULL when it is empty."""
-
-    def at(v: Column) -> Column:
-        n = F.size(v)
-        return F.array(*[_interpolate(F.get(v, _rank_lo(n, p).cast("int")), F.get(v, _rank_hi(n, p).cast("int")), n, p) for p in probs])
-
-    return F.when(F.size(values) > 0, _let(F.sort_array(values), at))
+    levels = F.array(*[F.lit(float(p)) for p in probs])
+    return F.when(n == 1, F.array_repeat(F.get(values, F.lit(0)), len(probs))).when(n > 1, F.transform(levels, at))
 
 
 def _by_lists(df: DataFrame, keys: Sequence[str], specs: Sequence[QSpec], others: Sequence[Named]) -> DataFrame:
-    """Small groups: one aggregation gathers the values of every measure beside the other aggregates."""
+    """Small groups: one aggregation gathers the values of every measure beside the other aggregates.
+
+    Lists do not shrink by partial aggregation, so rows are dealt by key first; no group is large."""
     inputs = list(dict.fromkeys(c for _, c, _ in specs))
     lists = [F.collect_list(F.col(f"`{c}`").cast("double")).alias(f"_v{i}") for i, c in enumerate(inputs)]
-    agg = df.groupBy(*keys).agg(*[c.alias(n) for n, c in others], *lists)
-    outs = [of_values(F.col(f"_v{inputs.index(c)}"), ps).alias(name) for name, c, ps in specs]
-    return agg.select(*keys, *[F.col(f"`{n}`") for n, _ in others], *outs)
+    agg = df.repartition(*keys).groupBy(*keys).agg(*[c.alias(n) for n, c in others], *lists)
+    kept = [F.col(f"`{n}`") for n, _ in others]
+    agg = agg.select(*keys, *kept, *[F.sort_array(f"_v{i}").alias(f"_v{i}") for i in range(len(inputs))])
+    outs = [of_sorted(F.col(f"_v{inputs.index(c)}"), ps).alias(name) for name, c, ps in specs]
+    return agg.select(*keys, *kept, *outs)
 
 
 def _by_window(df: DataFrame, keys: Sequence[str], specs: Sequence[QSpec], others: Sequence[Named]) -> DataFrame:
@@ -294,7 +300,7 @@ def states(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str, i
 
     def listed(rows: DataFrame) -> DataFrame:
         lists = [_state(F.collect_list(F.col(f"`{c}`").cast("double")), F.lit(None).cast("binary")).alias(name) for name, c, _ in specs]
-        return rows.groupBy(*keys).agg(*others, *lists)
+        return rows.repartition(*keys).groupBy(*keys).agg(*others, *lists)  # as in ``_by_lists``
 
     def sketched(rows: DataFrame) -> DataFrame:
         def one(c: str, k: int) -> Column:
@@ -323,7 +329,7 @@ def merged(rows: DataFrame, keys: Sequence[str], specs: Sequence[StateSpec], oth
         rest = F.slice(sketches, F.lit(2), F.greatest(F.size(sketches) - 1, F.lit(0)))
         both = F.when(F.size(sketches) > 0, F.aggregate(rest, first, lambda a, b: F.kll_sketch_merge_double(a, b)))
         together.append(_state(values, both).alias(name))
-    out = rows.groupBy(*keys).agg(*others, *together)
+    out = rows.repartition(*keys).groupBy(*keys).agg(*others, *together)  # one row per key and part
     kept = [c for c in out.columns if c not in keys and c not in {n for n, _ in specs}]
 
     def crowded(s: Column) -> Column:
@@ -351,7 +357,7 @@ def merged(rows: DataFrame, keys: Sequence[str], specs: Sequence[StateSpec], oth
     return out.where(~any_crowded).unionByName(folded)
 
 
-def finished(s: Column, probs: Sequence[float]) -> Column:
-    """Quantiles of a merged state; NULL when it holds no values."""
+def finished(s: Column, values: Column, probs: Sequence[float]) -> Column:
+    """Quantiles of a merged state whose sorted values are a column of their own; NULL when it holds none."""
     levels = F.array(*[F.lit(float(p)) for p in probs])
-    return F.when(s["sketch"].isNotNull(), F.kll_sketch_get_quantile_double(s["sketch"], levels)).otherwise(of_values(s["values"], probs))
+    return F.when(s["sketch"].isNotNull(), F.kll_sketch_get_quantile_double(s["sketch"], levels)).otherwise(of_sorted(values, probs))

@@ -170,13 +170,17 @@ def finish(states: DataFrame, at: AnalyticalTable) -> DataFrame:
     if isinstance(g, LastAggregator):
         return states.select(F.col(t.id), *_last_columns(t, F.col(LAST_STATE)))
 
+    specs = output_specs(t, g)
+    quantile = [name for name, _, a in specs if aggs.get(a.type).takes_probs]
+    states = states.select("*", *[F.sort_array(F.col(f"`{name}_state`.values")).alias(f"_v{quantile.index(name)}") for name in quantile])
+
     def done(name: str, a: aggs.Aggregation) -> Column:
         s = F.col(f"`{name}_state`")
-        if aggs.get(a.type).takes_probs:
-            return _one_level(quantiles.finished(s, aggs.probs_of(a)), a).alias(name)
+        if name in quantile:
+            return _one_level(quantiles.finished(s, F.col(f"_v{quantile.index(name)}"), aggs.probs_of(a)), a).alias(name)
         return aggs.finish(a, s).alias(name)
 
-    return states.select(*[F.col(k) for k in at.keys], *[done(name, a) for name, _, a in output_specs(t, g)])
+    return states.select(*[F.col(k) for k in at.keys], *[done(name, a) for name, _, a in specs])
 
 
 def view(states: DataFrame, at: AnalyticalTable) -> DataFrame:
