@@ -106,7 +106,7 @@ def _sets(df: DataFrame, key: str, text: str, words: int, trees: int, depth: int
 
         return run
 
-    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
+    rows = df.select(F.col(key).cast("long").alias("_id"), F.md5(text).alias("_row"), F.col(text).alias("_text"))
     return map_arrow(rows, [("_key", T.BinaryType()), ("_grams", T.LongType()), ("_sig", T.BinaryType())], make, drop=("_text",))
 
 
@@ -161,28 +161,34 @@ def _verify(clusters: DataFrame, texts: DataFrame, key: str, text: str, words: i
     sizes = clusters.groupBy("_cluster").agg(F.count(F.lit(1)).alias("_sets"), F.sum("_grams").alias("_total"))
     blocks = F.greatest(F.ceil(F.col("_sets") / BLOCK_SETS), F.ceil(F.col("_total") / BLOCK_GRAMS)).cast("int").alias("_blocks")
     placed = clusters.join(sizes.select("_cluster", blocks, "_total"), "_cluster")
-    wanted = placed.select(F.col("_node").alias("_wanted"), "_key", "_cluster", "_blocks", "_total")
-    rows = join_small(texts.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text")), wanted, F.col("_id") == F.col("_wanted"))
+    wanted = placed.select("_node", F.col("_first").alias("_wanted"), "_key", "_cluster", "_blocks", "_total")
+    one = F.struct(F.col(key).isNull(), F.col(key).cast("long"), F.md5(text))
+    rows = join_small(texts.select(F.xxhash64(one).alias("_row"), F.col(text).alias("_text")), wanted, F.col("_row") == F.col("_wanted"))
 
     def make():
-        grams = Grams(words)
+        grams, seen = Grams(words), set()
 
         def run(batch: pa.RecordBatch) -> list[pa.Array]:
             sets = [grams(t) for t in batch.column("_text").to_pylist()]
-            same = [hashlib.md5(s.tobytes()).digest() == k for s, k in zip(sets, batch.column("_key").to_pylist(), strict=True)]
+            same = []
+            for s, k, node in zip(sets, batch.column("_key").to_pylist(), batch.column("_node").to_pylist(), strict=True):
+                same.append(node not in seen and hashlib.md5(s.tobytes()).digest() == k)  # a repeated row once a task
+                if same[-1]:
+                    seen.add(node)
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             return [list_array(flat, [len(s) for s in sets], pa.int64()), pa.array(same, pa.bool_())]
 
         return run
 
-    read = map_arrow(rows.drop("_wanted"), [("_set", T.ArrayType(T.LongType())), ("_same", T.BooleanType())], make, drop=("_text", "_key"))
-    read = read.filter("_same").drop("_same").withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int"))
+    read = map_arrow(rows.drop("_wanted", "_row"), [("_set", T.ArrayType(T.LongType())), ("_same", T.BooleanType())], make, drop=("_text", "_key"))
+    # Another row may have the same hash; its set tells.  Rows of one id and text are the same set.
+    read = read.filter("_same").drop("_same").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
     # A block meets every block of its cluster; small clusters share a task.
     others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
     spread = read.select("*", others).withColumn("_lo", F.least("_block", "_other")).withColumn("_hi", F.greatest("_block", "_other"))
     few = F.col("_blocks") == 1
     spread = spread.withColumn("_task", F.when(few, F.pmod(F.xxhash64("_cluster"), F.lit(_bins(placed)))).otherwise(F.xxhash64("_cluster", "_lo", "_hi")))
-    spread = spread.select("_task", "_cluster", "_lo", "_hi", "_block", F.col("_id").alias("_node"), "_set")
+    spread = spread.select("_task", "_cluster", "_lo", "_hi", "_block", "_node", "_set")
     schema = "node long, n_links long, root long"
 
     def verify(table: pa.Table) -> pa.Table:
@@ -228,40 +234,56 @@ def _bins(placed: DataFrame) -> int:
 def similarity_classes(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``key``, ``class_id``, ``n_links`` and ``n_copies`` of every row whose key is not null.
+    """``key``, ``class_id``, ``n_links`` and ``n_copies`` of every row.
 
     Two rows are linked if the Jaccard likeness of their sets of ``words``-grams (lower-cased words
     between white space) is at least ``threshold``; a class is a set of rows tied by links, and its
-    id the least key in it.  ``n_links`` counts the different sets a row's set is linked to,
-    ``n_copies`` the rows with the very same set, itself included; copies are one node of the graph.
-    A null text counts as empty; texts without words are copies of each other.  A text of fewer
-    words has one n-gram of all.  A repeated row is a copy; an empty table gives an empty result.
+    id the least key in it (null if no row of it has a key).  ``n_links`` counts the different sets a
+    row's set is linked to, ``n_copies`` the rows with the very same set, itself included; copies are
+    one node of the graph.  A null text counts as empty; texts without words are copies of each other.
+    A text of fewer words has one n-gram of all.  A repeated row is a copy, rows of one key with
+    different texts are sets of their own, and so are rows without a key; an empty table gives an
+    empty result.
     """
+    return _classes(df, key, text, words, threshold).select(F.col("_id").alias(key), "class_id", "n_links", "n_copies")
+
+
+def later_members(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """``_id`` (key) and ``_row`` (MD5 of the text, null for a null text) of every row that is not the
+    first of its class.  The first has the least key (nulls last), and of those the least MD5."""
+    first = F.col("_id").eqNullSafe(F.col("_first_id")) & F.col("_row").eqNullSafe(F.col("_first_row"))
+    return _classes(df, key, text, words, threshold).filter(~first).select("_id", "_row").distinct()
+
+
+def _classes(df: DataFrame, key: str, text: str, words: int, threshold: float) -> DataFrame:
     spark = df.sparkSession
     base = scratch_dir(spark, "ngram")
     depth = prefix_depth(threshold)
     _sets(df, key, text, words, TREES, depth).write.parquet(f"{base}/sets")
     sets = spark.read.parquet(f"{base}/sets")
-    nodes = sets.groupBy("_key").agg(
-        F.min("_id").alias("_node"), F.count(F.lit(1)).alias("_copies"), F.first("_grams").alias("_grams"), F.first("_sig").alias("_sig")
-    )
-    nodes.write.parquet(f"{base}/nodes")
+    # A set is a node; it is numbered once, when it is written, whatever keys its rows have.
+    least = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))).alias("_least")
+    found = sets.groupBy("_key").agg(least, F.count(F.lit(1)).alias("_copies"), F.first("_grams").alias("_grams"), F.first("_sig").alias("_sig"))
+    found = found.withColumn("_first", F.xxhash64("_least")).withColumn("_node", F.monotonically_increasing_id())
+    found.write.parquet(f"{base}/nodes")
     nodes = spark.read.parquet(f"{base}/nodes")
     candidates = components(_meetings(nodes, TREES, depth), "ngram-candidates")
-    clusters = candidates.join(nodes.select("_node", "_key", "_grams"), F.col("node") == F.col("_node"))
-    clusters = clusters.select("_node", "_key", "_grams", F.col("component").alias("_cluster"))
+    clusters = candidates.join(nodes.select("_node", "_key", "_grams", "_first"), F.col("node") == F.col("_node"))
+    clusters = clusters.select("_node", "_key", "_grams", "_first", F.col("component").alias("_cluster"))
     clusters.write.parquet(f"{base}/clusters")
     _verify(spark.read.parquet(f"{base}/clusters"), df, key, text, words, threshold).write.parquet(f"{base}/links")
     links = spark.read.parquet(f"{base}/links")
     ties = components(links.select(F.col("root").alias("a"), F.col("node").alias("b")), "ngram-classes")
     counted = links.groupBy("node").agg(F.sum("n_links").alias("n_links")).join(ties, "node", "left")
-    classes = nodes.select("_key", "_node", "_copies").join(counted, F.col("_node") == F.col("node"), "left")
-    classes = classes.select(
+    tied = nodes.select("_key", "_node", "_copies", "_least").join(counted, F.col("_node") == F.col("node"), "left")
+    tied = tied.select(
         F.col("_key").alias("_of"),
-        F.coalesce("component", "_node").alias("class_id"),
+        F.coalesce("component", "_node").alias("_class"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.col("_copies").alias("n_copies"),
+        "_least",
     )
-    return sets.select("_id", "_key").join(classes, F.col("_key") == F.col("_of")).select(
-        F.col("_id").alias(key), "class_id", "n_links", "n_copies"
-    )
+    firsts = tied.groupBy("_class").agg(F.min("_least").alias("_f"))
+    firsts = firsts.select("_class", F.col("_f.id").alias("class_id"), F.col("_f.id").alias("_first_id"), F.col("_f.row").alias("_first_row"))
+    classes = tied.drop("_least").join(firsts, "_class")
+    return sets.select("_id", "_row", "_key").join(classes, F.col("_key") == F.col("_of"))

@@ -30,12 +30,11 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (that of the least id) of each class of near duplicates, and one of rows alike in id and text.
-
-    Documents without an id are compared by their text alone.
-    """
-    others = ngram_join.similarity_classes(docs).filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """One document (that of the least id, none last) of each class of near duplicates; rows alike in
+    id and text stay once.  Rows that share an id but not a text are documents of their own."""
+    later = ngram_join.later_members(docs)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.md5("text").eqNullSafe(F.col("_row"))
+    return docs.join(later, same, "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -70,13 +71,26 @@ def test_large_group_in_blocks(spark, monkeypatch, block):
 
 def test_edge_rows(edge_docs, no_docs):
     rows = ngram_join.similarity_classes(edge_docs).collect()
-    assert len(rows) == edge_docs.filter("doc_id IS NOT NULL").count()
+    assert len(rows) == edge_docs.count()
     empty = [r for r in rows if r.doc_id in (0, 1, 2)]
     assert {(r.class_id, r.n_links, r.n_copies) for r in empty} == {(0, 0, 3)}
-    assert [(r.class_id, r.n_copies) for r in rows if r.doc_id == 4] == [(4, 2)] * 2
+    assert [(r.class_id, r.n_copies) for r in rows if r.doc_id == 4 or r.doc_id is None] == [(4, 3)] * 3
     assert ngram_join.similarity_classes(no_docs).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(9)
+    a, b, u = (" ".join(f"w{rng.randint(0, 9999)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (None, u), (None, u + " z"), (None, a), (4, "alone here"), (1, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.class_id or 0, r.n_links, r.n_copies) for r in ngram_join.similarity_classes(df).collect()))
+    assert got == sorted([(1, 1, 1, 2), (1, 1, 1, 2), (1, 1, 1, 2), (2, 1, 1, 1), (3, 1, 1, 1), (0, 0, 1, 1), (0, 0, 1, 1), (0, 1, 1, 2), (4, 4, 0, 1)])
+    later = {(r._id, r._row) for r in ngram_join.later_members(df).collect()}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    last = max((u, u + " z"), key=md5)
+    assert later == {(2, md5(a + " x")), (3, md5(b + " y")), (None, md5(a)), (None, md5(last))}
+
+
 def test_prefix_is_shortened_to_the_target_recall():
     depth = ngram_join.prefix_depth(0.8)
     assert ngram_join.recall(depth, 0.8, ngram_join.TREES) >= ngram_join.TARGET_RECALL

@@ -41,7 +41,7 @@ def test_stages_on_edge_rows(spark, edge_docs):
             out = stage(spark, rows, SF)
             assert out.columns == docs.columns and out.count() <= rows.count()
     once = pipeline_stages.keep_one_of_each_group(spark, docs, SF).collect()
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in once) == [-1, 0, 4, 5, 6, 7, 8, 9]  # empty texts and "one" once each, the null id stays
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in once) == [0, 4, 5, 6, 7, 8, 9]  # empty texts and "one" once each
     assert packing.pack(docs, "doc_id", queries.word_count()).count() == docs.count()
 
 
@@ -54,4 +54,12 @@ def test_all_stages_on_edge_rows_without_usable_labels(spark, edge_docs, tmp_roo
             assert pipeline_stages.keep_quality(spark, rows, folder).count() == rows.count()
     docs.write.parquet(f"{folder}/documents.parquet")
     packed = corpus_pipeline.run(spark, folder).collect()
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in packed) == [-1, 0, 4, 5, 6, 7, 8, 9]
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in packed) == [0, 4, 5, 6, 7, 8, 9]
+
+
+def test_unique_text_under_a_repeated_id_stays(spark):
+    a, u = "a text that is here more than once under two ids", "another text that is here only once under a repeated id"
+    docs = spark.createDataFrame([(1, a), (5, a), (5, u), (None, u + " and none")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.char_length("text").cast("long").alias("n_chars"))
+    kept = {(r.doc_id, r.text) for r in pipeline_stages.keep_one_of_each_group(spark, docs, SF).collect()}
+    assert kept == {(1, a), (5, u), (None, u + " and none")}
