@@ -1,15 +1,11 @@
 """Language-model scores by a log-bilinear model trained with noise-contrastive estimation (operator 7).
 
 The model predicts a token's symbol from the two symbols before it: frequent words are symbols of
-their own, all other words share symbols by their ending.  Within a shared symbol a binary tree over
-the hashes of its words gives the word: every node of it has a vector, which meets the same
-prediction, and starts at the share of the counts on its sides.  As context, every word has a vector
-of its own beside its symbol's.  So the vocabulary grows with the corpus and probabilities stay
-normalised.  The vectors of words and nodes are rows of a keyed table; a group of texts gets those
-it needs by a join.
-
-Training goes over all training texts, in passes until the held-out likelihood settles: every task
-(then, for words and nodes, every group) trains a copy, and copies are averaged by the tokens they saw.
+their own, all other words share symbols by their ending, and the word within such a symbol follows
+its count.  Both kinds of symbols grow with the distinct words of the corpus (``symbol_numbers``), and
+every word has its count, so any word of any corpus gets a normalised probability.  Training goes
+over all training texts: every task trains a copy on its part, and the copies are averaged by the
+tokens they saw.
 """
 
 from __future__ import annotations
@@ -21,33 +17,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollstate.session import scratch_dir
 
 from .common import bound_batches
 
-#: Words that are symbols of their own, and symbols that the other words share.
-HEAD, CLASSES = 383, 128
+#: Words that are symbols of their own, and symbols that the other words share, at least; and the
+#: power of the distinct words at which both grow.
+HEAD, CLASSES, GROWTH = 383, 128, 0.4
 #: Most frequent words whose counts every task holds; other counts are joined.
 HELD_WORDS = 50_000
 SIZE = 24
-NOISE, STEP, RATE, CALM, SEED = 64, 512, 0.08, 1e-5, 5
-#: Passes over all texts at most, and the gain in held-out likelihood a token below which they end.
-ROUNDS, SETTLED = 4, 0.01
-#: Tokens of a step that trains words and nodes, and its rate and start of the squares.
-WIDE_STEP, WIDE_RATE, WIDE_CALM = 8192, 0.1, 1.0
-#: Tokens from which on a word or node has a vector; rarer ones follow the counts.
-OFTEN = 4
-#: Levels of a tree beyond those its words would fill; words that still meet follow their counts.
-SPARE_LEVELS = 3
+NOISE, STEP, RATE, CALM, ROUNDS, SEED = 48, 512, 0.08, 1e-5, 2, 5
 #: Contexts normalised in one matrix product.
 BATCH = 4096
 #: Bytes of text scored together, and words counted together.
-GROUP_BYTES, COUNTER_WORDS = 12 << 20, 400_000
+GROUP_BYTES, COUNTER_WORDS = 6 << 20, 300_000
 #: Tokens of a group whose arrays are in memory at a time (one text at least).
-GROUP_TOKENS = 1_000_000
+GROUP_TOKENS = 500_000
 END = b""  # the end of a text; words are never empty
 
 
@@ -56,8 +45,14 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def ending(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % CLASSES
+def symbol_numbers(distinct: int) -> tuple[int, int]:
+    """Words that are symbols of their own (beside the end), and shared symbols, of a vocabulary."""
+    grown = int(distinct**GROWTH)
+    return max(HEAD, grown), max(CLASSES, grown // 3)
+
+
+def ending(word: bytes, classes: int) -> int:
+    return zlib.crc32(word[-2:]) % classes
 
 
 @dataclass
@@ -70,11 +65,6 @@ class Counts:
     head: list[bytes]
     mass: np.ndarray  # of each shared symbol: sum of count + 0.5 over its words, and 0.5 for one unseen
 
-    @property
-    def depth(self) -> int:
-        """Levels of the trees: they grow with the words."""
-        return min(31, max(1, (self.distinct // CLASSES).bit_length() + SPARE_LEVELS))
-
     def symbols(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.head)}
 
@@ -130,18 +120,6 @@ class Model:
         return out
 
 
-    def log_shares(self, ahead: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Normalised log-probability of each symbol after its own prediction."""
-        out = np.empty(len(symbols), dtype=np.float64)
-        for at in range(0, len(symbols), BATCH):
-            z = ahead[at : at + BATCH] @ self.target.T
-            z += self.bias
-            z -= z.max(axis=1)[:, None]
-            own = z[np.arange(len(z)), symbols[at : at + BATCH]]
-            out[at : at + BATCH] = own - np.log(np.exp(z, out=z).sum(axis=1))
-        return out
-
-
 class Trainer:
     """Noise-contrastive training of a copy of the model by AdaGrad."""
 
@@ -216,202 +194,62 @@ def count(texts: DataFrame, folder: str) -> tuple[DataFrame, Counts]:
     counted.write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
     total, distinct = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("_n"), "_word").limit(HELD_WORDS).collect()
+    top = counts.orderBy(F.desc("_n"), "_word").limit(max(HELD_WORDS, symbol_numbers(distinct)[0])).collect()
     held = {bytes(r._word): r._n for r in top}
-    head = [END, *[w for w in held if w != END]][: HEAD + 1]
+    # The end is a symbol however many words are more frequent.
+    ends = counts.filter(F.octet_length("_word") == 0).first()
+    held[END] = ends._n if ends else 0
+    own, classes = symbol_numbers(distinct)
+    head = [END, *[w for w in held if w != END]][: own + 1]
     shared = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in head], "_word binary")), "_word", "left_anti")
-    by_ending = shared.groupBy((F.crc32(F.substring("_word", -2, 2)) % CLASSES).cast("int").alias("c")).agg(F.sum(F.col("_n") + 0.5).alias("m"))
-    mass = np.full(CLASSES, 0.5)
+    by_ending = shared.groupBy((F.crc32(F.substring("_word", -2, 2)) % classes).cast("int").alias("c")).agg(F.sum(F.col("_n") + 0.5).alias("m"))
+    mass = np.full(classes, 0.5)
     for r in by_ending.collect():
         mass[r.c] += r.m
     return counts, Counts(total, distinct, held, head, mass)
 
 
 def train(texts: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
-    """Trains the symbols' part on all ``_text`` rows that are not ``_held_out``, up to ``rounds`` times.
+    """Trains on all ``_text`` rows, a share of them (by ``_part``) in each round.
 
     A task's copy goes out as one row per parameter, weighted by its tokens; the sums are
-    pre-aggregated, so the driver gets one row per parameter however many tasks there are.  Every
-    round also measures its start on the held-out rows.
+    pre-aggregated, so the driver gets one row per parameter however many tasks there are.
     """
     spark = texts.sparkSession
     noise = counts.noise()
-    model, before_gain = Model.start(noise), -np.inf
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((model, noise, counts.head))
+    model = Model.start(noise)
+    for r in range(rounds):
+        shared = spark.sparkContext.broadcast((model, noise, counts.head, len(counts.mass)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            start, share, head = shared.value
+            start, share, head, classes = shared.value
             known: dict[bytes, int] = {w: i for i, w in enumerate(head)}
-            first, trainer, weight, measured = len(head), None, 0, np.zeros(2)
+            first, trainer, weight = len(head), None, 0
             for b in batches:
-                lists: tuple[list, list] = ([], [])
-                for text, out in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    lists[out].append([known[w] if w in known else first + ending(w) for w in tokens(text)])
-                if lists[True]:
-                    triple = sequences(lists[True], 0)
-                    measured += start.log_probabilities(*triple).sum(), len(triple[0])
-                symbols, before, earlier = sequences(lists[False], 0) if lists[False] else (np.zeros(0, np.int64),) * 3
+                lists = []
+                for text in b.column(0).to_pylist():
+                    words = tokens(text)
+                    lists.append([known[w] if w in known else first + ending(w, classes) for w in words])
+                symbols, before, earlier = sequences(lists, 0)
                 trainer = trainer or Trainer(start, share, SEED + len(symbols))
                 order = trainer.rng.permutation(len(symbols))
                 for at in range(0, len(order), STEP):
                     pick = order[at : at + STEP]
                     trainer.step(symbols[pick], before[pick], earlier[pick])
                 weight += len(symbols)
-            if trainer:
-                values = np.concatenate([measured, np.concatenate([[1.0], trainer.m.flat()]) * weight])
+            if weight:
+                values = np.concatenate([[1.0], trainer.m.flat()]) * weight
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values, pa.float64())], names=["i", "v"])
 
-        rows = texts.select("_text", "_held_out").mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+        part = texts.filter(F.col("_part") % rounds == r).select("_text")
+        rows = part.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+        if rows:
+            sums = np.array([v for _, v in sorted((x.i, x.v) for x in rows)])
+            model = model.from_flat(sums[1:] / sums[0])
         shared.unpersist()
-        sums = np.array([v for _, v in sorted((x.i, x.v) for x in rows)])
-        if not rows or not sums[2]:
-            break
-        model = model.from_flat(sums[3:] / sums[2])
-        gain = sums[0] / sums[1] if sums[1] else 0.0
-        if gain - before_gain < SETTLED:
-            break
-        before_gain = gain
     return model
 
 
-def tree(codes: np.ndarray, classes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the nodes on the way to each word (crc32 ``codes``) in the tree of its class, and the side taken."""
-    d = np.arange(depth, dtype=np.int64)
-    nodes = (classes[:, None] << 40) | (d << 32) | (codes[:, None] >> (32 - d))
-    return nodes, (codes[:, None] >> (31 - d)) & 1
-
-
-def entries(counts: DataFrame, stats: Counts, folder: str) -> DataFrame:
-    """The keyed table before training: words ('w' and the word) with their count and share of their
-    leaf, nodes ('n' and the number) with the log-odds of side 1.  Nodes with one side are left out."""
-    spark, depth = counts.sparkSession, stats.depth
-    heads = F.broadcast(spark.createDataFrame([(w,) for w in stats.head], "_word binary"))
-    words = counts.join(heads, "_word", "left_anti").select(
-        "_word", "_n", F.crc32("_word").alias("_code"), (F.crc32(F.substring("_word", -2, 2)) % CLASSES).alias("_class"), (F.col("_n") + 0.5).alias("_mass"),
-    )
-    leaf = Window.partitionBy("_class", F.shiftright("_code", 32 - depth))
-    of_words = words.select(
-        F.concat(F.lit("w").cast("binary"), "_word").alias("_key"), "_n", (F.col("_mass") / F.sum("_mass").over(leaf)).alias("_x"),
-    )
-    level = words.withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))))
-    node = F.expr("shiftleft(_class, 40) + shiftleft(cast(_d AS bigint), 32) + shiftright(_code, 32 - _d)")
-    side = F.expr("shiftright(_code, 31 - _d) & 1")
-    sides = level.groupBy(node.alias("_node")).agg(F.sum(F.col("_mass") * side).alias("_one"), F.sum("_mass").alias("_all"))
-    of_nodes = sides.filter("_one > 0 AND _one < _all").select(
-        F.concat(F.lit("n"), F.col("_node").cast("string")).cast("binary").alias("_key"),
-        F.col("_all").cast("long").alias("_n"), F.log(F.col("_one") / (F.col("_all") - F.col("_one"))).alias("_x"),
-    )
-    of_words.union(of_nodes).withColumn("_vec", F.lit(None).cast("array<float>")).write.parquet(f"{folder}/entries")
-    return spark.read.parquet(f"{folder}/entries")
-
-
-class Group:
-    """Words and nodes of a group of texts, with what the keyed table says of them; place 0 is a word or node without a vector."""
-
-    def __init__(self, table: pa.Table, stats: Counts):
-        keys, n, x = table["_key"].to_pylist(), table["_n"].to_numpy(), table["_x"].to_numpy()
-        vec = table["_vec"].combine_chunks()
-        rows = np.zeros((len(keys), SIZE), np.float32)
-        rows[np.asarray(vec.is_valid())] = np.asarray(vec.flatten(), dtype=np.float32).reshape(-1, SIZE)
-        is_word = np.array([k[:1] == b"w" for k in keys], dtype=bool)
-        self.words = [k[1:] for k in keys if k[:1] == b"w"]
-        self.nodes = np.array([int(k[1:]) for k in keys if k[:1] == b"n"], dtype=np.int64)
-        order = np.argsort(self.nodes)
-        self.nodes = self.nodes[order]
-        none = np.zeros((1, SIZE), np.float32)
-        self.context = np.concatenate([none, rows[is_word]])
-        self.node = np.concatenate([none, rows[~is_word][order]])
-        self.odds = np.concatenate([[0], x[~is_word][order]]).astype(np.float32)
-        self.often_word = np.concatenate([[False], n[is_word] >= OFTEN])
-        self.often_node = np.concatenate([[False], n[~is_word][order] >= OFTEN])
-        self.met_word, self.met_node = np.zeros(len(self.context), np.int64), np.zeros(len(self.node), np.int64)
-        self.number = dict(zip(self.words, n[is_word].tolist(), strict=True))
-        self.at = {w: i + 1 for i, w in enumerate(self.words)}
-        self.classes = np.array([ending(w) for w in self.words], dtype=np.int64)
-        mass = stats.mass[self.classes]
-        #: log of what the tree leaves to counts: seen at all in the class, and the share of the leaf
-        self.rest = np.concatenate([[0], np.log((mass - 0.5) / mass) + np.log(x[is_word])])
-        codes = np.array([zlib.crc32(w) for w in self.words], dtype=np.int64)
-        nodes, self.side = tree(codes, self.classes, stats.depth)
-        place = np.searchsorted(self.nodes, nodes)
-        hit = place < len(self.nodes)
-        hit[hit] = self.nodes[place[hit]] == nodes[hit]
-        way = np.where(hit, place + 1, 0)
-        # steps at nodes without a vector follow the counts, whatever the context
-        plain = np.where(self.often_node[way], 0, way)
-        self.rest[1:] -= np.where(plain > 0, np.logaddexp(0, np.where(self.side > 0, -1, 1) * self.odds[plain]), 0).sum(axis=1)
-        self.way = np.concatenate([np.zeros((1, stats.depth), np.int64), np.where(self.often_node[way], way, 0)])
-        self.side = np.concatenate([np.zeros((1, stats.depth), np.int64), self.side]).astype(np.float32)
-
-    def predicted(self, model: Model, ids: tuple[np.ndarray, np.ndarray], symbols: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        return model.predicted(*symbols) + self.context[ids[0]] * model.near + self.context[ids[1]] * model.far
-
-    def ways(self, ids: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Token, node, side and log-odds of every step through the trees."""
-        way = self.way[ids]
-        token, level = np.nonzero(way)
-        node = way[token, level]
-        return token, node, self.side[ids[token], level], np.einsum("ij,ij->i", ahead[token], self.node[node]) + self.odds[node]
-
-    def log_within(self, ids: np.ndarray, ahead: np.ndarray) -> np.ndarray:
-        """Log-probability of each word in its symbol (0 at place 0)."""
-        out = self.rest[ids].copy()
-        for at in range(0, len(ids), 1 << 15):
-            token, _, side, z = self.ways(ids[at : at + (1 << 15)], ahead[at : at + (1 << 15)])
-            taken = -np.logaddexp(0, np.where(side > 0, -z, z))
-            out[at : at + (1 << 15)] += np.bincount(token, taken, len(ids[at : at + (1 << 15)]))
-        return out
-
-    def learn(self, model: Model, noise: np.ndarray, ids: np.ndarray, symbols: np.ndarray, previous: tuple) -> None:
-        """One pass over tokens: contexts by noise-contrastive estimation and by the trees, nodes by the sides taken."""
-        rng, cumulative, offset = np.random.default_rng(SEED + len(ids)), np.cumsum(noise), np.log(NOISE * noise).astype(np.float32)
-        seen_context, seen_node = np.full_like(self.context, WIDE_CALM), np.full_like(self.node, WIDE_CALM)
-        order = rng.permutation(len(ids))
-        for at in range(0, len(order), WIDE_STEP):
-            pick = order[at : at + WIDE_STEP]
-            word, symbol, (i, j, a, b) = ids[pick], symbols[pick], (v[pick] for v in previous)
-            drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(noise) - 1)
-            ahead = self.predicted(model, (i, j), (a, b))
-            true = np.einsum("ij,ij->i", ahead, model.target[symbol]) + model.bias[symbol] - offset[symbol]
-            false = ahead @ model.target[drawn].T + model.bias[drawn] - offset[drawn]
-            push = 1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1
-            pull = 1 / (1 + np.exp(-np.clip(false, -30, 30)))
-            to_ahead = push[:, None] * model.target[symbol] + pull @ model.target[drawn]
-            token, node, side, z = self.ways(word, ahead)
-            miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - side).astype(np.float32)
-            for at_token, part in _sums(token, miss[:, None] * self.node[node]):
-                to_ahead[at_token] += part
-            order_node = np.argsort(node)
-            _descend(self.node, seen_node, node[order_node], miss[order_node, None] * ahead[token[order_node]])
-            self.met_node += np.bincount(node, minlength=len(self.node))
-            around, push_around = np.concatenate([i, j]), np.concatenate([to_ahead * model.near, to_ahead * model.far])
-            by_word = np.argsort(around)
-            by_word = by_word[self.often_word[around[by_word]]]
-            _descend(self.context, seen_context, around[by_word], push_around[by_word])
-            self.met_word += np.bincount(around[by_word], minlength=len(self.context))
-
-    def learned(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Key, tokens and vector of every row that was trained."""
-        words, nodes = np.flatnonzero(self.met_word), np.flatnonzero(self.met_node)
-        keys = [b"w" + self.words[i - 1] for i in words] + [b"n%d" % self.nodes[i - 1] for i in nodes]
-        return keys, np.concatenate([self.met_word[words], self.met_node[nodes]]), np.concatenate([self.context[words], self.node[nodes]])
-
-
-def _sums(rows: np.ndarray, values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The distinct numbers of sorted ``rows`` and the sum of the values of each; nothing if there are none."""
-    if len(rows):
-        starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        yield rows[starts], np.add.reduceat(values, starts, axis=0)
-
-
-def _descend(part: np.ndarray, seen: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """AdaGrad step of the rows named, which are sorted."""
-    for used, grad in _sums(rows, values):
-        seen[used] += grad * grad
-        part[used] -= WIDE_RATE * grad / np.sqrt(seen[used])
-
-
 def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
@@ -424,127 +262,82 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
     folder = scratch_dir(spark, "lm")
     rows = df.select(
         F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"), held_out.alias("_held_out"),
-        F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("_part"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    counts, stats = count(rows.filter(~F.col("_held_out")), folder)
-    model = train(rows, stats)
-    shared = spark.sparkContext.broadcast((stats, model))
+    # Rows are numbered and dealt once, when they are written: no key sets the size of a group.
     size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     groups = 1 + int(size // GROUP_BYTES)
-    dealt = rows.select("_key", "_text", "_held_out", (F.col("_part") % groups).cast("int").alias("_group")).repartition("_group")
+    part = F.xxhash64("_row")
+    rows = rows.select("_key", "_text", "_held_out", F.pmod(part, F.lit(groups)).cast("int").alias("_group"), F.pmod(F.shiftright(part, 32), F.lit(1 << 30)).alias("_part"))
+    rows.repartition("_group").write.parquet(f"{folder}/texts")
+    rows = spark.read.schema(rows.schema).parquet(f"{folder}/texts")
+    learned = rows.filter(~F.col("_held_out"))
+    counts, stats = count(learned, folder)
+    model = train(learned, stats)
+    shared = spark.sparkContext.broadcast((stats, model))
+    dealt = rows.select("_key", "_text", "_held_out", "_group")
 
-    def keys_needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Keys of the words of each group, and of the nodes on the way to them."""
-        stats = shared.value[0]
-        head, depth = stats.symbols(), stats.depth
+    def words_needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words of each group whose counts are not held everywhere."""
+        held = shared.value[0].held
         seen: dict[int, set[bytes]] = {}
 
         def rows_of() -> Iterator[pa.RecordBatch]:
             for g, words in seen.items():
-                codes = np.array([zlib.crc32(w) for w in words], dtype=np.int64)
-                nodes = np.unique(tree(codes, np.array([ending(w) for w in words], dtype=np.int64), depth)[0])
-                keys = [b"w" + w for w in words] + [b"n%d" % n for n in nodes]
-                for at in range(0, len(keys), 100_000):
-                    part = keys[at : at + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([g] * len(part), pa.int32()), pa.array(part, pa.binary())], names=["_group", "_key"])
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(words), pa.int32()), pa.array(list(words), pa.binary())], names=["_group", "_word"])
             seen.clear()
 
         for b in batches:
             for g, value in zip(b.column("_group").to_pylist(), b.column("_text").to_pylist(), strict=True):
-                seen.setdefault(g, set()).update(w for w in tokens(value) if w not in head)
+                seen.setdefault(g, set()).update(w for w in tokens(value) if w not in held)
             if sum(map(len, seen.values())) > COUNTER_WORDS:
                 yield from rows_of()
         yield from rows_of()
 
-    table = entries(counts, stats, folder)
-    asked = dealt.mapInArrow(keys_needed, "_group int, _key binary").distinct()
-    asked.join(table.select("_key"), "_key").write.parquet(f"{folder}/needed")
-    needed = spark.read.parquet(f"{folder}/needed")
+    needed = dealt.mapInArrow(words_needed, "_group int, _word binary").distinct().join(counts, "_word")
 
-    class Texts:
-        """Symbols and places of the words of texts, in slices of bounded tokens."""
-
-        def __init__(self, group: Group, stats: Counts):
-            self.group, self.stats, self.head, self.first = group, stats, stats.symbols(), len(stats.head)
-            self.seen: dict[bytes, int] = {}
-            self.symbol, self.id, self.count, self.alone = [], [], [], []
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        stats, model = shared.value
+        number = dict(stats.held)
+        number.update(zip(right["_word"].to_pylist(), right["_n"].to_pylist(), strict=True))
+        head, first = stats.symbols(), len(stats.head)
+        every = stats.total + 0.5 * (stats.distinct + 1)
+        place: dict[bytes, int] = {}
+        symbol, count, within = [], [], []
 
-        def look(self, word: bytes) -> int:
-            at = self.seen.get(word)
+        def look(word: bytes) -> int:
+            at = place.get(word)
             if at is None:
-                at = self.seen[word] = len(self.symbol)
-                s = self.head.get(word, -1)
-                n = self.stats.held.get(word, 0) if s >= 0 else self.group.number.get(word, 0)
-                self.symbol.append(s if s >= 0 else self.first + ending(word))
-                self.id.append(self.group.at.get(word, 0))
-                self.count.append(n)
-                self.alone.append(0.0 if s >= 0 or n else np.log(0.5 / self.stats.mass[ending(word)]))
+                at = place[word] = len(symbol)
+                c, s = number.get(word, 0), head.get(word, -1)
+                count.append(c)
+                within.append(1.0 if s >= 0 else (c + 0.5) / stats.mass[ending(word, len(stats.mass))])
+                symbol.append(s if s >= 0 else first + ending(word, len(stats.mass)))
             return at
 
-        def slices(self, texts: list[str]):
-            """Per slice: tokens of each text, places of the tokens, and of the two before each."""
-            at, end = 0, self.look(END)
-            while at < len(texts):
-                lists, held = [], 0
-                while at < len(texts) and (not lists or held < GROUP_TOKENS):
-                    lists.append([self.look(w) for w in tokens(texts[at])])
-                    held += len(lists[-1]) + 1
-                    at += 1
-                yield np.array([len(t) + 1 for t in lists]), *sequences(lists, end)
-
-        def logs(self, model: Model, places: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-            symbol, ids, alone = np.array(self.symbol), np.array(self.id), np.array(self.alone)
-            out = np.empty(len(places))
-            for at in range(0, len(places), 1 << 16):
-                p, b, e = (v[at : at + (1 << 16)] for v in (places, before, earlier))
-                ahead = self.group.predicted(model, (ids[b], ids[e]), (symbol[b], symbol[e]))
-                out[at : at + (1 << 16)] = model.log_shares(ahead, symbol[p]) + self.group.log_within(ids[p], ahead) + alone[p]
-            return out
-
-    def learn(left: pa.Table, right: pa.Table) -> pa.Table:
-        stats, model = shared.value
-        texts = Texts(Group(right, stats), stats)
-        out = np.array(left["_held_out"].to_pylist(), dtype=bool)
-        every, measured = left["_text"].to_pylist(), np.zeros(2)
-        for _, *triple in texts.slices([t for t, o in zip(every, out, strict=True) if o]):
-            measured += texts.logs(model, *triple).sum(), len(triple[0])
-        for _, places, before, earlier in texts.slices([t for t, o in zip(every, out, strict=True) if not o]):
-            symbol, ids = np.array(texts.symbol), np.array(texts.id)
-            texts.group.learn(model, stats.noise(), ids[places], symbol[places], (ids[before], ids[earlier], symbol[before], symbol[earlier]))
-        keys, weights, vectors = texts.group.learned()
-        first = np.zeros((1, SIZE))
-        first[0, 0] = measured[0]
-        values = np.concatenate([first, vectors * weights[:, None]])
-        columns = {"_key": pa.array([b"", *keys], pa.binary()), "_w": pa.array(np.concatenate([measured[1:], weights]), pa.float64())}
-        return pa.table(columns | {f"v{i}": pa.array(values[:, i], pa.float32()) for i in range(SIZE)})
-
-    trained = "_key binary, _w double, " + ", ".join(f"v{i} float" for i in range(SIZE))
-    before_gain = -np.inf
-    for r in range(ROUNDS):
-        copies = dealt.groupBy("_group").cogroup(needed.join(table, "_key").groupBy("_group")).applyInArrow(learn, trained)
-        sums = copies.groupBy("_key").agg(F.sum("_w").alias("_w"), *[F.sum(f"v{i}").alias(f"v{i}") for i in range(SIZE)])
-        sums.write.parquet(f"{folder}/sums{r}")
-        sums = spark.read.parquet(f"{folder}/sums{r}")
-        measured = sums.filter(F.octet_length("_key") == 0).first()
-        mean = F.array(*[(F.col(f"v{i}") / F.col("_w")).cast("float") for i in range(SIZE)])
-        means = sums.filter(F.octet_length("_key") > 0).select("_key", mean.alias("_mean"))
-        table.join(means, "_key", "left").select("_key", "_n", "_x", F.coalesce("_mean", "_vec").alias("_vec")).write.parquet(f"{folder}/entries{r}")
-        table = spark.read.parquet(f"{folder}/entries{r}")
-        gain = measured.v0 / measured._w if measured and measured._w else 0.0
-        if gain - before_gain < SETTLED:
-            break
-        before_gain = gain
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        stats, model = shared.value
-        texts = Texts(Group(right, stats), stats)
-        every = stats.total + 0.5 * (stats.distinct + 1)
+        every_text = left["_text"].to_pylist()
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        for lengths, *triple in texts.slices(left["_text"].to_pylist()):
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            known = np.array(texts.count)[triple[0]]
-            values = (known > 0, np.log10((known + 0.5) / every), texts.logs(model, *triple) / np.log(10))
-            out.append((lengths, *[np.bincount(owner, v, len(lengths)) for v in values]))
+        at = 0
+        while at < len(every_text):
+            lists, held = [], 0  # texts scored together
+            while at < len(every_text) and (not lists or held < GROUP_TOKENS):
+                lists.append([look(w) for w in tokens(every_text[at])])
+                held += len(lists[-1]) + 1
+                at += 1
+            places, _, _ = sequences(lists, look(END))
+            symbols = np.array(symbol)[places]
+            ends = np.cumsum([len(t) + 1 for t in lists])
+            before = np.concatenate([[0], symbols[:-1]])
+            before[ends[:-1]] = 0
+            earlier = np.concatenate([[0], before[:-1]])
+            earlier[ends[:-1]] = 0
+            n = len(lists)
+            owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+            known = np.array(count)
+            base = np.log10((known + 0.5) / every)
+            logs = model.log_probabilities(symbols, before, earlier) / np.log(10) + np.log10(np.array(within))[places]
+            sums = [np.bincount(owner, v, n) for v in ((known > 0)[places], base[places], logs)]
+            out.append((np.diff(ends, prepend=0), *sums))
         n_tokens, n_known, base_score, score_ = (np.concatenate([o[i] for o in out] or [np.zeros(0)]) for i in range(4))
         return pa.table(
             {
@@ -560,4 +353,4 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
 
     kind = df.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("_group").cogroup(needed.join(table, "_key").groupBy("_group")).applyInArrow(score, schema)
+    return dealt.groupBy("_group").cogroup(needed.groupBy("_group")).applyInArrow(score, schema)

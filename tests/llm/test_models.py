@@ -5,7 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from rollstate.llm import lm, quality, queries
@@ -74,42 +74,33 @@ def test_lm_probabilities_are_normalised():
     assert abs(np.exp(logs).sum() - 1) < 1e-4
 
 
-def test_lm_knows_words_beyond_its_symbols(spark):
-    fill = [f"f{i:03d}" for i in range(lm.HEAD + 1)]
-    pairs = [f"k{i % 20}zz v{i % 20}zz" for i in range(600)]  # all of one ending, rarer than the fill
-    rows = [(i, " ".join([p, *fill, p, p])) for i, p in enumerate(pairs)] + [(1_000 + i, f"k{i}zz v{i}zz") for i in range(20)]
-    rows += [(2_000 + i, f"k{i}zz v{(i + 7) % 20}zz") for i in range(20)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") >= 1_000).collect()}
-    assert sum(got[1_000 + i] > got[2_000 + i] + 0.1 for i in range(20)) >= 18
-
-
-def test_lm_trees_are_normalised():
-    rng, classes = np.random.default_rng(2), {}
-    words = [b"w%dzz" % i for i in range(50)]
-    n = rng.integers(1, 90, 50)
-    mass = np.full(lm.CLASSES, 0.5)
-    mass[lm.ending(words[0])] += (n + 0.5).sum()
-    stats = lm.Counts(int(n.sum()), 50, {}, [lm.END], mass)
-    nodes, sides = lm.tree(np.array([zlib.crc32(w) for w in words]), np.array([lm.ending(w) for w in words]), stats.depth)
-    for row, side, k in zip(nodes.tolist(), sides.tolist(), n.tolist(), strict=True):
-        for node, taken in zip(row, side, strict=True):
-            classes.setdefault(node, [0.0, 0.0])[taken] += k + 0.5
-    both = {k: v for k, v in classes.items() if min(v) > 0}
-    leaf = Counter()
-    for row, side, k in zip(nodes.tolist(), sides.tolist(), n.tolist(), strict=True):
-        leaf[row[-1], side[-1]] += k + 0.5
-    share = [(k + 0.5) / leaf[row[-1], side[-1]] for row, side, k in zip(nodes.tolist(), sides.tolist(), n.tolist(), strict=True)]
-    table = pa.table({
-        "_key": pa.array([b"w" + w for w in words] + [b"n%d" % k for k in both], pa.binary()),
-        "_n": pa.array([*n.tolist(), *[int(sum(v)) for v in both.values()]], pa.int64()),
-        "_x": pa.array([*share, *[math.log(v[1] / v[0]) for v in both.values()]], pa.float64()),
-        "_vec": pa.array([rng.normal(size=lm.SIZE).tolist() for _ in range(50 + len(both))], pa.list_(pa.float32())),
-    })
-    group = lm.Group(table, stats)
-    ahead = np.tile(rng.normal(size=lm.SIZE), (50, 1)).astype(np.float32)
-    unseen = 0.5 / mass[lm.ending(words[0])]
-    assert abs(np.exp(group.log_within(np.arange(1, 51), ahead)).sum() + unseen - 1) < 1e-4
+def test_lm_vocabulary_grows_and_counts_the_end(spark, monkeypatch):
+    assert lm.symbol_numbers(1000) == (lm.HEAD, lm.CLASSES)
+    assert [lm.symbol_numbers(n)[0] for n in (10**7, 10**8, 10**9)] == sorted({lm.symbol_numbers(n)[0] for n in (10**7, 10**8, 10**9)})
+    monkeypatch.setattr(lm, "HELD_WORDS", 500)
+    monkeypatch.setattr(lm, "HEAD", 300)
+    often = " ".join(f"w{i}" for i in range(2000))  # more words above the number of texts than are held
+    rows = lm.score_texts(spark.createDataFrame([(1, f"{often} {often}"), (None, f"{often} {often}")], "doc_id long, text string"), F.lit(False)).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in rows] == [(4001, 4001, 8002)] * 2
+    base = 4000 * math.log10(4.5 / (8002 + 0.5 * 2002)) + math.log10(2.5 / (8002 + 0.5 * 2002))
+    assert all(abs(r.base_score - base) < 1e-6 for r in rows)
+
+
+def test_lm_held_out_texts_teach_nothing(spark):
+    """The same training rows give the same scores whatever the held-out rows are."""
+    train = [(i, f"a b c a b {i % 3} c d", False) for i in range(40)]
+    for extra in ([], [(100, "z z z z a a a", True)] * 20):
+        df = spark.createDataFrame(train + extra + [(200, "a b c", True)], "doc_id long, text string, out boolean").coalesce(1)
+        got = {r.doc_id: r.score for r in lm.score_texts(df, F.col("out")).collect()}
+        first = got[200] if not extra else first
+        assert got[200] == pytest.approx(first, abs=0.2)
+
+
+def test_lm_rows_of_one_id_are_dealt_apart(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP_BYTES", 2000)
+    df = spark.createDataFrame([(None, f"word{i % 7} again and again") for i in range(600)], "doc_id long, text string")
+    rows = lm.score_texts(df, F.lit(False)).collect()
+    assert len(rows) == 600 and len({round(r.base_score, 9) for r in rows}) <= 7 and all(math.isfinite(r.score) for r in rows)
 
 
 def test_lm_edge_rows(spark, edge_docs, no_docs):
