@@ -20,6 +20,8 @@ BLOCKS = frozenset(
     "table caption tbody td tfoot th thead tr ul".split()
 )
 SILENT = frozenset("script style noscript template head svg iframe math object canvas audio video textarea title".split())
+#: Of these, the ones whose text has no markup in it.
+RAW = frozenset(("script", "style", "textarea", "title"))
 SPACING = frozenset(("br", "wbr", "img", "input"))
 ENDED_BY = {
     "p": BLOCKS - {"button", "label", "option", "select"},
@@ -95,7 +97,8 @@ def parse(source: str) -> Page:
                     found = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(source, at)
                 else:
                     found = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-                at = found.end() if found else (at if name == "head" else end)
+                # Without its end, raw text goes on to the end of the page; any other element hides nothing.
+                at = found.end() if found else (end if name in RAW else at)
         elif name in BLOCKS:
             if closing:
                 wall = WALLS.get(name, ())

@@ -141,14 +141,20 @@ def main_texts(sources: list[str | None], trees: Trees) -> list[str]:
     for p in pages:
         labels = decode(p.parents, scores[at : at + len(p.tags)])
         at += len(p.tags)
-        out.append("\n".join(shown for node, shown in p.runs if labels[node] == KEEP))
+        kept = {p.parents[i] for i, y in enumerate(labels) if y == KEEP}
+        # Text directly in a wrapper belongs to the article whose blocks stand beside it; where a page
+        # has no such block at all (plain text, spans, lines between breaks) it is the article.
+        beside = {i for i, y in enumerate(labels) if y == PASS and (i in kept or not kept)}
+        out.append("\n".join(shown for node, shown in p.runs if labels[node] == KEEP or node in beside))
     return out
 
 
 def extract(df: DataFrame, source: str = "html", text: str = "text") -> DataFrame:
     """Replaces the html by ``text``, the page's main text, and ``n_chars``, its code points.
 
-    A null or empty page, and one without an article, gives an empty text and 0.  Repeated rows
+    Text outside all blocks, or directly in a wrapper, counts as article where article blocks stand
+    beside it or the page has none.  A null or empty page, and one with furniture alone, gives an
+    empty text and 0.  Repeated rows
     give repeated results, an empty table an empty one; columns named like an output are replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(train())

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from rollstate.llm import dom, html_text, page_templates, queries
 
@@ -96,3 +97,32 @@ def test_query_keeps_articles_and_drops_the_rest(spark):
             return False
 
         assert r.text == "\n".join(t for node, t in page.runs if inside(node))
+
+
+PARAGRAPHS = [
+    "The river had been rising since Tuesday, and by the weekend the lower fields were under water again.",
+    "Nobody in the village could remember a spring like it; the old mill stood in a lake of its own.",
+    "When the water went down at last, the farmers found that the banks had moved by several metres.",
+]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (" ".join(PARAGRAPHS), " ".join(PARAGRAPHS)),
+        ("<html><body>" + "".join(f"<span>{p}</span> " for p in PARAGRAPHS) + "</body></html>", " ".join(PARAGRAPHS)),
+        ("<body>" + "<br>".join(PARAGRAPHS) + "</body>", " ".join(PARAGRAPHS)),
+        ("plain &amp; short", "plain & short"),
+        ("<body><article><h1>High water</h1>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS) + "</article></body>", "\n".join(["High water", *PARAGRAPHS])),
+        ("<body><article>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS) + "<noscript><img src=x></article></body>", "\n".join(PARAGRAPHS)),
+        ("<body><article><p>" + PARAGRAPHS[0] + "</p><iframe src=x><p>" + PARAGRAPHS[1] + "</p><svg><p>" + PARAGRAPHS[2] + "</p></article></body>", "\n".join(PARAGRAPHS)),
+        ("<body><article><p>" + PARAGRAPHS[0] + "</p></article><script>var a = '<p>" + PARAGRAPHS[1] + "</p>'", PARAGRAPHS[0]),
+    ],
+)
+def test_pages_of_every_shape_keep_their_text(page, want):
+    assert html_text.main_texts([page], html_text.train()) == [want]
+
+
+def test_text_beside_paragraphs_in_a_wrapper_stays():
+    page = "<body><nav><a href=a>Home</a><a href=b>News</a></nav><div class=content>" + PARAGRAPHS[0] + "".join(f"<p>{p}</p>" for p in PARAGRAPHS[1:]) + "</div></body>"
+    assert html_text.main_texts([page], html_text.train()) == ["\n".join(PARAGRAPHS)]
