@@ -701,7 +701,7 @@ def named_aggregates(spark, sf_dir):
 
 def native_windows(spark, sf_dir):
     """ST3 native form with a watermark and buckets above a day: events streamed into months and weeks
-    per user, the newest row per group."""
+    per user, updates folded every other batch, the newest row per group."""
     root = scratch_dir(spark, "native-windows")
     t = load_spec(EVENTS_SPEC).table("events")
     _write_messages(read(spark, sf_dir, "events"), EVENTS_TABLE, f"{root}/inbox", 3)
@@ -710,7 +710,7 @@ def native_windows(spark, sf_dir):
     for name, functions in (("month", ["toStartOfMonth"]), ("week", ["toStartOfWeek"])):
         aggregator = {"type": "interval", "name": name, "group_functions": functions, "aggregations": [{"type": "count"}, {"type": "sum"}]}
         agg = load_spec({"tables": [EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": aggregator}]}).rollup(f"events_{name}").aggregator
-        q = ingest.start_windowed(decoded, t, agg, f"{root}/{name}", f"{root}/{name}-checkpoint", watermark="3650 days", trigger={"availableNow": True})
+        q = ingest.start_windowed(decoded, t, agg, f"{root}/{name}", f"{root}/{name}-checkpoint", watermark="3650 days", trigger={"availableNow": True}, fold_every=2)
         q.awaitTermination()
         newest = ingest.latest_windows(spark, f"{root}/{name}", ["user_id", name])
         out.append(newest.select("user_id", F.lit(name).alias("kind"), F.col(name).alias("bucket"), "value_count", r6("value_sum").alias("value_sum")))

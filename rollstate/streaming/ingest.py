@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollstate.functions.timefn import bucket
 from rollstate.operators import aggs, rollups
+from rollstate.plans import files
 from rollstate.plans.engine import Engine
 from rollstate.sources import codec, kafka, store
 from rollstate.spec import IntervalAggregator, Table
@@ -199,12 +200,16 @@ def start_windowed(
     watermark: str | None = None,
     trigger: dict | None = None,
     source_id: str | None = None,
+    fold_every: int = 16,
 ) -> StreamingQuery:
     """Run ``windowed_rollup`` in update mode; every micro-batch's updated groups are written to
     ``path`` under the stream's source id and the batch id (a retried batch replaces its own folder).
-    ``latest_windows`` reads the result back.  Only one stream's groups may be merged: a second
-    stream (another checkpoint) counts its own rows and needs a path of its own."""
+    ``latest_windows`` reads the result back.  Every ``fold_every`` batches the newest row of each
+    group is written as a new base beside ``path`` and older updates are deleted, so what a reader
+    opens grows with the groups, not with the batches.  Only one stream's groups may be merged: a
+    second stream (another checkpoint) counts its own rows and needs a path of its own."""
     sid = source_id or stable_source_id(decoded.sparkSession, checkpoint.rstrip("/") + "_source_id")
+    keys, path = [table.id, agg.name], path.rstrip("/")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         (
@@ -215,6 +220,8 @@ def start_windowed(
             .partitionBy(store.SOURCE, store.BATCH)
             .parquet(path)
         )
+        if (batch_id + 1) % fold_every == 0:
+            _fold_windows(batch.sparkSession, path, sid, keys, int(batch_id))
 
     w = (
         windowed_rollup(decoded, table, agg, watermark)
@@ -227,16 +234,58 @@ def start_windowed(
     return w.start()
 
 
-def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest emitted row per group from ``start_windowed``'s output (one aggregation); raises if
-    several streams wrote there, whose groups count different rows."""
-    ups = spark.read.parquet(path)
-    sources = [r[0] for r in ups.select(store.SOURCE).distinct().limit(2).collect()]
-    if len(sources) > 1:
-        raise ValueError(f"{path} holds windows of several streams ({', '.join(map(str, sources))}, ...)")
-    cols = [c for c in ups.columns if c not in (*keys, store.SOURCE, store.BATCH)]
+def _bases(spark: SparkSession, path: str, source: str) -> list[int]:
+    """Batches up to which the updates of a stream were folded, ascending."""
+    mark = f"_done-{source}-"
+    return sorted(int(n[len(mark) : -5]) for n in files.names(spark, f"{path}_base") if n.startswith(mark))
+
+
+def _fold_windows(spark: SparkSession, path: str, source: str, keys: list[str], batch_id: int) -> None:
+    """Writes the newest row of every group up to a batch as a base; what the base before it had
+    folded, and the bases before that one, are deleted (readers may still hold that one open)."""
+    done = _bases(spark, path, source)
+    if not done or done[-1] < batch_id:
+        newest = _newest(_updates(spark, path, source, batch_id), keys)
+        newest.write.mode("overwrite").parquet(f"{path}_base/{source}-{batch_id}")
+        files.create_json(spark, f"{path}_base/_done-{source}-{batch_id}.json", {})
+    for old in done[:-1]:
+        files.delete(spark, f"{path}_base/_done-{source}-{old}.json")
+        files.delete(spark, f"{path}_base/{source}-{old}")
+    if done:
+        folder = f"{path}/{store.SOURCE}={source}"
+        for name in files.names(spark, folder):
+            if name.startswith(f"{store.BATCH}=") and int(name.split("=")[1]) <= done[-1]:
+                files.delete(spark, f"{folder}/{name}")
+
+
+def _updates(spark: SparkSession, path: str, source: str, up_to: int | None = None) -> DataFrame:
+    """The newest base of a stream and its updates after it, with the batch of each row."""
+    base = max((b for b in _bases(spark, path, source) if up_to is None or b <= up_to), default=None)
+    folder = f"{path}/{store.SOURCE}={source}"
+    later = [int(n.split("=")[1]) for n in files.names(spark, folder) if n.startswith(f"{store.BATCH}=")]
+    later = [b for b in later if (base is None or b > base) and (up_to is None or b <= up_to)]
+    parts = []
+    if later:
+        parts.append(spark.read.option("basePath", folder).parquet(*[f"{folder}/{store.BATCH}={b}" for b in sorted(later)]))
+    if base is not None:
+        parts.append(spark.read.parquet(f"{path}_base/{source}-{base}").withColumn(store.BATCH, F.lit(base)))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _newest(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of the latest batch for every group (one aggregation)."""
+    cols = [c for c in updates.columns if c not in (*keys, store.BATCH)]
     newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]), F.col(store.BATCH)).alias("_r")
-    return ups.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in cols])
+    return updates.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in cols])
+
+
+def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest emitted row per group from ``start_windowed``'s output; raises if several streams
+    wrote there, whose groups count different rows."""
+    sources = [n.split("=", 1)[1] for n in files.names(spark, path) if n.startswith(f"{store.SOURCE}=")]
+    if len(sources) != 1:
+        raise ValueError(f"{path} holds windows of {'several streams' if sources else 'no stream'} ({', '.join(sources[:3])})")
+    return _newest(_updates(spark, path.rstrip("/"), sources[0]), keys)
 
 
 def _inputs(table: Table) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shared import SF_SMALL, as_set
 from rollstate import Engine, catalog
 from rollstate.operators import rollups
+from rollstate.plans import files
 from rollstate.sources import codec
 from rollstate.spec import load_spec
 from rollstate.streaming import ingest
@@ -153,3 +154,31 @@ def test_hourly_native_windows_and_time_counts(spark, tmp_root):
     ingest.start_windowed(decoded, t, agg, f"{tmp_root}/out", f"{tmp_root}/ckpt2", trigger={"availableNow": True}).awaitTermination()
     with pytest.raises(ValueError, match="several streams"):
         ingest.latest_windows(spark, f"{tmp_root}/out", ["user_id", "hour"])
+
+
+def test_folded_windows_keep_the_newest_rows_and_few_files(spark, tmp_root):
+    t, agg = SPEC.table("events"), SPEC.rollup("events_day").aggregator
+    _messages(_events(spark), f"{tmp_root}/inbox", 7)
+    decoded = codec.good(codec.decode(ingest.file_messages(spark, f"{tmp_root}/inbox", 1), t), t)
+    ingest.start_windowed(decoded, t, agg, f"{tmp_root}/out", f"{tmp_root}/ckpt", trigger={"availableNow": True}, fold_every=2).awaitTermination()
+    got = ingest.latest_windows(spark, f"{tmp_root}/out", ["user_id", "day"])
+    want = _events(spark).groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count("value"), F.avg("value"), F.stddev_samp("value")).collect()
+    assert as_set(got.select("user_id", "day", "value_count", "value_avg", "value_stddevSamp").collect()) == as_set(want)
+    source = [n for n in files.names(spark, f"{tmp_root}/out") if n.startswith("source_id=")][0]
+    kept = [n for n in files.names(spark, f"{tmp_root}/out/{source}") if n.startswith("batch_id=")]
+    assert kept == ["batch_id=4", "batch_id=5", "batch_id=6"]  # after the last base but one
+    assert len([n for n in files.names(spark, f"{tmp_root}/out_base") if n.startswith("_done")]) == 2
+    with pytest.raises(ValueError, match="no stream"):
+        ingest.latest_windows(spark, f"{tmp_root}/elsewhere", ["user_id", "day"])
+
+
+def test_native_windows_of_months_are_not_split_by_day(spark, tmp_root):
+    monthly = {"type": "interval", "name": "month", "group_functions": ["toYYYYMM"], "aggregations": [{"type": "count"}]}
+    spec = load_spec({"tables": [catalog.EVENTS_TABLE], "analytical_tables": [{"table": "events", "aggregator": monthly}]})
+    t, agg = spec.table("events"), spec.rollup("events_month").aggregator
+    _messages(_events(spark), f"{tmp_root}/inbox", 2)
+    decoded = codec.good(codec.decode(ingest.file_messages(spark, f"{tmp_root}/inbox", 1), t), t)
+    ingest.start_windowed(decoded, t, agg, f"{tmp_root}/out", f"{tmp_root}/ckpt", watermark="400 days", trigger={"availableNow": True}).awaitTermination()
+    got = ingest.latest_windows(spark, f"{tmp_root}/out", ["user_id", "month"]).collect()
+    want = _events(spark).groupBy("user_id", (F.year("ts") * 100 + F.month("ts")).alias("m")).agg(F.count("value")).collect()
+    assert as_set(got) == as_set(want)
