@@ -269,7 +269,8 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
     groups = 1 + int(size // GROUP_BYTES)
     part = F.xxhash64("_row")
     rows = rows.select("_key", "_text", "_held_out", F.pmod(part, F.lit(groups)).cast("int").alias("_group"), F.pmod(F.shiftright(part, 32), F.lit(1 << 30)).alias("_part"))
-    rows.repartition("_group").write.parquet(f"{folder}/texts")
+    # As many files as groups, so that every later pass has tasks for all cores.
+    rows.repartition(groups, "_group").write.parquet(f"{folder}/texts")
     rows = spark.read.schema(rows.schema).parquet(f"{folder}/texts")
     learned = rows.filter(~F.col("_held_out"))
     counts, stats = count(learned, folder)
