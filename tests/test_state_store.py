@@ -319,6 +319,38 @@ def test_compacted_files_are_sorted_and_left_out_by_id(spark, tmp_root):
     assert {f.split("yyyymm=")[1][:6] for f in ranged.inputFiles()} <= {"199503", "199504"}
 
 
+def test_compaction_is_cut_by_bytes_in_memory(spark, tmp_root, monkeypatch):
+    """Files that compress well are merged by as many tasks as their rows need in memory."""
+    from rollstate.plans import part_store
+
+    monkeypatch.setattr(part_store, "TASK_BYTES", 100_000, raising=False)
+    rows = spark.range(8000).select(
+        (F.col("id") % 50).alias("l_suppkey"), F.lit("1996-03-01").cast("timestamp_ntz").alias("l_shipdate"),
+        *[F.lit(1.0).alias(c) for c in catalog.LINEITEM_MEASURES],
+    )
+    e = Engine(spark, catalog.LINEITEM_DAY_SPEC, tmp_root)
+    for i, p in enumerate(catalog.split_batches(rows.withColumn("l_quantity", F.monotonically_increasing_id() % 7), ["l_suppkey", "l_quantity"], 2)):
+        e.ingest(p, "lineitem", "s", i)
+    e.compact_facts("lineitem", full=True)
+    e.compact("lineitem_day", full=True)
+    facts, states = e.facts("lineitem"), e.table("lineitem").states("lineitem_day")
+    assert len(facts.inputFiles()) >= 4 and len(states.inputFiles()) >= 4
+    assert facts.count() == 8000 and states.count() == 50
+    assert e.facts("lineitem", ids=[3]).count() == 160
+    assert e.view("lineitem_day").agg(F.sum("l_tax_count")).first()[0] == 8000
+
+
+@pytest.mark.parametrize(
+    ("kind", "value", "size"),
+    [("bigint", "null", 8), ("string", "'abc'", 11), ("string", "null", 8), ("struct<v:array<double>,s:binary>", "named_struct('v', array(1, 2), 's', null)", 56), ("struct<n:bigint>", "null", 8)],
+)
+def test_memory_bytes(spark, kind, value, size):
+    from rollstate.plans.part_store import memory_bytes
+
+    df = spark.sql(f"SELECT CAST({value} AS {kind}) AS x")
+    assert df.select(memory_bytes(F.col("x"), df.schema["x"].dataType)).first()[0] == size
+
+
 def test_text_ids(spark, tmp_root):
     table = {**catalog.LINEITEM_TABLE, "id_column": catalog._col("l_returnflag", "Nullable(String)")}
     spec = {"tables": [table], "analytical_tables": [{"table": "lineitem", "aggregator": {**catalog.DAY, "aggregations": [{"type": "count"}]}}]}
