@@ -14,6 +14,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ HEAD, CLASSES, GROWTH = 383, 128, 0.4
 HELD_WORDS = 50_000
 SIZE = 24
 NOISE, STEP, RATE, CALM, ROUNDS, SEED = 48, 512, 0.08, 1e-5, 2, 5
-#: Contexts normalised in one matrix product.
-BATCH = 4096
+#: Normalisers below this are summed anew, as products of exponentials may have underflowed.
+TINY = 1e-200
 #: Bytes of text scored together, and words counted together.
 GROUP_BYTES, COUNTER_WORDS = 6 << 20, 300_000
 #: Tokens of a group whose arrays are in memory at a time (one text at least).
@@ -55,6 +56,26 @@ def ending(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-2:]) % classes
 
 
+class Symbols(dict):
+    """Symbols of the words of ``head``, and of every other word that is looked up."""
+
+    def __init__(self, head: list[bytes], classes: int):
+        super().__init__((w, i) for i, w in enumerate(head))
+        self.first, self.classes = len(head), classes
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = self.first + ending(word, self.classes)
+        return at
+
+
+class Places(dict):
+    """Words in the order in which they were looked up first."""
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self)
+        return at
+
+
 @dataclass
 class Counts:
     """Of the training tokens: their number, how many differ, the most frequent words and the mass of each ending."""
@@ -65,9 +86,6 @@ class Counts:
     head: list[bytes]
     mass: np.ndarray  # of each shared symbol: sum of count + 0.5 over its words, and 0.5 for one unseen
 
-    def symbols(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.head)}
-
     def noise(self) -> np.ndarray:
         """Smoothed share of each symbol."""
         share = np.concatenate([[self.held.get(w, 0) + 0.5 for w in self.head], self.mass])
@@ -101,23 +119,38 @@ class Model:
     def predicted(self, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
         return self.context[before] * self.near + self.context[earlier] * self.far
 
-    def log_probabilities(self, symbols: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-        """Normalised log-probability of each symbol after the two before it.
+    def scorer(self) -> Scorer:
+        """Tables of the normalised log-probabilities.
 
-        Matrix products over batches of the distinct contexts give every context's normaliser.
+        What a symbol gets from the two before it is a sum of one value for each of them, so the
+        exponentials of all contexts are products, and one matrix product gives every normaliser.
         """
-        contexts, place = np.unique(before.astype(np.int64) * len(self.bias) + earlier, return_inverse=True)
-        ahead = self.predicted(contexts // len(self.bias), contexts % len(self.bias))
-        norm = np.empty(len(contexts), dtype=np.float32)
-        for at in range(0, len(contexts), BATCH):
-            z = ahead[at : at + BATCH] @ self.target.T + self.bias
-            top = z.max(axis=1)
-            norm[at : at + BATCH] = top + np.log(np.exp(z - top[:, None]).sum(axis=1))
-        out = np.empty(len(symbols), dtype=np.float64)
-        for at in range(0, len(symbols), 1 << 16):
-            s, p = symbols[at : at + (1 << 16)], place[at : at + (1 << 16)]
-            out[at : at + (1 << 16)] = np.einsum("ij,ij->i", ahead[p], self.target[s]) + self.bias[s] - norm[p]
-        return out
+        near = (self.context * self.near) @ self.target.T
+        far = (self.context * self.far) @ self.target.T + self.bias
+        tops = [t.max(axis=1).astype(np.float64) for t in (near, far)]
+        apart = [np.exp(t - top[:, None]) for t, top in zip((near, far), tops, strict=True)]
+        sums = apart[0] @ apart[1].T
+        norm = np.log(np.maximum(sums, TINY)) + tops[0][:, None] + tops[1]
+        for b, e in np.argwhere(~(sums > TINY)):
+            z = near[b].astype(np.float64) + far[e]
+            norm[b, e] = z.max() + np.log(np.exp(z - z.max()).sum())
+        return Scorer(near.astype(np.float32), far.astype(np.float32), norm.astype(np.float32))
+
+    def log_probabilities(self, symbols: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        return self.scorer().log_probabilities(symbols, before, earlier)
+
+
+@dataclass
+class Scorer:
+    """By symbol before (``near``) or earlier (``far``) and symbol; normalisers by both."""
+
+    near: np.ndarray
+    far: np.ndarray
+    norm: np.ndarray
+
+    def log_probabilities(self, symbols: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        """Normalised log-probability of each symbol after the two before it."""
+        return self.near[before, symbols].astype(np.float64) + self.far[earlier, symbols] - self.norm[before, earlier]
 
 
 class Trainer:
@@ -131,36 +164,59 @@ class Trainer:
         self.seen = [np.full(p.shape, CALM, np.float32) for p in self.m.parts()]
 
     @staticmethod
-    def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        width = values.shape[1]
-        cells = (rows[:, None] * width + np.arange(width)).ravel()
-        return np.bincount(cells, values.ravel(), n * width).reshape(n, width)
+    def _sums(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``n`` rows occur, and the sum of the values of each of them."""
+        there = np.flatnonzero(np.bincount(rows, minlength=n))
+        place, width = np.empty(n, np.int64), values.shape[1]
+        place[there] = np.arange(len(there)) * width
+        cells = (place[rows][:, None] + np.arange(width)).ravel()
+        return there, np.bincount(cells, values.ravel(), len(there) * width).reshape(-1, width)
+
+    def _descend(self, part: int, at: np.ndarray | slice, grad: np.ndarray) -> None:
+        """One AdaGrad step of some rows of a parameter; others have no gradient."""
+        values, seen = self.m.parts()[part], self.seen[part]
+        now = (seen[at] + grad * grad).astype(np.float32)
+        seen[at] = now
+        values[at] = values[at] - RATE * grad / np.sqrt(now)
 
     def step(self, symbols: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> None:
         m, n = self.m, len(self.m.bias)
         drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), n - 1)
-        ahead = m.predicted(before, earlier)
-        true = np.einsum("ij,ij->i", ahead, m.target[symbols]) + m.bias[symbols] - self.offset[symbols]
-        false = ahead @ m.target[drawn].T + m.bias[drawn] - self.offset[drawn]
-        push = 1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1
-        pull = 1 / (1 + np.exp(-np.clip(false, -30, 30)))
+        first, second = m.context.take(before, axis=0), m.context.take(earlier, axis=0)
+        ahead = first * m.near + second * m.far
+        wanted, other = m.target.take(symbols, axis=0), m.target.take(drawn, axis=0)
+        true = np.einsum("ij,ij->i", ahead, wanted) + (m.bias - self.offset)[symbols]
+        false = ahead @ other.T
+        false += (m.bias - self.offset)[drawn]
+        push, pull = _sigmoid(true) - 1, _sigmoid(false)
         share = np.float32(1 / len(symbols))
-        to_ahead = (push[:, None] * m.target[symbols] + pull @ m.target[drawn]) * share
-        to_target = self._scatter(symbols, push[:, None] * ahead * share, n)
-        np.add.at(to_target, drawn, (pull.T @ ahead) * share)
-        to_bias = np.bincount(symbols, push * share, n)
-        np.add.at(to_bias, drawn, pull.sum(axis=0) * share)
-        to_context = self._scatter(before, to_ahead * m.near, n) + self._scatter(earlier, to_ahead * m.far, n)
-        to_near = (to_ahead * m.context[before]).sum(axis=0)
-        to_far = (to_ahead * m.context[earlier]).sum(axis=0)
-        for part, seen, grad in zip(m.parts(), self.seen, (to_context, to_near, to_far, to_target, to_bias), strict=True):
-            seen += grad * grad
-            part -= RATE * grad / np.sqrt(seen)
+        to_ahead = (push[:, None] * wanted + pull @ other) * share
+        # Gradients of the targets, with those of their biases as the last column.
+        to_target = np.empty((len(symbols) + NOISE, SIZE + 1), np.float32)
+        to_target[: len(symbols), :SIZE] = push[:, None] * ahead * share
+        to_target[: len(symbols), SIZE] = push * share
+        to_target[len(symbols) :, :SIZE] = (pull.T @ ahead) * share
+        to_target[len(symbols) :, SIZE] = pull.sum(axis=0) * share
+        targets, to_target = self._sums(np.concatenate([symbols, drawn]), to_target, n)
+        contexts, to_context = self._sums(np.concatenate([before, earlier]), np.concatenate([to_ahead * m.near, to_ahead * m.far]), n)
+        to_near, to_far = np.einsum("ij,ij->j", to_ahead, first), np.einsum("ij,ij->j", to_ahead, second)
+        every = slice(None)
+        moves = ((contexts, to_context), (every, to_near), (every, to_far), (targets, to_target[:, :SIZE]), (targets, to_target[:, SIZE]))
+        for part, (at, grad) in enumerate(moves):
+            self._descend(part, at, grad)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.clip(x, -30, 30, out=x)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def sequences(texts: list[list[int]], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of texts, each with its end, and the two symbols before each (the end's, before a text)."""
-    symbols = np.fromiter((s for t in texts for s in (*t, end)), np.int64, sum(map(len, texts)) + len(texts))
+    ended = chain.from_iterable(chain(t, (end,)) for t in texts)
+    symbols = np.fromiter(ended, np.int64, sum(map(len, texts)) + len(texts))
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
     before = np.concatenate([[end], symbols[:-1]])
     before[starts] = end
@@ -223,13 +279,12 @@ def train(texts: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, share, head, classes = shared.value
-            known: dict[bytes, int] = {w: i for i, w in enumerate(head)}
-            first, trainer, weight = len(head), None, 0
+            known = Symbols(head, classes)
+            trainer, weight = None, 0
             for b in batches:
-                lists = []
-                for text in b.column(0).to_pylist():
-                    words = tokens(text)
-                    lists.append([known[w] if w in known else first + ending(w, classes) for w in words])
+                if len(known) > COUNTER_WORDS:
+                    known = Symbols(head, classes)
+                lists = [[*map(known.__getitem__, tokens(text))] for text in b.column(0).to_pylist()]
                 symbols, before, earlier = sequences(lists, 0)
                 trainer = trainer or Trainer(start, share, SEED + len(symbols))
                 order = trainer.rng.permutation(len(symbols))
@@ -275,7 +330,7 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
     learned = rows.filter(~F.col("_held_out"))
     counts, stats = count(learned, folder)
     model = train(learned, stats)
-    shared = spark.sparkContext.broadcast((stats, model))
+    shared = spark.sparkContext.broadcast((stats, model.scorer()))
     dealt = rows.select("_key", "_text", "_held_out", "_group")
 
     def words_needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,42 +345,37 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
 
         for b in batches:
             for g, value in zip(b.column("_group").to_pylist(), b.column("_text").to_pylist(), strict=True):
-                seen.setdefault(g, set()).update(w for w in tokens(value) if w not in held)
+                seen.setdefault(g, set()).update(set(tokens(value)).difference(held))
             if sum(map(len, seen.values())) > COUNTER_WORDS:
                 yield from rows_of()
         yield from rows_of()
 
-    needed = dealt.mapInArrow(words_needed, "_group int, _word binary").distinct().join(counts, "_word")
+    # Where several tasks read texts of a group its words come more than once, with the same count.
+    needed = dealt.mapInArrow(words_needed, "_group int, _word binary").join(counts, "_word")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        stats, model = shared.value
+        stats, scorer = shared.value
         number = dict(stats.held)
         number.update(zip(right["_word"].to_pylist(), right["_n"].to_pylist(), strict=True))
-        head, first = stats.symbols(), len(stats.head)
         every = stats.total + 0.5 * (stats.distinct + 1)
-        place: dict[bytes, int] = {}
+        known, place = Symbols(stats.head, len(stats.mass)), Places()
         symbol, count, within = [], [], []
 
-        def look(word: bytes) -> int:
-            at = place.get(word)
-            if at is None:
-                at = place[word] = len(symbol)
-                c, s = number.get(word, 0), head.get(word, -1)
-                count.append(c)
-                within.append(1.0 if s >= 0 else (c + 0.5) / stats.mass[ending(word, len(stats.mass))])
-                symbol.append(s if s >= 0 else first + ending(word, len(stats.mass)))
-            return at
-
         every_text = left["_text"].to_pylist()
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         at = 0
         while at < len(every_text):
             lists, held = [], 0  # texts scored together
             while at < len(every_text) and (not lists or held < GROUP_TOKENS):
-                lists.append([look(w) for w in tokens(every_text[at])])
+                lists.append([*map(place.__getitem__, tokens(every_text[at]))])
                 held += len(lists[-1]) + 1
                 at += 1
-            places, _, _ = sequences(lists, look(END))
+            places, _, _ = sequences(lists, place[END])
+            for word in islice(place, len(symbol), None):  # words that no text before had
+                s, c = known[word], number.get(word, 0)
+                symbol.append(s)
+                count.append(c)
+                within.append(1.0 if s < known.first else (c + 0.5) / stats.mass[s - known.first])
             symbols = np.array(symbol)[places]
             ends = np.cumsum([len(t) + 1 for t in lists])
             before = np.concatenate([[0], symbols[:-1]])
@@ -334,10 +384,10 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
             earlier[ends[:-1]] = 0
             n = len(lists)
             owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
-            known = np.array(count)
-            base = np.log10((known + 0.5) / every)
-            logs = model.log_probabilities(symbols, before, earlier) / np.log(10) + np.log10(np.array(within))[places]
-            sums = [np.bincount(owner, v, n) for v in ((known > 0)[places], base[places], logs)]
+            counts_ = np.array(count)
+            base = np.log10((counts_ + 0.5) / every)
+            logs = scorer.log_probabilities(symbols, before, earlier) / np.log(10) + np.log10(np.array(within))[places]
+            sums = [np.bincount(owner, v, n) for v in ((counts_ > 0)[places], base[places], logs)]
             out.append((np.diff(ends, prepend=0), *sums))
         n_tokens, n_known, base_score, score_ = (np.concatenate([o[i] for o in out] or [np.zeros(0)]) for i in range(4))
         return pa.table(

@@ -74,6 +74,39 @@ def test_lm_probabilities_are_normalised():
     assert abs(np.exp(logs).sum() - 1) < 1e-4
 
 
+def test_lm_normalisers_are_products():
+    """Tables by symbol give what the sum over all symbols does, also where products underflow."""
+    rng, n = np.random.default_rng(2), 40
+    model = lm.Model.start(rng.dirichlet(np.ones(n)))
+    for scale in (1, 3000):
+        model.context[:] = rng.normal(0, 1, model.context.shape) * scale
+        symbols, before, earlier = rng.integers(0, n, (3, 500))
+        ahead = (model.context[before] * model.near + model.context[earlier] * model.far).astype(np.float64)
+        z = ahead @ model.target.T + model.bias
+        top = z.max(axis=1, keepdims=True)
+        want = z[np.arange(500), symbols] - (top[:, 0] + np.log(np.exp(z - top).sum(axis=1)))
+        got = model.scorer().log_probabilities(symbols, before, earlier)
+        assert np.allclose(got, want, rtol=1e-5, atol=1e-4 * scale)
+
+
+def test_lm_words_are_shuffled_once(spark, monkeypatch):
+    """Words of a group that come more than once need no aggregation before their counts are joined."""
+    df = spark.createDataFrame([(i, f"word{i % 7} again {i % 3} and again") for i in range(60)], "doc_id long, text string")
+
+    def scored():
+        return lm.score_texts(df, F.lit(False))
+
+    plan = scored()._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+    rows = []
+    for held, emitted in ((50_000, 300_000), (1, 1)):
+        monkeypatch.setattr(lm, "HELD_WORDS", held)
+        monkeypatch.setattr(lm, "HEAD", 2)
+        monkeypatch.setattr(lm, "COUNTER_WORDS", emitted)
+        rows.append({r.doc_id: (r.n_tokens, r.n_known, round(r.base_score, 9)) for r in scored().collect()})
+    assert rows[0] == rows[1] and len(rows[0]) == 60
+
+
 def test_lm_vocabulary_grows_and_counts_the_end(spark, monkeypatch):
     assert lm.symbol_numbers(1000) == (lm.HEAD, lm.CLASSES)
     assert [lm.symbol_numbers(n)[0] for n in (10**7, 10**8, 10**9)] == sorted({lm.symbol_numbers(n)[0] for n in (10**7, 10**8, 10**9)})
