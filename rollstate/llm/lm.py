@@ -14,10 +14,10 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +36,8 @@ NOISE, STEP, RATE, CALM, ROUNDS, SEED = 48, 512, 0.08, 1e-5, 2, 5
 TINY = 1e-200
 #: Bytes of text scored together, and words counted together.
 GROUP_BYTES, COUNTER_WORDS = 6 << 20, 300_000
-#: Tokens of a group whose arrays are in memory at a time (one text at least).
-GROUP_TOKENS = 500_000
+#: Bytes of a group's texts whose arrays are in memory at a time (one text at least).
+PIECE_BYTES = 3 << 20
 END = b""  # the end of a text; words are never empty
 
 
@@ -46,6 +46,30 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different words of texts, the place among them of each of their ``tokens``, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))))
+    words, lengths = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    there = pc.greater(pc.binary_length(words), 0)  # an empty text has one part, which is no word
+    kept = there.to_numpy(zero_copy_only=False)
+    if not kept.all():
+        ends = np.concatenate([[0], np.cumsum(kept)])[np.cumsum(lengths)]
+        words, lengths = words.filter(there), np.diff(ends, prepend=0)
+    coded = words.dictionary_encode()
+    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy().astype(np.int64), lengths
+
+
+def pieces(texts: pa.ChunkedArray, size: int) -> Iterator[pa.Array]:
+    """Texts in order, as many together as have ``size`` bytes (one at least)."""
+    for chunk in texts.chunks:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(chunk), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(chunk):
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield chunk.slice(at, upto - at)
+            at = upto
+
+
 def symbol_numbers(distinct: int) -> tuple[int, int]:
     """Words that are symbols of their own (beside the end), and shared symbols, of a vocabulary."""
     grown = int(distinct**GROWTH)
@@ -68,14 +92,6 @@ class Symbols(dict):
         return at
 
 
-class Places(dict):
-    """Words in the order in which they were looked up first."""
-
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self)
-        return at
-
-
 @dataclass
 class Counts:
     """Of the training tokens: their number, how many differ, the most frequent words and the mass of each ending."""
@@ -164,20 +180,27 @@ class Trainer:
         self.seen = [np.full(p.shape, CALM, np.float32) for p in self.m.parts()]
 
     @staticmethod
-    def _sums(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which of ``n`` rows occur, and the sum of the values of each of them."""
-        there = np.flatnonzero(np.bincount(rows, minlength=n))
-        place, width = np.empty(n, np.int64), values.shape[1]
-        place[there] = np.arange(len(there)) * width
-        cells = (place[rows][:, None] + np.arange(width)).ravel()
-        return there, np.bincount(cells, values.ravel(), len(there) * width).reshape(-1, width)
+    def _sums(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray | slice, np.ndarray]:
+        """The sum of the values of each of ``n`` rows; of large models, only of rows that occur, and which these are."""
+        width = values.shape[1]
+        if n <= len(rows):  # a row that does not occur gets no gradient, and stays
+            there, held, at = slice(None), n, rows * width
+        else:
+            there = np.flatnonzero(np.bincount(rows, minlength=n))
+            place, held = np.empty(n, np.int64), len(there)
+            place[there] = np.arange(held) * width
+            at = place[rows]
+        cells = (at[:, None] + np.arange(width)).ravel()
+        return there, np.bincount(cells, values.ravel(), held * width).reshape(-1, width)
 
     def _descend(self, part: int, at: np.ndarray | slice, grad: np.ndarray) -> None:
         """One AdaGrad step of some rows of a parameter; others have no gradient."""
         values, seen = self.m.parts()[part], self.seen[part]
         now = (seen[at] + grad * grad).astype(np.float32)
         seen[at] = now
-        values[at] = values[at] - RATE * grad / np.sqrt(now)
+        move = RATE * grad
+        move /= np.sqrt(now, out=now)
+        values[at] -= move
 
     def step(self, symbols: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> None:
         m, n = self.m, len(self.m.bias)
@@ -213,16 +236,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.divide(1, x, out=x)
 
 
-def sequences(texts: list[list[int]], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sequences(symbols: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of texts, each with its end, and the two symbols before each (the end's, before a text)."""
-    ended = chain.from_iterable(chain(t, (end,)) for t in texts)
-    symbols = np.fromiter(ended, np.int64, sum(map(len, texts)) + len(texts))
-    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-    before = np.concatenate([[end], symbols[:-1]])
+    ended = with_ends(symbols, lengths, end)
+    return ended, *preceding(ended, lengths, end)
+
+
+def with_ends(symbols: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
+    return np.insert(symbols, np.cumsum(lengths), end)
+
+
+def preceding(ended: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    starts = np.cumsum(lengths + 1)[:-1]
+    before = np.concatenate([[end], ended[:-1]])
     before[starts] = end
     earlier = np.concatenate([[end], before[:-1]])
     earlier[starts] = end
-    return symbols, before, earlier
+    return before, earlier
 
 
 def count(texts: DataFrame, folder: str) -> tuple[DataFrame, Counts]:
@@ -284,8 +314,9 @@ def train(texts: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
             for b in batches:
                 if len(known) > COUNTER_WORDS:
                     known = Symbols(head, classes)
-                lists = [[*map(known.__getitem__, tokens(text))] for text in b.column(0).to_pylist()]
-                symbols, before, earlier = sequences(lists, 0)
+                words, places, lengths = numbered(b.column(0))
+                own = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                symbols, before, earlier = sequences(own[places], lengths, 0)
                 trainer = trainer or Trainer(start, share, SEED + len(symbols))
                 order = trainer.rng.permutation(len(symbols))
                 for at in range(0, len(order), STEP):
@@ -358,37 +389,24 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
         number = dict(stats.held)
         number.update(zip(right["_word"].to_pylist(), right["_n"].to_pylist(), strict=True))
         every = stats.total + 0.5 * (stats.distinct + 1)
-        known, place = Symbols(stats.head, len(stats.mass)), Places()
-        symbol, count, within = [], [], []
-
-        every_text = left["_text"].to_pylist()
+        known = Symbols(stats.head, len(stats.mass))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        at = 0
-        while at < len(every_text):
-            lists, held = [], 0  # texts scored together
-            while at < len(every_text) and (not lists or held < GROUP_TOKENS):
-                lists.append([*map(place.__getitem__, tokens(every_text[at]))])
-                held += len(lists[-1]) + 1
-                at += 1
-            places, _, _ = sequences(lists, place[END])
-            for word in islice(place, len(symbol), None):  # words that no text before had
-                s, c = known[word], number.get(word, 0)
-                symbol.append(s)
-                count.append(c)
-                within.append(1.0 if s < known.first else (c + 0.5) / stats.mass[s - known.first])
-            symbols = np.array(symbol)[places]
-            ends = np.cumsum([len(t) + 1 for t in lists])
-            before = np.concatenate([[0], symbols[:-1]])
-            before[ends[:-1]] = 0
-            earlier = np.concatenate([[0], before[:-1]])
-            earlier[ends[:-1]] = 0
-            n = len(lists)
-            owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
-            counts_ = np.array(count)
+        for texts in pieces(left["_text"], PIECE_BYTES):
+            words, places, lengths = numbered(texts)
+            words.append(END)
+            counts_ = np.fromiter((number.get(w, 0) for w in words), np.int64, len(words))
+            symbol = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            mass = np.concatenate([np.ones(known.first), stats.mass])[symbol]
+            within = np.where(symbol < known.first, 1.0, (counts_ + 0.5) / mass)
+            places = with_ends(places, lengths, len(words) - 1)
+            symbols = symbol[places]
+            before, earlier = preceding(symbols, lengths, 0)
+            n = len(lengths)
+            owner = np.repeat(np.arange(n), lengths + 1)
             base = np.log10((counts_ + 0.5) / every)
-            logs = scorer.log_probabilities(symbols, before, earlier) / np.log(10) + np.log10(np.array(within))[places]
+            logs = scorer.log_probabilities(symbols, before, earlier) / np.log(10) + np.log10(within)[places]
             sums = [np.bincount(owner, v, n) for v in ((counts_ > 0)[places], base[places], logs)]
-            out.append((np.diff(ends, prepend=0), *sums))
+            out.append((lengths + 1, *sums))
         n_tokens, n_known, base_score, score_ = (np.concatenate([o[i] for o in out] or [np.zeros(0)]) for i in range(4))
         return pa.table(
             {

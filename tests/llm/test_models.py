@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +149,38 @@ def test_lm_edge_rows(spark, edge_docs, no_docs):
 
 def test_tokens_split_at_ascii_white_space_only():
     assert lm.tokens("A B\x0bÉ\x1cZ\n") == ["a b".encode(), "É\x1cz".encode()] and lm.tokens(None) == []
+
+
+def test_lm_batches_of_texts_have_the_tokens_of_each(edge_texts):
+    texts = [*edge_texts, "A B\x0bÉ\x1cZ\n", " a b \x85 İſ ", "\x00 x\x00", "a  b\r\n\x0c c ", None, ""]
+    for rows in (texts, [None], [""], ["x"], []):
+        words, places, lengths = lm.numbered(pa.array(rows, pa.string()))
+        assert len(set(words)) == len(words)
+        assert [words[i] for i in places] == [w for t in rows for w in lm.tokens(t)] and lengths.tolist() == [len(lm.tokens(t)) for t in rows]
+    columns = pa.chunked_array([pa.array(texts[:5]), pa.array(texts[5:])])
+    for size in (1, 40, 1 << 30):
+        assert [t for piece in lm.pieces(columns, size) for t in piece.to_pylist()] == texts
+    symbols, before, earlier = lm.sequences(np.array([1, 2, 3, 4]), np.array([0, 3, 0, 1]), 9)
+    assert symbols.tolist() == [9, 1, 2, 3, 9, 9, 4, 9]
+    assert before.tolist() == [9, 9, 1, 2, 3, 9, 9, 4] and earlier.tolist() == [9, 9, 9, 1, 2, 9, 9, 9]
+
+
+def test_lm_steps_of_small_models_touch_only_rows_that_occur():
+    """The sums over all rows move what the sums over rows that occur do."""
+    rng, n = np.random.default_rng(4), 60
+    noise = rng.dirichlet(np.ones(n))
+    symbols, before, earlier = rng.integers(0, 20, (3, 300))
+    every, some = (lm.Trainer(lm.Model.start(noise), noise, 0) for _ in range(2))
+    sums = lm.Trainer._sums
+
+    def of_many(rows, values, n):  # as of a model with more symbols than rows
+        there, total = sums(rows, values, len(rows) + 1)
+        return there, total
+
+    some._sums = of_many
+    for _ in range(5):
+        every.step(symbols, before, earlier)
+        some.step(symbols, before, earlier)
+    assert all(np.array_equal(a, b) for a, b in zip(every.m.parts(), some.m.parts(), strict=True))
+    unseen = np.setdiff1d(np.arange(n), np.concatenate([before, earlier]))
+    assert len(unseen) and np.array_equal(every.m.context[unseen], lm.Model.start(noise).context[unseen])
