@@ -10,9 +10,9 @@ tokens they saw.
 
 from __future__ import annotations
 
+import functools
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,7 +46,7 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The different words of texts, the place among them of each of their ``tokens``, and how many each text has."""
     lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))))
     words, lengths = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -55,8 +55,14 @@ def numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     if not kept.all():
         ends = np.concatenate([[0], np.cumsum(kept)])[np.cumsum(lengths)]
         words, lengths = words.filter(there), np.diff(ends, prepend=0)
-    coded = words.dictionary_encode()
-    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy().astype(np.int64), lengths
+    codes = words.dictionary_encode()
+    return codes.dictionary.cast(pa.binary()), codes.indices.to_numpy().astype(np.int64), lengths
+
+
+def numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """As ``coded``, with the words as a list."""
+    words, places, lengths = coded(texts)
+    return words.to_pylist(), places, lengths
 
 
 def pieces(texts: pa.ChunkedArray, size: int) -> Iterator[pa.Array]:
@@ -80,16 +86,18 @@ def ending(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-2:]) % classes
 
 
-class Symbols(dict):
-    """Symbols of the words of ``head``, and of every other word that is looked up."""
+def word_symbols(words: pa.Array, head: pa.Array, classes: int) -> np.ndarray:
+    """The symbol of each word: its place in ``head``, or one that all other words of its ending share."""
+    own = pc.index_in(words, value_set=head)
+    ends = pc.binary_slice(words, -2).dictionary_encode()
+    shared = np.array([len(head) + ending(e, classes) for e in ends.dictionary.to_pylist()], np.int64)
+    return np.where(own.is_null(), shared[ends.indices], own.fill_null(0)).astype(np.int64)
 
-    def __init__(self, head: list[bytes], classes: int):
-        super().__init__((w, i) for i, w in enumerate(head))
-        self.first, self.classes = len(head), classes
 
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = self.first + ending(word, self.classes)
-        return at
+def known_counts(words: pa.Array, known: pa.Array, counts: np.ndarray) -> np.ndarray:
+    """The count of each word, by the ``counts`` of ``known`` words; 0 for others."""
+    at = pc.index_in(words, value_set=known).fill_null(len(known)).to_numpy()
+    return np.append(counts, 0)[at]
 
 
 @dataclass
@@ -173,60 +181,85 @@ class Trainer:
     """Noise-contrastive training of a copy of the model by AdaGrad."""
 
     def __init__(self, model: Model, noise: np.ndarray, seed: int):
-        self.m = Model(*[p.copy() for p in model.parts()])
+        # What moves together is one table: the weights of both symbols before, and targets with their biases.
+        mix, ends = np.stack([model.near, model.far]), np.column_stack([model.target, model.bias])
+        self.tables = [model.context.copy(), mix, ends]
+        self.m = Model(self.tables[0], mix[0], mix[1], ends[:, :SIZE], ends[:, SIZE])
         self.rng = np.random.default_rng(seed)
         self.cumulative = np.cumsum(noise)
         self.offset = np.log(NOISE * noise).astype(np.float32)
-        self.seen = [np.full(p.shape, CALM, np.float32) for p in self.m.parts()]
+        self.seen = [np.full(t.shape, CALM, np.float32) for t in self.tables]
 
     @staticmethod
     def _sums(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray | slice, np.ndarray]:
         """The sum of the values of each of ``n`` rows; of large models, only of rows that occur, and which these are."""
         width = values.shape[1]
         if n <= len(rows):  # a row that does not occur gets no gradient, and stays
-            there, held, at = slice(None), n, rows * width
+            there, held, at = slice(None), n, rows
         else:
             there = np.flatnonzero(np.bincount(rows, minlength=n))
             place, held = np.empty(n, np.int64), len(there)
-            place[there] = np.arange(held) * width
+            place[there] = np.arange(held)
             at = place[rows]
-        cells = (at[:, None] + np.arange(width)).ravel()
-        return there, np.bincount(cells, values.ravel(), held * width).reshape(-1, width)
-
-    def _descend(self, part: int, at: np.ndarray | slice, grad: np.ndarray) -> None:
-        """One AdaGrad step of some rows of a parameter; others have no gradient."""
-        values, seen = self.m.parts()[part], self.seen[part]
-        now = (seen[at] + grad * grad).astype(np.float32)
+        cells = _cells(1 << (held - 1).bit_length(), width).take(at, axis=0)
+        return there, np.bincount(cells.ravel(), values.ravel(), held * width).reshape(-1, width)
+
+    def _descend(self, table: int, at: np.ndarray | slice, grad: np.ndarray) -> None:
+        """One AdaGrad step of some rows of a table; others have no gradient.  Overwrites ``grad``."""
+        values, seen = self.tables[table], self.seen[table]
+        squares = grad * grad
+        squares += seen[at]
+        now = squares.astype(np.float32, copy=False)
         seen[at] = now
-        move = RATE * grad
-        move /= np.sqrt(now, out=now)
-        values[at] -= move
+        grad *= RATE
+        grad /= np.sqrt(now, out=now)
+        if isinstance(at, slice):
+            np.subtract(values, grad, out=values, casting="same_kind")
+        else:
+            values[at] -= grad
 
     def step(self, symbols: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> None:
-        m, n = self.m, len(self.m.bias)
+        (context, mix, ends), size, n = self.tables, len(symbols), len(self.offset)
         drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), n - 1)
-        first, second = m.context.take(before, axis=0), m.context.take(earlier, axis=0)
-        ahead = first * m.near + second * m.far
-        wanted, other = m.target.take(symbols, axis=0), m.target.take(drawn, axis=0)
-        true = np.einsum("ij,ij->i", ahead, wanted) + (m.bias - self.offset)[symbols]
+        pairs = np.stack([before, earlier], axis=1).ravel()
+        # Rows of both symbols before, side by side.
+        both = context.take(pairs, axis=0).reshape(size, 2 * SIZE)
+        weights = mix.ravel()
+        weighed = both * weights
+        ahead = weighed[:, :SIZE] + weighed[:, SIZE:]
+        targets = np.concatenate([symbols, drawn])
+        wanted = ends.take(targets, axis=0)
+        bias = wanted[:, SIZE] - self.offset.take(targets)
+        wanted, other = wanted[:size, :SIZE], np.ascontiguousarray(wanted[size:, :SIZE])
+        true = np.einsum("ij,ij->i", ahead, wanted)
+        true += bias[:size]
         false = ahead @ other.T
-        false += (m.bias - self.offset)[drawn]
+        false += bias[size:]
         push, pull = _sigmoid(true) - 1, _sigmoid(false)
-        share = np.float32(1 / len(symbols))
-        to_ahead = (push[:, None] * wanted + pull @ other) * share
+        share = np.float32(1 / size)
+        to_ahead = push[:, None] * wanted
+        to_ahead += pull @ other
+        to_ahead *= share
         # Gradients of the targets, with those of their biases as the last column.
-        to_target = np.empty((len(symbols) + NOISE, SIZE + 1), np.float32)
-        to_target[: len(symbols), :SIZE] = push[:, None] * ahead * share
-        to_target[: len(symbols), SIZE] = push * share
-        to_target[len(symbols) :, :SIZE] = (pull.T @ ahead) * share
-        to_target[len(symbols) :, SIZE] = pull.sum(axis=0) * share
-        targets, to_target = self._sums(np.concatenate([symbols, drawn]), to_target, n)
-        contexts, to_context = self._sums(np.concatenate([before, earlier]), np.concatenate([to_ahead * m.near, to_ahead * m.far]), n)
-        to_near, to_far = np.einsum("ij,ij->j", to_ahead, first), np.einsum("ij,ij->j", to_ahead, second)
-        every = slice(None)
-        moves = ((contexts, to_context), (every, to_near), (every, to_far), (targets, to_target[:, :SIZE]), (targets, to_target[:, SIZE]))
-        for part, (at, grad) in enumerate(moves):
-            self._descend(part, at, grad)
+        to_target = np.empty((size + NOISE, SIZE + 1), np.float32)
+        np.multiply(push[:, None], ahead, out=to_target[:size, :SIZE])
+        to_target[:size, SIZE] = push
+        np.matmul(pull.T, ahead, out=to_target[size:, :SIZE])
+        to_target[size:, SIZE] = pull.sum(axis=0)
+        to_target *= share
+        to_context = np.concatenate([to_ahead, to_ahead], axis=1)
+        to_mix = np.einsum("ij,ij->j", to_context, both).reshape(2, SIZE)
+        to_context *= weights
+        targets, to_target = self._sums(targets, to_target, n)
+        contexts, to_context = self._sums(pairs, to_context.reshape(-1, SIZE), n)
+        for table, (at, grad) in enumerate(((contexts, to_context), (slice(None), to_mix), (targets, to_target))):
+            self._descend(table, at, grad)
+
+
+@functools.cache
+def _cells(rows: int, width: int) -> np.ndarray:
+    """The numbers of the cells of each row of a table; asked for by powers of two."""
+    return np.arange(rows * width).reshape(rows, width)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -255,26 +288,38 @@ def preceding(ended: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndar
     return before, earlier
 
 
+def with_end(words: pa.Array) -> pa.Array:
+    return pa.concat_arrays([words, pa.array([END], pa.binary())])
+
+
+def gathered(tables: Iterable[pa.Table], words: int) -> Iterator[pa.Table]:
+    """Rows of tables of words, together until they are more than twice as many as ``words``."""
+    kept: list[pa.Table] = []
+    rows = 0
+    for t in tables:
+        kept.append(t)
+        rows += len(t)
+        if rows > 2 * words:
+            yield pa.concat_tables(kept)
+            kept, rows = [], 0
+    if kept:
+        yield pa.concat_tables(kept)
+
+
 def count(texts: DataFrame, folder: str) -> tuple[DataFrame, Counts]:
     """Counts the words and ends of all ``_text`` rows; the counts are written to ``folder``."""
     spark = texts.sparkSession
     bound_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["_word", "_n"])
+        def counts_of() -> Iterator[pa.Table]:
+            for b in batches:
+                words, places, lengths = coded(b.column(0))
+                times = np.append(np.bincount(places, minlength=len(words)), len(lengths))
+                yield pa.table({"_word": with_end(words), "_n": pa.array(times, pa.int64())})
 
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                seen.update(tokens(text))
-                seen[END] += 1
-                if len(seen) > COUNTER_WORDS:
-                    yield rows()
-                    seen.clear()
-        if seen:
-            yield rows()
+        for rows in gathered(counts_of(), COUNTER_WORDS):
+            yield from rows.group_by("_word", use_threads=False).aggregate([("_n", "sum")]).rename_columns(["_word", "_n"]).to_batches()
 
     counted = texts.select("_text").mapInArrow(run, "_word binary, _n long").groupBy("_word").agg(F.sum("_n").alias("_n"))
     counted.write.parquet(f"{folder}/counts")
@@ -305,23 +350,19 @@ def train(texts: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
     noise = counts.noise()
     model = Model.start(noise)
     for r in range(rounds):
-        shared = spark.sparkContext.broadcast((model, noise, counts.head, len(counts.mass)))
+        shared = spark.sparkContext.broadcast((model, noise, pa.array(counts.head, pa.binary()), len(counts.mass)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, share, head, classes = shared.value
-            known = Symbols(head, classes)
             trainer, weight = None, 0
             for b in batches:
-                if len(known) > COUNTER_WORDS:
-                    known = Symbols(head, classes)
-                words, places, lengths = numbered(b.column(0))
-                own = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                symbols, before, earlier = sequences(own[places], lengths, 0)
+                words, places, lengths = coded(b.column(0))
+                symbols, before, earlier = sequences(word_symbols(words, head, classes)[places], lengths, 0)
                 trainer = trainer or Trainer(start, share, SEED + len(symbols))
                 order = trainer.rng.permutation(len(symbols))
+                mixed = [x[order] for x in (symbols, before, earlier)]
                 for at in range(0, len(order), STEP):
-                    pick = order[at : at + STEP]
-                    trainer.step(symbols[pick], before[pick], earlier[pick])
+                    trainer.step(*(x[at : at + STEP] for x in mixed))
                 weight += len(symbols)
             if weight:
                 values = np.concatenate([[1.0], trainer.m.flat()]) * weight
@@ -361,44 +402,46 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
     learned = rows.filter(~F.col("_held_out"))
     counts, stats = count(learned, folder)
     model = train(learned, stats)
-    shared = spark.sparkContext.broadcast((stats, model.scorer()))
+    held = pa.array(list(stats.held), pa.binary()), np.array(list(stats.held.values()), np.int64)
+    shared = spark.sparkContext.broadcast((stats, model.scorer(), *held))
     dealt = rows.select("_key", "_text", "_held_out", "_group")
 
     def words_needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words of each group whose counts are not held everywhere."""
-        held = shared.value[0].held
-        seen: dict[int, set[bytes]] = {}
+        held = shared.value[2]
 
-        def rows_of() -> Iterator[pa.RecordBatch]:
-            for g, words in seen.items():
-                yield pa.RecordBatch.from_arrays([pa.array([g] * len(words), pa.int32()), pa.array(list(words), pa.binary())], names=["_group", "_word"])
-            seen.clear()
+        def words_of() -> Iterator[pa.Table]:
+            for b in batches:
+                words, places, lengths = coded(b.column("_text"))
+                numbers, at = np.unique(b.column("_group").to_numpy(), return_inverse=True)
+                there = np.zeros((len(numbers), len(words)), bool)
+                there[np.repeat(at, lengths), places] = True
+                there[:, pc.is_in(words, value_set=held).to_numpy(zero_copy_only=False)] = False
+                group, word = np.nonzero(there)
+                yield pa.table({"_group": pa.array(numbers[group], pa.int32()), "_word": words.take(pa.array(word))})
 
-        for b in batches:
-            for g, value in zip(b.column("_group").to_pylist(), b.column("_text").to_pylist(), strict=True):
-                seen.setdefault(g, set()).update(set(tokens(value)).difference(held))
-            if sum(map(len, seen.values())) > COUNTER_WORDS:
-                yield from rows_of()
-        yield from rows_of()
+        for rows in gathered(words_of(), COUNTER_WORDS):
+            yield from rows.group_by(["_group", "_word"], use_threads=False).aggregate([]).to_batches()
 
     # Where several tasks read texts of a group its words come more than once, with the same count.
     needed = dealt.mapInArrow(words_needed, "_group int, _word binary").join(counts, "_word")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        stats, scorer = shared.value
-        number = dict(stats.held)
-        number.update(zip(right["_word"].to_pylist(), right["_n"].to_pylist(), strict=True))
+        stats, scorer, held, held_counts = shared.value
+        known = pa.concat_arrays([held, *right["_word"].chunks])
+        numbers = np.concatenate([held_counts, right["_n"].to_numpy()])
         every = stats.total + 0.5 * (stats.distinct + 1)
-        known = Symbols(stats.head, len(stats.mass))
+        own, head = len(stats.head), pa.array(stats.head, pa.binary())
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        for texts in pieces(left["_text"], PIECE_BYTES):
-            words, places, lengths = numbered(texts)
-            words.append(END)
-            counts_ = np.fromiter((number.get(w, 0) for w in words), np.int64, len(words))
-            symbol = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            mass = np.concatenate([np.ones(known.first), stats.mass])[symbol]
-            within = np.where(symbol < known.first, 1.0, (counts_ + 0.5) / mass)
-            places = with_ends(places, lengths, len(words) - 1)
+        texts = [coded(piece) for piece in pieces(left["_text"], PIECE_BYTES)]
+        # One search for the words of all pieces.
+        found = known_counts(pa.concat_arrays([with_end(words) for words, _, _ in texts]), known, numbers) if texts else np.zeros(0, np.int64)
+        for words, places, lengths in texts:
+            counts_, found = np.split(found, [len(words) + 1])
+            symbol = word_symbols(with_end(words), head, len(stats.mass))
+            mass = np.concatenate([np.ones(own), stats.mass])[symbol]
+            within = np.where(symbol < own, 1.0, (counts_ + 0.5) / mass)
+            places = with_ends(places, lengths, len(words))
             symbols = symbol[places]
             before, earlier = preceding(symbols, lengths, 0)
             n = len(lengths)

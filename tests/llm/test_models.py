@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -184,3 +185,79 @@ def test_lm_steps_of_small_models_touch_only_rows_that_occur():
     assert all(np.array_equal(a, b) for a, b in zip(every.m.parts(), some.m.parts(), strict=True))
     unseen = np.setdiff1d(np.arange(n), np.concatenate([before, earlier]))
     assert len(unseen) and np.array_equal(every.m.context[unseen], lm.Model.start(noise).context[unseen])
+
+
+def test_lm_words_of_a_batch_are_looked_up_together(edge_texts):
+    """Symbols and counts are those of each word, for at most half of the CPU time of lookups one by one."""
+    texts = pa.array([*edge_texts, "a \u00e9 b", None, "", *(f"w{i} x{i}y Z{i % 7}" for i in range(40_000))], pa.string())
+    own, classes = [lm.END, b"a", b"w5", b"z3"], 128
+    counts = {w: i + 1 for i, w in enumerate([lm.END, b"b", *(b"w%d" % i for i in range(20_000))])}
+    words, places, lengths = lm.coded(texts)
+    assert [words[i].as_py() for i in places] == [w for t in texts.to_pylist() for w in lm.tokens(t)] and int(lengths.sum()) == len(places)
+    head, known, numbers = pa.array(own, pa.binary()), pa.array(list(counts), pa.binary()), np.array(list(counts.values()))
+    twice = pa.concat_arrays([known, known]), np.concatenate([numbers, numbers])  # as where two tasks read texts of a group
+    every = lm.with_end(words)
+    assert lm.known_counts(every, *twice).tolist() == [counts.get(w, 0) for w in every.to_pylist()]
+    place = {w: i for i, w in enumerate(own)}
+    assert lm.word_symbols(every, head, classes).tolist() == [place.get(w, len(own) + zlib.crc32(w[-2:]) % classes) for w in every.to_pylist()]
+    none = lm.coded(pa.array([None, ""], pa.string()))[0]
+    assert not len(lm.word_symbols(none, head, classes)) and not len(lm.known_counts(none, known, numbers))
+
+    def together():
+        found = lm.coded(texts)[0]
+        return lm.word_symbols(found, head, classes), lm.known_counts(found, known, numbers)
+
+    def one_by_one():
+        found = {w for t in texts.to_pylist() for w in lm.tokens(t)}
+        return [place.get(w, len(own) + lm.ending(w, classes)) for w in found], [counts.get(w, 0) for w in found]
+
+    def seconds(run):
+        taken = []
+        for _ in range(5):
+            at = time.process_time()
+            run()
+            taken.append(time.process_time() - at)
+        return min(taken)
+
+    assert seconds(together) < 0.5 * seconds(one_by_one)
+
+
+def test_lm_counts_of_many_batches(spark, tmp_root, monkeypatch):
+    texts = [f"a B{i % 3} w{i} a" for i in range(300)] + ["", "  ", "\u00e9 a"]
+    want = Counter(w for t in texts for w in [*lm.tokens(t), lm.END])
+    for emitted in (300_000, 1):
+        monkeypatch.setattr(lm, "COUNTER_WORDS", emitted)
+        monkeypatch.setattr(lm, "bound_batches", lambda spark: spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7"))
+        df = spark.createDataFrame([(t,) for t in texts], "_text string").repartition(3)
+        counts, stats = lm.count(df, f"{tmp_root}/{emitted}")
+        assert {bytes(r._word): r._n for r in counts.collect()} == want == stats.held
+        assert (stats.total, stats.distinct) == (sum(want.values()), len(want))
+    monkeypatch.undo()
+    lm.bound_batches(spark)
+    tables = [pa.table({"_word": pa.array([b"x"] * k, pa.binary())}) for k in (1, 2, 3, 0, 4)]
+    assert [len(t) for t in lm.gathered(tables, 1)] == [3, 3, 4] and not list(lm.gathered([], 1))
+
+
+def test_lm_step_follows_its_gradients():
+    """One step of a model without history moves every parameter as plain sums over the tokens do."""
+    rng, n, size = np.random.default_rng(6), 50, 40
+    noise = rng.dirichlet(np.ones(n))
+    symbols, before, earlier = rng.integers(0, n, (3, size))
+    trainer = lm.Trainer(lm.Model.start(noise), noise, 0)
+    drawn = np.minimum(np.searchsorted(trainer.cumulative, np.random.default_rng(0).random(lm.NOISE)), n - 1)
+    m = lm.Model(*[p.astype(np.float64) for p in lm.Model.start(noise).parts()])
+    grads = [np.zeros(p.shape) for p in m.parts()]
+    for s, b, e in zip(symbols, before, earlier, strict=True):
+        ahead = m.predicted(b, e)
+        for t, label in [(s, 1), *((d, 0) for d in drawn)]:
+            push = (1 / (1 + math.exp(-(ahead @ m.target[t] + m.bias[t] - math.log(lm.NOISE * noise[t])))) - label) / size
+            to_ahead = push * m.target[t]
+            grads[0][b] += to_ahead * m.near
+            grads[0][e] += to_ahead * m.far
+            grads[1] += to_ahead * m.context[b]
+            grads[2] += to_ahead * m.context[e]
+            grads[3][t] += push * ahead
+            grads[4][t] += push
+    trainer.step(symbols, before, earlier)
+    for got, was, grad in zip(trainer.m.parts(), m.parts(), grads, strict=True):
+        assert np.allclose(got, was - lm.RATE * grad / np.sqrt(lm.CALM + grad * grad), atol=1e-4)
