@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from shared import SF_SMALL, as_set
 from rollstate import Engine, catalog
 from rollstate.operators import rollups
 from rollstate.plans import commit_log as log
+from rollstate.plans import part_store
 from rollstate.plans.part_store import tier
 from rollstate.plans.table_store import FACTS, ReplayError
 from rollstate.spec import load_spec
@@ -574,3 +577,46 @@ def test_fact_compaction_noop_and_empty_table(spark, tmp_root):
     e.ingest(_events(spark), "events", "s", 0)
     assert e.compact_facts("events", full=True) == 0  # one part a month: nothing to merge
     assert e.facts("events").count() == _events(spark).count()
+
+
+def _day_batches(spark, spec, root):
+    """Suppliers 0 to 39 with one value a day or three, NULL measures and a NULL time, in two batches."""
+    rows = [(i % 40, None if i % 17 == 0 else dt.datetime(1996, 3, 1 + i % 5, i % 24), None if i % 7 == 0 else i / 3, i / 7, i * 2.0, i / 9) for i in range(240)]
+    df = spark.createDataFrame(rows, "l_suppkey long, l_shipdate timestamp_ntz, l_quantity double, l_extendedprice double, l_discount double, l_tax double")
+    e = Engine(spark, spec, root)
+    for i in range(2):
+        e.ingest(df.where(F.col("l_discount") % 4 == 2 * i), "lineitem", "s", i, write_facts=False)
+    return e, df
+
+
+def test_a_compaction_moves_state_rows_once(spark, tmp_root, monkeypatch):
+    """States that merge without sketches are dealt to their ranges before they are merged, not after."""
+    seen, write = [], part_store.PartStore.write
+
+    def spy(self, df, part, ranges=None, *args, **kw):
+        if ranges:
+            seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df, part, ranges, *args, **kw)
+
+    e, df = _day_batches(spark, catalog.LINEITEM_DAY_SPEC, tmp_root)
+    assert "Union" not in e.view("lineitem_day")._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(part_store.PartStore, "write", spy)
+    e.compact("lineitem_day", full=True)
+    (plan,) = seen
+    assert plan.count("Repartition") == 1 and "Union" not in plan and plan.index("Aggregate") < plan.index("Repartition")
+    assert as_set(e.view("lineitem_day").collect()) == as_set(rollups.one_pass(df, e.spec.rollup("lineitem_day")).collect())
+
+
+def test_values_beyond_the_bound_are_sketched_by_a_compaction(spark, tmp_root):
+    """No part has a sketch, but together they have more values of a key than a state keeps."""
+    day = {"type": "interval", "name": "year", "group_functions": ["toStartOfYear"], "aggregations": [{"type": "count"}, {"type": "quantiles", "args_agg": ["0.5"], "exact": 4}]}
+    spec = {"tables": [catalog.LINEITEM_TABLE], "analytical_tables": [{"table": "lineitem", "aggregator": day}]}
+    e, df = _day_batches(spark, spec, tmp_root)
+    want = as_set(df.groupBy("l_suppkey", F.trunc("l_shipdate", "year").alias("year")).agg(F.count("l_tax").alias("n")).collect())
+    for _ in range(2):
+        assert as_set(e.view("lineitem_year").select("l_suppkey", "year", "l_tax_count").collect()) == want
+        e.compact("lineitem_year", full=True)
+    s = F.col("l_tax_quantiles_05_state")
+    held = e.table("lineitem").states("lineitem_year").agg(F.max(F.size(s["values"])), F.count(s["sketch"])).first()
+    assert held[0] <= 4 and held[1] > 0
+    assert all("most" not in p for p in log.relation(_state(e, "lineitem"), "lineitem_year")["parts"].values())
